@@ -176,3 +176,329 @@ last_loc AS (
     FROM eff) WHERE rn = 1)
 SELECT o.offer_id, o.offer_source, COALESCE(l.location, o.member_list_location) AS member_list_location
 FROM list_offers o LEFT JOIN last_loc l USING (offer_id)"""
+
+
+# ---------------------------------------------------------------------------
+# Offer domain: inputs and intake
+# ---------------------------------------------------------------------------
+LINES = """li AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax, l_returnflag,
+         l_linestatus, l_shipdate,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+                            l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS line_pos,
+         l_returnflag <> 'R' AS kept,
+         CASE WHEN l_discount = 0 AND l_tax = 0 THEN ''
+              ELSE CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) END AS award_value,
+         CASE WHEN l_quantity = 50 THEN 'BOGO' WHEN l_linestatus = 'O' THEN 'DOLLAR_OFF'
+              ELSE 'PERCENTAGE_OFF' END AS discount_method,
+         CASE WHEN l_quantity > 48 THEN 'BONUS_ITEMS' WHEN l_linestatus = 'O' THEN 'DISCOUNTED_ITEMS'
+              ELSE 'ELIGIBLE_ITEMS' END AS payload_item_type,
+         CASE WHEN l_returnflag = 'A' THEN 'biglist' WHEN l_tax = 0.08 AND l_discount = 0.1 THEN 'List'
+              ELSE 'list' END AS list_type_raw,
+         CASE WHEN l_returnflag = 'A' THEN 'items/supplier-' || CAST(l_suppkey AS VARCHAR) || '.csv' END AS item_url
+  FROM lineitem),
+lagg AS (
+  SELECT l_orderkey, COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE kept) AS n_kept,
+         MIN(l_linenumber) FILTER (WHERE kept) AS k0,
+         BOOL_OR(kept AND award_value = '') AS v5,
+         BOOL_OR(kept AND discount_method NOT IN ('DOLLAR_OFF', 'PERCENTAGE_OFF')) AS v6,
+         BOOL_OR(list_type_raw NOT IN ('list', 'biglist')) AS v9,
+         string_agg(discount_method, ',' ORDER BY line_pos) FILTER (WHERE kept) AS discount_type,
+         MAX(award_value) FILTER (WHERE kept) AS one_value,
+         string_agg(item_url, ',' ORDER BY line_pos) AS item_list_location
+  FROM li GROUP BY l_orderkey)"""
+
+EVENTS = """ev0 AS (
+  SELECT 'O' || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0') AS event_id, o.o_orderdate AS arrival,
+         o.o_orderkey, o.o_custkey AS offer_id, o.o_orderstatus, o.o_orderpriority, o.o_orderdate,
+         c.c_nationkey, c.c_mktsegment,
+         CASE c.c_mktsegment WHEN 'MACHINERY' THEN 'TETRIS' WHEN 'BUILDING' THEN 'TIO'
+              WHEN 'FURNITURE' THEN 'TETRIS' ELSE 'BROADREACH' END AS offer_source,
+         CASE c.c_mktsegment WHEN 'MACHINERY' THEN 'tetris,weekly' WHEN 'BUILDING' THEN 'tio'
+              WHEN 'AUTOMOBILE' THEN 'seasonal,JOIN'
+              WHEN 'FURNITURE' THEN CASE WHEN c.c_nationkey < 5 THEN 'tetris,tio' ELSE 'tetris' END
+              ELSE '' END AS labels,
+         CASE WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW' THEN 'DRAFT'
+              WHEN o.o_orderstatus = 'F' THEN 'PUBLISHED' WHEN o.o_orderstatus = 'O' THEN 'LIVE'
+              ELSE 'DISABLED' END AS status,
+         o.o_orderpriority <> '5-LOW' AS has_members,
+         CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' AND o.o_orderstatus = 'P' THEN 2 ELSE 1 END AS member_count,
+         CASE o.o_orderpriority WHEN '1-URGENT' THEN 'EST' WHEN '2-HIGH' THEN 'CDT' WHEN '3-MEDIUM' THEN 'PST'
+              WHEN '4-NOT SPECIFIED' THEN 'MST' ELSE 'CST' END AS time_zone,
+         CASE o.o_orderstatus WHEN 'O' THEN 'D2H' WHEN 'F' THEN 'CLUB,D2H' ELSE 'CLUB' END AS channels,
+         COALESCE(a.n_lines, 0) AS n_lines, COALESCE(a.n_kept, 0) AS n_kept, a.k0,
+         COALESCE(a.v5, false) AS v5, COALESCE(a.v6, false) AS v6, COALESCE(a.v9, false) AS v9,
+         COALESCE(a.discount_type, '') AS discount_type, a.one_value,
+         COALESCE(a.item_list_location, '') AS item_list_location,
+         'members/list-' || CAST(o.o_orderkey % 20 AS VARCHAR) || '.csv' AS member_url
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN lagg a ON a.l_orderkey = o.o_orderkey),
+ev AS (
+  SELECT *, lower(offer_source) AS source_label,
+         offer_source <> 'BROADREACH' AND NOT has_members AS g1,
+         has_members AND member_count <> 1 AS g2,
+         c_mktsegment = 'AUTOMOBILE' AS g3,
+         n_kept = 0 AS g4,
+         concat_ws('; ', CASE WHEN status NOT IN ('PUBLISHED', 'DISABLED', 'LIVE') THEN 'V3' END,
+                   CASE WHEN labels = 'tetris,tio' THEN 'V4' END,
+                   CASE WHEN v5 THEN 'V5' END, CASE WHEN v6 THEN 'V6' END, CASE WHEN v9 THEN 'V9' END,
+                   CASE WHEN has_members AND o_orderpriority = '1-URGENT' AND n_lines = 0 THEN 'V11' END) AS errs
+  FROM ev0),
+outcome AS (
+  SELECT *,
+         CASE WHEN g1 OR g2 OR g3 OR g4 THEN 'SKIPPED' WHEN errs <> '' THEN 'FAILED' ELSE 'PROCESSING' END AS status_out,
+         CASE WHEN g1 THEN 'Personalized offer missing memberDetails'
+              WHEN g2 THEN 'Received an offer with memberListCount not equal to 1, skipping this offer'
+              WHEN g3 THEN 'Received an offer with at least one unwanted label, skipping this offer'
+              WHEN g4 THEN 'Received an offer without award of type DISCOUNT_ITEM_PRICE, skipping this offer'
+              WHEN errs <> '' THEN errs END AS reason
+  FROM ev)"""
+
+SITES = """sites AS (
+  SELECT DISTINCT s_suppkey AS club_id,
+         CASE WHEN s_nationkey = 1 THEN 'PR' WHEN s_nationkey = 6 THEN NULL ELSE n_name END AS state
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+  WHERE s_acctbal >= 0 AND (s_nationkey IN (4, 5) OR s_nationkey <> 3)),
+std AS (
+  SELECT 'ALL' AS list_name, club_id FROM sites
+  UNION ALL SELECT 'STANDARD CLUBS - PUERTO RICO ONLY', club_id FROM sites WHERE state = 'PR'
+  UNION ALL SELECT 'STANDARD CLUBS - US EXCLUDING PUERTO RICO', club_id FROM sites WHERE state <> 'PR'),
+resolved AS (
+  SELECT e.event_id, e.offer_id, l.l_suppkey AS club_id
+  FROM ev e JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) l ON l.l_orderkey = e.o_orderkey
+  WHERE e.o_orderpriority = '1-URGENT'
+  UNION ALL
+  SELECT e.event_id, e.offer_id, s.s_suppkey FROM ev e JOIN supplier s ON s.s_nationkey = e.c_nationkey
+  WHERE e.o_orderpriority = '2-HIGH' OR (e.o_orderpriority = '3-MEDIUM' AND e.o_orderstatus <> 'F')
+  UNION ALL
+  SELECT e.event_id, e.offer_id, st.club_id FROM ev e JOIN std st ON st.list_name = 'ALL'
+  WHERE e.o_orderpriority = '3-MEDIUM' AND e.o_orderstatus = 'F'
+    AND NOT EXISTS (SELECT 1 FROM supplier s2 WHERE s2.s_nationkey = e.c_nationkey AND s2.s_suppkey = st.club_id)
+  UNION ALL
+  SELECT e.event_id, e.offer_id, st.club_id FROM ev e JOIN std st
+    ON st.list_name = CASE e.o_orderstatus WHEN 'F' THEN 'ALL' WHEN 'O' THEN 'STANDARD CLUBS - PUERTO RICO ONLY'
+                          ELSE 'STANDARD CLUBS - US EXCLUDING PUERTO RICO' END
+  WHERE e.o_orderpriority = '4-NOT SPECIFIED'
+  UNION ALL
+  SELECT e.event_id, e.offer_id, 6279 FROM ev e WHERE e.o_orderpriority = '5-LOW' AND e.o_orderstatus = 'O'),
+club_text AS (
+  SELECT e.event_id,
+         CASE WHEN e.has_members OR e.o_orderstatus = 'O'
+              THEN COALESCE((SELECT string_agg(CAST(r.club_id AS VARCHAR), ',' ORDER BY r.club_id)
+                             FROM resolved r WHERE r.event_id = e.event_id), '') END AS club_list
+  FROM ev e)"""
+
+PROJECTION = """proj AS (
+  SELECT e.event_id, e.offer_id, e.status,
+         strftime(e.o_orderdate, '%Y-%m-%d') || ' 00:00:00' AS start_datetime,
+         strftime(e.o_orderdate + INTERVAL 90 DAY, '%Y-%m-%d') || ' 23:59:59' AS end_datetime,
+         strftime(e.o_orderdate, '%Y-%m-%d') || ' 00:00:00' AS event_timestamp,
+         e.time_zone, e.offer_source, e.discount_type,
+         CASE WHEN e.n_kept = 1 THEN TRY_CAST(e.one_value AS DOUBLE) END AS discount_value,
+         e.channels AS applicable_channel, ct.club_list,
+         CASE WHEN e.has_members THEN e.member_url ELSE '' END AS member_list_location,
+         'PLUS,CLUB' AS membership_type, e.item_list_location, e.labels,
+         '' AS offer_set_id, CAST(NULL AS BIGINT) AS campaign_id, '' AS campaign_name, '' AS member_list_name
+  FROM ev e JOIN club_text ct USING (event_id))"""
+
+ITEMS = """ref_lines AS (
+  SELECT e.event_id, e.offer_id, l.*,
+         CASE l.payload_item_type WHEN 'DISCOUNTED_ITEMS' THEN 'DISCOUNTED_ITEM'
+              WHEN 'ELIGIBLE_ITEMS' THEN 'ELIGIBLE_ITEM' END AS item_type
+  FROM ev e JOIN li l ON l.l_orderkey = e.o_orderkey WHERE l.l_linenumber IN (e.k0, e.k0 + 1)),
+inline_items AS (
+  SELECT event_id, offer_id, l_partkey AS item_number, item_type FROM ref_lines
+  WHERE lower(list_type_raw) = 'list' AND item_type IS NOT NULL),
+item_files AS (
+  SELECT DISTINCT 'items/supplier-' || CAST(l_suppkey AS VARCHAR) || '.csv' AS list_key, l_partkey AS item_number
+  FROM lineitem WHERE l_quantity >= 45),
+big_items AS (
+  SELECT t.event_id, t.offer_id, f.item_number, t.item_type FROM ref_lines t
+  JOIN item_files f ON f.list_key = t.item_url
+  WHERE lower(t.list_type_raw) <> 'list' AND t.item_type IS NOT NULL),
+excluded AS (SELECT DISTINCT p_partkey AS item_number FROM part WHERE p_size = 50),
+all_items AS (
+  SELECT * FROM (SELECT * FROM inline_items UNION ALL SELECT * FROM big_items) x
+  WHERE item_number NOT IN (SELECT item_number FROM excluded))"""
+
+OVERRIDES = """ov AS (
+  SELECT e.event_id, e.offer_id, l.l_suppkey AS club_number,
+         CASE l.l_returnflag WHEN 'A' THEN strftime(l.l_shipdate, '%Y-%m-%d') || ' 08:00:00'
+              WHEN 'N' THEN strftime(l.l_shipdate, '%Y-%m-%d') || ' 00:00:00' END AS start_datetime,
+         strftime(l.l_shipdate + INTERVAL 30 DAY, '%Y-%m-%d')
+           || CASE WHEN l.l_quantity < 10 THEN ' 23:59:59' ELSE ' 21:30:00' END AS end_datetime,
+         CASE WHEN l.l_returnflag = 'R' THEN 'EST' ELSE 'CST' END AS time_zone
+  FROM ev e JOIN lineitem l ON l.l_orderkey = e.o_orderkey
+  WHERE e.has_members AND l.l_linestatus = 'F')"""
+
+APPLY = """stored_offers AS (
+  SELECT c_custkey AS offer_id,
+         CASE WHEN c_mktsegment IN ('MACHINERY', 'FURNITURE') THEN 'TETRIS'
+              WHEN c_mktsegment = 'BUILDING' THEN CASE WHEN c_nationkey = 7 THEN 'TETRIS' ELSE 'TIO' END
+              ELSE 'BROADREACH' END AS offer_source
+  FROM customer WHERE c_acctbal > 5000),
+ready AS (SELECT * FROM outcome WHERE status_out = 'PROCESSING'),
+checked0 AS (
+  SELECT r.event_id, r.arrival, r.offer_id, r.offer_source, s.offer_source AS stored_source,
+         COALESCE(s.offer_source, first_value(r.offer_source) OVER (
+           PARTITION BY r.offer_id ORDER BY r.arrival, r.event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS fixed_source
+  FROM ready r LEFT JOIN stored_offers s USING (offer_id)),
+checked AS (
+  SELECT *, offer_source IS DISTINCT FROM fixed_source AS conflict,
+         CASE WHEN offer_source IS DISTINCT FROM fixed_source
+              THEN 'Invalid update payload. Offer source ' || fixed_source || ' of offer '
+                   || CAST(offer_id AS VARCHAR) || ' cannot be updated once created.' END AS message
+  FROM checked0),
+applied AS (
+  SELECT offer_id, event_id FROM (
+    SELECT offer_id, event_id, row_number() OVER (PARTITION BY offer_id ORDER BY arrival DESC, event_id DESC) AS rn
+    FROM checked WHERE NOT conflict) WHERE rn = 1),
+stored_items AS (
+  SELECT l.l_partkey AS item_number, 'ELIGIBLE_ITEM' AS item_type, o.o_custkey AS offer_id, '' AS product_id
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_shipdate < TIMESTAMP '1996-01-01'),
+stored_ov AS (
+  SELECT l.l_suppkey AS club_number, strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') AS start_datetime,
+         strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') AS end_datetime, 'CST' AS time_zone, o.o_custkey AS offer_id
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_shipdate < TIMESTAMP '1996-01-01')"""
+
+OFFER_BASE = [LINES, EVENTS]
+_OFF = _with(*OFFER_BASE)
+
+ORACLE["decode_events"] = _with(*AUDIENCE_BASE[:6], *OFFER_BASE) + """
+SELECT event_id, 'offer' AS kind, CAST(offer_id AS VARCHAR) AS promotion_number, status AS offer_status,
+       n_lines AS n_awards, n_lines AS n_item_payloads, 0 AS n_offer_ids FROM ev
+UNION ALL
+SELECT event_id, 'list', NULL, NULL, 0, 0, 2 FROM list_events"""
+
+ORACLE["dead_letter_events"] = """
+SELECT 'D' || CAST(doc_id AS VARCHAR) AS event_id FROM documents
+WHERE NOT COALESCE(CASE WHEN json_valid(text) THEN json_type(text) = 'OBJECT' END, false)"""
+
+ORACLE["route_event_kind"] = _with(*AUDIENCE_BASE[:6], *OFFER_BASE) + """
+SELECT event_id, 'offer' AS kind FROM ev UNION ALL SELECT event_id, 'list' FROM list_events"""
+
+ORACLE["route_source"] = _OFF + "SELECT event_id, offer_source, source_label FROM ev"
+
+ORACLE["gate_events"] = _OFF + """
+SELECT event_id,
+       CASE WHEN g1 OR g2 OR g3 OR g4 THEN 'SKIPPED' END AS gate_status,
+       CASE WHEN status_out = 'SKIPPED' THEN reason END AS gate_reason
+FROM outcome"""
+
+ORACLE["trim_awards"] = _OFF + """
+SELECT event_id, n_lines AS n_before, n_kept AS n_after,
+       CASE WHEN n_kept > 0 THEN CAST(k0 AS VARCHAR) || ',' || CAST(k0 + 1 AS VARCHAR) END AS first_refs
+FROM ev"""
+
+_VAL = _OFF + """,
+errs AS (
+  SELECT event_id, 'V3' AS rule FROM ev WHERE status NOT IN ('PUBLISHED', 'DISABLED', 'LIVE')
+  UNION ALL SELECT event_id, 'V4' FROM ev WHERE labels = 'tetris,tio'
+  UNION ALL SELECT event_id, 'V5' FROM ev WHERE v5
+  UNION ALL SELECT event_id, 'V6' FROM ev WHERE v6
+  UNION ALL SELECT event_id, 'V9' FROM ev WHERE v9
+  UNION ALL SELECT event_id, 'V11' FROM ev WHERE has_members AND o_orderpriority = '1-URGENT' AND n_lines = 0)
+"""
+
+ORACLE["validate_events"] = _VAL + "SELECT event_id, rule FROM errs"
+
+ORACLE["validation_summary"] = _VAL + "SELECT rule, COUNT(*) AS n_events FROM errs GROUP BY rule"
+
+ORACLE["intake_outcomes"] = _with(*AUDIENCE_BASE[:6], *OFFER_BASE) + """
+SELECT event_id, 'offer' AS kind, CAST(offer_id AS VARCHAR) AS oid, source_label, status_out AS status, reason
+FROM outcome
+UNION ALL
+SELECT event_id, 'list', CAST(k AS VARCHAR), '', 'PROCESSING', NULL FROM list_events"""
+
+ORACLE["event_time_normalise"] = _OFF + """
+SELECT event_id, strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00' AS start_text,
+       strftime(o_orderdate + INTERVAL 90 DAY, '%Y-%m-%d') || ' 23:59:59' AS end_text,
+       strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00' AS event_time_text, time_zone AS zone
+FROM ev"""
+
+_PROJ = _with(*OFFER_BASE, SITES, PROJECTION)
+
+ORACLE["offer_projection"] = _PROJ + "SELECT * FROM proj"
+
+ORACLE["expired_offers"] = _PROJ + """
+SELECT event_id, offer_id,
+       timezone(CASE time_zone WHEN 'EST' THEN 'US/Eastern' WHEN 'CDT' THEN 'US/Central'
+                     WHEN 'PST' THEN 'US/Pacific' WHEN 'MST' THEN 'US/Mountain' WHEN 'CST' THEN 'US/Central' END,
+                TIMESTAMPTZ '1999-06-01 00:00:00+00') > CAST(end_datetime AS TIMESTAMP) AS is_expired
+FROM proj"""
+
+_ITEMS = _with(*OFFER_BASE, ITEMS)
+
+ORACLE["offer_items_inline"] = _ITEMS + "SELECT event_id, offer_id, item_number, item_type FROM inline_items"
+
+ORACLE["item_type_mapping"] = _ITEMS + """
+SELECT payload_item_type,
+       CASE payload_item_type WHEN 'DISCOUNTED_ITEMS' THEN 'DISCOUNTED_ITEM'
+            WHEN 'ELIGIBLE_ITEMS' THEN 'ELIGIBLE_ITEM' END AS item_type,
+       COUNT(*) AS n_payloads
+FROM li WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY 1, 2"""
+
+ORACLE["offer_items_biglist"] = _ITEMS + "SELECT event_id, offer_id, item_number, item_type FROM big_items"
+
+ORACLE["offer_items_all"] = _ITEMS + """
+SELECT event_id, item_number, item_type, offer_id, '' AS product_id FROM all_items"""
+
+ORACLE["excluded_items"] = "SELECT DISTINCT p_partkey AS item_number FROM part WHERE p_size = 50"
+
+ORACLE["exclude_items"] = """
+SELECT l_orderkey, l_partkey AS item_number FROM lineitem
+WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size = 50)"""
+
+ORACLE["site_overrides"] = _with(*OFFER_BASE, OVERRIDES) + """
+SELECT event_id, offer_id, club_number, start_datetime, end_datetime, time_zone FROM ov"""
+
+ORACLE["active_sites"] = _with(SITES.split(",\nstd AS")[0]) + "SELECT club_id, state FROM sites"
+
+ORACLE["standard_site_lists"] = _with(*SITES.split(",\nresolved AS")[:1]) + "SELECT list_name, club_id FROM std"
+
+ORACLE["complement_site_list"] = _with(*OFFER_BASE, SITES) + """
+SELECT e.event_id, e.offer_id, st.club_id FROM ev e JOIN std st ON st.list_name = 'ALL'
+WHERE e.has_members AND e.o_orderpriority = '3-MEDIUM' AND e.o_orderstatus = 'F'
+  AND NOT EXISTS (SELECT 1 FROM supplier s2 WHERE s2.s_nationkey = e.c_nationkey AND s2.s_suppkey = st.club_id)"""
+
+ORACLE["resolve_sites"] = _with(*OFFER_BASE, SITES) + "SELECT event_id, offer_id, club_id FROM resolved"
+
+_APPLY = _with(*OFFER_BASE, SITES, PROJECTION, ITEMS, OVERRIDES, APPLY)
+
+ORACLE["source_conflicts"] = _APPLY + """
+SELECT event_id, offer_id, stored_source, fixed_source, conflict, message FROM checked"""
+
+ORACLE["latest_offer_event"] = _APPLY + "SELECT offer_id, event_id FROM applied"
+
+ORACLE["upsert_offers"] = _APPLY + """
+SELECT offer_id, 'LIVE' AS status, offer_source, 'CST' AS time_zone, CAST(NULL AS VARCHAR) AS discount_type,
+       CAST(NULL AS DOUBLE) AS discount_value, CAST(NULL AS VARCHAR) AS club_list,
+       'members/old.csv' AS member_list_location, '' AS item_list_location, CAST(NULL AS VARCHAR) AS start_datetime
+FROM stored_offers WHERE offer_id NOT IN (SELECT offer_id FROM applied)
+UNION ALL
+SELECT p.offer_id, p.status, p.offer_source, p.time_zone, p.discount_type, p.discount_value, p.club_list,
+       p.member_list_location, p.item_list_location, p.start_datetime
+FROM proj p JOIN applied a USING (event_id)"""
+
+ORACLE["replace_offer_items"] = _APPLY + """
+SELECT * FROM stored_items WHERE offer_id NOT IN (SELECT offer_id FROM applied)
+UNION ALL
+SELECT i.item_number, i.item_type, i.offer_id, '' FROM all_items i JOIN applied a USING (event_id)"""
+
+ORACLE["replace_site_overrides"] = _APPLY + """
+SELECT * FROM stored_ov WHERE offer_id NOT IN (SELECT offer_id FROM applied)
+UNION ALL
+SELECT o.club_number, o.start_datetime, o.end_datetime, o.time_zone, o.offer_id
+FROM ov o JOIN applied a USING (event_id)"""
+
+ORACLE["offer_serving_view"] = _APPLY + """
+SELECT a.offer_id,
+       COALESCE((SELECT string_agg(CAST(item_number AS VARCHAR), ',' ORDER BY item_number) FROM (
+          SELECT DISTINCT item_number FROM all_items i
+          WHERE i.event_id = a.event_id AND i.item_type = 'DISCOUNTED_ITEM')), '') AS discounted_items,
+       COALESCE((SELECT string_agg(CAST(item_number AS VARCHAR), ',' ORDER BY item_number) FROM (
+          SELECT DISTINCT item_number FROM all_items i
+          WHERE i.event_id = a.event_id AND i.item_type = 'ELIGIBLE_ITEM')), '') AS eligible_items,
+       (SELECT COUNT(*) FROM ov o WHERE o.event_id = a.event_id) AS n_overrides
+FROM applied a"""

@@ -10,14 +10,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promoflow import testbed as TB
-from promoflow.functions.columns import sorted_text
 from promoflow.operators import audience as A
+from promoflow.operators import gates as G
+from promoflow.operators import items as I
+from promoflow.operators import offers as O
+from promoflow.operators import sites as ST
+from promoflow.operators import validate as V
 from promoflow.operators.serve import member_view
-from promoflow.plans.list_batch import plan_list_batch, resolved_members_for
+from promoflow.plans.intake import run_intake
+from promoflow.plans.list_batch import plan_list_batch
+from promoflow.plans.offer_batch import offer_serving_view, plan_offer_batch
+from promoflow.settings import DEFAULT_CONFIG
 from promoflow.sources.events import decode_events, list_event_rows, route_event_kind
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +137,267 @@ def q_member_view_deletes(spark, d):
 @query("update_list_location")
 def q_update_list_location(spark, d):
     return _list_batch(spark, d).offers.select("offer_id", "offer_source", "member_list_location")
+
+
+# ---------------------------------------------------------------------------
+# Offer domain
+# ---------------------------------------------------------------------------
+AS_OF_UTC = "1999-06-01 00:00:00"
+
+
+def _n(c):
+    """Element count with NULL arrays counted as empty."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.isNull(), F.lit(0)).otherwise(F.size(c))
+
+
+def _ts_text(c):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+def _raw_batch(spark, d, with_junk: bool = False) -> DataFrame:
+    """Offer events and member-list events (and, for the dead-letter check, documents)."""
+    raw = TB.offer_events_raw(spark, d).unionByName(TB.list_events_raw(spark, d))
+    if with_junk:
+        docs = TB.table(spark, d, "documents").select(
+            F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("event_id"),
+            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("arrival"),
+            F.col("text").alias("raw"))
+        raw = raw.unionByName(docs)
+    return raw
+
+
+def _offer_events(spark, d, trimmed: bool = True) -> DataFrame:
+    good, _ = decode_events(TB.offer_events_raw(spark, d))
+    offers, _ = route_event_kind(good.persist(StorageLevel.MEMORY_AND_DISK))
+    offers = G.route_source(offers)
+    return G.trim_awards(offers) if trimmed else offers
+
+
+def _intake(spark, d):
+    return run_intake(_raw_batch(spark, d))
+
+
+def _offer_batch(spark, d):
+    it = _intake(spark, d)
+    ready = it.offers.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
+    return plan_offer_batch(ready, TB.stored_offers(spark, d), TB.stored_offer_items(spark, d),
+                            TB.stored_site_overrides(spark, d), TB.site_directory(spark, d),
+                            TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d))
+
+
+@query("decode_events")
+def q_decode_events(spark, d):
+    good, _ = decode_events(_raw_batch(spark, d))
+    return good.select(
+        "event_id", "kind",
+        F.col("e.payload.promotionNumber").alias("promotion_number"),
+        F.col("e.payload.status").alias("offer_status"),
+        _n("e.payload.awardList").alias("n_awards"),
+        _n("e.payload.itemDetails.itemsPayload").alias("n_item_payloads"),
+        _n("e.offerIdList").alias("n_offer_ids"))
+
+
+@query("dead_letter_events")
+def q_dead_letter_events(spark, d):
+    _, bad = decode_events(_raw_batch(spark, d, with_junk=True))
+    return bad.select("event_id")
+
+
+@query("route_event_kind")
+def q_route_event_kind(spark, d):
+    good, _ = decode_events(_raw_batch(spark, d))
+    offers, lists = route_event_kind(good)
+    return (offers.select("event_id", F.lit("offer").alias("kind"))
+            .unionByName(lists.select("event_id", F.lit("list").alias("kind"))))
+
+
+@query("route_source")
+def q_route_source(spark, d):
+    return _offer_events(spark, d, trimmed=False).select("event_id", "offer_source", "source_label")
+
+
+@query("gate_events")
+def q_gate_events(spark, d):
+    return G.gate(_offer_events(spark, d, trimmed=False)).select("event_id", "gate_status", "gate_reason")
+
+
+@query("trim_awards")
+def q_trim_awards(spark, d):
+    before = _offer_events(spark, d, trimmed=False).select(
+        "event_id", _n("e.payload.awardList").alias("n_before"))
+    after = G.trim_awards(_offer_events(spark, d, trimmed=False)).select(
+        "event_id", _n("awards").alias("n_after"),
+        F.array_join(F.get(F.col("awards"), 0)["itemRefId"], ",").alias("first_refs"))
+    return before.join(after, "event_id")
+
+
+@query("validate_events")
+def q_validate_events(spark, d):
+    good, _ = decode_events(_raw_batch(spark, d))
+    good = good.persist(StorageLevel.MEMORY_AND_DISK)
+    offers, lists = route_event_kind(good)
+    v_off = V.validate_offers(G.trim_awards(offers))
+    v_lst = V.validate_lists(lists)
+    return V.error_rows(v_off).unionByName(V.error_rows(v_lst))
+
+
+@query("validation_summary")
+def q_validation_summary(spark, d):
+    return q_validate_events(spark, d).groupBy("rule").agg(F.count("*").alias("n_events"))
+
+
+@query("intake_outcomes")
+def q_intake_outcomes(spark, d):
+    return _intake(spark, d).outcomes.select("event_id", "kind", "oid", "source_label", "status", "reason")
+
+
+@query("event_time_normalise")
+def q_event_time_normalise(spark, d):
+    return O.normalise_times(_offer_events(spark, d)).select(
+        "event_id", "start_text", "end_text", "event_time_text", "zone")
+
+
+def _projected(spark, d):
+    ev = O.normalise_times(_offer_events(spark, d))
+    sites = ST.resolve_sites(ev, TB.site_directory(spark, d), TB.store_files(spark, d))
+    return O.project_offers(ev, ST.club_lists(ev, sites))
+
+
+def _offer_text(df):
+    return df.select(
+        "event_id", "offer_id", "status",
+        _ts_text(F.col("start_datetime")).alias("start_datetime"),
+        _ts_text(F.col("end_datetime")).alias("end_datetime"),
+        _ts_text(F.col("event_timestamp")).alias("event_timestamp"),
+        "time_zone", "offer_source", "discount_type", "discount_value",
+        F.array_join("applicable_channel", ",").alias("applicable_channel"),
+        F.array_join("club_list", ",").alias("club_list"),
+        "member_list_location",
+        F.array_join("membership_type", ",").alias("membership_type"),
+        "item_list_location",
+        F.array_join("labels", ",").alias("labels"),
+        "offer_set_id", "campaign_id", "campaign_name", "member_list_name")
+
+
+@query("offer_projection")
+def q_offer_projection(spark, d):
+    return _offer_text(_projected(spark, d))
+
+
+@query("expired_offers")
+def q_expired_offers(spark, d):
+    return O.expired_offers(_projected(spark, d), AS_OF_UTC).select("event_id", "offer_id", "is_expired")
+
+
+@query("offer_items_inline")
+def q_offer_items_inline(spark, d):
+    return I.inline_items(I.referenced_payloads(_offer_events(spark, d))).select(
+        "event_id", "offer_id", F.col("item_text").try_cast("bigint").alias("item_number"), "item_type")
+
+
+@query("item_type_mapping")
+def q_item_type_mapping(spark, d):
+    ev = _offer_events(spark, d)
+    ip = ev.select(F.explode("e.payload.itemDetails.itemsPayload").alias("ip"))
+    return (ip.select(F.col("ip.itemType").alias("payload_item_type"),
+                      I.item_type_mapping(F.col("ip.itemType")).alias("item_type"))
+            .groupBy("payload_item_type", "item_type").agg(F.count("*").alias("n_payloads")))
+
+
+@query("offer_items_biglist")
+def q_offer_items_biglist(spark, d):
+    pl = I.referenced_payloads(_offer_events(spark, d))
+    return I.biglist_items(pl, TB.item_files(spark, d)).select(
+        "event_id", "offer_id", F.col("item_text").try_cast("bigint").alias("item_number"), "item_type")
+
+
+@query("offer_items_all")
+def q_offer_items_all(spark, d):
+    return I.offer_items(_offer_events(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d))
+
+
+@query("excluded_items")
+def q_excluded_items(spark, d):
+    return I.excluded_items(TB.catalogue(spark, d), DEFAULT_CONFIG.excluded_category)
+
+
+@query("exclude_items")
+def q_exclude_items(spark, d):
+    """Every ordered part as a candidate item, minus the excluded category."""
+    li = TB.table(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item_number"))
+    return I.exclude_items(li, TB.catalogue(spark, d), DEFAULT_CONFIG.excluded_category)
+
+
+@query("site_overrides")
+def q_site_overrides(spark, d):
+    ov = ST.site_overrides(_offer_events(spark, d))
+    return ov.select("event_id", "offer_id", "club_number",
+                     _ts_text(F.col("start_datetime")).alias("start_datetime"),
+                     _ts_text(F.col("end_datetime")).alias("end_datetime"), "time_zone")
+
+
+@query("active_sites")
+def q_active_sites(spark, d):
+    return ST.active_sites(TB.site_directory(spark, d))
+
+
+@query("standard_site_lists")
+def q_standard_site_lists(spark, d):
+    return ST.standard_site_lists(ST.active_sites(TB.site_directory(spark, d)))
+
+
+@query("complement_site_list")
+def q_complement_site_list(spark, d):
+    ev = _offer_events(spark, d)
+    pl = ST.site_payloads(ev)
+    big = pl.filter((F.col("kind") == "biglist") & (F.col("inclusion") == F.lit(False)))
+    files = TB.store_files(spark, d).select("list_key", F.col("c0").try_cast("bigint").alias("club_id"))
+    file_sites = files.join(big.select("event_id", "pos", "list_key"), "list_key")
+    std = ST.standard_site_lists(ST.active_sites(TB.site_directory(spark, d)))
+    return ST.complement_site_list(big.select("event_id", "offer_id", "pos", "list_key"), file_sites, std) \
+        .select("event_id", "offer_id", "club_id")
+
+
+@query("resolve_sites")
+def q_resolve_sites(spark, d):
+    return ST.resolve_sites(_offer_events(spark, d), TB.site_directory(spark, d), TB.store_files(spark, d))
+
+
+@query("source_conflicts")
+def q_source_conflicts(spark, d):
+    return _offer_batch(spark, d).checked.select("event_id", "offer_id", "stored_source", "fixed_source",
+                                                 "conflict", "message")
+
+
+@query("latest_offer_event")
+def q_latest_offer_event(spark, d):
+    return _offer_batch(spark, d).applied.select("offer_id", "event_id")
+
+
+@query("upsert_offers")
+def q_upsert_offers(spark, d):
+    o = _offer_batch(spark, d).offers
+    return o.select("offer_id", "status", "offer_source", "time_zone", "discount_type", "discount_value",
+                    F.array_join("club_list", ",").alias("club_list"), "member_list_location",
+                    "item_list_location", _ts_text(F.col("start_datetime")).alias("start_datetime"))
+
+
+@query("replace_offer_items")
+def q_replace_offer_items(spark, d):
+    return _offer_batch(spark, d).offer_items
+
+
+@query("replace_site_overrides")
+def q_replace_site_overrides(spark, d):
+    ov = _offer_batch(spark, d).site_overrides
+    return ov.select("club_number", _ts_text(F.col("start_datetime")).alias("start_datetime"),
+                     _ts_text(F.col("end_datetime")).alias("end_datetime"), "time_zone", "offer_id")
+
+
+@query("offer_serving_view")
+def q_offer_serving_view(spark, d):
+    v = offer_serving_view(_offer_batch(spark, d))
+    return v.select("offer_id", F.array_join("discounted_items", ",").alias("discounted_items"),
+                    F.array_join("eligible_items", ",").alias("eligible_items"),
+                    _n("site_overrides").alias("n_overrides"))

@@ -98,3 +98,203 @@ def list_events_raw(spark, d) -> DataFrame:
     return g.select(F.concat(F.lit("L"), F.col("k").cast("string")).alias("event_id"),
                     F.col("first_ts").cast("timestamp").alias("arrival"),
                     raw.alias("raw"))
+
+
+# ---------------------------------------------------------------------------
+# Offer domain
+# ---------------------------------------------------------------------------
+_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+               "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _line_structs(spark, d) -> DataFrame:
+    """Per order: awards, item payloads, store overrides and store ids from its lineitems."""
+    li = table(spark, d, "lineitem")
+    ln = F.col("l_linenumber")
+    award = F.struct(
+        F.col("l_partkey").cast("string").alias("promotionItemNumber"),
+        F.expr("CASE WHEN l_returnflag = 'R' THEN 'MEMBERSHIP_DISCOUNT' ELSE 'DISCOUNT_ITEM_PRICE' END")
+        .alias("awardType"),
+        F.expr("CASE WHEN l_discount = 0 AND l_tax = 0 THEN '' "
+               "ELSE cast(cast(round(l_discount * 100) as bigint) as string) END").alias("value"),
+        F.expr("CASE WHEN l_quantity = 50 THEN 'BOGO' WHEN l_linestatus = 'O' THEN 'DOLLAR_OFF' "
+               "ELSE 'PERCENTAGE_OFF' END").alias("discountMethod"),
+        F.array(ln.cast("string"), (ln + 1).cast("string")).alias("itemRefId"))
+    is_big = F.col("l_returnflag") == "A"
+    item = F.struct(
+        F.expr("CASE WHEN l_quantity > 48 THEN 'BONUS_ITEMS' WHEN l_linestatus = 'O' "
+               "THEN 'DISCOUNTED_ITEMS' ELSE 'ELIGIBLE_ITEMS' END").alias("itemType"),
+        F.lit("1").alias("mpq"),
+        F.expr("CASE WHEN l_returnflag = 'A' THEN 'biglist' "
+               "WHEN l_tax = 0.08 AND l_discount = 0.1 THEN 'List' ELSE 'list' END").alias("itemListType"),
+        F.when(is_big, F.array().cast("array<string>"))
+        .otherwise(F.array(F.col("l_partkey").cast("string"))).alias("itemList"),
+        F.when(is_big, F.concat(F.lit("items/supplier-"), F.col("l_suppkey").cast("string"), F.lit(".csv")))
+        .alias("itemBigListURL"),
+        ln.cast("string").alias("refId"))
+    override = F.struct(
+        F.col("l_suppkey").cast("string").alias("clubNumber"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("startDate"),
+        F.expr("CASE l_returnflag WHEN 'A' THEN '08:00:00' WHEN 'N' THEN '' ELSE '7:5' END").alias("startTime"),
+        F.date_format(F.date_add("l_shipdate", 30), "yyyy-MM-dd").alias("endDate"),
+        F.expr("CASE WHEN l_quantity < 10 THEN 'abc' ELSE '21:30:00' END").alias("endTime"),
+        F.expr("CASE WHEN l_returnflag = 'R' THEN 'EST' ELSE 'CST' END").alias("timeZone"))
+    key = F.struct(*[F.col(c) for c in _LINE_ORDER])
+    per = li.groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.struct(key.alias("k"), award.alias("a")))).alias("aw"),
+        F.sort_array(F.collect_list(F.struct(key.alias("k"), item.alias("i")))).alias("it"),
+        F.sort_array(F.collect_list(F.when(F.col("l_linestatus") == "F",
+                                           F.struct(key.alias("k"), override.alias("o"))))).alias("ov"),
+        F.sort_array(F.collect_set(F.col("l_suppkey"))).alias("supps"),
+        F.count("*").alias("n_lines"))
+    return per.select(
+        "l_orderkey", "n_lines",
+        F.transform("aw", lambda x: x["a"]).alias("awards"),
+        F.transform("it", lambda x: x["i"]).alias("items"),
+        F.transform("ov", lambda x: x["o"]).alias("overrides"),
+        F.transform("supps", lambda x: x.cast("string")).alias("supplier_ids"))
+
+
+def offer_events_raw(spark, d) -> DataFrame:
+    """(event_id, arrival, raw): one offer event per order, as JSON text."""
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    lines = _line_structs(spark, d)
+    x = (o.join(c, o["o_custkey"] == c["c_custkey"], "left")
+         .join(lines, o["o_orderkey"] == lines["l_orderkey"], "left"))
+    empty_s = F.array().cast("array<string>")
+    no_members = F.col("o_orderpriority") == "5-LOW"
+    club = F.expr("""CASE o_orderpriority
+        WHEN '1-URGENT' THEN named_struct('clubType', 'list', 'bigListName', 'custom',
+            'clubList', coalesce(supplier_ids, array()), 'clubBigListURL', cast(null as string), 'clubInclusion', true)
+        WHEN '2-HIGH' THEN named_struct('clubType', 'biglist', 'bigListName', 'nation list',
+            'clubList', array(), 'clubBigListURL', 'stores/nation-' || cast(c_nationkey as string) || '.csv',
+            'clubInclusion', true)
+        WHEN '3-MEDIUM' THEN named_struct('clubType', 'biglist', 'bigListName', 'nation list',
+            'clubList', array(), 'clubBigListURL', 'stores/nation-' || cast(c_nationkey as string) || '.csv',
+            'clubInclusion', o_orderstatus <> 'F')
+        ELSE named_struct('clubType', 'Standard', 'bigListName',
+            CASE o_orderstatus WHEN 'F' THEN 'ALL' WHEN 'O' THEN 'STANDARD CLUBS - PUERTO RICO ONLY'
+                 ELSE 'STANDARD CLUBS - US EXCLUDING PUERTO RICO' END,
+            'clubList', array(), 'clubBigListURL', cast(null as string), 'clubInclusion', true) END""")
+    payload = F.struct(
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("eventTimeStamp"),
+        F.expr("CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'DRAFT' "
+               "WHEN o_orderstatus = 'F' THEN 'PUBLISHED' WHEN o_orderstatus = 'O' THEN 'LIVE' "
+               "ELSE 'DISABLED' END").alias("status"),
+        F.col("o_custkey").cast("string").alias("promotionNumber"),
+        F.concat(F.lit("Offer "), F.col("o_orderkey").cast("string")).alias("promotionName"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("startDate"),
+        F.date_format(F.date_add("o_orderdate", 90), "yyyy-MM-dd").alias("endDate"),
+        F.lit("00:00:00").alias("startTime"),
+        F.lit("23:59:59").alias("endTime"),
+        F.expr("CASE o_orderpriority WHEN '1-URGENT' THEN 'EST' WHEN '2-HIGH' THEN 'CDT' "
+               "WHEN '3-MEDIUM' THEN 'PST' WHEN '4-NOT SPECIFIED' THEN 'MST' ELSE 'CST' END").alias("timeZone"),
+        F.expr("CASE o_orderstatus WHEN 'O' THEN array('D2H') WHEN 'F' THEN array('CLUB', 'D2H') "
+               "ELSE array('CLUB') END").alias("channels"),
+        F.expr("CASE c_mktsegment WHEN 'MACHINERY' THEN array('tetris', 'weekly') "
+               "WHEN 'BUILDING' THEN array('tio') WHEN 'AUTOMOBILE' THEN array('seasonal', 'JOIN') "
+               "WHEN 'FURNITURE' THEN CASE WHEN c_nationkey < 5 THEN array('tetris', 'tio') "
+               "ELSE array('tetris') END ELSE array() END").alias("labels"),
+        F.coalesce("awards", F.expr("array()").cast(
+            "array<struct<promotionItemNumber:string,awardType:string,value:string,"
+            "discountMethod:string,itemRefId:array<string>>>")).alias("awardList"),
+        F.struct(F.coalesce(F.col("n_lines"), F.lit(0)).cast("string").alias("itemListCount"),
+                 F.col("items").alias("itemsPayload")).alias("itemDetails"),
+        F.when(~no_members, F.struct(
+            F.lit("1").alias("clubListCount"),
+            F.array(club).alias("clubsPayload"),
+            F.coalesce(F.col("overrides"), F.expr("array()")).alias("clubOverride"))).alias("clubDetails"),
+        F.when(~no_members, F.struct(
+            F.expr("CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' "
+                   "THEN 2 ELSE 1 END").alias("memberListCount"),
+            F.array(F.struct(F.lit("biglist").alias("memberType"), empty_s.alias("memberList"),
+                             F.concat(F.lit("members/list-"), (F.col("o_orderkey") % 20).cast("string"),
+                                      F.lit(".csv")).alias("memberBigListURL"),
+                             F.lit(True).alias("isMemberInclusion"))).alias("membersPayload")))
+        .alias("memberDetails"),
+        F.array(F.lit("PLUS"), F.lit("CLUB")).alias("membershipType"))
+    # to_json drops NULL fields, so an absent part is absent in the text as well.
+    return x.select(
+        F.concat(F.lit("O"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("event_id"),
+        F.col("o_orderdate").cast("timestamp").alias("arrival"),
+        F.to_json(F.struct(payload.alias("payload"))).alias("raw"))
+
+
+def item_files(spark, d) -> DataFrame:
+    li = table(spark, d, "lineitem")
+    return (li.filter(F.col("l_quantity") >= 45)
+            .select(F.concat(F.lit("items/supplier-"), F.col("l_suppkey").cast("string"), F.lit(".csv"))
+                    .alias("list_key"), F.col("l_partkey").cast("string").alias("c0"))
+            .distinct().withColumn("c1", F.lit(None).cast("string")))
+
+
+def store_files(spark, d) -> DataFrame:
+    s = table(spark, d, "supplier")
+    return s.select(F.concat(F.lit("stores/nation-"), F.col("s_nationkey").cast("string"), F.lit(".csv"))
+                    .alias("list_key"), F.col("s_suppkey").cast("string").alias("c0"),
+                    F.lit(None).cast("string").alias("c1"))
+
+
+def catalogue(spark, d) -> DataFrame:
+    p = table(spark, d, "part")
+    return (p.groupBy("p_brand", "p_size")
+            .agg(F.sort_array(F.collect_list("p_partkey")).alias("ITEM_ID_ARRAY"))
+            .select(F.col("p_brand").alias("PROD_ID"), F.col("p_size").alias("MDSE_CATG_CD"),
+                    F.lit(0).alias("MDSE_SUB_CATG_CD"), "ITEM_ID_ARRAY"))
+
+
+def site_directory(spark, d) -> DataFrame:
+    s = table(spark, d, "supplier")
+    n = table(spark, d, "nation")
+    x = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left")
+    return x.select(
+        F.col("s_suppkey").alias("id"),
+        F.struct(F.expr("CASE WHEN s_nationkey = 1 THEN 'PR' WHEN s_nationkey = 6 THEN NULL "
+                        "ELSE n_name END").alias("state")).alias("address"),
+        (F.col("s_acctbal") >= 0).alias("isActive"),
+        F.expr("CASE WHEN s_nationkey = 3 THEN 'EXPRESS' WHEN s_nationkey IN (4, 5) THEN NULL "
+               "ELSE 'REGULAR' END").alias("clubType"))
+
+
+def stored_offers(spark, d) -> DataFrame:
+    """Offers stored before the batch: customers with a balance over 5000."""
+    c = table(spark, d, "customer").filter(F.col("c_acctbal") > 5000)
+    return c.select(
+        F.col("c_custkey").alias("offer_id"), F.lit("LIVE").alias("status"),
+        F.lit(None).cast("timestamp_ntz").alias("start_datetime"),
+        F.lit(None).cast("timestamp_ntz").alias("end_datetime"),
+        F.lit(None).cast("timestamp_ntz").alias("event_timestamp"),
+        F.lit("CST").alias("time_zone"),
+        F.expr("CASE WHEN c_mktsegment IN ('MACHINERY', 'FURNITURE') THEN 'TETRIS' "
+               "WHEN c_mktsegment = 'BUILDING' THEN CASE WHEN c_nationkey = 7 THEN 'TETRIS' ELSE 'TIO' END "
+               "ELSE 'BROADREACH' END").alias("offer_source"),
+        F.lit(None).cast("string").alias("discount_type"),
+        F.lit(None).cast("double").alias("discount_value"),
+        F.array(F.lit("CLUB")).alias("applicable_channel"),
+        F.lit(None).cast("array<bigint>").alias("club_list"),
+        F.lit("members/old.csv").alias("member_list_location"),
+        F.lit(None).cast("array<string>").alias("membership_type"),
+        F.lit("").alias("item_list_location"),
+        F.lit(None).cast("array<string>").alias("labels"),
+        F.lit("").alias("offer_set_id"), F.lit(None).cast("bigint").alias("campaign_id"),
+        F.lit("").alias("campaign_name"), F.lit("").alias("member_list_name"))
+
+
+def stored_offer_items(spark, d) -> DataFrame:
+    """Items stored before the batch: parts of lines shipped before 1996, per customer."""
+    li = table(spark, d, "lineitem").filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(o, li["l_orderkey"] == o["o_orderkey"])
+            .select(F.col("l_partkey").alias("item_number"), F.lit("ELIGIBLE_ITEM").alias("item_type"),
+                    F.col("o_custkey").alias("offer_id"), F.lit("").alias("product_id")))
+
+
+def stored_site_overrides(spark, d) -> DataFrame:
+    li = table(spark, d, "lineitem").filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(o, li["l_orderkey"] == o["o_orderkey"])
+            .select(F.col("l_suppkey").alias("club_number"),
+                    F.col("l_shipdate").cast("timestamp_ntz").alias("start_datetime"),
+                    F.col("l_shipdate").cast("timestamp_ntz").alias("end_datetime"),
+                    F.lit("CST").alias("time_zone"), F.col("o_custkey").alias("offer_id")))
