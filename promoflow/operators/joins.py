@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +18,15 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
     The small side is counted first (or its known row count is passed in); within the
     bound it is broadcast, so a hot key of ``big`` never lands in one task.  Beyond it the
-    join is left to a shuffle, where adaptive execution splits skewed partitions.
+    join is left to a shuffle, where adaptive execution splits skewed partitions.  The
+    small side is persisted before counting, so the count job materialises exactly what
+    the broadcast then reads instead of running its lineage twice.
     """
-    n = small.count() if small_rows is None else small_rows
+    if small_rows is None:
+        small = small.persist(StorageLevel.MEMORY_AND_DISK)
+        n = small.count()
+    else:
+        n = small_rows
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

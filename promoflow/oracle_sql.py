@@ -209,7 +209,8 @@ lagg AS (
   FROM li GROUP BY l_orderkey)"""
 
 EVENTS = """ev0 AS (
-  SELECT 'O' || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0') AS event_id, o.o_orderdate AS arrival,
+  SELECT 'O' || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0') AS event_id,
+         make_timestamp(epoch_us(o.o_orderdate) + o.o_orderkey) AS arrival,
          o.o_orderkey, o.o_custkey AS offer_id, o.o_orderstatus, o.o_orderpriority, o.o_orderdate,
          c.c_nationkey, c.c_mktsegment,
          CASE c.c_mktsegment WHEN 'MACHINERY' THEN 'TETRIS' WHEN 'BUILDING' THEN 'TIO'
@@ -502,3 +503,51 @@ SELECT a.offer_id,
           WHERE i.event_id = a.event_id AND i.item_type = 'ELIGIBLE_ITEM')), '') AS eligible_items,
        (SELECT COUNT(*) FROM ov o WHERE o.event_id = a.event_id) AS n_overrides
 FROM applied a"""
+
+
+# ---------------------------------------------------------------------------
+# Audit trail
+# ---------------------------------------------------------------------------
+AUDIT = """audit_in AS (
+  SELECT event_id, arrival, CAST(offer_id AS VARCHAR) AS oid, source_label, status_out, reason FROM outcome
+  UNION ALL
+  SELECT event_id, arrival, CAST(k AS VARCHAR), '', 'PROCESSING', NULL FROM list_events),
+list_done AS (
+  SELECT l.event_id,
+         CASE WHEN l.k % 3 = 0 THEN 'FAILED' ELSE 'PROCESSED' END AS status,
+         CASE WHEN l.k % 3 = 0 THEN 'The offers to update do not exist'
+              ELSE 'Memeberlist updated successfully of offer_ids : [' || CAST(l.k AS VARCHAR)
+                   || ']. Ignored processing [' || CAST(l.k + 100 AS VARCHAR) || '].' END AS comments
+  FROM list_events l),
+offer_done AS (
+  SELECT event_id, 'PROCESSED' AS status,
+         COALESCE(message, 'Offer ' || CAST(offer_id AS VARCHAR) || ' updated successfully.') AS comments
+  FROM checked),
+current_st AS (
+  SELECT a.oid || '_' || strftime(a.arrival, '%Y-%m-%d_%H:%M:%S.%f') AS ouid, a.oid, a.source_label, a.arrival,
+         COALESCE(o.status, l.status, a.status_out) AS status,
+         COALESCE(o.comments, l.comments, a.reason, '') AS comments
+  FROM audit_in a LEFT JOIN offer_done o USING (event_id) LEFT JOIN list_done l USING (event_id))"""
+
+_AUDIT = _with(*AUDIENCE_BASE[:6], *OFFER_BASE, SITES, PROJECTION, ITEMS, OVERRIDES, APPLY, AUDIT)
+
+ORACLE["audit_log"] = _AUDIT + """
+SELECT oid || '_' || strftime(arrival, '%Y-%m-%d_%H:%M:%S.%f') AS ouid, oid, 'RECEIVED' AS status, '' AS comments,
+       strftime(arrival, '%Y-%m-%d %H:%M:%S') AS received_date
+FROM audit_in"""
+
+ORACLE["audit_current_status"] = _AUDIT + "SELECT ouid, oid, status, comments FROM current_st"
+
+ORACLE["failure_report"] = _AUDIT + """
+SELECT CASE WHEN comments LIKE 'V%' THEN 'PayloadError' ELSE 'Error' END AS failure_class, source_label,
+       strftime(arrival, '%Y-%m-%d') AS day, COUNT(*) AS n_failed
+FROM current_st WHERE status = 'FAILED' GROUP BY 1, 2, 3"""
+
+
+# ---------------------------------------------------------------------------
+# Streaming: same results as the batch forms
+# ---------------------------------------------------------------------------
+ORACLE["stream_event_intake"] = ORACLE["intake_outcomes"]
+
+ORACLE["stream_dedup"] = _with(*AUDIENCE_BASE[:6], *OFFER_BASE) + """
+SELECT event_id FROM ev UNION ALL SELECT event_id FROM list_events"""

@@ -16,6 +16,7 @@ from promoflow.sources.events import decode_events, first_offer_id, route_event_
 
 @dataclass
 class Intake:
+    decoded: DataFrame        # the persisted decoded batch (unpersist when done)
     dead_letters: DataFrame   # raw rows that are not a JSON object
     offers: DataFrame         # offer events with gate columns, trimmed awards, errors, status
     lists: DataFrame          # member-list events with errors, status
@@ -43,4 +44,4 @@ def run_intake(raw: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> Intake:
              .withColumn("reason", F.when(F.size("errors") > 0, F.array_join("errors", "; "))))
     cols = ["event_id", "arrival", "kind", "oid", "source_label", "status", "reason"]
     outcomes = offers.select(*cols).unionByName(lists.select(*cols))
-    return Intake(bad, offers, lists, outcomes)
+    return Intake(good, bad, offers, lists, outcomes)

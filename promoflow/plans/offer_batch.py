@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +41,11 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
     """
     ev = O.normalise_times(ready).withColumn(
         "offer_id", F.col("e.payload.promotionNumber").try_cast("bigint"))
-    checked = O.source_conflicts(ev.select("event_id", "arrival", "offer_id", "offer_source"), stored_offers)
+    # Batch-sized control tables, read by several size checks and sub-plans: kept once.
+    checked = O.source_conflicts(ev.select("event_id", "arrival", "offer_id", "offer_source"),
+                                 stored_offers).persist(StorageLevel.MEMORY_AND_DISK)
     last = O.latest_per_offer(checked.filter(~F.col("conflict")).select("event_id", "arrival", "offer_id"))
-    applied = ev.join(last.select("event_id"), "event_id", "left_semi")
+    applied = ev.join(last.select("event_id"), "event_id", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
 
     sites = ST.resolve_sites(applied, directory, store_rows, cfg.online_site_id)
     offers_new = O.project_offers(applied, ST.club_lists(applied, sites))

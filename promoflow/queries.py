@@ -21,11 +21,14 @@ from promoflow.operators import items as I
 from promoflow.operators import offers as O
 from promoflow.operators import sites as ST
 from promoflow.operators import validate as V
-from promoflow.operators.serve import member_view
+from promoflow.operators.audit import current_status, failure_report
+from promoflow.operators.serve import member_view, sink_batches
+from promoflow.plans.audit_batch import audit_rows, failures, list_event_outcomes
 from promoflow.plans.intake import run_intake
 from promoflow.plans.list_batch import plan_list_batch
 from promoflow.plans.offer_batch import offer_serving_view, plan_offer_batch
 from promoflow.settings import DEFAULT_CONFIG
+from promoflow.streaming.intake_stream import run_dedup_stream, run_intake_stream, scratch_root
 from promoflow.sources.events import decode_events, list_event_rows, route_event_kind
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -401,3 +404,82 @@ def q_offer_serving_view(spark, d):
     return v.select("offer_id", F.array_join("discounted_items", ",").alias("discounted_items"),
                     F.array_join("eligible_items", ",").alias("eligible_items"),
                     _n("site_overrides").alias("n_overrides"))
+
+
+# ---------------------------------------------------------------------------
+# Audit trail, output batching
+# ---------------------------------------------------------------------------
+def _full_batch(spark, d):
+    """Intake, offer and member-list processing and audit rows of one whole batch."""
+    it = run_intake(_raw_batch(spark, d))
+    ready_offers = it.offers.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
+    ob = plan_offer_batch(ready_offers, TB.stored_offers(spark, d), TB.stored_offer_items(spark, d),
+                          TB.stored_site_overrides(spark, d), TB.site_directory(spark, d),
+                          TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d))
+    ready_lists = it.lists.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
+    lb = plan_list_batch(ready_lists, TB.list_offers(spark, d), TB.member_offers(spark, d),
+                         TB.member_files(spark, d), TB.cards(spark, d))
+    lo = list_event_outcomes(lb.looked)
+    audit = audit_rows(it, ob.outcomes, lo)
+    return it, ob, lb, audit
+
+
+@query("audit_log")
+def q_audit_log(spark, d):
+    _, _, _, audit = _full_batch(spark, d)
+    return audit.filter(F.col("seq") == 0).select(
+        "ouid", "oid", "status", "comments", _ts_text(F.col("received_date")).alias("received_date"))
+
+
+@query("audit_current_status")
+def q_audit_current_status(spark, d):
+    _, _, _, audit = _full_batch(spark, d)
+    return current_status(audit).select("ouid", "oid", "status", "comments")
+
+
+@query("failure_report")
+def q_failure_report(spark, d):
+    it, _, _, audit = _full_batch(spark, d)
+    rep = failure_report(failures(it, current_status(audit)))
+    return rep.select("failure_class", "source_label", F.date_format("day", "yyyy-MM-dd").alias("day"),
+                      "n_failed")
+
+
+@query("sink_batches")
+def q_sink_batches(spark, d):
+    """The new stored audience numbered into output batches of at most 25,000 rows."""
+    b = _list_batch(spark, d)
+    out = sink_batches(b.member_offers, DEFAULT_CONFIG.sink_batch_size)
+    return out.select("offer_id", "membership_uuid", "batch_partition", "batch_no")
+
+
+# ---------------------------------------------------------------------------
+# Streaming
+# ---------------------------------------------------------------------------
+def _land(spark, d, root: str, copies: int = 1, files: int = 8) -> str:
+    """Write the raw batch as event files into a landing folder (what a connector does)."""
+    raw = _raw_batch(spark, d)
+    for _ in range(copies - 1):
+        raw = raw.unionByName(_raw_batch(spark, d))
+    path = f"{root}/landing"
+    raw.repartition(files, "event_id").write.mode("overwrite").parquet(path)
+    return path
+
+
+@query("stream_event_intake")
+def q_stream_event_intake(spark, d):
+    """Intake run as a stream over the landed events, several micro-batches."""
+    root = scratch_root(spark, "stream-intake")
+    landing = _land(spark, d, root)
+    run_intake_stream(spark, landing, f"{root}/out", f"{root}/checkpoint", max_files_per_trigger=2)
+    out = spark.read.parquet(f"{root}/out/outcomes")
+    return out.select("event_id", "kind", "oid", "source_label", "status", "reason")
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, d):
+    """Every event landed twice (re-delivery); the stream keeps one copy of each."""
+    root = scratch_root(spark, "stream-dedup")
+    landing = _land(spark, d, root, copies=2)
+    run_dedup_stream(spark, landing, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").select("event_id")

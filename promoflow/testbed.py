@@ -217,7 +217,10 @@ def offer_events_raw(spark, d) -> DataFrame:
     # to_json drops NULL fields, so an absent part is absent in the text as well.
     return x.select(
         F.concat(F.lit("O"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("event_id"),
-        F.col("o_orderdate").cast("timestamp").alias("arrival"),
+        # receipt time: the order date, with the order key as microseconds so that two
+        # events of one offer received the same day stay distinct and ordered
+        F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey"))
+        .alias("arrival"),
         F.to_json(F.struct(payload.alias("payload"))).alias("raw"))
 
 
