@@ -41,9 +41,15 @@ def standard_site_lists(sites: DataFrame) -> DataFrame:
 
 
 def site_payloads(offer_events: DataFrame) -> DataFrame:
-    """One row per store payload: (event_id, offer_id, pos, kind, name, list, list_key, inclusion)."""
+    """One row per store payload: (event_id, offer_id, pos, kind, list_name, club_list,
+    list_key, inclusion, base_list).
+
+    ``base_list`` names the standard list a payload starts from: its own list for a
+    standard payload, the ALL list for an exclusion file (whose stores are then taken
+    out), none otherwise.  It is a per-row value, so joining on it is a real equi-join.
+    """
     p = "e.payload"
-    return offer_events.select(
+    x = offer_events.select(
         "event_id", F.col(f"{p}.promotionNumber").try_cast("bigint").alias("offer_id"),
         F.posexplode(f"{p}.clubDetails.clubsPayload").alias("pos", "cp")).select(
         "event_id", "offer_id", "pos",
@@ -52,16 +58,27 @@ def site_payloads(offer_events: DataFrame) -> DataFrame:
         F.col("cp.clubList").alias("club_list"),
         F.col("cp.clubBigListURL").alias("list_key"),
         F.col("cp.clubInclusion").alias("inclusion"))
+    base = (F.when(F.col("kind") == "standard", F.col("list_name"))
+            .when((F.col("kind") == "biglist") & (F.col("inclusion") == F.lit(False)), F.lit(S.STANDARD_LIST_ALL)))
+    return x.withColumn("base_list", base)
+
+
+def from_standard_lists(payloads: DataFrame, std_lists: DataFrame) -> DataFrame:
+    """Stores of each payload's base list: an equi-join on the list name with the small,
+    size-checked standard-list table.  (event_id, offer_id, pos, club_id)."""
+    std = std_lists.withColumnRenamed("list_name", "base_list")
+    return join_small(payloads.filter(F.col("base_list").isNotNull()), std, "base_list").select(
+        "event_id", "offer_id", "pos", "club_id")
 
 
 def complement_site_list(excluding: DataFrame, file_sites: DataFrame, std_lists: DataFrame) -> DataFrame:
     """All active stores minus the listed ones, per exclusion payload.
 
-    ``excluding``: (event_id, offer_id, pos, list_key); ``file_sites``: (event_id, pos,
-    club_id) of those payloads' files.
+    ``excluding``: exclusion payloads with ``base_list``; ``file_sites``: (event_id, pos,
+    club_id) of those payloads' files.  The ALL list of each payload minus its file is an
+    anti join on (event, payload, store).
     """
-    every = join_small(excluding.withColumn("list_name", F.lit(S.STANDARD_LIST_ALL)),
-                       std_lists, "list_name").select("event_id", "offer_id", "pos", "club_id")
+    every = from_standard_lists(excluding, std_lists)
     return every.join(file_sites.select("event_id", "pos", "club_id"), ["event_id", "pos", "club_id"],
                       "left_anti")
 
@@ -83,10 +100,8 @@ def resolve_sites(offer_events: DataFrame, directory: DataFrame, store_rows: Dat
     ).select("event_id", "offer_id", "pos", "club_id")
     included = file_sites.join(big.filter(F.col("inclusion") != F.lit(False)).select("event_id", "pos"),
                                ["event_id", "pos"], "left_semi")
-    excluding = big.filter(F.col("inclusion") == F.lit(False)).select("event_id", "offer_id", "pos", "list_key")
-    excluded = complement_site_list(excluding, file_sites, std)
-    standard = join_small(pl.filter(F.col("kind") == "standard").select("event_id", "offer_id", "pos", "list_name"),
-                          std, "list_name").select("event_id", "offer_id", "pos", "club_id")
+    excluded = complement_site_list(big.filter(F.col("inclusion") == F.lit(False)), file_sites, std)
+    standard = from_standard_lists(pl.filter(F.col("kind") == "standard"), std)
 
     p = "e.payload"
     no_payload = F.col(f"{p}.clubDetails").isNull() | F.col(f"{p}.clubDetails.clubsPayload").isNull()

@@ -358,8 +358,7 @@ def q_complement_site_list(spark, d):
     files = TB.store_files(spark, d).select("list_key", F.col("c0").try_cast("bigint").alias("club_id"))
     file_sites = files.join(big.select("event_id", "pos", "list_key"), "list_key")
     std = ST.standard_site_lists(ST.active_sites(TB.site_directory(spark, d)))
-    return ST.complement_site_list(big.select("event_id", "offer_id", "pos", "list_key"), file_sites, std) \
-        .select("event_id", "offer_id", "club_id")
+    return ST.complement_site_list(big, file_sites, std).select("event_id", "offer_id", "club_id")
 
 
 @query("resolve_sites")
