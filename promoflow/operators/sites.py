@@ -83,51 +83,87 @@ def complement_site_list(excluding: DataFrame, file_sites: DataFrame, std_lists:
                       "left_anti")
 
 
+def site_list_arrays(std_lists: DataFrame) -> DataFrame:
+    """(base_list, clubs): each standard list as one sorted array.
+
+    Store lists are bounded by the store directory (thousands of stores), so each list
+    fits one row; the table has one row per standard list and is broadcast.
+    """
+    return (std_lists.groupBy("list_name").agg(F.sort_array(F.collect_list("club_id")).alias("base_clubs"))
+            .withColumnRenamed("list_name", "base_list"))
+
+
+def file_site_arrays(store_rows: DataFrame, list_keys: DataFrame) -> DataFrame:
+    """(list_key, file_clubs): the store ids of each needed store file as one array.
+
+    Only files named by a payload are read (semi join on the small key table); a store
+    file is a subset of the store directory, which bounds the array size.
+    """
+    rows = join_small(store_rows.select("list_key", F.col("c0").try_cast("bigint").alias("club_id")),
+                      list_keys.select("list_key").distinct(), "list_key", "left_semi")
+    return rows.groupBy("list_key").agg(F.collect_list("club_id").alias("file_clubs"))
+
+
+def payload_sites(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame) -> DataFrame:
+    """(event_id, offer_id, pos, clubs): the stores of every store payload.
+
+    Inline lists are cast to ids; big-list files give their stores, or for an exclusion
+    file all stores of the ALL list except them (``array_except``); standard payloads
+    give their list.  Lists are joined as whole arrays by list name or file key, so the
+    (payload x store) rows are never shuffled.
+    """
+    lists = site_list_arrays(standard_site_lists(active_sites(directory)))
+    pl = site_payloads(offer_events)
+    files = file_site_arrays(store_rows, pl.filter(F.col("kind") == "biglist"))
+    x = join_small(pl, lists, "base_list", "left")
+    x = join_small(x, files, "list_key", "left")
+    empty = F.array().cast("array<bigint>")
+    base = F.coalesce(F.col("base_clubs"), empty)
+    file_ = F.coalesce(F.col("file_clubs"), empty)
+    kind, inc = F.col("kind"), F.col("inclusion")
+    clubs = (F.when(kind == "standard", base)
+             .when((kind == "biglist") & (inc == F.lit(False)), F.array_except(base, file_))
+             .when((kind == "biglist") & (inc == F.lit(True)), file_)
+             .when(kind != "biglist", C.long_array(F.col("club_list"))))
+    return x.select("event_id", "offer_id", "pos",
+                    F.filter(F.coalesce(clubs, empty), lambda c: c.isNotNull()).alias("clubs"))
+
+
+def _only_online():
+    return F.coalesce(F.col("e.payload.channels") == F.array(*[F.lit(c) for c in S.ONLINE_ONLY_CHANNELS]),
+                      F.lit(False))
+
+
+def online_default(offer_events: DataFrame, online_site_id: int = S.ONLINE_SITE_ID) -> DataFrame:
+    """Online-only offers without any store payload go to the online store (F16)."""
+    p = "e.payload"
+    no_payload = F.col(f"{p}.clubDetails").isNull() | F.col(f"{p}.clubDetails.clubsPayload").isNull()
+    return (offer_events.filter(no_payload & _only_online())
+            .select("event_id", F.col(f"{p}.promotionNumber").try_cast("bigint").alias("offer_id"),
+                    F.lit(-1).alias("pos"), F.array(F.lit(online_site_id).cast("bigint")).alias("clubs")))
+
+
 def resolve_sites(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame,
                   online_site_id: int = S.ONLINE_SITE_ID) -> DataFrame:
     """(event_id, offer_id, club_id) for every store the offer applies to."""
-    sites = active_sites(directory)
-    std = standard_site_lists(sites)
-    pl = site_payloads(offer_events)
+    arrays = payload_sites(offer_events, directory, store_rows).unionByName(
+        online_default(offer_events, online_site_id))
+    return arrays.select("event_id", "offer_id", F.explode("clubs").alias("club_id"))
 
-    inline = (pl.filter(~F.col("kind").isin("biglist", "standard"))
-              .select("event_id", "offer_id", "pos",
-                      F.explode(C.long_array(F.col("club_list"))).alias("club_id")))
-    big = pl.filter(F.col("kind") == "biglist")
-    file_sites = join_small(
-        store_rows.select("list_key", F.col("c0").try_cast("bigint").alias("club_id")),
-        big.select("event_id", "offer_id", "pos", "list_key"), "list_key"
-    ).select("event_id", "offer_id", "pos", "club_id")
-    included = file_sites.join(big.filter(F.col("inclusion") != F.lit(False)).select("event_id", "pos"),
-                               ["event_id", "pos"], "left_semi")
-    excluded = complement_site_list(big.filter(F.col("inclusion") == F.lit(False)), file_sites, std)
-    standard = from_standard_lists(pl.filter(F.col("kind") == "standard"), std)
 
-    p = "e.payload"
-    no_payload = F.col(f"{p}.clubDetails").isNull() | F.col(f"{p}.clubDetails.clubsPayload").isNull()
-    only_online = F.coalesce(F.col(f"{p}.channels") == F.array(*[F.lit(c) for c in S.ONLINE_ONLY_CHANNELS]),
-                             F.lit(False))
-    online = (offer_events.filter(no_payload & only_online)
-              .select("event_id", F.col(f"{p}.promotionNumber").try_cast("bigint").alias("offer_id"),
-                      F.lit(-1).alias("pos"), F.lit(online_site_id).cast("bigint").alias("club_id")))
-    cols = ["event_id", "offer_id", "pos", "club_id"]
-    out = (inline.select(*cols).unionByName(included.select(*cols)).unionByName(excluded.select(*cols))
-           .unionByName(standard.select(*cols)).unionByName(online.select(*cols)))
-    return out.filter(F.col("club_id").isNotNull()).select("event_id", "offer_id", "club_id")
-
-
-def club_lists(offer_events: DataFrame, resolved: DataFrame) -> DataFrame:
+def club_lists(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame,
+               online_site_id: int = S.ONLINE_SITE_ID) -> DataFrame:
     """(event_id, club_list) for events that have a store payload or the online default.
 
-    Events with neither keep no entry, so their ``club_list`` stays NULL.
+    The payload arrays of an event are concatenated and sorted; events with neither keep
+    no entry, so their ``club_list`` stays NULL.
     """
-    p = "e.payload"
-    has_payload = F.col(f"{p}.clubDetails.clubsPayload").isNotNull()
-    only_online = F.coalesce(F.col(f"{p}.channels") == F.array(*[F.lit(c) for c in S.ONLINE_ONLY_CHANNELS]),
-                             F.lit(False))
-    listed = offer_events.filter(has_payload | only_online).select("event_id")
-    agg = resolved.groupBy("event_id").agg(F.sort_array(F.collect_list("club_id")).alias("club_list"))
-    return (listed.join(agg, "event_id", "left")
+    arrays = payload_sites(offer_events, directory, store_rows).unionByName(
+        online_default(offer_events, online_site_id))
+    per_event = arrays.groupBy("event_id").agg(F.sort_array(F.flatten(F.collect_list("clubs"))).alias("club_list"))
+    has_payload = F.col("e.payload.clubDetails.clubsPayload").isNotNull()
+    listed = offer_events.filter(has_payload | _only_online()).select("event_id")
+    return (listed.join(per_event, "event_id", "left")
             .select("event_id", F.coalesce("club_list", F.array().cast("array<bigint>")).alias("club_list")))
 
 

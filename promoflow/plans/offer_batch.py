@@ -47,8 +47,7 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
     last = O.latest_per_offer(checked.filter(~F.col("conflict")).select("event_id", "arrival", "offer_id"))
     applied = ev.join(last.select("event_id"), "event_id", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
 
-    sites = ST.resolve_sites(applied, directory, store_rows, cfg.online_site_id)
-    offers_new = O.project_offers(applied, ST.club_lists(applied, sites))
+    offers_new = O.project_offers(applied, ST.club_lists(applied, directory, store_rows, cfg.online_site_id))
     items_new = I.offer_items(applied, item_rows, catalogue, cfg)
     overrides_new = ST.site_overrides(applied)
 

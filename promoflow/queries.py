@@ -263,8 +263,7 @@ def q_event_time_normalise(spark, d):
 
 def _projected(spark, d):
     ev = O.normalise_times(_offer_events(spark, d))
-    sites = ST.resolve_sites(ev, TB.site_directory(spark, d), TB.store_files(spark, d))
-    return O.project_offers(ev, ST.club_lists(ev, sites))
+    return O.project_offers(ev, ST.club_lists(ev, TB.site_directory(spark, d), TB.store_files(spark, d)))
 
 
 def _offer_text(df):

@@ -141,22 +141,44 @@ def _line_structs(spark, d) -> DataFrame:
         F.expr("CASE WHEN l_returnflag = 'R' THEN 'EST' ELSE 'CST' END").alias("timeZone"))
     key = F.struct(*[F.col(c) for c in _LINE_ORDER])
     per = li.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct(key.alias("k"), award.alias("a")))).alias("aw"),
-        F.sort_array(F.collect_list(F.struct(key.alias("k"), item.alias("i")))).alias("it"),
-        F.sort_array(F.collect_list(F.when(F.col("l_linestatus") == "F",
-                                           F.struct(key.alias("k"), override.alias("o"))))).alias("ov"),
+        F.sort_array(F.collect_list(F.struct(key.alias("k"), award.alias("a"), item.alias("i"),
+                                             F.when(F.col("l_linestatus") == "F", override).alias("o"))))
+        .alias("lines"),
         F.sort_array(F.collect_set(F.col("l_suppkey"))).alias("supps"),
         F.count("*").alias("n_lines"))
     return per.select(
         "l_orderkey", "n_lines",
-        F.transform("aw", lambda x: x["a"]).alias("awards"),
-        F.transform("it", lambda x: x["i"]).alias("items"),
-        F.transform("ov", lambda x: x["o"]).alias("overrides"),
+        F.transform("lines", lambda x: x["a"]).alias("awards"),
+        F.transform("lines", lambda x: x["i"]).alias("items"),
+        F.filter(F.transform("lines", lambda x: x["o"]), lambda o: o.isNotNull()).alias("overrides"),
         F.transform("supps", lambda x: x.cast("string")).alias("supplier_ids"))
 
 
 def offer_events_raw(spark, d) -> DataFrame:
-    """(event_id, arrival, raw): one offer event per order, as JSON text."""
+    """(event_id, arrival, raw): one offer event per order, as JSON text.
+
+    The events are landed once per session as Parquet files under the shared checkpoint
+    folder, as a broker connector would deliver them, and read from there.
+    """
+    return _landed(spark, d, "offer-events", _build_offer_events_raw)
+
+
+_LANDED: dict = {}
+
+
+def _landed(spark, d, name, build) -> DataFrame:
+    from promoflow.session import checkpoint_dir
+    import hashlib
+    key = (id(spark), d, name)
+    if key not in _LANDED:
+        tag = hashlib.sha1(f"{d}|{name}".encode()).hexdigest()[:12]
+        path = f"{checkpoint_dir(spark).rstrip('/')}/landing/{name}-{tag}"
+        build(spark, d).write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
+def _build_offer_events_raw(spark, d) -> DataFrame:
     o = table(spark, d, "orders")
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     lines = _line_structs(spark, d)

@@ -45,8 +45,7 @@ def rows(spark, data):
 
 def project(spark, payload):
     ev = O.normalise_times(ready(spark, [("e", offer(payload))]))
-    sites = ST.resolve_sites(ev, directory(spark), rows(spark, []))
-    return O.project_offers(ev, ST.club_lists(ev, sites)).first()
+    return O.project_offers(ev, ST.club_lists(ev, directory(spark), rows(spark, []))).first()
 
 
 def test_two_awards_join_types_and_null_value(spark):
@@ -127,8 +126,7 @@ def test_online_only_default_store(spark):
                        ("both", offer(base_payload(channels=["D2H", "CLUB"], clubDetails=...)))])
     got = [(r["event_id"], r["club_id"]) for r in ST.resolve_sites(ev, directory(spark), rows(spark, [])).collect()]
     assert got == [("d2h", 6279)]
-    cl = {r["event_id"]: r["club_list"] for r in ST.club_lists(ev, ST.resolve_sites(
-        ev, directory(spark), rows(spark, []))).collect()}
+    cl = {r["event_id"]: r["club_list"] for r in ST.club_lists(ev, directory(spark), rows(spark, [])).collect()}
     assert cl == {"d2h": [6279]}
 
 
