@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 # broadcast well under the default 8 GB limit even for wide rows.
 MAX_BROADCAST_ROWS = 2_000_000
 
+_PERSISTED: list[DataFrame] = []
+
+
+def release_small_sides() -> None:
+    """Unpersist the small sides cached by ``join_small`` (call when a batch is done)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = MAX_BROADCAST_ROWS, small_rows: int | None = None) -> DataFrame:
@@ -24,6 +32,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """
     if small_rows is None:
         small = small.persist(StorageLevel.MEMORY_AND_DISK)
+        _PERSISTED.append(small)
         n = small.count()
     else:
         n = small_rows

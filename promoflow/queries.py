@@ -28,6 +28,8 @@ from promoflow.plans.intake import run_intake
 from promoflow.plans.list_batch import plan_list_batch
 from promoflow.plans.offer_batch import offer_serving_view, plan_offer_batch
 from promoflow.settings import DEFAULT_CONFIG
+from promoflow.operators.snapshot import SnapshotStore
+from promoflow.streaming.apply_stream import Lookups, run_apply_stream, seed
 from promoflow.streaming.intake_stream import run_dedup_stream, run_intake_stream, scratch_root
 from promoflow.sources.events import decode_events, list_event_rows, route_event_kind
 
@@ -481,3 +483,29 @@ def q_stream_dedup(spark, d):
     landing = _land(spark, d, root, copies=2)
     run_dedup_stream(spark, landing, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").select("event_id")
+
+
+@query("stream_apply_offers")
+def q_stream_apply_offers(spark, d):
+    """Offer events applied to versioned snapshots over several micro-batches, in arrival
+    order; the final offers table equals the one-batch result (upsert_offers)."""
+    root = scratch_root(spark, "stream-apply")
+    raw = TB.offer_events_raw(spark, d)
+    # land in three chronological chunks, written one after the other (connector order)
+    ts = raw.select(F.unix_micros("arrival").alias("us"))
+    q1, q2 = ts.approxQuantile("us", [1 / 3, 2 / 3], 0.0)
+    landing = f"{root}/landing"
+    us = F.unix_micros("arrival")
+    files_per_chunk = 4
+    for cond in (us <= q1, (us > q1) & (us <= q2), us > q2):
+        raw.filter(cond).repartition(files_per_chunk).write.mode("append").parquet(landing)
+    store = SnapshotStore(spark, f"{root}/tables")
+    seed(store, TB.stored_offers(spark, d), TB.stored_offer_items(spark, d), TB.stored_site_overrides(spark, d))
+    look = Lookups(TB.site_directory(spark, d), TB.store_files(spark, d), TB.item_files(spark, d),
+                   TB.catalogue(spark, d))
+    run_apply_stream(spark, landing, store, look, f"{root}/outcomes", f"{root}/checkpoint",
+                     max_files_per_trigger=files_per_chunk)
+    o = store.read("offers")
+    return o.select("offer_id", "status", "offer_source", "time_zone", "discount_type", "discount_value",
+                    F.array_join("club_list", ",").alias("club_list"), "member_list_location",
+                    "item_list_location", _ts_text(F.col("start_datetime")).alias("start_datetime"))
