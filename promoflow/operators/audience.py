@@ -95,10 +95,10 @@ def offers_for_list_events(pairs: DataFrame, offers: DataFrame) -> DataFrame:
     listed = join_small(personalised, pairs.select("offer_id").distinct(), "offer_id", "left_semi")
     looked = pairs.join(listed, "offer_id", "left")
     looked = looked.withColumn("found", F.col("offer_source").isNotNull())
-    w = Window.partitionBy("event_id")
-    first_src = F.min_by(F.when(F.col("found"), F.col("offer_source")),
-                         F.when(F.col("found"), F.col("pos"))).over(w)
-    return looked.withColumn("event_source", first_src)
+    # first found offer per event: a partial aggregate (an event may list very many ids)
+    first = (looked.filter("found").groupBy("event_id")
+             .agg(F.min_by("offer_source", "pos").alias("event_source")))
+    return join_small(looked, first, "event_id", "left")
 
 
 def unprocessed_offer_ids(looked: DataFrame) -> DataFrame:

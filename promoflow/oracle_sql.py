@@ -494,15 +494,14 @@ SELECT o.club_number, o.start_datetime, o.end_datetime, o.time_zone, o.offer_id
 FROM ov o JOIN applied a USING (event_id)"""
 
 ORACLE["offer_serving_view"] = _APPLY + """
-SELECT a.offer_id,
-       COALESCE((SELECT string_agg(CAST(item_number AS VARCHAR), ',' ORDER BY item_number) FROM (
-          SELECT DISTINCT item_number FROM all_items i
-          WHERE i.event_id = a.event_id AND i.item_type = 'DISCOUNTED_ITEM')), '') AS discounted_items,
-       COALESCE((SELECT string_agg(CAST(item_number AS VARCHAR), ',' ORDER BY item_number) FROM (
-          SELECT DISTINCT item_number FROM all_items i
-          WHERE i.event_id = a.event_id AND i.item_type = 'ELIGIBLE_ITEM')), '') AS eligible_items,
-       (SELECT COUNT(*) FROM ov o WHERE o.event_id = a.event_id) AS n_overrides
-FROM applied a"""
+SELECT a.offer_id, 'OVERRIDES' AS item_type, CAST(0 AS BIGINT) AS chunk,
+       CAST((SELECT COUNT(*) FROM ov o WHERE o.event_id = a.event_id) AS VARCHAR) AS items
+FROM applied a
+UNION ALL
+SELECT offer_id, item_type, CAST(0 AS BIGINT) AS chunk,
+       string_agg(CAST(item_number AS VARCHAR), ',' ORDER BY item_number) AS items
+FROM (SELECT DISTINCT a.offer_id, i.item_type, i.item_number FROM all_items i JOIN applied a USING (event_id))
+GROUP BY offer_id, item_type"""
 
 
 # ---------------------------------------------------------------------------

@@ -64,7 +64,6 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
                       site_overrides, outcomes)
 
 
-def offer_serving_view(batch: OfferBatch, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """View entries of the offers updated by the batch (K9)."""
-    return offer_view(batch.offers_new.drop("event_id", "arrival"), batch.items_new,
-                      batch.overrides_new, cfg.discounted_item, cfg.eligible_item)
+def offer_serving_view(batch: OfferBatch) -> tuple[DataFrame, DataFrame]:
+    """View entries of the offers updated by the batch (K9): (offer rows, item chunks)."""
+    return offer_view(batch.offers_new.drop("event_id", "arrival"), batch.items_new, batch.overrides_new)

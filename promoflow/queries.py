@@ -400,10 +400,11 @@ def q_replace_site_overrides(spark, d):
 
 @query("offer_serving_view")
 def q_offer_serving_view(spark, d):
-    v = offer_serving_view(_offer_batch(spark, d))
-    return v.select("offer_id", F.array_join("discounted_items", ",").alias("discounted_items"),
-                    F.array_join("eligible_items", ",").alias("eligible_items"),
-                    _n("site_overrides").alias("n_overrides"))
+    rows, chunks = offer_serving_view(_offer_batch(spark, d))
+    head = rows.select("offer_id", F.lit("OVERRIDES").alias("item_type"), F.lit(0).cast("bigint").alias("chunk"),
+                       _n("site_overrides").cast("string").alias("items"))
+    body = chunks.select("offer_id", "item_type", "chunk", F.array_join("items", ",").alias("items"))
+    return head.unionByName(body)
 
 
 # ---------------------------------------------------------------------------
