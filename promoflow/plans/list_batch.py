@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +62,10 @@ def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_of
     current = member_offers.select("offer_id", "membership_uuid", "membership_id", "propensity")
     deltas = []
     for r in range(1, rounds + 1):
-        d = A.audience_delta(current, targets_of_round(eff, r), members).withColumn("round", F.lit(r))
+        # The delta is kept before anything is written: it must describe the change against
+        # the audience it was computed from, not be re-evaluated after that table changes.
+        d = (A.audience_delta(current, targets_of_round(eff, r), members).withColumn("round", F.lit(r))
+             .persist(StorageLevel.MEMORY_AND_DISK))
         deltas.append(d)
         current = A.apply_audience_delta(current, d)
         if checkpoint_between_rounds and r < rounds:
