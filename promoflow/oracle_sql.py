@@ -552,3 +552,5 @@ ORACLE["stream_dedup"] = _with(*AUDIENCE_BASE[:6], *OFFER_BASE) + """
 SELECT event_id FROM ev UNION ALL SELECT event_id FROM list_events"""
 
 ORACLE["stream_apply_offers"] = ORACLE["upsert_offers"]
+
+ORACLE["stream_apply_lists"] = ORACLE["apply_audience_delta"]

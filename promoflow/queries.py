@@ -29,7 +29,7 @@ from promoflow.plans.list_batch import plan_list_batch
 from promoflow.plans.offer_batch import offer_serving_view, plan_offer_batch
 from promoflow.settings import DEFAULT_CONFIG
 from promoflow.operators.snapshot import SnapshotStore
-from promoflow.streaming.apply_stream import Lookups, run_apply_stream, seed
+from promoflow.streaming.apply_stream import Lookups, run_apply_lists_stream, run_apply_stream, seed
 from promoflow.streaming.intake_stream import run_dedup_stream, run_intake_stream, scratch_root
 from promoflow.sources.events import decode_events, list_event_rows, route_event_kind
 
@@ -486,27 +486,56 @@ def q_stream_dedup(spark, d):
     return spark.read.parquet(f"{root}/out").select("event_id")
 
 
+def _land_chronological(raw: DataFrame, landing: str, chunks: int = 3, files_per_chunk: int = 4) -> int:
+    """Land events in chronological chunks, written one after the other (connector order).
+
+    Returns the number of files per chunk, to be used as ``maxFilesPerTrigger`` so that
+    each chunk becomes one micro-batch.  The chunk bounds are two quantiles of the
+    arrival time (a handful of numbers to the driver).
+    """
+    us = F.unix_micros("arrival")
+    qs = raw.select(us.alias("us")).approxQuantile("us", [i / chunks for i in range(1, chunks)], 0.0)
+    lows = [None] + qs
+    highs = qs + [None]
+    for lo, hi in zip(lows, highs):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (us > lo)
+        if hi is not None:
+            cond = cond & (us <= hi)
+        raw.filter(cond).repartition(files_per_chunk).write.mode("append").parquet(landing)
+    return files_per_chunk
+
+
 @query("stream_apply_offers")
 def q_stream_apply_offers(spark, d):
     """Offer events applied to versioned snapshots over several micro-batches, in arrival
     order; the final offers table equals the one-batch result (upsert_offers)."""
     root = scratch_root(spark, "stream-apply")
-    raw = TB.offer_events_raw(spark, d)
-    # land in three chronological chunks, written one after the other (connector order)
-    ts = raw.select(F.unix_micros("arrival").alias("us"))
-    q1, q2 = ts.approxQuantile("us", [1 / 3, 2 / 3], 0.0)
     landing = f"{root}/landing"
-    us = F.unix_micros("arrival")
-    files_per_chunk = 4
-    for cond in (us <= q1, (us > q1) & (us <= q2), us > q2):
-        raw.filter(cond).repartition(files_per_chunk).write.mode("append").parquet(landing)
+    per_batch = _land_chronological(TB.offer_events_raw(spark, d), landing)
     store = SnapshotStore(spark, f"{root}/tables")
     seed(store, TB.stored_offers(spark, d), TB.stored_offer_items(spark, d), TB.stored_site_overrides(spark, d))
     look = Lookups(TB.site_directory(spark, d), TB.store_files(spark, d), TB.item_files(spark, d),
                    TB.catalogue(spark, d))
     run_apply_stream(spark, landing, store, look, f"{root}/outcomes", f"{root}/checkpoint",
-                     max_files_per_trigger=files_per_chunk)
+                     max_files_per_trigger=per_batch)
     o = store.read("offers")
     return o.select("offer_id", "status", "offer_source", "time_zone", "discount_type", "discount_value",
                     F.array_join("club_list", ",").alias("club_list"), "member_list_location",
                     "item_list_location", _ts_text(F.col("start_datetime")).alias("start_datetime"))
+
+
+@query("stream_apply_lists")
+def q_stream_apply_lists(spark, d):
+    """Member-list events applied to versioned snapshots over several micro-batches; the
+    final stored audience equals the one-batch result (apply_audience_delta)."""
+    root = scratch_root(spark, "stream-lists")
+    landing = f"{root}/landing"
+    per_batch = _land_chronological(TB.list_events_raw(spark, d), landing, files_per_chunk=1)
+    store = SnapshotStore(spark, f"{root}/tables")
+    store.write("offers", TB.list_offers(spark, d), 0)
+    store.write("member_offers", TB.member_offers(spark, d), 0)
+    run_apply_lists_stream(spark, landing, store, TB.member_files(spark, d), TB.cards(spark, d),
+                           f"{root}/outcomes", f"{root}/checkpoint", max_files_per_trigger=per_batch)
+    return store.read("member_offers").select("offer_id", "membership_uuid", "membership_id", "propensity")
