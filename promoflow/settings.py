@@ -67,7 +67,6 @@ REASON_NO_OFFERS = "The offers to update do not exist"
 
 # Failure classes of the failure report.
 CLASS_PAYLOAD = "PayloadError"
-CLASS_BLOB = "BlobReadError"
 CLASS_OTHER = "Error"
 
 # Label constant names of the block list (39 entries), in their original order.

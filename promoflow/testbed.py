@@ -2,7 +2,7 @@
 
 These adapters only give rows in the shapes the engine expects (events as JSON text,
 audience and list files as raw text rows, lookup and stored tables); they do none of the
-engine's work.  The matching oracle SQL in ``__spark_entry__.py`` re-derives the same
+engine's work.  The matching oracle SQL in ``promoflow/oracle_sql.py`` re-derives the same
 inputs with the same expressions and computes the expected results in flat SQL.
 
 Audience domain
