@@ -554,3 +554,62 @@ SELECT event_id FROM ev UNION ALL SELECT event_id FROM list_events"""
 ORACLE["stream_apply_offers"] = ORACLE["upsert_offers"]
 
 ORACLE["stream_apply_lists"] = ORACLE["apply_audience_delta"]
+
+
+# ---------------------------------------------------------------------------
+# Two rounds of member-list events in one batch
+# ---------------------------------------------------------------------------
+ROUNDS = """files2 AS (
+  SELECT list_key, c0, c1_value FROM member_files
+  UNION ALL
+  SELECT 'members/half-' || CAST(event_id % 20 AS VARCHAR) || '.csv', CAST(user_id AS VARCHAR), value
+  FROM events WHERE event_type IN ('click', 'view')),
+ev2 AS (
+  SELECT 'L' || CAST(k AS VARCHAR) || 'a' AS event_id, t1 AS arrival, k,
+         'members/list-' || CAST(k AS VARCHAR) || '.csv' AS location FROM (
+    SELECT event_id % 20 AS k, MIN(ts) AS t1 FROM events GROUP BY 1)
+  UNION ALL
+  SELECT 'L' || CAST(k AS VARCHAR) || 'b', t2, k, 'members/half-' || CAST(k AS VARCHAR) || '.csv' FROM (
+    SELECT event_id % 20 AS k, MAX(ts) AS t2 FROM events GROUP BY 1)),
+eff2a AS (
+  SELECT e.event_id, e.arrival, e.location, o.offer_id, o.offer_source AS event_source,
+         CASE WHEN row_number() OVER (PARTITION BY o.offer_id ORDER BY e.arrival, e.event_id) = 1
+              THEN o.member_list_location
+              ELSE lag(e.location) OVER (PARTITION BY o.offer_id ORDER BY e.arrival, e.event_id) END AS prev_location
+  FROM ev2 e JOIN list_offers o ON o.offer_id = e.k WHERE o.offer_source <> 'BROADREACH'),
+eff2 AS (
+  SELECT *, row_number() OVER (PARTITION BY offer_id ORDER BY arrival, event_id) AS round
+  FROM eff2a WHERE location IS DISTINCT FROM prev_location),
+res2 AS (
+  SELECT list_key, offer_source, membership_uuid, membership_id, propensity FROM (
+    SELECT f.list_key, s.offer_source, c.membershipId AS membership_uuid, f.c0 AS membership_id,
+           CASE WHEN lower(s.offer_source) = 'tetris' THEN f.c1_value END AS propensity,
+           row_number() OVER (PARTITION BY f.list_key, s.offer_source, c.membershipId
+                              ORDER BY CASE WHEN lower(s.offer_source) = 'tetris' THEN f.c1_value END DESC NULLS LAST,
+                                       f.c0) AS rn
+    FROM files2 f JOIN (SELECT DISTINCT location AS list_key, event_source AS offer_source FROM eff2) s
+      USING (list_key)
+    JOIN active_cards c ON c.cardNumber = f.c0) WHERE rn = 1),
+new1 AS (
+  SELECT t.offer_id, m.membership_uuid, m.membership_id, m.propensity
+  FROM eff2 t JOIN res2 m ON m.list_key = t.location AND m.offer_source = t.event_source WHERE t.round = 1),
+after1 AS (
+  SELECT s.* FROM stored s WHERE s.offer_id NOT IN (SELECT offer_id FROM eff2 WHERE round = 1)
+  UNION ALL
+  SELECT s.* FROM stored s JOIN new1 n USING (offer_id, membership_uuid)
+  UNION ALL
+  SELECT n.* FROM new1 n WHERE NOT EXISTS (
+    SELECT 1 FROM stored s WHERE s.offer_id = n.offer_id AND s.membership_uuid = n.membership_uuid)),
+new2 AS (
+  SELECT t.offer_id, m.membership_uuid, m.membership_id, m.propensity
+  FROM eff2 t JOIN res2 m ON m.list_key = t.location AND m.offer_source = t.event_source WHERE t.round = 2),
+after2 AS (
+  SELECT a.* FROM after1 a WHERE a.offer_id NOT IN (SELECT offer_id FROM eff2 WHERE round = 2)
+  UNION ALL
+  SELECT a.* FROM after1 a JOIN new2 n USING (offer_id, membership_uuid)
+  UNION ALL
+  SELECT n.* FROM new2 n WHERE NOT EXISTS (
+    SELECT 1 FROM after1 a WHERE a.offer_id = n.offer_id AND a.membership_uuid = n.membership_uuid))"""
+
+ORACLE["apply_audience_rounds"] = _with(CARDS, ACTIVE_CARDS, MEMBER_FILES, LIST_OFFERS, STORED_AUDIENCE, ROUNDS) + """
+SELECT offer_id, membership_uuid, membership_id, propensity FROM after2"""

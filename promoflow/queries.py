@@ -539,3 +539,14 @@ def q_stream_apply_lists(spark, d):
     run_apply_lists_stream(spark, landing, store, TB.member_files(spark, d), TB.cards(spark, d),
                            f"{root}/outcomes", f"{root}/checkpoint", max_files_per_trigger=per_batch)
     return store.read("member_offers").select("offer_id", "membership_uuid", "membership_id", "propensity")
+
+
+@query("apply_audience_rounds")
+def q_apply_audience_rounds(spark, d):
+    """Two effective member-list events for most offers in one batch: applied in rounds in
+    arrival order; rows kept through both rounds keep their stored values."""
+    good, _ = decode_events(TB.list_events_two_rounds_raw(spark, d))
+    _, lists = route_event_kind(good)
+    b = plan_list_batch(lists, TB.list_offers(spark, d), TB.member_offers(spark, d),
+                        TB.member_files_two_rounds(spark, d), TB.cards(spark, d))
+    return b.member_offers.select("offer_id", "membership_uuid", "membership_id", "propensity")

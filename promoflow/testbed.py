@@ -323,3 +323,27 @@ def stored_site_overrides(spark, d) -> DataFrame:
                     F.col("l_shipdate").cast("timestamp_ntz").alias("start_datetime"),
                     F.col("l_shipdate").cast("timestamp_ntz").alias("end_datetime"),
                     F.lit("CST").alias("time_zone"), F.col("o_custkey").alias("offer_id")))
+
+
+def member_files_two_rounds(spark, d) -> DataFrame:
+    """Member files plus, per key, a narrower file of the click and view events."""
+    e = table(spark, d, "events")
+    half = e.filter(F.col("event_type").isin("click", "view")).select(
+        F.expr("'members/half-' || cast(event_id % 20 as string) || '.csv'").alias("list_key"),
+        F.col("user_id").cast("string").alias("c0"),
+        F.col("value").cast("string").alias("c1"))
+    return member_files(spark, d).unionByName(half)
+
+
+def list_events_two_rounds_raw(spark, d) -> DataFrame:
+    """Two member-list events per file key: the full file at the key's first event time,
+    then the narrower file at its last event time."""
+    e = table(spark, d, "events")
+    g = e.groupBy((F.col("event_id") % 20).alias("k")).agg(F.min("ts").alias("t1"), F.max("ts").alias("t2"))
+
+    def ev(tag, ts, prefix):
+        raw = F.concat(F.lit('{"offerIdList":['), F.col("k").cast("string"), F.lit('],"memberBigListLocation":"'),
+                       F.lit(prefix), F.col("k").cast("string"), F.lit('.csv"}'))
+        return g.select(F.concat(F.lit("L"), F.col("k").cast("string"), F.lit(tag)).alias("event_id"),
+                        F.col(ts).cast("timestamp").alias("arrival"), raw.alias("raw"))
+    return ev("a", "t1", "members/list-").unionByName(ev("b", "t2", "members/half-"))
