@@ -101,3 +101,16 @@ def source_conflicts(accepted: DataFrame, stored: DataFrame) -> DataFrame:
     msg = F.format_string("Invalid update payload. Offer source %s of offer %s cannot be updated once created.",
                           F.col("fixed_source"), F.col("offer_id").cast("string"))
     return x.withColumn("conflict", conflict).withColumn("message", F.when(conflict, msg))
+
+
+def missing_lists(offer_events: DataFrame, available: DataFrame) -> DataFrame:
+    """(event_id, missing_list) for events whose item or store big-list file is not among
+    ``available`` (list_key) files.  Item files count when their payload is referenced by
+    the first award; store files when the payload is a big list."""
+    from promoflow.operators.items import referenced_payloads
+    from promoflow.operators.sites import site_payloads
+    items = referenced_payloads(offer_events).filter(F.col("list_type") != "list").select("event_id", "list_key")
+    stores = site_payloads(offer_events).filter(F.col("kind") == "biglist").select("event_id", "list_key")
+    needed = items.unionByName(stores)
+    miss = needed.join(available.select("list_key").distinct(), "list_key", "left_anti")
+    return miss.groupBy("event_id").agg(F.min("list_key").alias("missing_list"))

@@ -32,19 +32,27 @@ class OfferBatch:
 def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: DataFrame,
                      stored_overrides: DataFrame, directory: DataFrame, store_rows: DataFrame,
                      item_rows: DataFrame, catalogue: DataFrame,
-                     cfg: EngineConfig = DEFAULT_CONFIG) -> OfferBatch:
+                     cfg: EngineConfig = DEFAULT_CONFIG, available_lists: DataFrame | None = None) -> OfferBatch:
     """Apply ready (gated, trimmed, valid) offer events in arrival order.
 
     Every non-conflicting event is processed; since each one replaces the offer's rows,
     the state after the batch is that of the offer's last such event, so only that one
-    is materialised.  Conflicting events change nothing and end with a message.
+    is materialised.  Conflicting events change nothing and end with a message.  With
+    ``available_lists`` (list_key of existing files), events that need a big-list file
+    that does not exist fail (BlobReadError) and change nothing either; the source check
+    comes first, as in the original order of steps.
     """
     ev = O.normalise_times(ready).withColumn(
         "offer_id", F.col("e.payload.promotionNumber").try_cast("bigint"))
     # Batch-sized control tables, read by several size checks and sub-plans: kept once.
-    checked = O.source_conflicts(ev.select("event_id", "arrival", "offer_id", "offer_source"),
-                                 stored_offers).persist(StorageLevel.MEMORY_AND_DISK)
-    last = O.latest_per_offer(checked.filter(~F.col("conflict")).select("event_id", "arrival", "offer_id"))
+    checked = O.source_conflicts(ev.select("event_id", "arrival", "offer_id", "offer_source"), stored_offers)
+    if available_lists is not None:
+        checked = checked.join(O.missing_lists(ev, available_lists), "event_id", "left")
+    else:
+        checked = checked.withColumn("missing_list", F.lit(None).cast("string"))
+    checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+    usable = checked.filter(~F.col("conflict") & F.col("missing_list").isNull())
+    last = O.latest_per_offer(usable.select("event_id", "arrival", "offer_id"))
     applied = ev.join(last.select("event_id"), "event_id", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
 
     offers_new = O.project_offers(applied, ST.club_lists(applied, directory, store_rows, cfg.online_site_id))
@@ -57,9 +65,13 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
     site_overrides = replace_by_key(stored_overrides, overrides_new.drop("event_id"), updated, ["offer_id"])
 
     ok = F.format_string("Offer %s updated successfully.", F.col("offer_id").cast("string"))
-    outcomes = checked.select("event_id", "arrival", F.col("offer_id").cast("string").alias("oid"),
-                              F.lit(cfg.status_processed).alias("status"),
-                              F.coalesce(F.col("message"), ok).alias("comments"))
+    blob = F.col("missing_list").isNotNull() & ~F.col("conflict")
+    outcomes = checked.select(
+        "event_id", "arrival", F.col("offer_id").cast("string").alias("oid"),
+        F.when(blob, F.lit(cfg.status_failed)).otherwise(F.lit(cfg.status_processed)).alias("status"),
+        F.when(blob, F.concat(F.lit("blob: "), F.coalesce("missing_list", F.lit("")),
+                              F.lit(" could not be read")))
+        .otherwise(F.coalesce(F.col("message"), ok)).alias("comments"))
     return OfferBatch(checked, applied, offers_new, items_new, overrides_new, offers, offer_items,
                       site_overrides, outcomes)
 

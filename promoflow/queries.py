@@ -188,7 +188,8 @@ def _offer_batch(spark, d):
     ready = it.offers.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
     return plan_offer_batch(ready, TB.stored_offers(spark, d), TB.stored_offer_items(spark, d),
                             TB.stored_site_overrides(spark, d), TB.site_directory(spark, d),
-                            TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d))
+                            TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d),
+                            available_lists=TB.available_lists(spark, d))
 
 
 @query("decode_events")
@@ -416,7 +417,8 @@ def _full_batch(spark, d):
     ready_offers = it.offers.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
     ob = plan_offer_batch(ready_offers, TB.stored_offers(spark, d), TB.stored_offer_items(spark, d),
                           TB.stored_site_overrides(spark, d), TB.site_directory(spark, d),
-                          TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d))
+                          TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d),
+                          available_lists=TB.available_lists(spark, d))
     ready_lists = it.lists.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
     lb = plan_list_batch(ready_lists, TB.list_offers(spark, d), TB.member_offers(spark, d),
                          TB.member_files(spark, d), TB.cards(spark, d))

@@ -45,3 +45,17 @@ def _escape(s: str) -> str:
 def rows_for_lists(rows: DataFrame, list_keys: DataFrame) -> DataFrame:
     """Keep only the rows of lists some event needs (a broadcast-able semi join)."""
     return rows.join(list_keys.select("list_key").distinct(), "list_key", "left_semi")
+
+
+def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """(list_key) of the non-empty list files under ``folder``, relative to it.
+
+    A distributed listing: the binary-file source with only the path column selected does
+    not read file contents.  Spark's file scans skip zero-length files, so an empty list
+    file is not listed (and would count as unreadable); callers that must accept empty
+    files pass their own manifest of available files instead.
+    """
+    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+          .option("recursiveFileLookup", "true").load(folder).select("path"))
+    prefix = folder.rstrip("/").lstrip("/") + "/"
+    return df.select(F.regexp_replace("path", r"^(file:)?/*" + _escape(prefix), "").alias("list_key"))

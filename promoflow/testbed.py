@@ -347,3 +347,13 @@ def list_events_two_rounds_raw(spark, d) -> DataFrame:
         return g.select(F.concat(F.lit("L"), F.col("k").cast("string"), F.lit(tag)).alias("event_id"),
                         F.col(ts).cast("timestamp").alias("arrival"), raw.alias("raw"))
     return ev("a", "t1", "members/list-").unionByName(ev("b", "t2", "members/half-"))
+
+
+def available_lists(spark, d) -> DataFrame:
+    """(list_key) of the list files that exist: one item file per supplier (possibly
+    empty) and one store file per nation."""
+    s = table(spark, d, "supplier").select(
+        F.concat(F.lit("items/supplier-"), F.col("s_suppkey").cast("string"), F.lit(".csv")).alias("list_key"))
+    n = table(spark, d, "nation").select(
+        F.concat(F.lit("stores/nation-"), F.col("n_nationkey").cast("string"), F.lit(".csv")).alias("list_key"))
+    return s.unionByName(n)

@@ -171,3 +171,29 @@ def test_source_conflict_and_latest_event_wins(spark):
     assert msgs["e2"] == "Offer 101 updated successfully."
     items = sorted((r["offer_id"], r["item_number"]) for r in b.offer_items.collect())
     assert items == [(101, 1001), (101, 1002)]
+
+
+def test_missing_big_list_file_fails_the_event_and_changes_nothing(spark):
+    idt = {"itemListCount": 1, "itemsPayload": [
+        {"itemType": "ELIGIBLE_ITEMS", "itemListType": "biglist", "itemList": [], "itemBigListURL": "gone.csv",
+         "refId": 1}]}
+    evs = [("e1", offer(base_payload(promotionNumber="101"))),
+           ("e2", offer(base_payload(promotionNumber="101", status="LIVE", itemDetails=idt)))]
+    stored = empty(spark, OFFERS)
+    available = spark.createDataFrame([("i.csv",)], "list_key string")
+    b = plan_offer_batch(ready(spark, evs), stored, empty(spark, OFFER_ITEMS), empty(spark, SITE_OVERRIDES),
+                         directory(spark), rows(spark, []), rows(spark, []), catalogue(spark),
+                         available_lists=available)
+    out = {r["event_id"]: (r["status"], r["comments"]) for r in b.outcomes.collect()}
+    assert out["e2"] == ("FAILED", "blob: gone.csv could not be read")
+    assert out["e1"] == ("PROCESSED", "Offer 101 updated successfully.")
+    assert [r["status"] for r in b.offers.collect()] == ["PUBLISHED"]   # e1 stands
+
+
+def test_list_files_lists_non_empty_files(spark, tmp_path):
+    from promoflow.sources.biglists import list_files
+    (tmp_path / "items").mkdir()
+    (tmp_path / "items" / "a.csv").write_text("1\n")
+    (tmp_path / "items" / "empty.csv").write_text("")
+    got = sorted(r[0] for r in list_files(spark, str(tmp_path)).collect())
+    assert got == ["items/a.csv"]          # zero-length files are skipped by file scans
