@@ -519,7 +519,7 @@ def q_stream_apply_offers(spark, d):
     store = SnapshotStore(spark, f"{root}/tables")
     seed(store, TB.stored_offers(spark, d), TB.stored_offer_items(spark, d), TB.stored_site_overrides(spark, d))
     look = Lookups(TB.site_directory(spark, d), TB.store_files(spark, d), TB.item_files(spark, d),
-                   TB.catalogue(spark, d))
+                   TB.catalogue(spark, d), TB.available_lists(spark, d))
     run_apply_stream(spark, landing, store, look, f"{root}/outcomes", f"{root}/checkpoint",
                      max_files_per_trigger=per_batch)
     o = store.read("offers")
