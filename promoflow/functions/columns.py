@@ -16,17 +16,10 @@ def blank(c: Column) -> Column:
     return F.coalesce(F.length(c), F.lit(0)) == 0
 
 
-def is_int_text(c: Column) -> Column:
-    """Text that an integer validator accepts."""
-    return c.try_cast("int").isNotNull()
 
 
-def try_int(c: Column) -> Column:
-    return c.try_cast("int")
 
 
-def try_long(c: Column) -> Column:
-    return c.try_cast("bigint")
 
 
 def parse_ts(c: Column, fmt: str = S.TIMESTAMP_FORMAT) -> Column:
@@ -94,8 +87,3 @@ def flatten_lists(arr_of_arr: Column) -> Column:
 def long_array(arr: Column) -> Column:
     """Text array to BIGINT array; bad elements become NULL."""
     return F.transform(arr, lambda x: x.try_cast("bigint"))
-
-
-def sorted_text(arr: Column) -> Column:
-    """Sorted comma text of an array, for stable output."""
-    return F.array_join(F.sort_array(arr), ",")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from promoflow import settings as S
 from promoflow.operators.joins import join_small
+from promoflow.operators.snapshot import delete_by_key
 
 
 # -- member cards (S5, F4) ----------------------------------------------------
@@ -106,12 +107,6 @@ def unprocessed_offer_ids(looked: DataFrame) -> DataFrame:
     return looked.filter(~F.col("found")).select("event_id", "pos", "offer_id_text")
 
 
-def failed_list_events(looked: DataFrame) -> DataFrame:
-    """Events none of whose ids exist: they fail as a whole."""
-    return (looked.groupBy("event_id")
-            .agg(F.max(F.col("found").cast("int")).alias("any_found"))
-            .filter(F.col("any_found") == 0)
-            .select("event_id", F.lit(S.REASON_NO_OFFERS).alias("reason")))
 
 
 # -- effective events in arrival order (F14, W3) -------------------------------------
@@ -165,8 +160,7 @@ def apply_audience_delta(current: DataFrame, delta: DataFrame) -> DataFrame:
     cols = ["offer_id", "membership_uuid", "membership_id", "propensity"]
     dels = delta.filter(F.col("action") == "delete").select(*key)
     adds = delta.filter(F.col("action") == "add").select(*cols)
-    kept = current.select(*cols).join(dels, key, "left_anti")
-    return kept.unionByName(adds)
+    return delete_by_key(current.select(*cols), dels, key).unionByName(adds)
 
 
 def delta_counts(delta: DataFrame) -> DataFrame:

@@ -42,9 +42,6 @@ def _escape(s: str) -> str:
     return "".join(out)
 
 
-def rows_for_lists(rows: DataFrame, list_keys: DataFrame) -> DataFrame:
-    """Keep only the rows of lists some event needs (a broadcast-able semi join)."""
-    return rows.join(list_keys.select("list_key").distinct(), "list_key", "left_semi")
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
