@@ -76,3 +76,13 @@ def test_entry_and_oracle_at_smallest_scale(spark):
         exp = sorted(tuple(r) for r in con.execute(
             f"SELECT {', '.join(E.queries()[name](spark, SF).columns)} FROM ({E.oracle_sql()[name]})").fetchall())
         assert got == exp, name
+
+
+def test_sink_batches_respect_the_size_and_keep_every_row(spark):
+    from promoflow.operators.serve import sink_batches
+    df = spark.range(0, 10_000, numPartitions=3)
+    out = sink_batches(df, 1_000)
+    sizes = out.groupBy("batch_partition", "batch_no").count().collect()
+    assert max(r["count"] for r in sizes) <= 1_000
+    assert sum(r["count"] for r in sizes) == 10_000
+    assert out.select("id").distinct().count() == 10_000
