@@ -41,7 +41,8 @@ def targets_of_round(effective: DataFrame, r: int) -> DataFrame:
 
 def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_offers: DataFrame,
                     member_files: DataFrame, cards: DataFrame, rounds: int | None = None,
-                    checkpoint_between_rounds: bool = True) -> ListBatch:
+                    checkpoint_between_rounds: bool = True,
+                    available_lists: DataFrame | None = None) -> ListBatch:
     """Apply a batch of (valid) member-list events.
 
     ``rounds`` is the largest number of effective events any offer has in the batch
@@ -49,13 +50,25 @@ def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_of
     is a set-at-a-time delta over all offers; between rounds the audience is checkpointed
     to the shared checkpoint folder so lineage stays short and a lost executor does not
     re-run earlier rounds.
+
+    With ``available_lists`` (list_key of existing files), an event whose file is missing
+    gets ``missing_list`` set; it fails (BlobReadError) and is left out before the
+    effective-event computation, so it changes neither audience nor location.
     """
     rows = list_event_rows(decoded_list_events)
     pairs = A.explode_list_events(rows)
     # The two control tables are batch-sized (events x listed ids); caching them keeps the
     # size checks and the round count from re-running the decode.
-    looked = A.offers_for_list_events(pairs, offers).persist()
-    eff = A.effective_list_events(looked).persist()
+    looked = A.offers_for_list_events(pairs, offers)
+    if available_lists is not None:
+        avail = available_lists.select(F.col("list_key").alias("location"), F.lit(True).alias("_avail")).distinct()
+        looked = (looked.join(avail, "location", "left")
+                  .withColumn("missing_list", F.when(F.col("_avail").isNull(), F.col("location")))
+                  .drop("_avail"))
+    else:
+        looked = looked.withColumn("missing_list", F.lit(None).cast("string"))
+    looked = looked.persist()
+    eff = A.effective_list_events(looked.filter(F.col("missing_list").isNull())).persist()
     members = resolved_members_for(eff, member_files, cards)
     if rounds is None:
         rounds = eff.agg(F.coalesce(F.max("round"), F.lit(0))).first()[0]

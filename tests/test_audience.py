@@ -43,7 +43,7 @@ def test_resolved_files_pass_through(spark):
     assert A.resolve_members(m, cards(spark, [])).collect() == m.collect()
 
 
-def _batch(spark, events, offers, stored, files, card_pairs):
+def _batch(spark, events, offers, stored, files, card_pairs, available=None):
     rows = [(eid, T0 + timedelta(minutes=i), raw) for i, (eid, raw) in enumerate(events)]
     raw = spark.createDataFrame(rows, "event_id string, arrival timestamp, raw string")
     good, _ = decode_events(raw)
@@ -51,7 +51,8 @@ def _batch(spark, events, offers, stored, files, card_pairs):
     cur = spark.createDataFrame(stored, "offer_id bigint, membership_uuid string, membership_id string, "
                                         "propensity double")
     f = spark.createDataFrame(files, "list_key string, c0 string, c1 string")
-    return plan_list_batch(good, off, cur, f, cards(spark, card_pairs))
+    av = None if available is None else spark.createDataFrame([(k,) for k in available], "list_key string")
+    return plan_list_batch(good, off, cur, f, cards(spark, card_pairs), available_lists=av)
 
 
 def _ev(ids, loc):
@@ -107,6 +108,16 @@ def test_two_events_for_one_offer_apply_in_order(spark):
     assert final == [("uc", 0.6), ("ud", 0.7)]
 
 
+def test_missing_member_file_fails_and_changes_nothing(spark):
+    b = _batch(spark, [("e1", _ev([1], "gone.csv")), ("e2", _ev([1], "new.csv"))], [(1, "TIO", "old.csv")],
+               [(1, "ua", "a", None)], [("new.csv", "b", None)], CARDS, available=["new.csv", "old.csv"])
+    out = {r["event_id"]: (r["status"], r["comments"]) for r in list_event_outcomes(b.looked).collect()}
+    assert out["e1"] == ("FAILED", "blob: gone.csv could not be read")
+    assert out["e2"][0] == "PROCESSED"
+    assert sorted(r["membership_uuid"] for r in b.member_offers.collect()) == ["ub"]
+    assert {r["offer_id"]: r["member_list_location"] for r in b.offers.collect()} == {1: "new.csv"}
+
+
 @settings(max_examples=5, deadline=None)
 @given(old=st.sets(st.sampled_from("abcdefg"), max_size=7), new=st.sets(st.sampled_from("abcdefg"), max_size=7))
 def test_delta_properties(spark, old, new):
