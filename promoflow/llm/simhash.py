@@ -288,4 +288,5 @@ def drop_near_copies(docs: DataFrame, words_per_shingle: int = 3, max_distance:
     groups = written(fingerprint_groups(prints.select("doc_id", "fp"), max_distance), "groups")
     kept = (prints.join(groups.select("fp", "root"), "fp").groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__n")).alias("k")).select(F.col("k.__n").alias("__n")))
-    return rows.join(written(kept, "kept"), "__n", "left_semi").select("__row.*")
+    # One plan at every size: the kept rows grow with the input, so they are never broadcast.
+    return rows.join(written(kept, "kept").hint("merge"), "__n", "left_semi").select("__row.*")
