@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from promoflow.llm.chat import CONTROL, END, SAYS, TURN, conversation_report
 from promoflow.llm.common import table
 from promoflow.llm.decontam import contamination
+from promoflow.llm.embed_pq import cosine_components
+from promoflow.llm.licenses import license_report
 from promoflow.llm.packing import pack
 from promoflow.llm.pii import pseudonym_report
+from promoflow.llm.quality import quality_report
+from promoflow.llm.secrets import secret_report
 from promoflow.llm.simhash import simhash_components
 from promoflow.llm.toxicity import toxicity_verdicts
 
@@ -15,11 +20,38 @@ from promoflow.llm.toxicity import toxicity_verdicts
 VOCABULARY = "byte_bpe_50k.json"
 
 
+#: The conversation whose texts are control strings.
+CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op1_chat_formatting(spark, sf_dir):
+    """Every conversation formatted, with the mask of its assistant texts, and read back."""
+    more = spark.createDataFrame(CONTROL_TURNS, "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    return conversation_report(rows, public_tokenizers.path(VOCABULARY))
+
+
 def op2_decontamination(spark, sf_dir):
     """Benchmark windows of ten words in every document."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_license_scan(spark, sf_dir):
+    """Licence notices, tags and their expressions in every document."""
+    return license_report(table(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark, sf_dir):
+    """Quality of every document from its text and the posteriors of its source and language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality_report(docs, table(spark, sf_dir, "labels"))
+
+
+def op5_secret_scan(spark, sf_dir):
+    """Secrets of every document, found once per distinct text through a new blob ledger."""
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark, sf_dir):
     """SimHash components of every document at three bits."""
     return simhash_components(table(spark, sf_dir, "documents"))
@@ -30,6 +62,11 @@ def op7_toxicity(spark, sf_dir):
     return toxicity_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_embedding_pq(spark, sf_dir):
+    """Links and components of every vector at cosine 0.98 within its label."""
+    return cosine_components(table(spark, sf_dir, "embeddings"))
+
+
 def op9_pii(spark, sf_dir):
     """Every document's text with its personal numbers, dates and addresses replaced."""
     return pseudonym_report(table(spark, sf_dir, "documents"))
@@ -40,6 +77,26 @@ def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), with_ids=False)
 
 
-REGISTRY = {f.__name__: f for f in (op2_decontamination, op6_simhash, op7_toxicity, op9_pii, op10_packing)}
-
-ORACLE: dict[str, str] = {}
+REGISTRY = {f.__name__: f for f in (
+    op1_chat_formatting, op2_decontamination, op3_license_scan, op4_quality, op5_secret_scan, op6_simhash,
+    op7_toxicity, op8_embedding_pq, op9_pii, op10_packing)}
+
+_OP1_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, {len(TURN + SAYS + END)} + length(regexp_replace(role, '{CONTROL}', '\1\\\2\3', 'g'))
+              + length(regexp_replace(text, '{CONTROL}', '\1\\\2\3', 'g')) AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {"op1_chat_formatting": _OP1_SQL}
