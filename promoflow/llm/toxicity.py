@@ -146,8 +146,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_
     # The bounded sample is written once: the lexicon and the features read it.
     train = written(training_rows(docs, labels, max_train_rows), "tox-train")
     features = features_of(learned_lexicon(train))
-    # Dense vectors only, in a few partitions, as the trees read them in every round.
-    model = fit(written(train.select(features("text").alias("f"), "y", "fold").coalesce(4), "tox-x")
+    # Dense vectors only, sorted in one partition: the sample is bounded, the trees read it in
+    # every round, and sums in one order give the same trees in every run.
+    dense = written(train.select(features("text").alias("f"), "y", "fold"), "tox-x")
+    model = fit(written(dense.coalesce(1).sortWithinPartitions("fold", "y", "f"), "tox-sorted")
                 .select(array_to_vector("f").alias("__tox_x"), "y", "fold"))
     rows = whole_row(docs)
     if isinstance(model, float):
