@@ -198,7 +198,7 @@ def usable(vector) -> F.Column:
             & F.exists(vector, lambda x: x != 0))
 
 
-def cosine_components(vectors: DataFrame, least_cosine: float = 0.98, list_rows: int = 2_000, max_lists: int = 1_024,
+def cosine_components(vectors: DataFrame, least_cosine: float = 0.98, list_rows: int = 8_000, max_lists: int = 4_096,
                       sample_rows: int = 20_000) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding, label)."""
     spark = prepare(vectors.sparkSession)
