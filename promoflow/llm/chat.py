@@ -2,8 +2,8 @@
 
 A whole conversation is rendered once: each turn is ``<|turn|>role<|says|>text<|end|>``.
 The markers are special tokens of the encoder, so no token reaches over them; the rendered
-text is encoded once with offsets, and the sorted spans of the assistant texts are
-intersected with the token spans by binary search.  Control strings of this and other
+text is encoded once, its tokens' offsets are the running sum of their byte lengths, and the
+sorted spans of the assistant texts are intersected with the token spans by binary search.  Control strings of this and other
 common templates inside roles and texts get a backslash after their first character (one
 more where there are some already), which reading back takes off.
 
@@ -17,16 +17,16 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-from tokenizers import AddedToken, Tokenizer
 
 from promoflow.llm.common import prepare
+from promoflow.llm.packing import load_encoder
 
 TURN, SAYS, END = "<|turn|>", "<|says|>", "<|end|>"
 #: A control string, or one that is escaped already; the same in Spark, RE2 and Python.
@@ -46,15 +46,16 @@ def unescape(text: str) -> str:
 
 
 def render(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
-    """The formatted conversation and the spans of its assistant texts, in order."""
+    """The formatted conversation and the UTF-8 byte spans of its assistant texts, in order."""
     parts, spans, at = [], [], 0
     for role, text in turns:
         lead, body = TURN + escape(role) + SAYS, escape(text)
-        begin = at + len(lead)
+        begin = at + len(lead.encode())
+        end = begin + len(body.encode())
         if role == LEARNED_ROLE:
-            spans.append((begin, begin + len(body)))
+            spans.append((begin, end))
         parts += [lead, body, END]
-        at = begin + len(body) + len(END)
+        at = end + len(END)
     return "".join(parts), spans
 
 
@@ -62,25 +63,35 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(r), unescape(t)) for r, t in _READ.findall(formatted)]
 
 
-def load_tokenizer(vocabulary: str) -> Tokenizer:
-    t = Tokenizer.from_file(vocabulary)
-    t.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in (TURN, SAYS, END)])
-    return t
+class Encoder:
+    """The vocabulary with the markers as special tokens, and the byte length of each token."""
 
+    def __init__(self, vocabulary: str):
+        self.bpe = load_encoder(vocabulary, (TURN, SAYS, END))
+        self.size = np.array([len(self.bpe.decode_single_token_bytes(i)) for i in range(self.bpe.n_vocab)], np.int64)
 
-def loss_mask(offsets: list[tuple[int, int]], spans: list[tuple[int, int]]) -> np.ndarray:
-    """1 for every token inside a span.  Tokens are sorted, so a span's tokens are a range
-    found by binary search; those of one character split over tokens share its offsets."""
-    mask = np.zeros(len(offsets), np.int8)
-    starts = [s for s, _ in offsets]
-    for s, e in spans:
-        if s < e:
-            mask[bisect_left(starts, s):bisect_left(starts, e)] = 1
+    def encode(self, formatted: str) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, byte offset of each token)"""
+        ids = np.array(self.bpe.encode(formatted, allowed_special="all"), np.int32)
+        size = self.size[ids]
+        return ids, np.cumsum(size) - size
+
+
+def loss_mask(starts: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
+    """1 for every token inside a span; no token reaches over a span's ends, so the tokens
+    of a span are the range between two binary searches in the sorted offsets."""
+    mask = np.zeros(len(starts), np.int8)
+    for s, e in zip(*np.searchsorted(starts, np.array(spans, np.int64).reshape(-1, 2).T), strict=True):
+        mask[s:e] = 1
     return mask
 
 
+def _lists(parts: list[np.ndarray], dtype) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, dtype), *parts])))
+
+
 _OUT = "struct<formatted:string,input_ids:array<int>,loss_mask:array<tinyint>>"
-_OUT_PA = pa.struct([("formatted", pa.string()), ("input_ids", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.int8()))])
 
 
 def format_conversations(rows: DataFrame, vocabulary: str) -> DataFrame:
@@ -93,14 +104,18 @@ def format_conversations(rows: DataFrame, vocabulary: str) -> DataFrame:
              .select("conv_id", F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns")))
 
     @arrow_udf(_OUT)
-    def run(conversations: pa.Array) -> pa.Array:
-        # Encoded one by one: a batch of long conversations never holds all its offsets.
-        tokenizer, out = load_tokenizer(vocabulary), []
-        for conv in conversations.to_pylist():
-            formatted, spans = render([(t["role"], t["text"]) for t in conv])
-            e = tokenizer.encode(formatted, add_special_tokens=False)
-            out.append({"formatted": formatted, "input_ids": e.ids, "loss_mask": loss_mask(e.offsets, spans)})
-        return pa.array(out, _OUT_PA)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(vocabulary)
+        for conversations in batches:
+            texts, ids, masks = [], [], []
+            for conv in conversations.to_pylist():
+                formatted, spans = render([(t["role"], t["text"]) for t in conv])
+                tokens, starts = encoder.encode(formatted)
+                texts.append(formatted)
+                ids.append(tokens)
+                masks.append(loss_mask(starts, spans))
+            yield pa.StructArray.from_arrays([pa.array(texts, pa.string()), _lists(ids, np.int32), _lists(masks, np.int8)],
+                                             ["formatted", "input_ids", "loss_mask"])
 
     return turns.select("conv_id", run("turns").alias("o")).select("conv_id", "o.*")
 
@@ -110,25 +125,28 @@ _DIGEST_PA = pa.struct([("n_turns", pa.int64()), ("turns_sha256", pa.string()),
                         ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
 
-def learned_text(ids: list[int], mask: list[int], tokenizer: Tokenizer) -> str:
+def learned_text(ids: np.ndarray, mask: np.ndarray, encoder: Encoder) -> str:
     """What the ids under the mask say, run by run, unescaped."""
-    edges = np.flatnonzero(np.diff(np.r_[0, np.asarray(mask, np.int8), 0]))
-    return "".join(unescape(tokenizer.decode(ids[s:e], skip_special_tokens=False))
+    edges = np.flatnonzero(np.diff(np.r_[np.int8(0), mask, np.int8(0)]))
+    return "".join(unescape(encoder.bpe.decode_bytes(ids[s:e].tolist()).decode())
                    for s, e in zip(edges[::2], edges[1::2], strict=True))
 
 
 def conversation_report(rows: DataFrame, vocabulary: str) -> DataFrame:
     """Digests read back from the formatted conversations, their ids and masks."""
     @arrow_udf(_DIGEST)
-    def run(formatted: pa.Array, ids: pa.Array, masks: pa.Array) -> pa.Array:
-        tokenizer, out = load_tokenizer(vocabulary), []
-        for f, i, m in zip(formatted.to_pylist(), ids.to_pylist(), masks.to_pylist(), strict=True):
-            turns, learned = read_back(f), learned_text(i, m, tokenizer)
-            digest = "".join(f"{r}\n{t}\n" for r, t in turns)
-            out.append({"n_turns": len(turns), "turns_sha256": hashlib.sha256(digest.encode()).hexdigest(),
-                        "loss_chars": len(learned), "loss_sha256": hashlib.sha256(learned.encode()).hexdigest(),
-                        "formatted_chars": len(f)})
-        return pa.array(out, _DIGEST_PA)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        encoder = Encoder(vocabulary)
+        for formatted, ids, masks in batches:
+            out = []
+            for k, f in enumerate(formatted.to_pylist()):
+                i, m = (x[k].values.to_numpy() for x in (ids, masks))
+                turns, learned = read_back(f), learned_text(i, m, encoder)
+                digest = "".join(f"{r}\n{t}\n" for r, t in turns)
+                out.append({"n_turns": len(turns), "turns_sha256": hashlib.sha256(digest.encode()).hexdigest(),
+                            "loss_chars": len(learned), "loss_sha256": hashlib.sha256(learned.encode()).hexdigest(),
+                            "formatted_chars": len(f)})
+            yield pa.array(out, _DIGEST_PA)
 
     done = format_conversations(rows, vocabulary)
     return done.select("conv_id", run("formatted", "input_ids", "loss_mask").alias("d")).select("conv_id", "d.*")

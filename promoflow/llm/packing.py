@@ -35,9 +35,10 @@ END_ID = 1
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def load_encoder(vocabulary: str) -> tiktoken.Encoding:
+def load_encoder(vocabulary: str, more_special: tuple[str, ...] = ()) -> tiktoken.Encoding:
     """The byte-level BPE of a ``tokenizers`` JSON file, run by a faster library: its ids
-    are the merge ranks, its added tokens are special also inside texts."""
+    are the merge ranks, its added tokens are special also inside texts.  Further special
+    tokens get the next ids."""
     with open(vocabulary, encoding="utf-8") as f:
         spec = json.load(f)
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -45,6 +46,8 @@ def load_encoder(vocabulary: str) -> tiktoken.Encoding:
     shown |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ranks = {bytes(shown[c] for c in w): i for w, i in spec["model"]["vocab"].items() if w not in special}
+    top = 1 + max([*special.values(), *ranks.values()])
+    special |= {t: top + i for i, t in enumerate(more_special)}
     return tiktoken.Encoding("json-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 

@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import AddedToken, Tokenizer
 
 from promoflow.llm import chat, decontam, licenses, pii, secrets
 from promoflow.llm.queries import VOCABULARY
@@ -41,7 +42,17 @@ def test_formatting_reads_back(turns):
     formatted, spans = chat.render(turns)
     assert chat.read_back(formatted) == turns
     assert formatted.count(chat.END) == len(turns)
-    assert [chat.unescape(formatted[s:e]) for s, e in spans] == [t for r, t in turns if r == "assistant"]
+    assert [chat.unescape(formatted.encode()[s:e].decode()) for s, e in spans] == [t for r, t in turns if r == "assistant"]
+
+
+def test_ids_are_the_tokenizers(spark):
+    t = Tokenizer.from_file(VOCAB)
+    t.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in (chat.TURN, chat.SAYS, chat.END)])
+    text, _ = chat.render([("user", "Hi <|endoftext|>  there"), ("assistant", "日本 \U0001f600 it's\n\n 12")])
+    ids, starts = chat.Encoder(VOCAB).encode(text)
+    want = t.encode(text, add_special_tokens=False)
+    assert ids.tolist() == want.ids
+    assert [len(text[:s].encode()) for s, _ in want.offsets][:12] == starts[:12].tolist()
 
 
 def test_loss_mask_covers_each_learned_text_once(spark):
