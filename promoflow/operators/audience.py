@@ -49,7 +49,8 @@ def member_rows_by_source(rows: DataFrame, list_sources: DataFrame) -> DataFrame
 def resolve_members(members: DataFrame, cards: DataFrame) -> DataFrame:
     """Card numbers of each list to member ids, one row per (list, member).
 
-    ``members``: (list_key, membership_id, propensity); ``cards``: active cards.  A member
+    ``members``: (list_key, membership_id, propensity), and offer_source where one file is
+    read by events of several sources; ``cards``: active cards.  A member
     with several cards keeps the card with the highest propensity, ties and lists without
     propensity going to the smallest card number.  Written as a min over a struct, so the
     choice is made by a partial (map-side) aggregate before the shuffle: a member or list
@@ -59,25 +60,27 @@ def resolve_members(members: DataFrame, cards: DataFrame) -> DataFrame:
     """
     if "membership_uuid" in members.columns:
         return members
+    lists = [c for c in ("list_key", "offer_source") if c in members.columns]
     joined = (members
               .join(cards, members["membership_id"] == cards["cardNumber"])
-              .select("list_key", F.col("membershipId").alias("membership_uuid"),
+              .select(*lists, F.col("membershipId").alias("membership_uuid"),
                       "membership_id", "propensity"))
     rank_key = F.struct(F.col("propensity").isNull().alias("no_prop"),
                         (-F.col("propensity")).alias("neg_prop"),
                         F.col("membership_id").alias("card"),
                         F.col("propensity").alias("prop"))
-    best = joined.groupBy("list_key", "membership_uuid").agg(F.min(rank_key).alias("b"))
-    return best.select("list_key", "membership_uuid",
+    best = joined.groupBy(*lists, "membership_uuid").agg(F.min(rank_key).alias("b"))
+    return best.select(*lists, "membership_uuid",
                        F.col("b.card").alias("membership_id"),
                        F.col("b.prop").alias("propensity"))
 
 
 # -- list events -> offers (S9, J5, J7, O3) ------------------------------------
 def explode_list_events(events: DataFrame) -> DataFrame:
-    """(event_id, arrival, offer_ids, location) -> one row per listed id with its position."""
+    """(event_id, arrival, offer_ids, location) -> one row per listed id with its position;
+    an event with an empty list keeps one row without an id, so that it gets an outcome."""
     return (events.select("event_id", "arrival", "location",
-                          F.posexplode("offer_ids").alias("pos", "offer_id_text"))
+                          F.posexplode_outer("offer_ids").alias("pos", "offer_id_text"))
             .withColumn("offer_id", F.col("offer_id_text").try_cast("bigint")))
 
 
@@ -104,9 +107,8 @@ def offers_for_list_events(pairs: DataFrame, offers: DataFrame) -> DataFrame:
 
 def unprocessed_offer_ids(looked: DataFrame) -> DataFrame:
     """Listed ids with no stored offer (reported back in the event's outcome)."""
-    return looked.filter(~F.col("found")).select("event_id", "pos", "offer_id_text")
-
-
+    return (looked.filter(~F.col("found") & F.col("pos").isNotNull())
+            .select("event_id", "pos", "offer_id_text"))
 
 
 # -- effective events in arrival order (F14, W3) -------------------------------------
@@ -136,14 +138,16 @@ def audience_delta(current: DataFrame, targets: DataFrame, new_members: DataFram
 
     ``current``: stored audience (offer_id, membership_uuid, ...).  ``targets``: (offer_id,
     list_key), one effective list per offer.  ``new_members``: resolved list members
-    (list_key, membership_uuid, membership_id, propensity).
+    (list_key, membership_uuid, membership_id, propensity).  Where both carry the
+    ``offer_source`` that a list was read for, they meet on (list_key, offer_source).
 
     Output: (offer_id, membership_uuid, action, membership_id, propensity) with action
     ``add`` (new row to insert) or ``delete``.  Both sides are anti joins on the full key
     (offer_id, membership_uuid); the targets table is small and broadcast.
     """
-    tgt = targets.select("offer_id", "list_key")
-    new = join_small(new_members, tgt, "list_key").select(
+    by = ["list_key"] + ["offer_source"] * ("offer_source" in targets.columns and "offer_source" in new_members.columns)
+    tgt = targets.select("offer_id", *by)
+    new = join_small(new_members, tgt, by).select(
         "offer_id", "membership_uuid", "membership_id", "propensity")
     old = join_small(current, tgt.select("offer_id").distinct(), "offer_id", "left_semi").select(
         "offer_id", "membership_uuid", "membership_id", "propensity")

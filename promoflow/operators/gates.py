@@ -44,7 +44,9 @@ def gate(offer_events: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFra
     p = "e.payload"
     has_members = F.coalesce(F.array_contains("payload_keys", "memberDetails"), F.lit(False))
     g1 = (F.col("source_label") != S.SOURCE_BROADREACH.lower()) & ~has_members
-    g2 = has_members & ~F.col(f"{p}.memberDetails.memberListCount").try_cast("int").eqNullSafe(F.lit(1))
+    # By its raw type: the text "1" is not the number 1.
+    count = F.from_json(F.get_json_object("raw", "$.payload.memberDetails"), "memberListCount double")["memberListCount"]
+    g2 = has_members & ~count.eqNullSafe(F.lit(1.0))
     g3 = any_label_in(F.col(f"{p}.labels"), cfg.blocked_labels)
     no_awards = F.col(f"{p}.awardList").isNull()
     g4 = F.size(trimmed_awards(F.col(f"{p}.awardList"))) == 0

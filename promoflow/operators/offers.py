@@ -85,22 +85,25 @@ def source_conflicts(accepted: DataFrame, stored: DataFrame) -> DataFrame:
     """Flag events whose source differs from the offer's fixed source.
 
     An offer's source never changes once created: it is the stored one, or for a new
-    offer the source of its first accepted event in arrival order.  ``accepted``:
-    (event_id, arrival, offer_id, offer_source); returns it with ``stored_source``,
-    ``fixed_source``, ``conflict`` and ``message``.  The per-offer source is a partial
+    offer the source of its first usable event in arrival order.  ``accepted``:
+    (event_id, arrival, offer_id, offer_source), and ``missing_list`` for events whose
+    file is missing, which create nothing and so fix no source; returns it with
+    ``stored_source``, ``fixed_source``, ``conflict`` and ``message``.  The per-offer source is a partial
     aggregate (hot offers are reduced map-side) joined back with a size-checked broadcast.
     """
+    at = F.struct("arrival", "event_id")
+    usable = F.col("missing_list").isNull() if "missing_list" in accepted.columns else F.lit(True)
     first = accepted.groupBy("offer_id").agg(
-        F.min_by("offer_source", F.struct("arrival", "event_id")).alias("first_source"))
+        F.min_by("offer_source", F.when(usable, at)).alias("first_source"), F.min(F.when(usable, at)).alias("first_at"))
     st = stored.select("offer_id", F.col("offer_source").alias("stored_source"))
     fixed = (first.join(st, "offer_id", "left")
-             .select("offer_id", "stored_source",
+             .select("offer_id", "stored_source", "first_at",
                      F.coalesce("stored_source", "first_source").alias("fixed_source")))
     x = join_small(accepted, fixed, "offer_id", "left")
-    conflict = ~F.col("offer_source").eqNullSafe(F.col("fixed_source"))
-    msg = F.format_string("Invalid update payload. Offer source %s of offer %s cannot be updated once created.",
-                          F.col("fixed_source"), F.col("offer_id").cast("string"))
-    return x.withColumn("conflict", conflict).withColumn("message", F.when(conflict, msg))
+    created = F.col("stored_source").isNotNull() | F.coalesce(at > F.col("first_at"), F.lit(False))
+    conflict = created & ~F.col("offer_source").eqNullSafe(F.col("fixed_source"))
+    msg = F.format_string(S.SOURCE_CONFLICT_FORMAT, F.col("fixed_source"), F.col("offer_id").cast("string"))
+    return x.withColumn("conflict", conflict).withColumn("message", F.when(conflict, msg)).drop("first_at")
 
 
 def missing_lists(offer_events: DataFrame, available: DataFrame) -> DataFrame:

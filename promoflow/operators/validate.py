@@ -28,15 +28,23 @@ def _empty(arr: Column) -> Column:
     return F.coalesce(F.size(arr), F.lit(0)) <= 0
 
 
+def _wrong_type(path: str) -> Column:
+    """The text has a value there, other than null, that does not decode."""
+    return F.col(f"e.{path}").isNull() & F.get_json_object("raw", f"$.{path}").isNotNull()
+
+
 def offer_rules(cfg: EngineConfig = DEFAULT_CONFIG) -> list[tuple[str, Column]]:
     """(code, violated) for an offer event; ``awards`` holds the trimmed award list."""
     p = "e.payload"
     col = lambda name: F.col(f"{p}.{name}")
     rules: list[tuple[str, Column]] = []
     for f in REQUIRED_TEXT:
-        rules.append((f"V1:{f}", blank(col(f))))
+        bad = blank(col(f))
+        if f == "promotionNumber":  # the offer's key: an id that is no integer names no offer
+            bad = bad | col(f).try_cast("bigint").isNull()
+        rules.append((f"V1:{f}", bad))
     for f in REQUIRED_LISTS:
-        rules.append((f"V2:{f}", col(f).isNull()))
+        rules.append((f"V2:{f}", col(f).isNull() | F.coalesce(F.exists(col(f), lambda x: x.isNull()), F.lit(False))))
     rules.append(("V3", ~F.coalesce(col("status").isin(*cfg.offer_statuses), F.lit(False))))
     rules.append(("V4", F.coalesce(F.array_contains(col("labels"), S.LABEL_TETRIS)
                                    & F.array_contains(col("labels"), S.LABEL_TIO), F.lit(False))))
@@ -48,26 +56,26 @@ def offer_rules(cfg: EngineConfig = DEFAULT_CONFIG) -> list[tuple[str, Column]]:
         & ~F.coalesce(a["discountMethod"].isin(*cfg.discount_methods), F.lit(False))), F.lit(False))))
 
     md = col("memberDetails")
-    rules.append(("V7", md.isNotNull() & F.coalesce(F.exists(
+    rules.append(("V7", _wrong_type("payload.memberDetails.membersPayload") | md.isNotNull() & F.coalesce(F.exists(
         col("memberDetails.membersPayload"),
         lambda m: ~F.coalesce(m["memberType"].isin(*S.MEMBER_TYPES), F.lit(False))
         | m["memberList"].isNull() | m["memberBigListURL"].isNull()
         | ((m["memberType"] == "list") & _empty(m["memberList"]))
         | ((m["memberType"] == "biglist") & blank(m["memberBigListURL"]))), F.lit(False))))
-    rules.append(("V8", md.isNotNull() & _not_int(col("memberDetails.memberListCount"))))
+    rules.append(("V8", _wrong_type("payload.memberDetails") | md.isNotNull() & _not_int(col("memberDetails.memberListCount"))))
 
     idt = col("itemDetails")
-    rules.append(("V9", idt.isNotNull() & F.coalesce(F.exists(
+    rules.append(("V9", _wrong_type("payload.itemDetails.itemsPayload") | idt.isNotNull() & F.coalesce(F.exists(
         col("itemDetails.itemsPayload"),
         lambda i: i["itemType"].isNull()
         | ~F.coalesce(i["itemListType"].isin(*S.ITEM_LIST_TYPES), F.lit(False))
         | i["itemList"].isNull() | _not_int(i["refId"])
         | ((i["itemListType"] == "list") & _empty(i["itemList"]))
         | ((i["itemListType"] == "biglist") & blank(i["itemBigListURL"]))), F.lit(False))))
-    rules.append(("V10", idt.isNotNull() & _not_int(col("itemDetails.itemListCount"))))
+    rules.append(("V10", _wrong_type("payload.itemDetails") | idt.isNotNull() & _not_int(col("itemDetails.itemListCount"))))
 
     cd = col("clubDetails")
-    rules.append(("V11", cd.isNotNull() & F.coalesce(F.exists(
+    rules.append(("V11", _wrong_type("payload.clubDetails.clubsPayload") | cd.isNotNull() & F.coalesce(F.exists(
         col("clubDetails.clubsPayload"),
         lambda c: ~F.coalesce(c["clubType"].isin(*S.CLUB_TYPES), F.lit(False))
         | c["bigListName"].isNull() | c["clubInclusion"].isNull() | c["clubList"].isNull()
@@ -76,7 +84,7 @@ def offer_rules(cfg: EngineConfig = DEFAULT_CONFIG) -> list[tuple[str, Column]]:
         | ((c["clubType"] == "Standard") & ~F.coalesce(c["bigListName"].isin(
             S.STANDARD_LIST_ALL, S.STANDARD_LIST_PR_ONLY, S.STANDARD_LIST_US_EXCLUDING_PR), F.lit(False)))),
         F.lit(False))))
-    rules.append(("V12", cd.isNotNull() & _not_int(col("clubDetails.clubListCount"))))
+    rules.append(("V12", _wrong_type("payload.clubDetails") | cd.isNotNull() & _not_int(col("clubDetails.clubListCount"))))
     return rules
 
 

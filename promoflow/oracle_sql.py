@@ -157,6 +157,11 @@ FROM delta GROUP BY offer_id"""
 
 ORACLE["apply_audience_delta"] = _AUD + "SELECT * FROM new_stored"
 
+# Output batches are numbered per partition; what holds at any partitioning is compared.
+ORACLE["sink_batches"] = _AUD + """
+SELECT COUNT(*) AS n_rows, COUNT(DISTINCT (offer_id, membership_uuid)) AS n_distinct, TRUE AS within_size
+FROM new_stored"""
+
 ORACLE["changed_members"] = _AUD + "SELECT DISTINCT membership_uuid FROM delta"
 
 ORACLE["member_view_upserts"] = _AUD + """

@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promoflow import settings as S
 from promoflow.operators.gates import gate, route_source, trim_awards
 from promoflow.operators.validate import validate_lists, validate_offers
 from promoflow.settings import DEFAULT_CONFIG, EngineConfig
@@ -20,7 +21,7 @@ class Intake:
     dead_letters: DataFrame   # raw rows that are not a JSON object
     offers: DataFrame         # offer events with gate columns, trimmed awards, errors, status
     lists: DataFrame          # member-list events with errors, status
-    outcomes: DataFrame       # (event_id, arrival, kind, oid, source_label, status, reason)
+    outcomes: DataFrame       # (event_id, arrival, kind, oid, source_label, status, reason, failure_class)
 
 
 def run_intake(raw: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> Intake:
@@ -42,6 +43,11 @@ def run_intake(raw: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> Intake:
              .withColumn("source_label", F.lit(""))
              .withColumn("status", F.when(F.size("errors") > 0, failed).otherwise(ready))
              .withColumn("reason", F.when(F.size("errors") > 0, F.array_join("errors", "; "))))
-    cols = ["event_id", "arrival", "kind", "oid", "source_label", "status", "reason"]
+    # A failed gate (no award list) is a plain error, a broken rule a payload error.
+    gated = F.col("gate_status").isNotNull()
+    offers = offers.withColumn("failure_class", F.when(F.col("status") == failed, F.when(gated, F.lit(S.CLASS_OTHER))
+                                                       .otherwise(F.lit(S.CLASS_PAYLOAD))))
+    lists = lists.withColumn("failure_class", F.when(F.col("status") == failed, F.lit(S.CLASS_PAYLOAD)))
+    cols = ["event_id", "arrival", "kind", "oid", "source_label", "status", "reason", "failure_class"]
     outcomes = offers.select(*cols).unionByName(lists.select(*cols))
     return Intake(good, bad, offers, lists, outcomes)

@@ -51,9 +51,10 @@ def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_of
     to the shared checkpoint folder so lineage stays short and a lost executor does not
     re-run earlier rounds.
 
-    With ``available_lists`` (list_key of existing files), an event whose file is missing
-    gets ``missing_list`` set; it fails (BlobReadError) and is left out before the
-    effective-event computation, so it changes neither audience nor location.
+    An event whose file is not among ``available_lists`` (list_key) gets ``missing_list``
+    set; it fails (BlobReadError) and is left out before the effective-event computation,
+    so it changes neither audience nor location.  Without a manifest the caller answers
+    for every named file being there; whatever writes stored tables passes one.
     """
     rows = list_event_rows(decoded_list_events)
     pairs = A.explode_list_events(rows)

@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promoflow import settings as S
 from promoflow.operators import items as I
 from promoflow.operators import offers as O
 from promoflow.operators import sites as ST
@@ -37,20 +38,21 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
 
     Every non-conflicting event is processed; since each one replaces the offer's rows,
     the state after the batch is that of the offer's last such event, so only that one
-    is materialised.  Conflicting events change nothing and end with a message.  With
-    ``available_lists`` (list_key of existing files), events that need a big-list file
-    that does not exist fail (BlobReadError) and change nothing either; the source check
-    comes first, as in the original order of steps.
+    is materialised.  Conflicting events change nothing and end with a message.  Events
+    that need a big-list file that is not among ``available_lists`` (list_key) fail
+    (BlobReadError) and change nothing either; the source check comes first, as in the
+    original order of steps.  Without a manifest the caller answers for every named file
+    being there; whatever writes stored tables passes one.
     """
     ev = O.normalise_times(ready).withColumn(
         "offer_id", F.col("e.payload.promotionNumber").try_cast("bigint"))
     # Batch-sized control tables, read by several size checks and sub-plans: kept once.
-    checked = O.source_conflicts(ev.select("event_id", "arrival", "offer_id", "offer_source"), stored_offers)
+    accepted = ev.select("event_id", "arrival", "offer_id", "offer_source")
     if available_lists is not None:
-        checked = checked.join(O.missing_lists(ev, available_lists), "event_id", "left")
+        accepted = accepted.join(O.missing_lists(ev, available_lists), "event_id", "left")
     else:
-        checked = checked.withColumn("missing_list", F.lit(None).cast("string"))
-    checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+        accepted = accepted.withColumn("missing_list", F.lit(None).cast("string"))
+    checked = O.source_conflicts(accepted, stored_offers).persist(StorageLevel.MEMORY_AND_DISK)
     usable = checked.filter(~F.col("conflict") & F.col("missing_list").isNull())
     last = O.latest_per_offer(usable.select("event_id", "arrival", "offer_id"))
     applied = ev.join(last.select("event_id"), "event_id", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
@@ -64,14 +66,15 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
     offer_items = replace_by_key(stored_items, items_new.drop("event_id"), updated, ["offer_id"])
     site_overrides = replace_by_key(stored_overrides, overrides_new.drop("event_id"), updated, ["offer_id"])
 
-    ok = F.format_string("Offer %s updated successfully.", F.col("offer_id").cast("string"))
+    ok = F.format_string(S.OFFER_DONE_FORMAT, F.col("offer_id").cast("string"))
     blob = F.col("missing_list").isNotNull() & ~F.col("conflict")
     outcomes = checked.select(
         "event_id", "arrival", F.col("offer_id").cast("string").alias("oid"),
         F.when(blob, F.lit(cfg.status_failed)).otherwise(F.lit(cfg.status_processed)).alias("status"),
         F.when(blob, F.concat(F.lit("blob: "), F.coalesce("missing_list", F.lit("")),
                               F.lit(" could not be read")))
-        .otherwise(F.coalesce(F.col("message"), ok)).alias("comments"))
+        .otherwise(F.coalesce(F.col("message"), ok)).alias("comments"),
+        F.when(blob, F.lit(S.CLASS_BLOB)).alias("failure_class"))
     return OfferBatch(checked, applied, offers_new, items_new, overrides_new, offers, offer_items,
                       site_overrides, outcomes)
 

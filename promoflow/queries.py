@@ -50,7 +50,8 @@ def _list_batch(spark, d):
     good, _ = decode_events(TB.list_events_raw(spark, d))
     _, lists = route_event_kind(good)
     return plan_list_batch(lists, TB.list_offers(spark, d), TB.member_offers(spark, d),
-                           TB.member_files(spark, d), TB.cards(spark, d))
+                           TB.member_files(spark, d), TB.cards(spark, d),
+                           available_lists=TB.member_lists(spark, d))
 
 
 @query("active_member_cards")
@@ -421,7 +422,7 @@ def _full_batch(spark, d):
                           available_lists=TB.available_lists(spark, d))
     ready_lists = it.lists.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
     lb = plan_list_batch(ready_lists, TB.list_offers(spark, d), TB.member_offers(spark, d),
-                         TB.member_files(spark, d), TB.cards(spark, d))
+                         TB.member_files(spark, d), TB.cards(spark, d), available_lists=TB.member_lists(spark, d))
     lo = list_event_outcomes(lb.looked)
     audit = audit_rows(it, ob.outcomes, lo)
     return it, ob, lb, audit
@@ -450,10 +451,15 @@ def q_failure_report(spark, d):
 
 @query("sink_batches")
 def q_sink_batches(spark, d):
-    """The new stored audience numbered into output batches of at most 25,000 rows."""
+    """The new stored audience numbered into output batches of at most 25,000 rows: how many
+    rows came out, how many of them distinct, and whether every batch keeps the size."""
     b = _list_batch(spark, d)
-    out = sink_batches(b.member_offers, DEFAULT_CONFIG.sink_batch_size)
-    return out.select("offer_id", "membership_uuid", "batch_partition", "batch_no")
+    size = DEFAULT_CONFIG.sink_batch_size
+    rows = sink_batches(b.member_offers, size).groupBy("offer_id", "membership_uuid", "batch_partition", "batch_no").count()
+    batches = rows.groupBy("batch_partition", "batch_no").agg(
+        F.sum("count").alias("n"), F.count("*").alias("distinct_rows"))
+    return batches.agg(F.sum("n").alias("n_rows"), F.sum("distinct_rows").alias("n_distinct"),
+                       (F.max("n") <= size).alias("within_size"))
 
 
 # ---------------------------------------------------------------------------
@@ -539,7 +545,8 @@ def q_stream_apply_lists(spark, d):
     store.write("offers", TB.list_offers(spark, d), 0)
     store.write("member_offers", TB.member_offers(spark, d), 0)
     run_apply_lists_stream(spark, landing, store, TB.member_files(spark, d), TB.cards(spark, d),
-                           f"{root}/outcomes", f"{root}/checkpoint", max_files_per_trigger=per_batch)
+                           f"{root}/outcomes", f"{root}/checkpoint", max_files_per_trigger=per_batch,
+                           available_lists=TB.member_lists(spark, d))
     return store.read("member_offers").select("offer_id", "membership_uuid", "membership_id", "propensity")
 
 
@@ -550,5 +557,6 @@ def q_apply_audience_rounds(spark, d):
     good, _ = decode_events(TB.list_events_two_rounds_raw(spark, d))
     _, lists = route_event_kind(good)
     b = plan_list_batch(lists, TB.list_offers(spark, d), TB.member_offers(spark, d),
-                        TB.member_files_two_rounds(spark, d), TB.cards(spark, d))
+                        TB.member_files_two_rounds(spark, d), TB.cards(spark, d),
+                        available_lists=TB.member_files_two_rounds(spark, d).select("list_key"))
     return b.member_offers.select("offer_id", "membership_uuid", "membership_id", "propensity")

@@ -4,7 +4,8 @@ The wire schema reads every integer-like field of an event as text (counts, ``re
 ``itemRefId``, ``offerIdList``) so that a value sent as ``"5"`` or ``5`` decodes alike and
 the validator decides with ``try_cast`` whether it is an integer, the way a coercing
 per-row validator would.  All fields are nullable: an absent key and a JSON ``null`` both
-decode to NULL; presence tests use the key list of the raw text instead.
+decode to NULL; presence tests use the key list of the raw text instead.  Only fields that
+an operator reads are listed.
 """
 
 from __future__ import annotations
@@ -24,21 +25,11 @@ def _struct(*fields):
 
 
 AWARD = _struct(
-    ("promotionItemNumber", S),
-    ("gs1Code", S),
-    ("fundingPercent", _struct(("vendorFundingPercent", S), ("memberFundingPercent", S),
-                               ("operatorFundingPercent", S))),
-    ("awardType", S),
-    ("value", S),
-    ("discountMethod", S),
-    ("discountLimit", S),
-    ("discountSortOrder", S),
-    ("itemRefId", _arr(S)),
-    ("membershipDuration", _struct(("period", S), ("periodUnit", S))),
+    ("awardType", S), ("value", S), ("discountMethod", S), ("itemRefId", _arr(S)),
 )
 
 ITEM_PAYLOAD = _struct(
-    ("itemType", S), ("mpq", S), ("itemListType", S), ("itemList", _arr(S)),
+    ("itemType", S), ("itemListType", S), ("itemList", _arr(S)),
     ("itemBigListURL", S), ("refId", S),
 )
 
@@ -54,14 +45,11 @@ CLUB_OVERRIDE = _struct(
 
 MEMBER_PAYLOAD = _struct(
     ("memberType", S), ("memberList", _arr(S)), ("memberBigListURL", S),
-    ("isMemberInclusion", B),
 )
 
 PAYLOAD = _struct(
-    ("eventTimeStamp", S), ("status", S), ("isUpdate", B), ("promotionNumber", S),
-    ("promotionName", S), ("startDate", S), ("endDate", S), ("startTime", S), ("endTime", S),
-    ("timeZone", S), ("created", S), ("lastModified", S), ("name", S), ("createdBy", S),
-    ("modifiedBy", S), ("multiMatchType", S),
+    ("eventTimeStamp", S), ("status", S), ("promotionNumber", S),
+    ("startDate", S), ("endDate", S), ("startTime", S), ("endTime", S), ("timeZone", S),
     ("channels", _arr(S)), ("labels", _arr(S)),
     ("awardList", _arr(AWARD)),
     ("itemDetails", _struct(("itemListCount", S), ("itemsPayload", _arr(ITEM_PAYLOAD)))),
@@ -115,27 +103,3 @@ SITE_OVERRIDES = T.StructType([
     T.StructField("time_zone", S),
     T.StructField("offer_id", T.LongType()),
 ])
-
-MEMBER_OFFERS = T.StructType([
-    T.StructField("offer_id", T.LongType()),
-    T.StructField("membership_uuid", S),
-    T.StructField("membership_id", S),
-    T.StructField("propensity", T.DoubleType()),
-])
-
-# Big-list files arrive as raw text rows: the list key (file path) and up to two columns.
-BIGLIST_ROWS = T.StructType([
-    T.StructField("list_key", S),
-    T.StructField("c0", S),
-    T.StructField("c1", S),
-])
-
-AUDIT = T.StructType([
-    T.StructField("ouid", S),
-    T.StructField("oid", S),
-    T.StructField("event_json", S),
-    T.StructField("status", S),
-    T.StructField("comments", S),
-    T.StructField("received_date", T.TimestampType()),
-    T.StructField("seq", T.IntegerType()),
-])

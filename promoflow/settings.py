@@ -64,6 +64,9 @@ REASON_MEMBER_LIST_COUNT = "Received an offer with memberListCount not equal to
 REASON_BLOCKED_LABEL = "Received an offer with at least one unwanted label, skipping this offer"
 REASON_NO_AWARD = "Received an offer without award of type DISCOUNT_ITEM_PRICE, skipping this offer"
 REASON_NO_OFFERS = "The offers to update do not exist"
+SOURCE_CONFLICT_FORMAT = "Invalid update payload. Offer source %s of offer %s cannot be updated once created."
+OFFER_DONE_FORMAT = "Offer %s updated successfully."
+LIST_DONE_FORMAT = "Memeberlist updated successfully of offer_ids : [%s]. Ignored processing [%s]."
 
 # Failure classes of the failure report.
 CLASS_PAYLOAD = "PayloadError"

@@ -21,13 +21,19 @@ KIND_OFFER = "offer"
 def decode_events(raw_events: DataFrame, raw_col: str = "raw") -> tuple[DataFrame, DataFrame]:
     """Split a batch into decoded events and dead letters.
 
-    Dead letters are texts that are not a JSON object (malformed, empty, a bare value or
-    an array): they cannot be audited since they name no offer, and are only reported.
+    Dead letters are texts that are not one JSON object (malformed, empty, a bare value, an
+    array, or an object with anything after it): they cannot be audited since they name no
+    offer, and are only reported.
 
     Decoded rows gain ``keys`` (top-level keys), ``payload_keys``, ``kind`` (``list`` when
     the ``offerIdList`` key is present, else ``offer``) and ``e`` (the parsed envelope).
     """
-    keyed = raw_events.withColumn("keys", F.json_object_keys(F.col(raw_col)))
+    raw = F.col(raw_col)
+    # The keys come from the text's first value.  Put into an array the text must be its only
+    # item, and put into an object its only value: one of the two breaks on whatever follows.
+    alone = ((F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))) == 1)
+             & F.from_json(F.concat(F.lit('{"x":'), raw, F.lit("}")), "x string")["x"].isNotNull())
+    keyed = raw_events.withColumn("keys", F.when(alone, F.json_object_keys(raw)))
     bad = keyed.filter(F.col("keys").isNull()).drop("keys")
     good = (keyed.filter(F.col("keys").isNotNull())
             .withColumn("e", F.from_json(F.col(raw_col), EVENT_ENVELOPE))

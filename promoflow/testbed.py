@@ -349,6 +349,11 @@ def list_events_two_rounds_raw(spark, d) -> DataFrame:
     return ev("a", "t1", "members/list-").unionByName(ev("b", "t2", "members/half-"))
 
 
+def member_lists(spark, d) -> DataFrame:
+    """(list_key) of the member files that exist."""
+    return member_files(spark, d).select("list_key").distinct()
+
+
 def available_lists(spark, d) -> DataFrame:
     """(list_key) of the list files that exist: one item file per supplier (possibly
     empty) and one store file per nation."""
