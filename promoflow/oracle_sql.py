@@ -317,7 +317,7 @@ inline_items AS (
   WHERE lower(list_type_raw) = 'list' AND item_type IS NOT NULL),
 item_files AS (
   SELECT DISTINCT 'items/supplier-' || CAST(l_suppkey AS VARCHAR) || '.csv' AS list_key, l_partkey AS item_number
-  FROM lineitem WHERE l_quantity >= 45),
+  FROM lineitem),
 big_items AS (
   SELECT t.event_id, t.offer_id, f.item_number, t.item_type FROM ref_lines t
   JOIN item_files f ON f.list_key = t.item_url

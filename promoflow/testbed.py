@@ -248,8 +248,7 @@ def _build_offer_events_raw(spark, d) -> DataFrame:
 
 def item_files(spark, d) -> DataFrame:
     li = table(spark, d, "lineitem")
-    return (li.filter(F.col("l_quantity") >= 45)
-            .select(F.concat(F.lit("items/supplier-"), F.col("l_suppkey").cast("string"), F.lit(".csv"))
+    return (li.select(F.concat(F.lit("items/supplier-"), F.col("l_suppkey").cast("string"), F.lit(".csv"))
                     .alias("list_key"), F.col("l_partkey").cast("string").alias("c0"))
             .distinct().withColumn("c1", F.lit(None).cast("string")))
 
