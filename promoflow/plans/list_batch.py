@@ -39,6 +39,25 @@ def targets_of_round(effective: DataFrame, r: int) -> DataFrame:
                     F.col("event_source").alias("offer_source")))
 
 
+def look_up_list_batch(decoded_list_events: DataFrame, offers: DataFrame,
+                       available_lists: DataFrame | None = None) -> DataFrame:
+    """Every (event, listed id) with its lookup result and ``missing_list``: what the
+    outcomes need, without resolving any member."""
+    rows = list_event_rows(decoded_list_events)
+    pairs = A.explode_list_events(rows)
+    # The two control tables are batch-sized (events x listed ids); caching them keeps the
+    # size checks and the round count from re-running the decode.
+    looked = A.offers_for_list_events(pairs, offers)
+    if available_lists is not None:
+        avail = available_lists.select(F.col("list_key").alias("location"), F.lit(True).alias("_avail")).distinct()
+        looked = (looked.join(avail, "location", "left")
+                  .withColumn("missing_list", F.when(F.col("_avail").isNull(), F.col("location")))
+                  .drop("_avail"))
+    else:
+        looked = looked.withColumn("missing_list", F.lit(None).cast("string"))
+    return looked.persist()
+
+
 def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_offers: DataFrame,
                     member_files: DataFrame, cards: DataFrame, rounds: int | None = None,
                     checkpoint_between_rounds: bool = True,
@@ -56,19 +75,7 @@ def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_of
     so it changes neither audience nor location.  Without a manifest the caller answers
     for every named file being there; whatever writes stored tables passes one.
     """
-    rows = list_event_rows(decoded_list_events)
-    pairs = A.explode_list_events(rows)
-    # The two control tables are batch-sized (events x listed ids); caching them keeps the
-    # size checks and the round count from re-running the decode.
-    looked = A.offers_for_list_events(pairs, offers)
-    if available_lists is not None:
-        avail = available_lists.select(F.col("list_key").alias("location"), F.lit(True).alias("_avail")).distinct()
-        looked = (looked.join(avail, "location", "left")
-                  .withColumn("missing_list", F.when(F.col("_avail").isNull(), F.col("location")))
-                  .drop("_avail"))
-    else:
-        looked = looked.withColumn("missing_list", F.lit(None).cast("string"))
-    looked = looked.persist()
+    looked = look_up_list_batch(decoded_list_events, offers, available_lists)
     eff = A.effective_list_events(looked.filter(F.col("missing_list").isNull())).persist()
     members = resolved_members_for(eff, member_files, cards)
     if rounds is None:

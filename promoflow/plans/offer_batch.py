@@ -30,6 +30,31 @@ class OfferBatch:
     outcomes: DataFrame     # (event_id, arrival, oid, status, comments)
 
 
+def check_offer_batch(ready: DataFrame, stored_offers: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG,
+                      available_lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(events, checked, outcomes) of ready offer events: what the audit needs, without
+    planning any item, store or override rows."""
+    ev = O.normalise_times(ready).withColumn(
+        "offer_id", F.col("e.payload.promotionNumber").try_cast("bigint"))
+    # Batch-sized control tables, read by several size checks and sub-plans: kept once.
+    accepted = ev.select("event_id", "arrival", "offer_id", "offer_source")
+    if available_lists is not None:
+        accepted = accepted.join(O.missing_lists(ev, available_lists), "event_id", "left")
+    else:
+        accepted = accepted.withColumn("missing_list", F.lit(None).cast("string"))
+    checked = O.source_conflicts(accepted, stored_offers).persist(StorageLevel.MEMORY_AND_DISK)
+    ok = F.format_string(S.OFFER_DONE_FORMAT, F.col("offer_id").cast("string"))
+    blob = F.col("missing_list").isNotNull() & ~F.col("conflict")
+    outcomes = checked.select(
+        "event_id", "arrival", F.col("offer_id").cast("string").alias("oid"),
+        F.when(blob, F.lit(cfg.status_failed)).otherwise(F.lit(cfg.status_processed)).alias("status"),
+        F.when(blob, F.concat(F.lit("blob: "), F.coalesce("missing_list", F.lit("")),
+                              F.lit(" could not be read")))
+        .otherwise(F.coalesce(F.col("message"), ok)).alias("comments"),
+        F.when(blob, F.lit(S.CLASS_BLOB)).alias("failure_class"))
+    return ev, checked, outcomes
+
+
 def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: DataFrame,
                      stored_overrides: DataFrame, directory: DataFrame, store_rows: DataFrame,
                      item_rows: DataFrame, catalogue: DataFrame,
@@ -44,15 +69,7 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
     original order of steps.  Without a manifest the caller answers for every named file
     being there; whatever writes stored tables passes one.
     """
-    ev = O.normalise_times(ready).withColumn(
-        "offer_id", F.col("e.payload.promotionNumber").try_cast("bigint"))
-    # Batch-sized control tables, read by several size checks and sub-plans: kept once.
-    accepted = ev.select("event_id", "arrival", "offer_id", "offer_source")
-    if available_lists is not None:
-        accepted = accepted.join(O.missing_lists(ev, available_lists), "event_id", "left")
-    else:
-        accepted = accepted.withColumn("missing_list", F.lit(None).cast("string"))
-    checked = O.source_conflicts(accepted, stored_offers).persist(StorageLevel.MEMORY_AND_DISK)
+    ev, checked, outcomes = check_offer_batch(ready, stored_offers, cfg, available_lists)
     usable = checked.filter(~F.col("conflict") & F.col("missing_list").isNull())
     last = O.latest_per_offer(usable.select("event_id", "arrival", "offer_id"))
     applied = ev.join(last.select("event_id"), "event_id", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
@@ -65,16 +82,6 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
     offers = upsert(stored_offers, offers_new.drop("event_id", "arrival"), ["offer_id"])
     offer_items = replace_by_key(stored_items, items_new.drop("event_id"), updated, ["offer_id"])
     site_overrides = replace_by_key(stored_overrides, overrides_new.drop("event_id"), updated, ["offer_id"])
-
-    ok = F.format_string(S.OFFER_DONE_FORMAT, F.col("offer_id").cast("string"))
-    blob = F.col("missing_list").isNotNull() & ~F.col("conflict")
-    outcomes = checked.select(
-        "event_id", "arrival", F.col("offer_id").cast("string").alias("oid"),
-        F.when(blob, F.lit(cfg.status_failed)).otherwise(F.lit(cfg.status_processed)).alias("status"),
-        F.when(blob, F.concat(F.lit("blob: "), F.coalesce("missing_list", F.lit("")),
-                              F.lit(" could not be read")))
-        .otherwise(F.coalesce(F.col("message"), ok)).alias("comments"),
-        F.when(blob, F.lit(S.CLASS_BLOB)).alias("failure_class"))
     return OfferBatch(checked, applied, offers_new, items_new, overrides_new, offers, offer_items,
                       site_overrides, outcomes)
 

@@ -25,8 +25,8 @@ from promoflow.operators.audit import current_status, failure_report
 from promoflow.operators.serve import member_view, sink_batches
 from promoflow.plans.audit_batch import audit_rows, failures, list_event_outcomes
 from promoflow.plans.intake import run_intake
-from promoflow.plans.list_batch import plan_list_batch
-from promoflow.plans.offer_batch import offer_serving_view, plan_offer_batch
+from promoflow.plans.list_batch import look_up_list_batch, plan_list_batch
+from promoflow.plans.offer_batch import check_offer_batch, offer_serving_view, plan_offer_batch
 from promoflow.settings import DEFAULT_CONFIG
 from promoflow.operators.snapshot import SnapshotStore
 from promoflow.streaming.apply_stream import Lookups, run_apply_lists_stream, run_apply_stream, seed
@@ -412,38 +412,32 @@ def q_offer_serving_view(spark, d):
 # ---------------------------------------------------------------------------
 # Audit trail, output batching
 # ---------------------------------------------------------------------------
-def _full_batch(spark, d):
-    """Intake, offer and member-list processing and audit rows of one whole batch."""
+def _audited_batch(spark, d):
+    """(intake, audit rows) of one whole batch: outcomes are planned, stored rows are not."""
     it = run_intake(_raw_batch(spark, d))
-    ready_offers = it.offers.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
-    ob = plan_offer_batch(ready_offers, TB.stored_offers(spark, d), TB.stored_offer_items(spark, d),
-                          TB.stored_site_overrides(spark, d), TB.site_directory(spark, d),
-                          TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d),
-                          available_lists=TB.available_lists(spark, d))
-    ready_lists = it.lists.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
-    lb = plan_list_batch(ready_lists, TB.list_offers(spark, d), TB.member_offers(spark, d),
-                         TB.member_files(spark, d), TB.cards(spark, d), available_lists=TB.member_lists(spark, d))
-    lo = list_event_outcomes(lb.looked)
-    audit = audit_rows(it, ob.outcomes, lo)
-    return it, ob, lb, audit
+    ready = lambda events: events.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
+    _, _, done = check_offer_batch(ready(it.offers), TB.stored_offers(spark, d),
+                                   available_lists=TB.available_lists(spark, d))
+    looked = look_up_list_batch(ready(it.lists), TB.list_offers(spark, d), TB.member_lists(spark, d))
+    return it, audit_rows(it, done, list_event_outcomes(looked))
 
 
 @query("audit_log")
 def q_audit_log(spark, d):
-    _, _, _, audit = _full_batch(spark, d)
+    _, audit = _audited_batch(spark, d)
     return audit.filter(F.col("seq") == 0).select(
         "ouid", "oid", "status", "comments", _ts_text(F.col("received_date")).alias("received_date"))
 
 
 @query("audit_current_status")
 def q_audit_current_status(spark, d):
-    _, _, _, audit = _full_batch(spark, d)
+    _, audit = _audited_batch(spark, d)
     return current_status(audit).select("ouid", "oid", "status", "comments")
 
 
 @query("failure_report")
 def q_failure_report(spark, d):
-    it, _, _, audit = _full_batch(spark, d)
+    it, audit = _audited_batch(spark, d)
     rep = failure_report(failures(it, current_status(audit)))
     return rep.select("failure_class", "source_label", F.date_format("day", "yyyy-MM-dd").alias("day"),
                       "n_failed")

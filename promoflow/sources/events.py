@@ -29,10 +29,10 @@ def decode_events(raw_events: DataFrame, raw_col: str = "raw") -> tuple[DataFram
     the ``offerIdList`` key is present, else ``offer``) and ``e`` (the parsed envelope).
     """
     raw = F.col(raw_col)
-    # The keys come from the text's first value.  Put into an array the text must be its only
-    # item, and put into an object its only value: one of the two breaks on whatever follows.
-    alone = ((F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))) == 1)
-             & F.from_json(F.concat(F.lit('{"x":'), raw, F.lit("}")), "x string")["x"].isNotNull())
+    # The keys come from the text's first value.  In an array, alone and before a second item,
+    # the text must count as one: whatever follows it breaks the syntax or a count.
+    items = lambda end: F.json_array_length(F.concat(F.lit("["), raw, F.lit(end)))
+    alone = (items("]") == 1) & (items(",0]") == 2)
     keyed = raw_events.withColumn("keys", F.when(alone, F.json_object_keys(raw)))
     bad = keyed.filter(F.col("keys").isNull()).drop("keys")
     good = (keyed.filter(F.col("keys").isNotNull())
