@@ -128,36 +128,65 @@ def effective_list_events(looked: DataFrame) -> DataFrame:
             .otherwise(F.lag("location").over(w)))
     eff = (found.withColumn("prev_location", prev)
            .withColumn("effective", ~F.col("location").eqNullSafe(F.col("prev_location"))))
-    weff = Window.partitionBy("offer_id", "effective").orderBy("arrival", "event_id")
-    return eff.withColumn("round", F.when(F.col("effective"), F.row_number().over(weff)))
+    so_far = F.sum(F.col("effective").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return eff.withColumn("round", F.when(F.col("effective"), so_far.cast("int")))
 
 
 # -- the delta (C10, SET2, SET3, J3) -------------------------------------------------
-def audience_delta(current: DataFrame, targets: DataFrame, new_members: DataFrame) -> DataFrame:
-    """Members to add and to delete for each target offer.
-
-    ``current``: stored audience (offer_id, membership_uuid, ...).  ``targets``: (offer_id,
-    list_key), one effective list per offer.  ``new_members``: resolved list members
-    (list_key, membership_uuid, membership_id, propensity).  Where both carry the
-    ``offer_source`` that a list was read for, they meet on (list_key, offer_source).
-
-    Output: (offer_id, membership_uuid, action, membership_id, propensity) with action
-    ``add`` (new row to insert) or ``delete``.  Both sides are anti joins on the full key
-    (offer_id, membership_uuid); the targets table is small and broadcast.
+def audience_spells(current: DataFrame, targets: DataFrame, new_members: DataFrame) -> DataFrame:
+    """For how long each member stays in the audience of each target offer, over a batch.
+
+    ``current``: stored audience, one row per (offer_id, membership_uuid).  ``targets``:
+    (offer_id, round, list_key), the effective lists of an offer numbered from 1 in arrival
+    order.  ``new_members``: resolved list members (list_key, membership_uuid, membership_id,
+    propensity).  Where both carry the ``offer_source`` that a list was read for, they meet
+    on (list_key, offer_source).
+
+    A member is present in round 0 if stored and in every round whose list holds the member;
+    a run of consecutive rounds is one spell, whose row is that of its first round, as it
+    would be if the lists were applied one after the other.  Output: (offer_id,
+    membership_uuid, membership_id, propensity, from_round, to_round, last_round).  However
+    many rounds there are, the rows move once, on (offer_id, membership_uuid).
     """
-    by = ["list_key"] + ["offer_source"] * ("offer_source" in targets.columns and "offer_source" in new_members.columns)
-    tgt = targets.select("offer_id", *by)
-    new = join_small(new_members, tgt, by).select(
-        "offer_id", "membership_uuid", "membership_id", "propensity")
-    old = join_small(current, tgt.select("offer_id").distinct(), "offer_id", "left_semi").select(
-        "offer_id", "membership_uuid", "membership_id", "propensity")
     key = ["offer_id", "membership_uuid"]
-    adds = new.join(old.select(*key), key, "left_anti").withColumn("action", F.lit("add"))
-    dels = old.join(new.select(*key), key, "left_anti").withColumn("action", F.lit("delete"))
-    cols = ["offer_id", "membership_uuid", "action", "membership_id", "propensity"]
+    by = ["list_key"] + ["offer_source"] * ("offer_source" in targets.columns and "offer_source" in new_members.columns)
+    cols = [*key, "membership_id", "propensity", "round", "last_round"]
+    last = targets.groupBy("offer_id").agg(F.max("round").alias("last_round"))
+    listed = join_small(new_members, targets.select("offer_id", "round", *by).join(last, "offer_id"), by)
+    stored = join_small(current, last, "offer_id").withColumn("round", F.lit(0))
+    present = listed.select(*cols).unionByName(stored.select(*cols))
+    run = F.col("round") - F.dense_rank().over(Window.partitionBy(*key).orderBy("round"))
+    first = F.min(F.struct("round", "membership_id", "propensity"))
+    return (present.withColumn("run", run).groupBy(*key, "run")
+            .agg(first.alias("first"), F.max("round").alias("to_round"), F.max("last_round").alias("last_round"))
+            .select(*key, "first.membership_id", "first.propensity", F.col("first.round").alias("from_round"),
+                    "to_round", "last_round"))
+
+
+def spell_changes(spells: DataFrame) -> DataFrame:
+    """(offer_id, membership_uuid, action, membership_id, propensity, round): an ``add`` where
+    a spell begins after the stored state, a ``delete`` where it ends before the last round."""
+    cols = ["offer_id", "membership_uuid", "action", "membership_id", "propensity", "round"]
+    adds = spells.filter("from_round > 0").withColumn("action", F.lit("add")).withColumn("round", F.col("from_round"))
+    dels = (spells.filter("to_round < last_round").withColumn("action", F.lit("delete"))
+            .withColumn("round", F.col("to_round") + 1))
     return adds.select(*cols).unionByName(dels.select(*cols))
 
 
+def audience_after(current: DataFrame, targets: DataFrame, spells: DataFrame) -> DataFrame:
+    """The stored audience after the batch: other offers' rows as they are, and of the target
+    offers the spells that reach the last round (K5 + K1)."""
+    cols = ["offer_id", "membership_uuid", "membership_id", "propensity"]
+    others = join_small(current, targets.select("offer_id").distinct(), "offer_id", "left_anti")
+    return others.select(*cols).unionByName(spells.filter("to_round = last_round").select(*cols))
+
+
+def audience_delta(current: DataFrame, targets: DataFrame, new_members: DataFrame) -> DataFrame:
+    """Members to add and to delete for each target offer, one effective list per offer:
+    (offer_id, membership_uuid, action, membership_id, propensity)."""
+    return spell_changes(audience_spells(current, targets.withColumn("round", F.lit(1)), new_members)).drop("round")
+
+
 def apply_audience_delta(current: DataFrame, delta: DataFrame) -> DataFrame:
     """New stored audience: drop deleted (offer, member) rows, append added ones (K5 + K1)."""
     key = ["offer_id", "membership_uuid"]
@@ -192,6 +221,5 @@ def update_list_location(offers: DataFrame, new_locations: DataFrame) -> DataFra
 
 def final_list_locations(eff: DataFrame) -> DataFrame:
     """Location of each processed offer after the batch: that of its last event."""
-    w = Window.partitionBy("offer_id").orderBy(F.col("arrival").desc(), F.col("event_id").desc())
-    return (eff.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .select("offer_id", "location"))
+    return (eff.groupBy("offer_id").agg(F.max(F.struct("arrival", "event_id", "location")).alias("last"))
+            .select("offer_id", "last.location"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promoflow import settings as S
@@ -20,6 +20,11 @@ def normalise_times(offer_events: DataFrame, default_zone: str = S.DEFAULT_TIME_
             .withColumn("zone", C.zone_or_default(F.col(f"{p}.timeZone"), default_zone)))
 
 
+def member_list_location() -> Column:
+    """Location of an offer event's member list, empty without one."""
+    return C.joined_text_or_empty(F.col("e.payload.memberDetails.membersPayload.memberBigListURL"))
+
+
 def project_offers(offer_events: DataFrame, club_lists: DataFrame | None = None) -> DataFrame:
     """Flat offer rows (P1-P5) from normalised events with trimmed ``awards``.
 
@@ -46,8 +51,7 @@ def project_offers(offer_events: DataFrame, club_lists: DataFrame | None = None)
         F.when(awards.isNotNull(), F.concat_ws(",", awards["value"]).try_cast("double")).alias("discount_value"),
         F.col(f"{p}.channels").alias("applicable_channel"),
         F.col("club_list"),
-        C.joined_text_or_empty(F.col(f"{p}.memberDetails.membersPayload.memberBigListURL"))
-        .alias("member_list_location"),
+        member_list_location().alias("member_list_location"),
         F.col(f"{p}.membershipType").alias("membership_type"),
         C.joined_text_or_empty(F.col(f"{p}.itemDetails.itemsPayload.itemBigListURL")).alias("item_list_location"),
         F.col(f"{p}.labels").alias("labels"),

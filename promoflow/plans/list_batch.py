@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from promoflow.operators import audience as A
 from promoflow.operators.serve import member_view
-from promoflow.session import checkpoint_dir
 from promoflow.sources.events import list_event_rows
 
 
@@ -19,6 +18,7 @@ class ListBatch:
     looked: DataFrame        # every (event, listed id) with lookup result
     effective: DataFrame     # found (event, offer) pairs with effective flag and round
     members: DataFrame       # resolved members per (list_key, offer_source)
+    spells: DataFrame        # how long each member stays, over the rounds of the batch
     delta: DataFrame         # (offer_id, membership_uuid, action, membership_id, propensity, round)
     member_offers: DataFrame  # stored audience after the batch
     offers: DataFrame        # stored offers with the new list locations
@@ -33,10 +33,20 @@ def resolved_members_for(effective: DataFrame, member_files: DataFrame, cards: D
     return A.resolve_members(rows, A.active_member_cards(cards))
 
 
-def targets_of_round(effective: DataFrame, r: int) -> DataFrame:
-    return (effective.filter(F.col("round") == r)
-            .select("offer_id", F.col("location").alias("list_key"),
-                    F.col("event_source").alias("offer_source")))
+def effective_targets(effective: DataFrame) -> DataFrame:
+    """(offer_id, round, list_key, offer_source) of the effective events."""
+    return (effective.filter("effective")
+            .select("offer_id", "round", F.col("location").alias("list_key"), F.col("event_source").alias("offer_source")))
+
+
+def apply_effective(effective: DataFrame, member_offers: DataFrame, member_files: DataFrame,
+                    cards: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(resolved members, spells, audience after the batch).  The spells are kept: the
+    changes, the stored audience and the views are read from them."""
+    members = resolved_members_for(effective, member_files, cards)
+    targets = effective_targets(effective)
+    spells = A.audience_spells(member_offers, targets, members).persist(StorageLevel.MEMORY_AND_DISK)
+    return members, spells, A.audience_after(member_offers, targets, spells)
 
 
 def look_up_list_batch(decoded_list_events: DataFrame, offers: DataFrame,
@@ -59,16 +69,12 @@ def look_up_list_batch(decoded_list_events: DataFrame, offers: DataFrame,
 
 
 def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_offers: DataFrame,
-                    member_files: DataFrame, cards: DataFrame, rounds: int | None = None,
-                    checkpoint_between_rounds: bool = True,
+                    member_files: DataFrame, cards: DataFrame,
                     available_lists: DataFrame | None = None) -> ListBatch:
     """Apply a batch of (valid) member-list events.
 
-    ``rounds`` is the largest number of effective events any offer has in the batch
-    (normally 1); it is computed with a one-number aggregate when not given.  Each round
-    is a set-at-a-time delta over all offers; between rounds the audience is checkpointed
-    to the shared checkpoint folder so lineage stays short and a lost executor does not
-    re-run earlier rounds.
+    However many effective events an offer has in the batch, they are applied at once, with
+    the rows that applying them in arrival order would leave (``audience_spells``).
 
     An event whose file is not among ``available_lists`` (list_key) gets ``missing_list``
     set; it fails (BlobReadError) and is left out before the effective-event computation,
@@ -77,31 +83,9 @@ def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_of
     """
     looked = look_up_list_batch(decoded_list_events, offers, available_lists)
     eff = A.effective_list_events(looked.filter(F.col("missing_list").isNull())).persist()
-    members = resolved_members_for(eff, member_files, cards)
-    if rounds is None:
-        rounds = eff.agg(F.coalesce(F.max("round"), F.lit(0))).first()[0]
-    current = member_offers.select("offer_id", "membership_uuid", "membership_id", "propensity")
-    deltas = []
-    for r in range(1, rounds + 1):
-        # The delta is kept before anything is written: it must describe the change against
-        # the audience it was computed from, not be re-evaluated after that table changes.
-        d = (A.audience_delta(current, targets_of_round(eff, r), members).withColumn("round", F.lit(r))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-        deltas.append(d)
-        current = A.apply_audience_delta(current, d)
-        if checkpoint_between_rounds and r < rounds:
-            checkpoint_dir(current.sparkSession)
-            current = current.checkpoint(eager=True)
-    if deltas:
-        delta = deltas[0]
-        for d in deltas[1:]:
-            delta = delta.unionByName(d)
-    else:
-        delta = current.sparkSession.createDataFrame(
-            [], "offer_id bigint, membership_uuid string, action string, membership_id string, "
-                "propensity double, round int")
+    members, spells, audience = apply_effective(eff, member_offers, member_files, cards)
     new_offers = A.update_list_location(offers, A.final_list_locations(eff))
-    return ListBatch(looked, eff, members, delta, current, new_offers)
+    return ListBatch(looked, eff, members, spells, A.spell_changes(spells), audience, new_offers)
 
 
 def member_view_changes(batch: ListBatch) -> tuple[DataFrame, DataFrame]:
