@@ -618,3 +618,92 @@ after2 AS (
 
 ORACLE["apply_audience_rounds"] = _with(CARDS, ACTIVE_CARDS, MEMBER_FILES, LIST_OFFERS, STORED_AUDIENCE, ROUNDS) + """
 SELECT offer_id, membership_uuid, membership_id, propensity FROM after2"""
+
+
+# ---------------------------------------------------------------------------
+# Both kinds of event on one offers table
+# ---------------------------------------------------------------------------
+MIXED = """mixed_events AS (
+  SELECT 'M' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS event_id, o_custkey, o_orderkey % 20 AS k,
+         o_orderdate + to_microseconds(o_orderkey + 43200000000) AS arrival,
+         CASE WHEN o_orderkey % 20 = 13 THEN 'members/absent.csv'
+              ELSE 'members/list-' || CAST(o_orderkey % 20 AS VARCHAR) || '.csv' END AS location
+  FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'P'),
+mixed_pairs AS (
+  SELECT event_id, arrival, location, k, 0 AS pos, o_custkey AS offer_id FROM mixed_events
+  UNION ALL SELECT event_id, arrival, location, k, 1, k + 1 FROM mixed_events),
+usable AS (
+  SELECT c.offer_id, c.arrival, c.event_id, c.offer_source, p.member_list_location AS location
+  FROM checked c JOIN proj p USING (event_id) WHERE NOT c.conflict),
+mixed_known AS (
+  SELECT p.*, coalesce(s.offer_source, (SELECT min_by(u.offer_source, (u.arrival, u.event_id)) FROM usable u
+                 WHERE u.offer_id = p.offer_id AND (u.arrival, u.event_id) < (p.arrival, p.event_id))) AS offer_source
+  FROM mixed_pairs p LEFT JOIN stored_offers s USING (offer_id)),
+mixed_found AS (
+  SELECT *, coalesce(offer_source, 'BROADREACH') <> 'BROADREACH' AS found FROM mixed_known),
+mixed_src AS (SELECT event_id, arg_min(offer_source, pos) AS event_source FROM mixed_found WHERE found GROUP BY 1),
+mixed_steps AS (
+  SELECT offer_id, TIMESTAMP '0001-01-01' AS arrival, '' AS event_id, 0 AS pos, 'members/old.csv' AS location,
+         'stored' AS what FROM stored_offers
+  UNION ALL SELECT offer_id, arrival, event_id, 0, location, 'offer' FROM usable
+  UNION ALL SELECT offer_id, arrival, event_id, pos, location, 'list' FROM mixed_found
+  WHERE found AND location <> 'members/absent.csv'),
+mixed_order AS (
+  SELECT *, lag(location) OVER (PARTITION BY offer_id ORDER BY arrival, event_id, pos) AS before_it,
+         row_number() OVER (PARTITION BY offer_id ORDER BY arrival DESC, event_id DESC, pos DESC) AS from_end
+  FROM mixed_steps),
+mixed_eff AS (
+  SELECT o.offer_id, o.location, s.event_source,
+         row_number() OVER (PARTITION BY offer_id ORDER BY arrival, event_id, pos) AS round
+  FROM mixed_order o JOIN mixed_src s USING (event_id)
+  WHERE what = 'list' AND location IS DISTINCT FROM before_it),
+mixed_members AS (
+  SELECT s.list_key, s.event_source, c.membershipId AS membership_uuid,
+         min((CASE WHEN s.event_source = 'TETRIS' THEN -f.c1_value ELSE 0 END, f.c0)) AS best
+  FROM (SELECT DISTINCT location AS list_key, event_source FROM mixed_eff) s
+  JOIN member_files f USING (list_key) JOIN active_cards c ON c.cardNumber = f.c0
+  GROUP BY 1, 2, 3),
+mixed_present AS (
+  SELECT s.offer_id, s.membership_uuid, 0 AS round, s.membership_id, s.propensity
+  FROM stored s WHERE s.offer_id IN (SELECT offer_id FROM mixed_eff)
+  UNION ALL
+  SELECT e.offer_id, m.membership_uuid, e.round, m.best[2],
+         CASE WHEN e.event_source = 'TETRIS' THEN -m.best[1] END
+  FROM mixed_eff e JOIN mixed_members m ON m.list_key = e.location AND m.event_source = e.event_source),
+mixed_runs AS (
+  SELECT *, round - row_number() OVER (PARTITION BY offer_id, membership_uuid ORDER BY round) AS run FROM mixed_present),
+mixed_spells AS (
+  SELECT offer_id, membership_uuid, max(round) AS to_round,
+         arg_min(membership_id, round) AS membership_id, min_by(struct_pack(p := propensity), round).p AS propensity
+  FROM mixed_runs GROUP BY offer_id, membership_uuid, run),
+mixed_last AS (SELECT offer_id, max(round) AS last_round FROM mixed_eff GROUP BY 1)"""
+
+_MIXED = _with(CARDS, ACTIVE_CARDS, MEMBER_FILES, STORED_AUDIENCE, *OFFER_BASE, SITES, PROJECTION, ITEMS, OVERRIDES,
+               APPLY, MIXED)
+
+ORACLE["apply_mixed_batch"] = _MIXED + """
+SELECT offer_id, membership_uuid, membership_id, propensity FROM stored
+WHERE offer_id NOT IN (SELECT offer_id FROM mixed_eff)
+UNION ALL
+SELECT s.offer_id, s.membership_uuid, s.membership_id, s.propensity
+FROM mixed_spells s JOIN mixed_last l USING (offer_id) WHERE s.to_round = l.last_round"""
+
+ORACLE["stream_apply_mixed"] = ORACLE["apply_mixed_batch"]
+
+ORACLE["apply_mixed_offers"] = _MIXED + """, rows_after AS (
+SELECT offer_id, 'LIVE' AS status, offer_source FROM stored_offers WHERE offer_id NOT IN (SELECT offer_id FROM applied)
+UNION ALL SELECT p.offer_id, p.status, p.offer_source FROM proj p JOIN applied a USING (event_id))
+SELECT r.offer_id, r.status, r.offer_source, m.location AS member_list_location
+FROM rows_after r JOIN mixed_order m ON m.offer_id = r.offer_id AND m.from_end = 1"""
+
+ORACLE["mixed_list_outcomes"] = _MIXED + """
+SELECT event_id,
+       CASE WHEN bool_or(found) AND any_value(k) <> 13 THEN 'PROCESSED' ELSE 'FAILED' END AS status,
+       CASE WHEN NOT bool_or(found) THEN 'The offers to update do not exist'
+            WHEN any_value(k) = 13 THEN 'blob: members/absent.csv could not be read'
+            ELSE 'Memeberlist updated successfully of offer_ids : ['
+                 || coalesce(string_agg(CAST(offer_id AS VARCHAR), ', ' ORDER BY pos) FILTER (found), '')
+                 || ']. Ignored processing ['
+                 || coalesce(string_agg(CAST(offer_id AS VARCHAR), ', ' ORDER BY pos) FILTER (NOT found), '') || '].' END AS comments,
+       CASE WHEN NOT bool_or(found) THEN 'Error' WHEN any_value(k) = 13 THEN 'BlobReadError' END AS failure_class
+FROM mixed_found GROUP BY event_id"""

@@ -26,10 +26,12 @@ from promoflow.operators.serve import member_view, sink_batches
 from promoflow.plans.audit_batch import audit_rows, failures, list_event_outcomes
 from promoflow.plans.intake import run_intake
 from promoflow.plans.list_batch import look_up_list_batch, plan_list_batch
+from promoflow.plans.mixed_batch import plan_mixed_batch
 from promoflow.plans.offer_batch import check_offer_batch, offer_serving_view, plan_offer_batch
 from promoflow.settings import DEFAULT_CONFIG
 from promoflow.operators.snapshot import SnapshotStore
-from promoflow.streaming.apply_stream import Lookups, run_apply_lists_stream, run_apply_stream, seed
+from promoflow.streaming.apply_stream import (MIXED_TABLES, Lookups, run_apply_lists_stream, run_apply_mixed_stream,
+                                             run_apply_stream, seed)
 from promoflow.streaming.intake_stream import run_dedup_stream, run_intake_stream, scratch_root
 from promoflow.sources.events import decode_events, list_event_rows, route_event_kind
 
@@ -554,3 +556,62 @@ def q_apply_audience_rounds(spark, d):
                         TB.member_files_two_rounds(spark, d), TB.cards(spark, d),
                         available_lists=TB.member_files_two_rounds(spark, d).select("list_key"))
     return b.member_offers.select("offer_id", "membership_uuid", "membership_id", "propensity")
+
+
+# ---------------------------------------------------------------------------
+# Both kinds of event on one offers table
+# ---------------------------------------------------------------------------
+def _mixed_raw(spark, d):
+    return TB.offer_events_raw(spark, d).unionByName(TB.mixed_list_events_raw(spark, d))
+
+
+def _mixed_state(spark, d):
+    return (TB.stored_offers(spark, d), TB.stored_offer_items(spark, d), TB.stored_site_overrides(spark, d),
+            TB.member_offers(spark, d))
+
+
+def _mixed_batch(spark, d):
+    it = run_intake(_mixed_raw(spark, d))
+    offers, lists = (e.filter(F.col("status") == DEFAULT_CONFIG.status_processing) for e in (it.offers, it.lists))
+    return plan_mixed_batch(offers, lists, *_mixed_state(spark, d), TB.site_directory(spark, d),
+                            TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d),
+                            TB.member_files(spark, d), TB.cards(spark, d), TB.available_lists(spark, d),
+                            TB.member_lists(spark, d))
+
+
+_AUDIENCE = ["offer_id", "membership_uuid", "membership_id", "propensity"]
+
+
+@query("apply_mixed_batch")
+def q_apply_mixed_batch(spark, d):
+    """The stored audience after offer events and member-list events in arrival order."""
+    return _mixed_batch(spark, d).member_offers.select(*_AUDIENCE)
+
+
+@query("apply_mixed_offers")
+def q_apply_mixed_offers(spark, d):
+    """The stored offers after both kinds of event: source, and the list location that the
+    last event of either kind left."""
+    return _mixed_batch(spark, d).offers.select("offer_id", "status", "offer_source", "member_list_location")
+
+
+@query("mixed_list_outcomes")
+def q_mixed_list_outcomes(spark, d):
+    """How each member-list event between the offer events ended, missing files included."""
+    return _mixed_batch(spark, d).list_outcomes
+
+
+@query("stream_apply_mixed")
+def q_stream_apply_mixed(spark, d):
+    """Both kinds of event, every third of the time a micro-batch, on one set of stored
+    tables; the audience equals the one-batch result (apply_mixed_batch)."""
+    root = scratch_root(spark, "stream-mixed")
+    per_batch = _land_chronological(_mixed_raw(spark, d), f"{root}/landing")
+    store = SnapshotStore(spark, f"{root}/tables")
+    for name, df in zip(MIXED_TABLES, _mixed_state(spark, d), strict=True):
+        store.write(name, df, 0)
+    look = Lookups(TB.site_directory(spark, d), TB.store_files(spark, d), TB.item_files(spark, d),
+                   TB.catalogue(spark, d), TB.available_lists(spark, d))
+    run_apply_mixed_stream(spark, f"{root}/landing", store, look, TB.member_files(spark, d), TB.cards(spark, d),
+                           TB.member_lists(spark, d), f"{root}/out", f"{root}/checkpoint", per_batch)
+    return store.read("member_offers").select(*_AUDIENCE)

@@ -348,6 +348,22 @@ def list_events_two_rounds_raw(spark, d) -> DataFrame:
     return ev("a", "t1", "members/list-").unionByName(ev("b", "t2", "members/half-"))
 
 
+def mixed_list_events_raw(spark, d) -> DataFrame:
+    """Member-list events between the offer events: one per low-priority order in status P,
+    half a day after it, for the offer of its customer and one of twenty shared offers; some
+    name a file that does not exist."""
+    o = table(spark, d, "orders").filter("o_orderpriority = '5-LOW' AND o_orderstatus = 'P'")
+    k = F.col("o_orderkey") % 20
+    raw = F.concat(F.lit('{"offerIdList":["'), F.col("o_custkey").cast("string"), F.lit('","'),
+                   (k + 1).cast("string"), F.lit('"],"memberBigListLocation":"members/'),
+                   F.when(k == 13, F.lit("absent")).otherwise(F.concat(F.lit("list-"), k.cast("string"))),
+                   F.lit('.csv"}'))
+    return o.select(
+        F.concat(F.lit("M"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("event_id"),
+        F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")
+                           + 43_200_000_000).alias("arrival"), raw.alias("raw"))
+
+
 def member_lists(spark, d) -> DataFrame:
     """(list_key) of the member files that exist."""
     return member_files(spark, d).select("list_key").distinct()
