@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from promoflow import settings as S
 from promoflow.operators.joins import join_small
-from promoflow.operators.snapshot import delete_by_key
 
 
 # -- member cards (S5, F4) ----------------------------------------------------
@@ -133,14 +132,16 @@ def effective_list_events(looked: DataFrame) -> DataFrame:
 
 
 # -- the delta (C10, SET2, SET3, J3) -------------------------------------------------
-def audience_spells(current: DataFrame, targets: DataFrame, new_members: DataFrame) -> DataFrame:
+def audience_spells(current: DataFrame, targets: DataFrame, new_members: DataFrame,
+                    n_targets: int | None = None) -> DataFrame:
     """For how long each member stays in the audience of each target offer, over a batch.
 
     ``current``: stored audience, one row per (offer_id, membership_uuid).  ``targets``:
     (offer_id, round, list_key), the effective lists of an offer numbered from 1 in arrival
     order.  ``new_members``: resolved list members (list_key, membership_uuid, membership_id,
     propensity).  Where both carry the ``offer_source`` that a list was read for, they meet
-    on (list_key, offer_source).
+    on (list_key, offer_source).  ``n_targets``: the rows of ``targets`` where they are known,
+    so that no size check counts them again.
 
     A member is present in round 0 if stored and in every round whose list holds the member;
     a run of consecutive rounds is one spell, whose row is that of its first round, as it
@@ -152,8 +153,9 @@ def audience_spells(current: DataFrame, targets: DataFrame, new_members: DataFra
     by = ["list_key"] + ["offer_source"] * ("offer_source" in targets.columns and "offer_source" in new_members.columns)
     cols = [*key, "membership_id", "propensity", "round", "last_round"]
     last = targets.groupBy("offer_id").agg(F.max("round").alias("last_round"))
-    listed = join_small(new_members, targets.select("offer_id", "round", *by).join(last, "offer_id"), by)
-    stored = join_small(current, last, "offer_id").withColumn("round", F.lit(0))
+    listed = join_small(new_members, targets.select("offer_id", "round", *by).join(last, "offer_id"), by,
+                        small_rows=n_targets)
+    stored = join_small(current, last, "offer_id", small_rows=n_targets).withColumn("round", F.lit(0))
     present = listed.select(*cols).unionByName(stored.select(*cols))
     run = F.col("round") - F.dense_rank().over(Window.partitionBy(*key).orderBy("round"))
     first = F.min(F.struct("round", "membership_id", "propensity"))
@@ -173,11 +175,13 @@ def spell_changes(spells: DataFrame) -> DataFrame:
     return adds.select(*cols).unionByName(dels.select(*cols))
 
 
-def audience_after(current: DataFrame, targets: DataFrame, spells: DataFrame) -> DataFrame:
+def audience_after(current: DataFrame, targets: DataFrame, spells: DataFrame,
+                   n_targets: int | None = None) -> DataFrame:
     """The stored audience after the batch: other offers' rows as they are, and of the target
     offers the spells that reach the last round (K5 + K1)."""
     cols = ["offer_id", "membership_uuid", "membership_id", "propensity"]
-    others = join_small(current, targets.select("offer_id").distinct(), "offer_id", "left_anti")
+    others = join_small(current, targets.select("offer_id").distinct(), "offer_id", "left_anti",
+                        small_rows=n_targets)
     return others.select(*cols).unionByName(spells.filter("to_round = last_round").select(*cols))
 
 
@@ -187,15 +191,6 @@ def audience_delta(current: DataFrame, targets: DataFrame, new_members: DataFram
     return spell_changes(audience_spells(current, targets.withColumn("round", F.lit(1)), new_members)).drop("round")
 
 
-def apply_audience_delta(current: DataFrame, delta: DataFrame) -> DataFrame:
-    """New stored audience: drop deleted (offer, member) rows, append added ones (K5 + K1)."""
-    key = ["offer_id", "membership_uuid"]
-    cols = ["offer_id", "membership_uuid", "membership_id", "propensity"]
-    dels = delta.filter(F.col("action") == "delete").select(*key)
-    adds = delta.filter(F.col("action") == "add").select(*cols)
-    return delete_by_key(current.select(*cols), dels, key).unionByName(adds)
-
-
 def delta_counts(delta: DataFrame) -> DataFrame:
     """Adds and deletes per offer (A3), from one aggregate over the delta."""
     return delta.groupBy("offer_id").agg(

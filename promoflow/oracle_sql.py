@@ -688,8 +688,6 @@ UNION ALL
 SELECT s.offer_id, s.membership_uuid, s.membership_id, s.propensity
 FROM mixed_spells s JOIN mixed_last l USING (offer_id) WHERE s.to_round = l.last_round"""
 
-ORACLE["stream_apply_mixed"] = ORACLE["apply_mixed_batch"]
-
 ORACLE["apply_mixed_offers"] = _MIXED + """, rows_after AS (
 SELECT offer_id, 'LIVE' AS status, offer_source FROM stored_offers WHERE offer_id NOT IN (SELECT offer_id FROM applied)
 UNION ALL SELECT p.offer_id, p.status, p.offer_source FROM proj p JOIN applied a USING (event_id))

@@ -44,9 +44,10 @@ def apply_effective(effective: DataFrame, member_offers: DataFrame, member_files
     """(resolved members, spells, audience after the batch).  The spells are kept: the
     changes, the stored audience and the views are read from them."""
     members = resolved_members_for(effective, member_files, cards)
-    targets = effective_targets(effective)
-    spells = A.audience_spells(member_offers, targets, members).persist(StorageLevel.MEMORY_AND_DISK)
-    return members, spells, A.audience_after(member_offers, targets, spells)
+    targets = effective_targets(effective).persist()
+    n = targets.count()
+    spells = A.audience_spells(member_offers, targets, members, n).persist(StorageLevel.MEMORY_AND_DISK)
+    return members, spells, A.audience_after(member_offers, targets, spells, n)
 
 
 def look_up_list_batch(decoded_list_events: DataFrame, offers: DataFrame,

@@ -37,7 +37,7 @@ def check_offer_batch(ready: DataFrame, stored_offers: DataFrame, cfg: EngineCon
     ev = O.normalise_times(ready).withColumn(
         "offer_id", F.col("e.payload.promotionNumber").try_cast("bigint"))
     # Batch-sized control tables, read by several size checks and sub-plans: kept once.
-    accepted = ev.select("event_id", "arrival", "offer_id", "offer_source")
+    accepted = ev.select("event_id", "arrival", "offer_id", "offer_source", O.member_list_location().alias("location"))
     if available_lists is not None:
         accepted = accepted.join(O.missing_lists(ev, available_lists), "event_id", "left")
     else:
