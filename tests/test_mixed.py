@@ -6,14 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import base_payload, offer, raw_df
-from promoflow.operators.audit import current_status
-from promoflow.operators.snapshot import SnapshotStore
 from promoflow.plans.intake import run_intake
 from promoflow.plans.list_batch import plan_list_batch
 from promoflow.plans.mixed_batch import plan_mixed_batch
 from promoflow.schemas import OFFER_ITEMS, OFFERS, SITE_OVERRIDES
 from promoflow.sources.events import decode_events
-from promoflow.streaming.apply_stream import MIXED_TABLES, Lookups, run_apply_mixed_stream
 from test_audience import _ev, cards
 from test_offers import catalogue, directory, empty, rows
 
@@ -124,34 +121,3 @@ def test_a_mixed_batch_equals_one_after_the_other(spark):
     assert {r["offer_id"]: [r["offer_source"], r["member_list_location"]] for r in mb.offers.collect()} == state
     ends = {r["event_id"]: (r["status"], r["failure_class"]) for r in mb.list_outcomes.collect()}
     assert ends.pop("e7") == ("FAILED", "BlobReadError") and set(ends.values()) == {("PROCESSED", None)}
-
-
-@pytest.mark.parametrize("cut", [1])
-def test_the_stream_gives_the_same_tables_for_any_micro_batches(spark, tmp_path, cut):
-    raw = raw_df(spark, MIX).orderBy("arrival").collect()
-    landing = str(tmp_path / "landing")
-    sizes = [raw[i * len(raw) // cut:(i + 1) * len(raw) // cut] for i in range(cut)]
-    for i, part in enumerate(sizes):  # each part brings back an event of the part before
-        again = sizes[i - 1][:1] if i else []
-        spark.createDataFrame(part + again, "event_id string, arrival timestamp, raw string").coalesce(1).write.mode(
-            "append").parquet(landing)
-    store = SnapshotStore(spark, str(tmp_path / "tables"))
-    for name, df in zip(MIXED_TABLES, start(spark), strict=True):
-        store.write(name, df, 0)
-    look = Lookups(directory(spark), rows(spark, []), rows(spark, []), catalogue(spark), empty(spark, "list_key string"))
-    out = str(tmp_path / "out")
-    versions = run_apply_mixed_stream(spark, landing, store, look, file_rows(spark), own_cards(spark),
-                                      lists_there(spark), out, str(tmp_path / "checkpoint"), 1)
-    state, audience = expected()
-    assert versions == cut and audience_of(store.read("member_offers")) == audience
-    assert {r["offer_id"]: [r["offer_source"], r["member_list_location"]]
-            for r in store.read("offers").collect()} == state
-    audit = spark.read.parquet(f"{out}/audit")
-    assert audit.filter("seq = 0").count() == len(MIX)  # re-delivered events are audited once
-    now = {r["event_id"]: r["status"] for r in current_status(audit).collect()}
-    assert now == {f"e{i}": "FAILED" if i == 7 else "PROCESSED" for i in range(8)}
-    views = {(r["membership_uuid"], r["batch_id"]): r["offer_ids"] for r in spark.read.parquet(f"{out}/member_view").collect()}
-    last = {m: ids for (m, _), ids in sorted(views.items(), key=lambda kv: kv[0][1])}
-    for m, ids in last.items():
-        mine = sorted(o for o, who in audience if who == m)
-        assert ids == mine or not mine
