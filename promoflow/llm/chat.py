@@ -3,9 +3,10 @@
 A whole conversation is rendered once: each turn is ``<|turn|>role<|says|>text<|end|>``.
 The markers are special tokens of the encoder, so no token reaches over them; the rendered
 text is encoded once, its tokens' offsets are the running sum of their byte lengths, and the
-sorted spans of the assistant texts are intersected with the token spans by binary search.  Control strings of this and other
-common templates inside roles and texts get a backslash after their first character (one
-more where there are some already), which reading back takes off.
+sorted spans of the assistant texts are intersected with the token spans by binary search.
+Control strings of this and other common templates inside roles and texts get a backslash
+after their first character (one more where there are some already), which reading back
+takes off.
 
 Defined cases: rows are ordered by turn (null first), then role and text; repeated rows are
 turns of their own; a null role or text counts as empty; each row without a conv_id is a
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from promoflow.llm.common import prepare
-from promoflow.llm.packing import load_encoder
+from promoflow.llm.packing import Encoder
 
 TURN, SAYS, END = "<|turn|>", "<|says|>", "<|end|>"
 #: A control string, or one that is escaped already; the same in Spark, RE2 and Python.
@@ -63,16 +64,16 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(r), unescape(t)) for r, t in _READ.findall(formatted)]
 
 
-class Encoder:
+class TurnEncoder(Encoder):
     """The vocabulary with the markers as special tokens, and the byte length of each token."""
 
     def __init__(self, vocabulary: str):
-        self.bpe = load_encoder(vocabulary, (TURN, SAYS, END))
+        super().__init__(vocabulary, (TURN, SAYS, END))
         self.size = np.array([len(self.bpe.decode_single_token_bytes(i)) for i in range(self.bpe.n_vocab)], np.int64)
 
-    def encode(self, formatted: str) -> tuple[np.ndarray, np.ndarray]:
+    def encode_with_offsets(self, formatted: str) -> tuple[np.ndarray, np.ndarray]:
         """(ids, byte offset of each token)"""
-        ids = np.array(self.bpe.encode(formatted, allowed_special="all"), np.int32)
+        ids = np.array(self.encode(formatted), np.int32)
         size = self.size[ids]
         return ids, np.cumsum(size) - size
 
@@ -105,12 +106,12 @@ def format_conversations(rows: DataFrame, vocabulary: str) -> DataFrame:
 
     @arrow_udf(_OUT)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary)
+        encoder = TurnEncoder(vocabulary)
         for conversations in batches:
             texts, ids, masks = [], [], []
             for conv in conversations.to_pylist():
                 formatted, spans = render([(t["role"], t["text"]) for t in conv])
-                tokens, starts = encoder.encode(formatted)
+                tokens, starts = encoder.encode_with_offsets(formatted)
                 texts.append(formatted)
                 ids.append(tokens)
                 masks.append(loss_mask(starts, spans))
@@ -125,7 +126,7 @@ _DIGEST_PA = pa.struct([("n_turns", pa.int64()), ("turns_sha256", pa.string()),
                         ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
 
-def learned_text(ids: np.ndarray, mask: np.ndarray, encoder: Encoder) -> str:
+def learned_text(ids: np.ndarray, mask: np.ndarray, encoder: TurnEncoder) -> str:
     """What the ids under the mask say, run by run, unescaped."""
     edges = np.flatnonzero(np.diff(np.r_[np.int8(0), mask, np.int8(0)]))
     return "".join(unescape(encoder.bpe.decode_bytes(ids[s:e].tolist()).decode())
@@ -136,7 +137,7 @@ def conversation_report(rows: DataFrame, vocabulary: str) -> DataFrame:
     """Digests read back from the formatted conversations, their ids and masks."""
     @arrow_udf(_DIGEST)
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary)
+        encoder = TurnEncoder(vocabulary)
         for formatted, ids, masks in batches:
             out = []
             for k, f in enumerate(formatted.to_pylist()):

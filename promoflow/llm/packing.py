@@ -17,12 +17,14 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +53,30 @@ def load_encoder(vocabulary: str, more_special: tuple[str, ...] = ()) -> tiktoke
     return tiktoken.Encoding("json-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+#: Runs of blanks from this length on go to the file's own library: the faster one's matcher
+#: keeps a place for every blank of a run and gives up at a million.
+LONG_BLANKS = 500_000
+_LONG_BLANKS = re.compile(r"(?<!\s)\s{%d}" % LONG_BLANKS)
+
+
+class Encoder:
+    """Ids of whole texts of any kind; special tokens are special also inside texts."""
+
+    def __init__(self, vocabulary: str, more_special: tuple[str, ...] = ()):
+        self.bpe = load_encoder(vocabulary, more_special)
+        self._source, self._special = (vocabulary, more_special), self.bpe.special_tokens_set
+
+    def encode(self, text: str) -> list[int]:
+        if len(text) >= LONG_BLANKS and _LONG_BLANKS.search(text):
+            vocabulary, more_special = self._source
+            own = tokenizers.Tokenizer.from_file(vocabulary)
+            own.add_special_tokens(list(more_special))
+            return own.encode(text, add_special_tokens=False).ids
+        if any(s in text for s in self._special):
+            return self.bpe.encode(text, allowed_special="all")
+        return self.bpe.encode_ordinary(text)
+
+
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
     """Pieces of at most ``capacity`` ids, with the task that made them and their rank among
     its pieces of that length.  Write the result before use: ranks follow the tasks."""
@@ -59,14 +85,11 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
               + ", ids array<int>" * with_ids)
 
     def run(batches):
-        enc, part, seen = load_encoder(vocabulary), TaskContext.get().partitionId(), Counter()
-        specials = enc.special_tokens_set
+        enc, part, seen = Encoder(vocabulary), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows, ids_out, who = [], [], []
             for i, t in enumerate(utf8(batch.column(1))):
-                text = t.decode()
-                ids = (enc.encode(text, allowed_special="all") if any(s in text for s in specials)
-                       else enc.encode_ordinary(text))
+                ids = enc.encode(t.decode())
                 ids.append(END_ID)
                 ids = np.array(ids, dtype="<u4")
                 for s in range(0, len(ids), capacity):
