@@ -46,8 +46,8 @@ NEUTRAL = 0.5
 TAG = "spdx license identifier"
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-_TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]{0,2000})", re.IGNORECASE)
-_TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+:-]*|[()]")
+_TAG = re.compile(r"spdx-license-identifier:", re.IGNORECASE)
+_TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+:-]*|[()\r\n]")
 _POWER = {"or": 1, "and": 2, "with": 3}
 
 
@@ -58,8 +58,9 @@ def identifier_openness(name: str) -> float:
     return OPENNESS[max(known, key=len)] if known else NEUTRAL
 
 
-def evaluate_expression(text: str) -> tuple[float, list[str]]:
-    """(openness, identifiers) of a licence expression, by shunting yard: ``or`` leaves the
+def evaluate_expression(text: str, at: int = 0) -> tuple[float, list[str]]:
+    """(openness, identifiers) of the licence expression from ``at`` on, which goes as far as
+    tokens of its line make one, by shunting yard: ``or`` leaves the
     choice, so the freer side counts; ``and`` binds to both; ``with`` is an exception that
     loosens its licence a little.  What is no expression is neutral."""
     out: list[tuple[float, str]] = []
@@ -75,8 +76,10 @@ def evaluate_expression(text: str) -> tuple[float, list[str]]:
 
     want = True  # an identifier or an opening parenthesis
     try:
-        for token in _TOKEN.findall(text):
-            low = token.lower()
+        for m in _TOKEN.finditer(text, at):
+            token, low = m[0], m[0].lower()
+            if token in "\r\n":
+                break
             if low in _POWER and not want:
                 while held and held[-1] != "(" and _POWER[held[-1]] >= _POWER[low]:
                     apply()
@@ -131,8 +134,9 @@ def scan_text(text: bytes, a: ahocorasick.Automaton) -> dict:
             n, first, last = n + 1, word if first is None else first, word
             base.add(label)
     if tagged:
-        for m in _TAG.finditer(text.decode()):
-            score, names = evaluate_expression(m[1])
+        whole = text.decode()
+        for m in _TAG.finditer(whole):
+            score, names = evaluate_expression(whole, m.end())
             scores.append(score)
             labels.update(names)
     return {"n_words": len(words), "n_base": n, "first_word": first, "last_word": last,

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import AddedToken, Tokenizer
 
-from promoflow.llm import chat, decontam, licenses, pii, secrets
+from promoflow.llm import chat, decontam, licenses, packing, pii, secrets
 from promoflow.llm.queries import VOCABULARY
 
 VOCAB = public_tokenizers.path(VOCABULARY)
@@ -49,12 +49,25 @@ def test_ids_are_the_tokenizers(spark):
     t = Tokenizer.from_file(VOCAB)
     t.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in (chat.TURN, chat.SAYS, chat.END)])
     text, _ = chat.render([("user", "Hi <|endoftext|>  there"), ("assistant", "日本 \U0001f600 it's\n\n 12")])
-    ids, starts = chat.Encoder(VOCAB).encode(text)
+    ids, starts = chat.TurnEncoder(VOCAB).encode_with_offsets(text)
     want = t.encode(text, add_special_tokens=False)
     assert ids.tolist() == want.ids
     assert [len(text[:s].encode()) for s, _ in want.offsets][:12] == starts[:12].tolist()
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\u3000"])
+def test_a_text_of_more_than_a_million_blanks(spark, blank):
+    text = f"a b{blank * 1_200_000}c <|endoftext|>"
+    formatted, spans = chat.render([("assistant", text)])
+    encoder = chat.TurnEncoder(VOCAB)
+    ids, starts = encoder.encode_with_offsets(formatted)
+    assert encoder.bpe.decode(ids.tolist()) == formatted
+    assert chat.unescape(encoder.bpe.decode(ids[chat.loss_mask(starts, spans) == 1].tolist())) == text
+    # Around the bound both ways give the same ids.
+    near = f"a b{blank * packing.LONG_BLANKS}c"
+    assert packing.Encoder(VOCAB).encode(near) == packing.load_encoder(VOCAB).encode_ordinary(near)
+
+
 def test_loss_mask_covers_each_learned_text_once(spark):
     rows = [(1, 1, "assistant", "</s>[INST] ok [/INST]"), (1, 0, "user", "hi"), (1, 2, "assistant", None),
             (1, 3, None, "x"), (1, 4, "assistant", "日本語 \U0001f600 <|end|>"), (2, 0, "assistant", "a"),
@@ -126,7 +139,9 @@ def test_licence_expressions(text, score, names):
 
 def test_notices_match_brute_force(spark):
     texts = ["CC-BY! cc by cc by", "the general public\nlicense. All rights reserved", None, "", "ccé by cc", "ccby",
-             "SPDX-License-Identifier: GPL-2.0 OR Apache-2.0\nx", "all rights reserved " * 3000, "ALL  RIGHTS\tRESERVEDé", LONG]
+             "SPDX-License-Identifier: GPL-2.0 OR Apache-2.0\nx", "all rights reserved " * 3000, "ALL  RIGHTS\tRESERVEDé", LONG,
+             "// SPDX-License-Identifier: MIT and more. SPDX-License-Identifier: GPL-2.0 here",
+             "SPDX-License-Identifier: " + "MIT OR " * 2000 + "ISC\nAND own"]
     got = by_id(licenses.license_report(docs_of(spark, texts)))
     for i, t in enumerate(texts):
         w = WORD.findall((t or "").translate(LOWER))
@@ -137,6 +152,8 @@ def test_notices_match_brute_force(spark):
         assert r["base_labels"] == ",".join(sorted({x for _, x in places}))
         assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
     assert got[6]["labels"] == "apache-2.0,gpl-2.0" and got[6]["score"] == pytest.approx(0.95)
+    assert {"mit", "gpl-2.0"} <= set(got[10]["labels"].split(",")) and got[10]["score"] == pytest.approx(0.5)
+    assert got[11]["labels"] == "isc,mit"
 
 
 # --- secrets --------------------------------------------------------------------------
