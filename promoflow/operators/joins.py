@@ -1,41 +1,42 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Batch-sized tables kept in the shared folder, and joins with a small side."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a small side we are willing to ship to every executor.  The sides passed here
-# are per-batch control tables (events x offers, store directory); the bound keeps a
-# broadcast well under the default 8 GB limit even for wide rows.
+from promoflow.session import checkpoint_dir
+
+# Rows of a narrow control table (ids and list names) with a known count that we are
+# willing to ship to every executor: some 200 MB.
 MAX_BROADCAST_ROWS = 2_000_000
 
-_PERSISTED: list[DataFrame] = []
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a new table in the shared folder and read back.
 
-def release_small_sides() -> None:
-    """Unpersist the small sides cached by ``join_small`` (call when a batch is done)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+    What several sub-plans of a batch read is kept this way instead of in a cache: the plans
+    after it start at a scan, so they stay short, read only the columns they need, know the
+    size of the table, and a lost executor costs a reread.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/work-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = MAX_BROADCAST_ROWS, small_rows: int | None = None) -> DataFrame:
     """Join ``big`` to a side expected to be small.
 
-    The small side is counted first (or its known row count is passed in); within the
-    bound it is broadcast, so a hot key of ``big`` never lands in one task.  Beyond it the
-    join is left to a shuffle, where adaptive execution splits skewed partitions.  The
-    small side is persisted before counting, so the count job materialises exactly what
-    the broadcast then reads instead of running its lineage twice.
+    The small side is kept, so its size in bytes is known when the join is planned: below
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast and a hot key of ``big`` never
+    lands in one task, beyond it both sides are shuffled and adaptive execution splits
+    skewed partitions.  Where ``small`` is made of narrow tables kept already, their row
+    count is passed in as ``small_rows`` and decides alike, without another write.
     """
     if small_rows is None:
-        small = small.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED.append(small)
-        n = small.count()
-    else:
-        n = small_rows
-    if n <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+        return big.join(kept(small, "small"), on, how)
+    return big.join(F.broadcast(small) if small_rows <= max_rows else small, on, how)

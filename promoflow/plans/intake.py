@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promoflow import settings as S
 from promoflow.operators.gates import gate, route_source, trim_awards
+from promoflow.operators.joins import kept
 from promoflow.operators.validate import validate_lists, validate_offers
 from promoflow.settings import DEFAULT_CONFIG, EngineConfig
 from promoflow.sources.events import decode_events, first_offer_id, route_event_kind
@@ -17,7 +17,7 @@ from promoflow.sources.events import decode_events, first_offer_id, route_event_
 
 @dataclass
 class Intake:
-    decoded: DataFrame        # the persisted decoded batch (unpersist when done)
+    decoded: DataFrame        # the decoded batch, kept in the shared folder
     dead_letters: DataFrame   # raw rows that are not a JSON object
     offers: DataFrame         # offer events with gate columns, trimmed awards, errors, status
     lists: DataFrame          # member-list events with errors, status
@@ -28,9 +28,8 @@ def run_intake(raw: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> Intake:
     """Gate and validate a batch.  Status is SKIPPED or FAILED with a reason, or
     PROCESSING for events ready to be applied (audit first, gates, trim, validation)."""
     good, bad = decode_events(raw)
-    # The decoded batch feeds both routes, the audit and the apply plans: keep it once
-    # (spills to disk if large; recomputed from the source if an executor is lost).
-    good = first_offer_id(good).persist(StorageLevel.MEMORY_AND_DISK)
+    # The decoded batch feeds both routes, the audit and the apply plans: keep it once.
+    good = kept(first_offer_id(good), "decoded")
     offers, lists = route_event_kind(good)
     offers = validate_offers(trim_awards(gate(route_source(offers), cfg)), cfg)
     failed, ready = F.lit(cfg.status_failed), F.lit(cfg.status_processing)

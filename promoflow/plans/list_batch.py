@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promoflow.operators import audience as A
+from promoflow.operators.joins import kept
 from promoflow.operators.serve import member_view
 from promoflow.sources.events import list_event_rows
 
@@ -44,9 +44,9 @@ def apply_effective(effective: DataFrame, member_offers: DataFrame, member_files
     """(resolved members, spells, audience after the batch).  The spells are kept: the
     changes, the stored audience and the views are read from them."""
     members = resolved_members_for(effective, member_files, cards)
-    targets = effective_targets(effective).persist()
+    targets = kept(effective_targets(effective), "targets")
     n = targets.count()
-    spells = A.audience_spells(member_offers, targets, members, n).persist(StorageLevel.MEMORY_AND_DISK)
+    spells = kept(A.audience_spells(member_offers, targets, members, n), "spells")
     return members, spells, A.audience_after(member_offers, targets, spells, n)
 
 
@@ -56,8 +56,6 @@ def look_up_list_batch(decoded_list_events: DataFrame, offers: DataFrame,
     outcomes need, without resolving any member."""
     rows = list_event_rows(decoded_list_events)
     pairs = A.explode_list_events(rows)
-    # The two control tables are batch-sized (events x listed ids); caching them keeps the
-    # size checks and the round count from re-running the decode.
     looked = A.offers_for_list_events(pairs, offers)
     if available_lists is not None:
         avail = available_lists.select(F.col("list_key").alias("location"), F.lit(True).alias("_avail")).distinct()
@@ -66,7 +64,7 @@ def look_up_list_batch(decoded_list_events: DataFrame, offers: DataFrame,
                   .drop("_avail"))
     else:
         looked = looked.withColumn("missing_list", F.lit(None).cast("string"))
-    return looked.persist()
+    return kept(looked, "looked")
 
 
 def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_offers: DataFrame,
@@ -83,7 +81,7 @@ def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_of
     for every named file being there; whatever writes stored tables passes one.
     """
     looked = look_up_list_batch(decoded_list_events, offers, available_lists)
-    eff = A.effective_list_events(looked.filter(F.col("missing_list").isNull())).persist()
+    eff = kept(A.effective_list_events(looked.filter(F.col("missing_list").isNull())), "effective")
     members, spells, audience = apply_effective(eff, member_offers, member_files, cards)
     new_offers = A.update_list_location(offers, A.final_list_locations(eff))
     return ListBatch(looked, eff, members, spells, A.spell_changes(spells), audience, new_offers)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from promoflow import settings as S
 from promoflow.operators import items as I
 from promoflow.operators import offers as O
 from promoflow.operators import sites as ST
+from promoflow.operators.joins import kept
 from promoflow.operators.snapshot import replace_by_key, upsert
 from promoflow.operators.serve import offer_view
 from promoflow.settings import DEFAULT_CONFIG, EngineConfig
@@ -42,7 +42,7 @@ def check_offer_batch(ready: DataFrame, stored_offers: DataFrame, cfg: EngineCon
         accepted = accepted.join(O.missing_lists(ev, available_lists), "event_id", "left")
     else:
         accepted = accepted.withColumn("missing_list", F.lit(None).cast("string"))
-    checked = O.source_conflicts(accepted, stored_offers).persist(StorageLevel.MEMORY_AND_DISK)
+    checked = kept(O.source_conflicts(accepted, stored_offers), "checked")
     ok = F.format_string(S.OFFER_DONE_FORMAT, F.col("offer_id").cast("string"))
     blob = F.col("missing_list").isNotNull() & ~F.col("conflict")
     outcomes = checked.select(
@@ -72,7 +72,7 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
     ev, checked, outcomes = check_offer_batch(ready, stored_offers, cfg, available_lists)
     usable = checked.filter(~F.col("conflict") & F.col("missing_list").isNull())
     last = O.latest_per_offer(usable.select("event_id", "arrival", "offer_id"))
-    applied = ev.join(last.select("event_id"), "event_id", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+    applied = kept(ev.join(last.select("event_id"), "event_id", "left_semi").drop("raw"), "applied")
 
     offers_new = O.project_offers(applied, ST.club_lists(applied, directory, store_rows, cfg.online_site_id))
     items_new = I.offer_items(applied, item_rows, catalogue, cfg)

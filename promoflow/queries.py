@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from promoflow.operators import offers as O
 from promoflow.operators import sites as ST
 from promoflow.operators import validate as V
 from promoflow.operators.audit import current_status, failure_report
+from promoflow.operators.joins import kept
 from promoflow.operators.serve import member_view, sink_batches
 from promoflow.plans.audit_batch import audit_rows, failures, list_event_outcomes
 from promoflow.plans.intake import run_intake
@@ -176,7 +176,7 @@ def _raw_batch(spark, d, with_junk: bool = False) -> DataFrame:
 
 def _offer_events(spark, d, trimmed: bool = True) -> DataFrame:
     good, _ = decode_events(TB.offer_events_raw(spark, d))
-    offers, _ = route_event_kind(good.persist(StorageLevel.MEMORY_AND_DISK))
+    offers, _ = route_event_kind(kept(good, "decoded"))
     offers = G.route_source(offers)
     return G.trim_awards(offers) if trimmed else offers
 
@@ -243,7 +243,7 @@ def q_trim_awards(spark, d):
 @query("validate_events")
 def q_validate_events(spark, d):
     good, _ = decode_events(_raw_batch(spark, d))
-    good = good.persist(StorageLevel.MEMORY_AND_DISK)
+    good = kept(good, "decoded")
     offers, lists = route_event_kind(good)
     v_off = V.validate_offers(G.trim_awards(offers))
     v_lst = V.validate_lists(lists)
