@@ -30,7 +30,8 @@ from promoflow.plans.mixed_batch import plan_mixed_batch
 from promoflow.plans.offer_batch import check_offer_batch, offer_serving_view, plan_offer_batch
 from promoflow.settings import DEFAULT_CONFIG
 from promoflow.operators.snapshot import SnapshotStore
-from promoflow.streaming.apply_stream import Lookups, run_apply_lists_stream, run_apply_stream, seed
+from promoflow.streaming.apply_stream import (
+    MIXED_TABLES, Lookups, run_apply_lists_stream, run_apply_mixed_stream, run_apply_stream, seed)
 from promoflow.streaming.intake_stream import run_dedup_stream, run_intake_stream, scratch_root
 from promoflow.sources.events import decode_events, list_event_rows, route_event_kind
 
@@ -598,3 +599,21 @@ def q_apply_mixed_offers(spark, d):
 def q_mixed_list_outcomes(spark, d):
     """How each member-list event between the offer events ended, missing files included."""
     return _mixed_batch(spark, d).list_outcomes
+
+
+@query("stream_apply_mixed")
+def q_stream_apply_mixed(spark, d):
+    """Events of both kinds applied to one set of stored tables over several micro-batches;
+    the final stored audience equals the one-batch result (apply_mixed_batch)."""
+    root = scratch_root(spark, "stream-mixed")
+    landing = f"{root}/landing"
+    per_batch = _land_chronological(_mixed_raw(spark, d), landing)
+    store = SnapshotStore(spark, f"{root}/tables")
+    for name, df in zip(MIXED_TABLES, _mixed_state(spark, d), strict=True):
+        store.write(name, df, 0)
+    look = Lookups(TB.site_directory(spark, d), TB.store_files(spark, d), TB.item_files(spark, d),
+                   TB.catalogue(spark, d), TB.available_lists(spark, d))
+    run_apply_mixed_stream(spark, landing, store, look, TB.member_files(spark, d), TB.cards(spark, d),
+                           TB.member_lists(spark, d), f"{root}/out", f"{root}/checkpoint",
+                           max_files_per_trigger=per_batch)
+    return store.read("member_offers").select(*_AUDIENCE)

@@ -9,8 +9,10 @@ from conftest import base_payload, offer, raw_df
 from promoflow.plans.intake import run_intake
 from promoflow.plans.list_batch import plan_list_batch
 from promoflow.plans.mixed_batch import plan_mixed_batch
+from promoflow.operators.snapshot import SnapshotStore
 from promoflow.schemas import OFFER_ITEMS, OFFERS, SITE_OVERRIDES
 from promoflow.sources.events import decode_events
+from promoflow.streaming.apply_stream import MIXED_TABLES, Lookups, run_apply_mixed_stream
 from test_audience import _ev, cards
 from test_offers import catalogue, directory, empty, rows
 
@@ -121,3 +123,29 @@ def test_a_mixed_batch_equals_one_after_the_other(spark):
     assert {r["offer_id"]: [r["offer_source"], r["member_list_location"]] for r in mb.offers.collect()} == state
     ends = {r["event_id"]: (r["status"], r["failure_class"]) for r in mb.list_outcomes.collect()}
     assert ends.pop("e7") == ("FAILED", "BlobReadError") and set(ends.values()) == {("PROCESSED", None)}
+
+
+@pytest.mark.parametrize("per_batch", [8, 3])
+def test_a_mixed_stream_equals_one_after_the_other(spark, tmp_path, per_batch):
+    """One and three micro-batches; in the latter e0 comes again, late, and changes nothing."""
+    landing = str(tmp_path / "landing")
+    raw = raw_df(spark, MIX).coalesce(1)
+    for eid, _ in MIX + [MIX[0]] * (per_batch < 8):
+        raw.filter(F.col("event_id") == eid).write.mode("append").parquet(landing)
+    store = SnapshotStore(spark, str(tmp_path / "tables"))
+    for name, df in zip(MIXED_TABLES, start(spark), strict=True):
+        store.write(name, df, 0)
+    look = Lookups(directory(spark), rows(spark, []), rows(spark, []), catalogue(spark), empty(spark, "list_key string"))
+    out = str(tmp_path / "out")
+    last = run_apply_mixed_stream(spark, landing, store, look, file_rows(spark), own_cards(spark), lists_there(spark),
+                                  out, str(tmp_path / "checkpoint"), max_files_per_trigger=per_batch)
+    assert last == -(-(len(MIX) + (per_batch < 8)) // per_batch)
+    state, audience = expected()
+    assert audience_of(store.read("member_offers")) == audience
+    assert {r["offer_id"]: [r["offer_source"], r["member_list_location"]] for r in store.read("offers").collect()} == state
+    audit = spark.read.parquet(f"{out}/audit")
+    assert sorted(r["event_id"] for r in audit.filter("seq = 0").collect()) == [e for e, _ in MIX]
+    ends = {r["event_id"]: r["status"] for r in audit.filter("seq = 2").collect()}
+    assert ends == {e: "FAILED" if e == "e7" else "PROCESSED" for e, _ in MIX}
+    assert {r["offer_id"] for r in spark.read.parquet(f"{out}/offer_view").collect()} == {7}
+    assert {r["membership_uuid"] for r in spark.read.parquet(f"{out}/member_view").collect()} >= {m for _, m in audience if m != "uz"}
