@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoflow import settings as S
-from promoflow.operators.joins import join_small
+from promoflow.operators.joins import join_small, kept
+from promoflow.sources.biglists import named_columns, unnamed_column
 
 
 # -- member cards (S5, F4) ----------------------------------------------------
@@ -35,10 +36,23 @@ def member_rows_by_source(rows: DataFrame, list_sources: DataFrame) -> DataFrame
 
     ``rows``: (list_key, c0, c1) as read from the files.  ``list_sources``: (list_key,
     offer_source).  Personalised-ranking (tetris) files carry the card number and a
-    propensity; the others one unnamed column, the card number.
+    propensity; the others one unnamed column, the card number.  Rows with open layout
+    (``read_list_lines``) are read so, by the names of each file's header; others have the
+    card number in ``c0`` and the propensity in ``c1``.
     """
     tetris = F.lower(F.col("offer_source")) == S.LABEL_TETRIS
-    return (rows.join(list_sources.dropDuplicates(["list_key", "offer_source"]), "list_key")
+    sources = kept(list_sources.dropDuplicates(["list_key", "offer_source"]), "list-sources")
+    if "cells" in rows.columns:
+        by_name = rows.join(sources.filter(tetris).select("list_key").distinct(), "list_key", "left_semi")
+        by_place = rows.join(sources.filter(~tetris).select("list_key").distinct(), "list_key", "left_semi")
+        read = [(named_columns(by_name, S.CARD_COLUMN, S.PROPENSITY_COLUMN), tetris), (unnamed_column(by_place), ~tetris)]
+        a, b = (_with_sources(r, sources.filter(which), tetris) for r, which in read)
+        return a.unionByName(b)
+    return _with_sources(rows, sources, tetris)
+
+
+def _with_sources(rows: DataFrame, sources: DataFrame, tetris) -> DataFrame:
+    return (rows.join(sources, "list_key")
             .select("list_key", "offer_source",
                     F.col("c0").alias("membership_id"),
                     F.when(tetris, F.col("c1").try_cast("double")).alias("propensity")))

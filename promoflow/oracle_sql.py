@@ -705,3 +705,7 @@ SELECT event_id,
                  || coalesce(string_agg(CAST(offer_id AS VARCHAR), ', ' ORDER BY pos) FILTER (NOT found), '') || '].' END AS comments,
        CASE WHEN NOT bool_or(found) THEN 'Error' WHEN any_value(k) = 13 THEN 'BlobReadError' END AS failure_class
 FROM mixed_found GROUP BY event_id"""
+
+
+ORACLE["stream_apply_mixed"] = ORACLE["apply_mixed_batch"]
+ORACLE["apply_landed_member_files"] = ORACLE["apply_audience_delta"]

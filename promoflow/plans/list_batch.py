@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promoflow import settings as S
 from promoflow.operators import audience as A
 from promoflow.operators.joins import kept
 from promoflow.operators.serve import member_view
@@ -53,15 +54,20 @@ def apply_effective(effective: DataFrame, member_offers: DataFrame, member_files
 def look_up_list_batch(decoded_list_events: DataFrame, offers: DataFrame,
                        available_lists: DataFrame | None = None) -> DataFrame:
     """Every (event, listed id) with its lookup result and ``missing_list``: what the
-    outcomes need, without resolving any member."""
+    outcomes need, without resolving any member.  Where the manifest says of each list
+    whether its columns are ``named``, an unnamed one cannot be read for a source that
+    reads by name."""
     rows = list_event_rows(decoded_list_events)
     pairs = A.explode_list_events(rows)
     looked = A.offers_for_list_events(pairs, offers)
     if available_lists is not None:
-        avail = available_lists.select(F.col("list_key").alias("location"), F.lit(True).alias("_avail")).distinct()
+        named = F.col("named") if "named" in available_lists.columns else F.lit(True)
+        avail = (available_lists.select(F.col("list_key").alias("location"), named.alias("_named"))
+                 .groupBy("location").agg(F.max("_named").alias("_named")))
+        readable = F.col("_named") | (F.lower(F.coalesce("event_source", F.lit(""))) != S.LABEL_TETRIS)
         looked = (looked.join(avail, "location", "left")
-                  .withColumn("missing_list", F.when(F.col("_avail").isNull(), F.col("location")))
-                  .drop("_avail"))
+                  .withColumn("missing_list", F.when(~F.coalesce(F.col("_named").isNotNull() & readable, F.lit(False)), F.col("location")))
+                  .drop("_named"))
     else:
         looked = looked.withColumn("missing_list", F.lit(None).cast("string"))
     return kept(looked, "looked")

@@ -28,7 +28,8 @@ from promoflow.plans.intake import run_intake
 from promoflow.plans.list_batch import look_up_list_batch, plan_list_batch
 from promoflow.plans.mixed_batch import plan_mixed_batch
 from promoflow.plans.offer_batch import check_offer_batch, offer_serving_view, plan_offer_batch
-from promoflow.settings import DEFAULT_CONFIG
+from promoflow.settings import CARD_COLUMN, DEFAULT_CONFIG
+from promoflow.sources.biglists import list_manifest, read_list_lines
 from promoflow.operators.snapshot import SnapshotStore
 from promoflow.streaming.apply_stream import (
     MIXED_TABLES, Lookups, run_apply_lists_stream, run_apply_mixed_stream, run_apply_stream, seed)
@@ -72,6 +73,19 @@ def q_biglist_scan(spark, d):
     return A.member_rows_by_source(TB.member_files(spark, d), srcs)
 
 
+@query("apply_landed_member_files")
+def q_apply_landed_member_files(spark, d):
+    """The stored audience after a batch whose member files are read from the shared folder,
+    each by its event's source: by the names of its header, or as one unnamed column."""
+    lines = read_list_lines(spark, TB.landed_member_files(spark, d))
+    lines = lines.withColumn("list_key", F.regexp_replace("list_key", "^members=", "members/"))
+    good, _ = decode_events(TB.list_events_raw(spark, d))
+    _, lists = route_event_kind(good)
+    b = plan_list_batch(lists, TB.list_offers(spark, d), TB.member_offers(spark, d), lines, TB.cards(spark, d),
+                        available_lists=list_manifest(lines, CARD_COLUMN))
+    return b.member_offers
+
+
 @query("resolve_members")
 def q_resolve_members(spark, d):
     """Every member file read as a one-column (card number) list."""

@@ -48,6 +48,10 @@ MEMBER_TYPES = ("list", "biglist")
 CARD_CURRENT_FLAG = "Y"
 CARD_STATUSES = ("ACTIVE", "PICKUP", "EXPIRED")
 CARD_TYPE = "MEMBERSHIPACCOUNT"
+
+# Columns of member files that are read by name.
+CARD_COLUMN = "MembershipNumber"
+PROPENSITY_COLUMN = "Propensity"
 SITE_TYPE_REGULAR = "REGULAR"
 
 ZONE_REGIONS = {

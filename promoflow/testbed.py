@@ -29,6 +29,8 @@ Offer domain
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -364,6 +366,20 @@ def mixed_list_events_raw(spark, d) -> DataFrame:
                            + 43_200_000_000).alias("arrival"), raw.alias("raw"))
 
 
+def landed_member_files(spark, d) -> str:
+    """Folder of the member files as text: lists of ranking offers with a header, its columns
+    turned round, the others with neither header nor second column."""
+    from promoflow.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/landing/member-files-{uuid.uuid4().hex}"
+    k = F.regexp_extract("list_key", r"([0-9]+)", 1).cast("int")
+    none = F.lit("")
+    rows = member_files(spark, d).select(F.element_at(F.split("list_key", "/"), -1).alias("members"), F.when(
+        k % 3 == 1, F.concat_ws(",", F.coalesce("c1", none), F.coalesce("c0", none))).otherwise(F.coalesce("c0", none)).alias("value"), (k % 3 == 1).alias("ranked"))
+    heads = rows.filter("ranked").select("members", F.lit('"Propensity", MembershipNumber').alias("value"), "ranked").distinct()
+    rows.unionByName(heads).drop("ranked").repartition("members").write.partitionBy("members").text(path)
+    return path
+
+
 def member_lists(spark, d) -> DataFrame:
     """(list_key) of the member files that exist."""
     return member_files(spark, d).select("list_key").distinct()

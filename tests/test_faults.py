@@ -134,3 +134,28 @@ def test_tied_events_keep_their_own_status_and_dead_letters_are_reported(spark):
     assert {r["event_id"]: r["status"] for r in now.collect()} == {"e1": "PROCESSING", "e2": "FAILED"}
     rep = {r["failure_class"]: r["n_failed"] for r in failure_report(failures(it, now)).collect()}
     assert rep == {S.CLASS_PAYLOAD: 1, S.CLASS_OTHER: 1}
+
+
+def test_a_named_file_without_its_header_fails_the_event(spark, tmp_path):
+    """Files by source: swapped and quoted headers, one unnamed column, and a ranking list
+    one of whose part files lost its header, which must not pass for an empty list."""
+    from promoflow.settings import CARD_COLUMN
+    from promoflow.sources.biglists import list_manifest, read_list_lines
+    for name, text in {"ranked.csv": '"propensity", MembershipNumber\n0.5,c\n0.9,b\n', "plain.csv": "c\nb\n",
+                       "cut/part-0.csv": "MembershipNumber,Propensity\nb,0.1\n", "cut/part-1.csv": "c,0.2\n"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    lines = read_list_lines(spark, str(tmp_path))
+    assert {r["list_key"]: r["named"] for r in list_manifest(lines, CARD_COLUMN).collect()} == {
+        "ranked.csv": True, "plain.csv": False, "cut": False}
+    offers = spark.createDataFrame([(1, "TETRIS", None), (2, "TIO", None), (3, "TETRIS", None), (4, "TETRIS", None)],
+                                   "offer_id bigint, offer_source string, member_list_location string")
+    stored = spark.createDataFrame([(3, "old", "z", 0.1), (4, "old", "z", 0.1)],
+                                   "offer_id bigint, membership_uuid string, membership_id string, propensity double")
+    events = [([1], "ranked.csv"), ([2], "plain.csv"), ([3], "cut"), ([4], "plain.csv")]
+    good, _ = decode_events(raw_df(spark, [(f"e{i}", _ev(*e)) for i, e in enumerate(events)]))
+    b = plan_list_batch(good, offers, stored, lines, cards(spark, [("b", "u1"), ("c", "u1")]),
+                        available_lists=list_manifest(lines, CARD_COLUMN))
+    assert sorted(tuple(r) for r in b.member_offers.collect()) == [
+        (1, "u1", "b", 0.9), (2, "u1", "b", None), (3, "old", "z", 0.1), (4, "old", "z", 0.1)]
+    assert {r["offer_id"]: r["missing_list"] for r in b.looked.collect()} == {1: None, 2: None, 3: "cut", 4: "plain.csv"}
