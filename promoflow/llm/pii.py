@@ -3,8 +3,10 @@
 Candidates are found by one pattern over the whole text; the text is split at the matches
 and joined again with each match replaced, so no row moves.  A match is replaced only when
 it is valid: card numbers by the Luhn digit, dates by the calendar (1800-2199), social
-security numbers and North American phone numbers by their assigned ranges, IPv4 by its
-octets, other phone numbers by their 8 to 15 digits.  The value becomes a pair (a, b) in
+security numbers by their assigned ranges, IPv4 by its octets, phone numbers abroad by their
+8 to 15 digits.  A North American number marked by +1 or by an area code in parentheses is one
+whatever its ten digits, with or without separators (blank, dot or dash); an unmarked one needs
+its separators and an area code and exchange of 200 to 999.  The value becomes a pair (a, b) in
 Z_A x Z_B and goes through ten rounds that add a keyed SHA-256 digest of one half to the
 other, a permutation of the format's own domain: the same value gets the same pseudonym in
 every document, and two values of one format never share one.  Letters, separators and
@@ -34,7 +36,9 @@ _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 _IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 _CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}"
          r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])")
-_PHONE = (r"(?<![0-9+])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])")
+_PHONE = (r"(?:(?<![0-9+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+          r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+          r"|(?<![0-9+])[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4})(?![0-9])")
 _PHONE_ABROAD = r"(?<![0-9+])\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}(?![0-9])"
 ANY = "|".join([_EMAIL, _ISO_DATE, _DAY_DATE, _SSN, _IP, _CARD, _PHONE, _PHONE_ABROAD])
 KINDS = ("card", "date", "email", "ip", "phone", "ssn")
@@ -145,15 +149,25 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """Area code and exchange stay within 200-999, a leading +1 stays."""
+    """Area code and exchange stay within 200-999 where both are; all other numbers are permuted
+    among themselves.  A leading +1 stays."""
     d = F.regexp_replace(_digits(m), "^1(?=[0-9]{10}$)", "")
     area, exchange, line = (F.substr(d, F.lit(i), F.lit(n)).cast("bigint") for i, n in ((1, 3), (4, 3), (7, 4)))
     new = feistel(((area - 200) * 800 + exchange - 200) * 10000 + line, 80000, 80000, key, "phone")
     parts = lambda v: F.concat(
         _zeros(F.floor(v / 8000000) + 200, 3), _zeros(F.pmod(F.floor(v / 10000), F.lit(800)) + 200, 3),
         _zeros(F.pmod(v, F.lit(10000)), 4))
+    # The others: 200 areas of 1,000 exchanges, then 800 areas of 200 exchanges.
+    place = F.when(area < 200, area * 1000 + exchange).otherwise(200000 + (area - 200) * 200 + exchange)
+    other = feistel(place * 10000 + line, 60000, 60000, key, "phone-other")
+    high = lambda v: F.floor(v / 10000) - 200000
+    other_parts = lambda v: F.concat(
+        F.when(high(v) < 0, _zeros(F.floor(v / 10000), 6)).otherwise(F.concat(
+            _zeros(F.floor(high(v) / 200) + 200, 3), _zeros(F.pmod(high(v), F.lit(200)), 3))),
+        _zeros(F.pmod(v, F.lit(10000)), 4))
     lead = F.when(m.startswith("+"), F.lit("1")).otherwise("")
-    return _refill(m, F.concat(lead, F.transform(F.array(new), parts)[0]))
+    return _refill(m, F.concat(lead, F.when((area >= 200) & (exchange >= 200), F.transform(F.array(new), parts)[0])
+                               .otherwise(F.transform(F.array(other), other_parts)[0])))
 
 
 def _phone_abroad(m: Column, key: str) -> Column:

@@ -241,6 +241,31 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert pii.pseudonymised(docs.filter("false")).count() == 0
 
 
+def brute_phone(digits):
+    """The ten digits of a phone's pseudonym."""
+    area, exchange, line = int(digits[:3]), int(digits[3:6]), int(digits[6:])
+    if area >= 200 and exchange >= 200:
+        v = brute_feistel(((area - 200) * 800 + exchange - 200) * 10000 + line, 80000, 80000, "phone")
+        return f"{v // 8000000 + 200:03}{v // 10000 % 800 + 200:03}{v % 10000:04}"
+    others = [(a, e) for a in range(1000) for e in range(1000) if a < 200 or e < 200]
+    v = brute_feistel(others.index((area, exchange)) * 10000 + line, 60000, 60000, "phone-other")
+    return "%03d%03d" % others[v // 10000] + f"{v % 10000:04}"
+
+
+def test_marked_phones_count_whatever_their_area(spark):
+    phones = ["+1 (017) 555-7713", "+1 (136) 555-7479", "+12025550147", "(202)-555-0147", "(017) 555-7713", "+1-017-555-7713",
+              "+1 202.5550147", "+1(202)555-0147", "1(202) 555-0147", "202-155-0147 (202) 155-0147", "+1 (771) 555-1655"]
+    got = by_id(pii.pseudonym_report(docs_of(spark, [f"call {p}, now" for p in phones])))
+    for i, p in enumerate(phones):
+        text, m = got[i]["text"], re.search(r"(\+1)?[ (-]*[0-9]{3}[).  -]*[0-9]{3}[ .-]?[0-9]{4}$", p)[0]
+        assert got[i]["n_phone"] == 1 and re.sub("[0-9]", "0", text) == re.sub("[0-9]", "0", f"call {p}, now"), p
+        digits = re.sub("[^0-9]", "", m)[-10:]
+        assert re.sub("[^0-9]", "", text)[-10:] == brute_phone(digits) != digits, p
+    plain = ["017-555-7713 is unmarked", "+1 (017) 555-77135", "x = (12) 345-6789"]
+    kept = by_id(pii.pseudonym_report(docs_of(spark, plain)))
+    assert [kept[i]["text"] for i in range(3)] == plain
+
+
 def test_card_pseudonyms_do_not_meet(spark):
     cards = []
     for i in range(300):
