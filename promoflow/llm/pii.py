@@ -10,7 +10,7 @@ its separators and an area code and exchange of 200 to 999.  The value becomes a
 Z_A x Z_B and goes through ten rounds that add a keyed SHA-256 digest of one half to the
 other, a permutation of the format's own domain: the same value gets the same pseudonym in
 every document, and two values of one format never share one.  Letters, separators and
-lengths stay; a card gets its own check digit.  Mail addresses are no numbers: their local
+lengths stay, but for dates with a day or month of one digit; a card gets its own check digit.  Mail addresses are no numbers: their local
 part becomes a keyed digest, the domain stays.
 
 Defined cases: a null text stays null with no replacements; empty texts stay; repeated rows
@@ -30,8 +30,11 @@ ROUNDS = 10
 
 # The formats.
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
-_ISO_DATE = r"(?<![0-9])[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}(?![0-9])"
-_DAY_DATE = r"(?<![0-9])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9])"
+_IN_YEAR = "(?:0?[1-9]|[12][0-9]|3[01])"  # a day or a month, in either order
+_ISO_DATE = ("(?<![0-9])[0-9]{4}(?:[-/][0-9]{2}[-/][0-9]{2}|"
+             + "|".join(f"{s}{_IN_YEAR}{s}{_IN_YEAR}" for s in ("-", "/", r"\.")) + ")(?![0-9])")
+_DAY_DATE = ("(?<![0-9])(?:[0-9]{2}[./][0-9]{2}[./]|"
+             + "|".join(f"{_IN_YEAR}{s}{_IN_YEAR}{s}" for s in ("-", "/", r"\.")) + ")[0-9]{4}(?![0-9])")
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 _IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 _CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}"
@@ -115,17 +118,22 @@ def _days(day: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    """Year first; else day first; else month first where only that is a date."""
-    d = _digits(m)
-    part = lambda i, n: F.substr(d, F.lit(i), F.lit(n))
-    day_of = lambda y, mo, dd: F.try_to_date(F.concat_ws("-", y, mo, dd), "yyyy-MM-dd")
-    iso = m.rlike("^[0-9]{4}[^0-9]")
-    first, middle, day = (part(1, 4), part(5, 2), part(7, 2)), part(1, 2), part(3, 2)
-    year = part(5, 4)
-    out = F.when(iso, F.date_format(_days(day_of(*first), key), "yyyyMMdd")).otherwise(F.coalesce(
-        F.date_format(_days(day_of(year, day, middle), key), "ddMMyyyy"),
-        F.date_format(_days(day_of(year, middle, day), key), "MMddyyyy")))
-    return F.when(F.length(d) == 8, _refill(m, out))
+    """Year first; else day first; else month first where only that is a date.  A day or a month
+    of one digit is written without a zero, so that it may become two digits."""
+    p = F.split(m, "[-/.]")
+    mark = lambda i: F.substr(m, i, F.lit(1))
+    marks = mark(F.length(p[0]) + 1), mark(F.length(p[0]) + F.length(p[1]) + 2)
+
+    def read(y, mo, d):
+        day = F.try_to_date(F.concat_ws("-", p[y], F.lpad(p[mo], 2, "0"), F.lpad(p[d], 2, "0")), "yyyy-MM-dd")
+        short = lambda x, i, f: F.when(F.length(p[i]) == 1, F.date_format(x, f)).otherwise(F.date_format(x, f * 2))
+
+        def put(x):
+            out = {y: F.date_format(x, "yyyy"), mo: short(x, mo, "M"), d: short(x, d, "d")}
+            return F.concat(out[0], marks[0], out[1], marks[1], out[2])
+        return F.transform(F.array(_days(day, key)), put)[0]
+
+    return F.when(F.length(p[0]) == 4, read(0, 1, 2)).otherwise(F.coalesce(read(2, 1, 0), read(2, 0, 1)))
 
 
 def _ssn(m: Column, key: str) -> Column:

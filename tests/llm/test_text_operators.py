@@ -241,6 +241,25 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert pii.pseudonymised(docs.filter("false")).count() == 0
 
 
+def test_dates_of_one_digit_and_all_separators(spark):
+    def brute(y, m, d):
+        v = brute_feistel((datetime.date(y, m, d) - datetime.date(1800, 1, 1)).days, 189, 773, "date")
+        return datetime.date(1800, 1, 1) + datetime.timedelta(v)
+    a, b, c = brute(1990, 3, 5), brute(1999, 12, 31), brute(1990, 5, 13)
+    want = {"5/3/1990": f"{a.day}/{a.month}/{a.year}", "1990-3-5": f"{a.year}-{a.month}-{a.day}", "1990.03.05": f"{a:%Y.%m.%d}",
+            "05.3.1990": f"{a:%d}.{a.month}.{a.year}", "5-3-1990": f"{a.day}-{a.month}-{a.year}", "1990/3/05": f"{a.year}/{a.month}/{a:%d}",
+            "31-12-1999": f"{b:%d-%m-%Y}", "12-31-1999": f"{b:%m-%d-%Y}", "31.12.1999": f"{b:%d.%m.%Y}", "5/13/1990": f"{c.month}/{c:%d}/{c.year}",
+            "31-12-1999-05.03.1990": f"{b:%d-%m-%Y}-{a:%d.%m.%Y}"}
+    got = by_id(pii.pseudonym_report(docs_of(spark, [f"born {d}." for d in want])))
+    for i, (d, new) in enumerate(want.items()):
+        assert got[i]["text"] == f"born {new}." and got[i]["n_date"] == 1 + (len(d) > 10), d
+    plain = ["30-2-2020", "1.5-2000", "3/1990", "5/3/19901", "1990-13-13", "0/3/1990", "5/3/1750", "5/3/90"]
+    kept = by_id(pii.pseudonym_report(docs_of(spark, plain)))
+    assert [kept[i]["text"] for i in range(len(plain))] == plain
+    mixed = by_id(pii.pseudonym_report(docs_of(spark, ["123-45-6789 10.1.20.19 45-12-1990-03-05"])))[0]
+    assert (mixed["n_ssn"], mixed["n_ip"], mixed["n_date"]) == (1, 1, 1) and mixed["text"].endswith(f" 45-12-{a:%Y-%m-%d}")
+
+
 def brute_phone(digits):
     """The ten digits of a phone's pseudonym."""
     area, exchange, line = int(digits[:3]), int(digits[3:6]), int(digits[6:])
