@@ -9,7 +9,8 @@ give that lexicon, the trees and the calibration; scoring runs over every row.
 Defined cases: a null text counts as the empty text and is scored; a null or other than
 0/1 label is no label; several labels of one id count as their maximum; rows repeat as
 often as they come; a null id is never held out; without rows of both classes in both
-later folds every score is the smoothed share of label 1; an empty table gives an empty
+later folds every score is the smoothed share of label 1; equal rows of an id are learned
+from once, and rows are bounded like ids; an empty table gives an empty
 table.  Extra columns, whatever their names, are carried through.
 """
 
@@ -97,14 +98,22 @@ def held_out(doc_id):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_000) -> DataFrame:
-    """(text, y, fold) of at most ``max_train_rows`` labelled ids outside the held-out fold,
-    taken by a hash of the id, with every document row of such an id."""
+    """(text, y, fold) of at most ``max_train_rows`` rows, written, of as many labelled ids outside
+    the held-out fold at most, taken by a hash of the id.  Equal rows of an id count once; where
+    ids have more texts than fit, one of every id comes first, then the others by their hash."""
     known = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").cast("double").alias("y"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_rows))
-    return (docs.select("doc_id", "text").join(known, "doc_id")
-            .select("text", "y", F.least(F.lit(2), F.greatest(F.lit(0), F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) - 1))
-                    .cast("int").alias("fold")))
+    # The ids are bounded and narrow: broadcast, so that copies meet before any shuffle.
+    rows = written(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").distinct(), "tox-train")
+    if rows.count() > max_train_rows:
+        rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+        first = rows.groupBy("doc_id").agg(F.min("h").alias("first"))
+        taken = (rows.select("doc_id", "h").join(F.broadcast(first), "doc_id")
+                 .orderBy(F.col("h") != F.col("first"), "h", "doc_id").limit(max_train_rows).select("doc_id", "h"))
+        rows = written(rows.join(F.broadcast(taken), ["doc_id", "h"], "left_semi"), "tox-bounded")
+    return rows.select("text", "y", F.least(F.lit(2), F.greatest(F.lit(0), F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) - 1))
+                       .cast("int").alias("fold"))
 
 
 def learned_lexicon(train: DataFrame, max_units: int = 5_000, min_rows: int = 3) -> dict[str, float]:
@@ -144,7 +153,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_
     """Every row of ``docs`` as the struct ``__row`` with ``__score`` (0 to 1)."""
     prepare(docs.sparkSession)
     # The bounded sample is written once: the lexicon and the features read it.
-    train = written(training_rows(docs, labels, max_train_rows), "tox-train")
+    train = training_rows(docs, labels, max_train_rows)
     features = features_of(learned_lexicon(train))
     # Dense vectors only, sorted in one partition: the sample is bounded, the trees read it in
     # every round, and sums in one order give the same trees in every run.

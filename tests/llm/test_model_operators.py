@@ -146,6 +146,18 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(zlib.crc32(str(i).encode()) % 3 == 1 for i in ids)
 
 
+def test_training_rows_are_bounded_for_repeated_ids(spark):
+    ids = [r["id"] for r in spark.range(200).filter(~toxicity.held_out(F.col("id"))).limit(21).collect()]
+    hot, others = ids[0], ids[1:]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in ids], "doc_id bigint, quality int, toxic int")
+    copies = [(hot, "you moron")] * 500 + [(i, f"text {i}") for i in others] + [(others[0], "text 2nd"), (others[1], None)]
+    got = toxicity.training_rows(spark.createDataFrame(copies, "doc_id bigint, text string"), labels).collect()
+    assert sorted(str(r["text"]) for r in got) == sorted({str(t) for _, t in copies})
+    many = [(hot, f"you moron {k}") for k in range(500)] + [(i, f"text {i}") for i in others]
+    got = toxicity.training_rows(spark.createDataFrame(many, "doc_id bigint, text string"), labels, 30).collect()
+    assert len(got) == 30 and {f"text {i}" for i in others} < {r["text"] for r in got}
+
+
 def test_scores_without_labels_and_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "x"), (None, "", "y"), (2, "you idiot " * 30_000, None), (2, "fine", None)],
                                  "doc_id bigint, text string, score string").withColumns({"source": F.lit(None).cast("string"), "lang": F.lit("en")})
