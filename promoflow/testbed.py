@@ -368,15 +368,18 @@ def mixed_list_events_raw(spark, d) -> DataFrame:
 
 def landed_member_files(spark, d) -> str:
     """Folder of the member files as text: lists of ranking offers with a header, its columns
-    turned round, the others with neither header nor second column."""
+    turned round, the others with neither header nor second column.  A list has several part
+    files, each with the header, as many as the shuffle partitions ask for."""
     from promoflow.session import checkpoint_dir
     path = f"{checkpoint_dir(spark).rstrip('/')}/landing/member-files-{uuid.uuid4().hex}"
     k = F.regexp_extract("list_key", r"([0-9]+)", 1).cast("int")
     none = F.lit("")
     rows = member_files(spark, d).select(F.element_at(F.split("list_key", "/"), -1).alias("members"), F.when(
         k % 3 == 1, F.concat_ws(",", F.coalesce("c1", none), F.coalesce("c0", none))).otherwise(F.coalesce("c0", none)).alias("value"), (k % 3 == 1).alias("ranked"))
-    heads = rows.filter("ranked").select("members", F.lit('"Propensity", MembershipNumber').alias("value"), "ranked").distinct()
-    rows.unionByName(heads).drop("ranked").repartition("members").write.partitionBy("members").text(path)
+    parts = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 5)  # of 20 lists: four to a task
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    heads = rows.filter("ranked").select("members", F.lit('"Propensity", MembershipNumber').alias("value"), "ranked", "part").distinct()
+    rows.unionByName(heads).repartition("members", "part").drop("ranked", "part").write.partitionBy("members").text(path)
     return path
 
 

@@ -88,3 +88,23 @@ def test_sink_batches_respect_the_size_and_keep_every_row(spark):
     assert max(r["count"] for r in sizes) <= 1_000
     assert sum(r["count"] for r in sizes) == 10_000
     assert out.select("id").distinct().count() == 10_000
+
+
+def test_landed_member_files_have_parts_each_with_its_header(spark):
+    from promoflow import testbed
+    from promoflow.settings import CARD_COLUMN
+    from promoflow.sources.biglists import list_manifest, read_list_lines
+    d = "/root/testdata/sf0.001"
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"  # small tables are put together again
+    was = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        lines = read_list_lines(spark, testbed.landed_member_files(spark, d))
+    finally:
+        spark.conf.set(coalesce, was)
+    files = {r["list_key"]: r["n"] for r in lines.groupBy("list_key").agg(F.countDistinct("file").alias("n")).collect()}
+    assert len(files) == 20 and max(files.values()) > 1
+    named = {r["list_key"]: r["named"] for r in list_manifest(lines, CARD_COLUMN).collect()}
+    assert sum(named.values()) == 7
+    heads = lines.filter(F.array_contains("cells", CARD_COLUMN)).count()
+    assert lines.count() - heads == testbed.member_files(spark, d).count()
