@@ -46,30 +46,63 @@ _MAYBE = r"(?i)passw|secret|token|api_?key|AKIA|[0-9a-f]{32}|-----BEGIN|eyJ|gh[p
 _SPAN = "struct<kind:string,rank:int,start:bigint,end:bigint>"
 
 
+#: Elements summed at a time where the start of a match is found.
+_RUN = 1 << 6
+
+
+def _div(c: Column) -> Column:
+    return F.shiftright(c, 6)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _summed(a: Column, first: Column, end: Column) -> Column:
+    """Sum of a[first] .. a[end - 1]."""
+    return F.when(end > first, F.aggregate(F.sequence(first, end - 1), F.lit(0).cast("bigint"), lambda s, j: s + F.get(a, j))
+                  ).otherwise(F.lit(0).cast("bigint"))
+
+
+def _run_sums(a: Column) -> Column:
+    n = F.size(a)
+    return F.transform(F.sequence(F.lit(0), _div(n - 1)), lambda b: _summed(a, b * _RUN, F.least(b * _RUN + _RUN, n)))
+
+
 def find_spans(text: Column, rank: int, rule: tuple) -> Column:
-    """Spans of the leftmost non-overlapping matches of one rule that are long enough."""
+    """Spans of the leftmost non-overlapping matches of one rule that are long enough.
+
+    What lies before a match is the rest of its run of 64 matches, the runs before in its
+    run of runs, and those before, so a text with very many matches takes linear time."""
     kind, pattern, group, least = rule
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
 
-    def step(s, p):
-        begin = s["at"] + F.length(p["gap"])
-        end = begin + F.length(p["hit"])
-        long_enough = F.length(F.regexp_extract(p["hit"], pattern, group)) >= least if group else F.length(p["hit"]) >= least
-        span = F.struct(F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), begin.alias("start"), end.alias("end"))
-        found = F.when(long_enough, F.concat(s["found"], F.array(span.cast(_SPAN)))).otherwise(s["found"])
-        return F.struct(end.cast("bigint").alias("at"), found.alias("found"))
+    def sized(gap, hit):
+        long_enough = F.length(F.regexp_extract(hit, pattern, group)) >= least if group else F.length(hit) >= least
+        return F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit"), long_enough.alias("ok"))
+
+    def placed(m, steps, runs, wide):
+        def span(x, i):
+            r = _div(i)
+            begin = (_summed(steps, r * _RUN, i) + _summed(runs, _div(r) * _RUN, r) + _summed(wide, F.lit(0), _div(r)) + x["gap"])
+            return F.struct(F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), begin.alias("start"),
+                            (begin + x["hit"]).alias("end"), x["ok"].alias("ok"))
+        return F.transform(F.filter(F.transform(m, span), lambda s: s["ok"]), lambda s: s.dropFields("ok"))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda s: s["found"]))
+    sizes = _let(hits, lambda h: F.zip_with(F.slice(gaps, 1, F.size(h)), h, sized))
+    spans = _let(sizes, lambda m: _let(
+        F.transform(m, lambda x: (x["gap"] + x["hit"]).cast("bigint")), lambda steps: _let(
+            _run_sums(steps), lambda runs: _let(_run_sums(runs), lambda wide: placed(m, steps, runs, wide)))))
+    return F.when(text.rlike(pattern), spans)
 
 
 def scan(blobs: DataFrame, rule_version: int = RULE_VERSION) -> DataFrame:
     """(blob_id, text) to (blob_id, rule_version, spans), spans in order of start and kind."""
     none = F.array().cast(f"array<{_SPAN}>")
     spans = F.concat(*[F.coalesce(find_spans(F.col("text"), i, r), none) for i, r in enumerate(RULES)])
-    by_place = F.transform(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"]))),
+    by_place = F.transform(F.sort_array(F.transform(spans, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"]))),
                            lambda s: F.struct(s["kind"].alias("kind"), s["rank"].alias("rank"),
                                               s["start"].alias("start"), s["end"].alias("end")))
     return blobs.select("blob_id", F.lit(rule_version).alias("rule_version"),
@@ -79,40 +112,46 @@ def scan(blobs: DataFrame, rule_version: int = RULE_VERSION) -> DataFrame:
 def new_ledger(spark) -> str:
     """Path of an empty ledger in the shared folder."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-ledger-{uuid.uuid4().hex}"
-    spark.createDataFrame([], f"blob_id string, rule_version int, spans array<{_SPAN}>").write.parquet(path)
+    spark.createDataFrame([], f"blob_id string, rule_version int, spans array<{_SPAN}>, scan int").write.parquet(path)
     return path
 
 
 def update_ledger(versions: DataFrame, ledger: str, rule_version: int = RULE_VERSION) -> None:
-    """Scan the texts of ``versions`` that the ledger does not hold under this rule version."""
+    """Scan the texts of ``versions`` that the ledger does not hold under this rule version.
+    The ledger numbers its scans from 1, and each blob keeps the number of its own."""
     spark = versions.sparkSession
     text = F.coalesce("text", F.lit(""))
     # Copies meet map-side first; of a text with a great many copies, one goes on per task.
     blobs = versions.select(sha256_hex(text).alias("blob_id"), text.alias("text")).groupBy("blob_id").agg(
         F.first("text").alias("text"))
-    seen = spark.read.parquet(ledger).filter(F.col("rule_version") == rule_version).select("blob_id")
-    scan(blobs.join(seen, "blob_id", "left_anti"), rule_version).write.mode("append").parquet(ledger)
+    kept = spark.read.parquet(ledger)
+    number = (kept.agg(F.max("scan")).first()[0] or 0) + 1
+    seen = kept.filter(F.col("rule_version") == rule_version).select("blob_id")
+    (scan(blobs.join(seen, "blob_id", "left_anti"), rule_version).withColumn("scan", F.lit(number))
+     .write.mode("append").parquet(ledger))
 
 
 def findings(versions: DataFrame, ledger: str, rule_version: int = RULE_VERSION) -> DataFrame:
-    """Every row of ``versions`` as the struct ``__row`` with its ``__blob`` and ``__spans``."""
+    """Every row of ``versions`` as the struct ``__row`` with its ``__blob``, ``__spans`` and
+    ``__scan``, the number of the scan that read its blob."""
     spark = versions.sparkSession
-    found = (spark.read.parquet(ledger).filter((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
-             .select(F.col("blob_id").alias("__blob"), "spans"))
+    found = (spark.read.parquet(ledger).filter(F.col("rule_version") == rule_version)
+             .select(F.col("blob_id").alias("__blob"), "spans", "scan"))
     rows = whole_row(versions).withColumn("__blob", sha256_hex(F.coalesce(F.col("__row")["text"], F.lit(""))))
     return rows.join(found, "__blob", "left").select(
-        "__row", "__blob", F.coalesce("spans", F.array().cast(f"array<{_SPAN}>")).alias("__spans"))
+        "__row", "__blob", F.coalesce("spans", F.array().cast(f"array<{_SPAN}>")).alias("__spans"), F.col("scan").alias("__scan"))
 
 
 def secret_report(docs: DataFrame, ledger: str | None = None) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of every row, through the ledger."""
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, scan) of every row, through the
+    ledger: texts it holds are not scanned again."""
     ledger = ledger or new_ledger(docs.sparkSession)
     update_ledger(docs.select("text"), ledger)
     slim = docs.select("doc_id", "text")
-    rows = findings(slim, ledger).select(F.col("__row")["doc_id"].alias("doc_id"), F.col("__spans").alias("s"))
+    rows = findings(slim, ledger).select(F.col("__row")["doc_id"].alias("doc_id"), F.col("__spans").alias("s"), "__scan")
     count = lambda k: F.size(F.filter("s", lambda x: x["kind"] == k)).cast("bigint")
     shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(
         ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     base = F.filter("s", lambda x: x["rank"] < len(BASE_RULES))
     return rows.select("doc_id", *[count(k).alias(f"n_{k}") for k, *_ in BASE_RULES],
-                       sha256_hex(shown(base)).alias("base_sha256"), shown(F.col("s")).alias("spans"))
+                       sha256_hex(shown(base)).alias("base_sha256"), shown(F.col("s")).alias("spans"), F.col("__scan").alias("scan"))
