@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoflow import settings as S
-from promoflow.operators.joins import join_small, kept
+from promoflow.operators.joins import kept
+from promoflow.operators.running import running_locations
 from promoflow.sources.biglists import named_columns, unnamed_column
 
 
@@ -107,15 +108,16 @@ def offers_for_list_events(pairs: DataFrame, offers: DataFrame) -> DataFrame:
     personalised = (offers.filter(F.col("offer_source") != S.SOURCE_BROADREACH)
                     .select("offer_id", "offer_source",
                             F.col("member_list_location").alias("stored_location")))
-    # Cut the offer table down to the listed ids with a broadcast semi join first; the
-    # remaining lookup is then between two batch-sized tables.
-    listed = join_small(personalised, pairs.select("offer_id").distinct(), "offer_id", "left_semi")
+    # Cut the offer table down to the listed ids first; the remaining lookup is then between
+    # two batch-sized tables.
+    ids = kept(pairs.filter(F.col("offer_id").isNotNull()).select("offer_id").distinct(), "listed-ids")
+    listed = personalised.join(ids, "offer_id", "left_semi")
     looked = pairs.join(listed, "offer_id", "left")
     looked = looked.withColumn("found", F.col("offer_source").isNotNull())
     # first found offer per event: a partial aggregate (an event may list very many ids)
     first = (looked.filter("found").groupBy("event_id")
              .agg(F.min_by("offer_source", "pos").alias("event_source")))
-    return join_small(looked, first, "event_id", "left")
+    return looked.join(first, "event_id", "left")
 
 
 def unprocessed_offer_ids(looked: DataFrame) -> DataFrame:
@@ -129,33 +131,29 @@ def effective_list_events(looked: DataFrame) -> DataFrame:
     """Which (event, offer) pairs change the audience, and in which round.
 
     Each processed event sets the offer's list location to its own.  The location an event
-    sees is therefore the previous event's location for the same offer (``lag`` over
-    arrival), the stored one for the first.  A pair is effective when that location
-    differs from the event's; ``round`` numbers the effective pairs of an offer in arrival
-    order, so offers with several effective events in one batch are applied round by
-    round, exactly as sequential processing would.
+    sees is therefore the previous event's location for the same offer, the stored one for
+    the first.  A pair is effective when that location differs from the event's; ``round``
+    numbers the effective pairs of an offer in arrival order, so offers with several
+    effective events in one batch are applied round by round, exactly as sequential
+    processing would.
     """
     found = looked.filter(F.col("found")).dropDuplicates(["event_id", "offer_id"])
-    w = Window.partitionBy("offer_id").orderBy("arrival", "event_id")
-    prev = (F.when(F.row_number().over(w) == 1, F.col("stored_location"))
-            .otherwise(F.lag("location").over(w)))
-    eff = (found.withColumn("prev_location", prev)
-           .withColumn("effective", ~F.col("location").eqNullSafe(F.col("prev_location"))))
-    so_far = F.sum(F.col("effective").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return eff.withColumn("round", F.when(F.col("effective"), so_far.cast("int")))
+    stored = found.groupBy("offer_id").agg(F.first("stored_location").alias("location"))
+    steps = found.withColumns({"is_list": F.lit(True), "sets": F.lit(True)}).unionByName(
+        stored.withColumns({"is_list": F.lit(False), "sets": F.lit(True)}), allowMissingColumns=True)
+    # The stored row has no arrival and sorts first.
+    return running_locations(steps, ["arrival", "event_id"]).filter("is_list").drop("is_list", "sets")
 
 
 # -- the delta (C10, SET2, SET3, J3) -------------------------------------------------
-def audience_spells(current: DataFrame, targets: DataFrame, new_members: DataFrame,
-                    n_targets: int | None = None) -> DataFrame:
+def audience_spells(current: DataFrame, targets: DataFrame, new_members: DataFrame) -> DataFrame:
     """For how long each member stays in the audience of each target offer, over a batch.
 
     ``current``: stored audience, one row per (offer_id, membership_uuid).  ``targets``:
     (offer_id, round, list_key), the effective lists of an offer numbered from 1 in arrival
     order.  ``new_members``: resolved list members (list_key, membership_uuid, membership_id,
     propensity).  Where both carry the ``offer_source`` that a list was read for, they meet
-    on (list_key, offer_source).  ``n_targets``: the rows of ``targets`` where they are known,
-    so that no size check counts them again.
+    on (list_key, offer_source).
 
     A member is present in round 0 if stored and in every round whose list holds the member;
     a run of consecutive rounds is one spell, whose row is that of its first round, as it
@@ -167,9 +165,8 @@ def audience_spells(current: DataFrame, targets: DataFrame, new_members: DataFra
     by = ["list_key"] + ["offer_source"] * ("offer_source" in targets.columns and "offer_source" in new_members.columns)
     cols = [*key, "membership_id", "propensity", "round", "last_round"]
     last = targets.groupBy("offer_id").agg(F.max("round").alias("last_round"))
-    listed = join_small(new_members, targets.select("offer_id", "round", *by).join(last, "offer_id"), by,
-                        small_rows=n_targets)
-    stored = join_small(current, last, "offer_id", small_rows=n_targets).withColumn("round", F.lit(0))
+    listed = new_members.join(targets.select("offer_id", "round", *by).join(last, "offer_id"), by)
+    stored = current.join(last, "offer_id").withColumn("round", F.lit(0))
     present = listed.select(*cols).unionByName(stored.select(*cols))
     run = F.col("round") - F.dense_rank().over(Window.partitionBy(*key).orderBy("round"))
     first = F.min(F.struct("round", "membership_id", "propensity"))
@@ -189,13 +186,11 @@ def spell_changes(spells: DataFrame) -> DataFrame:
     return adds.select(*cols).unionByName(dels.select(*cols))
 
 
-def audience_after(current: DataFrame, targets: DataFrame, spells: DataFrame,
-                   n_targets: int | None = None) -> DataFrame:
+def audience_after(current: DataFrame, targets: DataFrame, spells: DataFrame) -> DataFrame:
     """The stored audience after the batch: other offers' rows as they are, and of the target
     offers the spells that reach the last round (K5 + K1)."""
     cols = ["offer_id", "membership_uuid", "membership_id", "propensity"]
-    others = join_small(current, targets.select("offer_id").distinct(), "offer_id", "left_anti",
-                        small_rows=n_targets)
+    others = current.join(targets.select("offer_id").distinct(), "offer_id", "left_anti")
     return others.select(*cols).unionByName(spells.filter("to_round = last_round").select(*cols))
 
 

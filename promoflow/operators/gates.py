@@ -42,11 +42,8 @@ def gate(offer_events: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFra
     fails the event (the original loop raised on it).
     """
     p = "e.payload"
-    has_members = F.coalesce(F.array_contains("payload_keys", "memberDetails"), F.lit(False))
-    g1 = (F.col("source_label") != S.SOURCE_BROADREACH.lower()) & ~has_members
-    # By its raw type: the text "1" is not the number 1.
-    count = F.from_json(F.get_json_object("raw", "$.payload.memberDetails"), "memberListCount double")["memberListCount"]
-    g2 = has_members & ~count.eqNullSafe(F.lit(1.0))
+    g1 = (F.col("source_label") != S.SOURCE_BROADREACH.lower()) & ~F.col("has_members")
+    g2 = F.col("has_members") & ~F.col("one_member")  # by its raw type: the text "1" is not the number 1
     g3 = any_label_in(F.col(f"{p}.labels"), cfg.blocked_labels)
     no_awards = F.col(f"{p}.awardList").isNull()
     g4 = F.size(trimmed_awards(F.col(f"{p}.awardList"))) == 0

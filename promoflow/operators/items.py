@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promoflow.functions.columns import first_element
-from promoflow.operators.joins import join_small
 from promoflow.settings import DEFAULT_CONFIG, EngineConfig
 
 
@@ -42,28 +41,39 @@ def referenced_payloads(offer_events: DataFrame) -> DataFrame:
                     F.col("ip.itemBigListURL").alias("list_key")))
 
 
+def bad_item_numbers() -> Column:
+    """A referenced inline list holds a value that is no item number."""
+    return (F.col("list_type") == "list") & F.coalesce(
+        F.exists("item_list", lambda x: x.try_cast("bigint").isNull()), F.lit(False))
+
+
 def inline_items(payloads: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Items of ``list`` payloads (C2): (event_id, offer_id, item_text, item_type)."""
+    """Items of ``list`` payloads (C2): (event_id, offer_id, item_number, item_type)."""
     return (payloads.filter(F.col("list_type") == "list")
-            .select("event_id", "offer_id", F.explode("item_list").alias("item_text"),
+            .select("event_id", "offer_id", F.explode("item_list").alias("item"),
                     item_type_mapping(F.col("payload_item_type"), cfg).alias("item_type"))
+            .filter(F.col("item_type").isNotNull())
+            .select("event_id", "offer_id", F.col("item").try_cast("bigint").alias("item_number"), "item_type"))
+
+
+def biglist_numbers(item_rows: DataFrame) -> DataFrame:
+    """(list_key, item_number) of item files (list_key, c0, c1): the first column is the item
+    number in every layout (a second, propensity column is dropped)."""
+    return item_rows.select("list_key", F.col("c0").try_cast("bigint").alias("item_number"))
+
+
+def biglist_payloads(payloads: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
+    """(event_id, offer_id, list_key, item_type) of referenced big-list payloads."""
+    return (payloads.filter(F.col("list_type") != "list")
+            .select("event_id", "offer_id", "list_key", item_type_mapping(F.col("payload_item_type"), cfg).alias("item_type"))
             .filter(F.col("item_type").isNotNull()))
 
 
 def biglist_items(payloads: DataFrame, item_rows: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Items of big-list payloads (C3), joined to the file rows by list key.
-
-    ``item_rows``: (list_key, c0, c1) of item files; the first column is the item number
-    in every layout (a second, propensity column is dropped).  The payload table is
-    small (one row per referenced payload) and is broadcast after a size check, so one
-    huge file spreads over all tasks of the file scan.
-    """
-    big = (payloads.filter(F.col("list_type") != "list")
-           .select("event_id", "offer_id", "list_key",
-                   item_type_mapping(F.col("payload_item_type"), cfg).alias("item_type"))
-           .filter(F.col("item_type").isNotNull()))
-    rows = item_rows.select("list_key", F.col("c0").alias("item_text"))
-    return join_small(rows, big, "list_key").select("event_id", "offer_id", "item_text", "item_type")
+    """Items of big-list payloads (C3), joined to the file rows by list key: (event_id,
+    offer_id, item_number, item_type)."""
+    return biglist_numbers(item_rows).join(biglist_payloads(payloads, cfg), "list_key").select(
+        "event_id", "offer_id", "item_number", "item_type")
 
 
 def excluded_items(catalogue: DataFrame, category: int) -> DataFrame:
@@ -76,19 +86,21 @@ def excluded_items(catalogue: DataFrame, category: int) -> DataFrame:
 
 def exclude_items(items: DataFrame, catalogue: DataFrame, category: int) -> DataFrame:
     """Drop items of the excluded category (SET1 + J2 as one anti join); NULL numbers drop."""
-    ex = excluded_items(catalogue, category)
-    return join_small(items.filter(F.col("item_number").isNotNull()), ex, "item_number", "left_anti")
+    return items.filter(F.col("item_number").isNotNull()).join(excluded_items(catalogue, category), "item_number", "left_anti")
 
 
 def offer_items(offer_events: DataFrame, item_rows: DataFrame, catalogue: DataFrame,
                 cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
     """All items of each event (C5): (event_id, item_number, item_type, offer_id, product_id).
 
-    Repeated items stay repeated (UNION ALL), like the original union of chunks.
+    Repeated items stay repeated (UNION ALL), like the original union of chunks.  The lines
+    of a file are cast and cleared of the excluded category once, before the events that name
+    the file fan them out.
     """
     pl = referenced_payloads(offer_events)
-    both = inline_items(pl, cfg).unionByName(biglist_items(pl, item_rows, cfg))
-    typed = both.select("event_id", "offer_id", F.col("item_text").try_cast("bigint").alias("item_number"),
-                        "item_type")
-    kept = exclude_items(typed, catalogue, cfg.excluded_category)
-    return kept.select("event_id", "item_number", "item_type", "offer_id", F.lit("").alias("product_id"))
+    clear = lambda df: exclude_items(df, catalogue, cfg.excluded_category)
+    big = biglist_payloads(pl, cfg)
+    files = clear(biglist_numbers(item_rows).join(big.select("list_key").distinct(), "list_key", "left_semi"))
+    cols = ["event_id", "offer_id", "item_number", "item_type"]
+    both = clear(inline_items(pl, cfg)).select(*cols).unionByName(files.join(big, "list_key").select(*cols))
+    return both.select("event_id", "item_number", "item_type", "offer_id", F.lit("").alias("product_id"))

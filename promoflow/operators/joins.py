@@ -1,18 +1,18 @@
-"""Batch-sized tables kept in the shared folder, and joins with a small side."""
+"""Batch-sized tables kept in the shared folder.
+
+No join is hinted: the size of a kept table is known in bytes when the join is planned, so
+Spark broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides
+beyond it, where adaptive execution splits skewed keys.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from promoflow.session import checkpoint_dir
 
-# Rows of a narrow control table (ids and list names) with a known count that we are
-# willing to ship to every executor: some 200 MB.
-MAX_BROADCAST_ROWS = 2_000_000
-
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to a new table in the shared folder and read back.
@@ -25,18 +25,3 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/work-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = MAX_BROADCAST_ROWS, small_rows: int | None = None) -> DataFrame:
-    """Join ``big`` to a side expected to be small.
-
-    The small side is kept, so its size in bytes is known when the join is planned: below
-    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast and a hot key of ``big`` never
-    lands in one task, beyond it both sides are shuffled and adaptive execution splits
-    skewed partitions.  Where ``small`` is made of narrow tables kept already, their row
-    count is passed in as ``small_rows`` and decides alike, without another write.
-    """
-    if small_rows is None:
-        return big.join(kept(small, "small"), on, how)
-    return big.join(F.broadcast(small) if small_rows <= max_rows else small, on, how)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from promoflow import settings as S
 from promoflow.functions import columns as C
-from promoflow.operators.joins import join_small
 
 
 def normalise_times(offer_events: DataFrame, default_zone: str = S.DEFAULT_TIME_ZONE) -> DataFrame:
@@ -25,18 +24,16 @@ def member_list_location() -> Column:
     return C.joined_text_or_empty(F.col("e.payload.memberDetails.membersPayload.memberBigListURL"))
 
 
-def project_offers(offer_events: DataFrame, club_lists: DataFrame | None = None) -> DataFrame:
+def project_offers(offer_events: DataFrame) -> DataFrame:
     """Flat offer rows (P1-P5) from normalised events with trimmed ``awards``.
 
-    ``club_lists``: (event_id, club_list ARRAY<BIGINT>) from store resolution; events
-    without an entry keep a NULL list.  The result keeps ``event_id`` and ``arrival``.
+    ``club_list`` is that of store resolution where the events carry it, else the inline
+    lists as sent.  The result keeps ``event_id`` and ``arrival``.
     """
     p = "e.payload"
     awards = F.col("awards")
     df = offer_events
-    if club_lists is not None:
-        df = df.join(club_lists, "event_id", "left")
-    else:
+    if "club_list" not in df.columns:
         df = df.withColumn("club_list", C.long_array(C.flatten_lists(F.col(f"{p}.clubDetails.clubsPayload.clubList"))))
     return df.select(
         "event_id", "arrival",
@@ -90,34 +87,51 @@ def source_conflicts(accepted: DataFrame, stored: DataFrame) -> DataFrame:
 
     An offer's source never changes once created: it is the stored one, or for a new
     offer the source of its first usable event in arrival order.  ``accepted``:
-    (event_id, arrival, offer_id, offer_source), and ``missing_list`` for events whose
-    file is missing, which create nothing and so fix no source; returns it with
+    (event_id, arrival, offer_id, offer_source), and ``missing_list`` or ``fault`` for events
+    that fail, which create nothing and so fix no source; returns it with
     ``stored_source``, ``fixed_source``, ``conflict`` and ``message``.  The per-offer source is a partial
-    aggregate (hot offers are reduced map-side) joined back with a size-checked broadcast.
+    aggregate (hot offers are reduced map-side) joined back.
     """
     at = F.struct("arrival", "event_id")
-    usable = F.col("missing_list").isNull() if "missing_list" in accepted.columns else F.lit(True)
+    usable = F.lit(True)
+    for c in {"missing_list", "fault"} & set(accepted.columns):
+        usable = usable & F.col(c).isNull()
     first = accepted.groupBy("offer_id").agg(
         F.min_by("offer_source", F.when(usable, at)).alias("first_source"), F.min(F.when(usable, at)).alias("first_at"))
     st = stored.select("offer_id", F.col("offer_source").alias("stored_source"))
     fixed = (first.join(st, "offer_id", "left")
              .select("offer_id", "stored_source", "first_at",
                      F.coalesce("stored_source", "first_source").alias("fixed_source")))
-    x = join_small(accepted, fixed, "offer_id", "left")
+    x = accepted.join(fixed, "offer_id", "left")
     created = F.col("stored_source").isNotNull() | F.coalesce(at > F.col("first_at"), F.lit(False))
     conflict = created & ~F.col("offer_source").eqNullSafe(F.col("fixed_source"))
     msg = F.format_string(S.SOURCE_CONFLICT_FORMAT, F.col("fixed_source"), F.col("offer_id").cast("string"))
     return x.withColumn("conflict", conflict).withColumn("message", F.when(conflict, msg)).drop("first_at")
 
 
-def missing_lists(offer_events: DataFrame, available: DataFrame) -> DataFrame:
-    """(event_id, missing_list) for events whose item or store big-list file is not among
-    ``available`` (list_key) files.  Item files count when their payload is referenced by
-    the first award; store files when the payload is a big list."""
-    from promoflow.operators.items import referenced_payloads
-    from promoflow.operators.sites import site_payloads
-    items = referenced_payloads(offer_events).filter(F.col("list_type") != "list").select("event_id", "list_key")
-    stores = site_payloads(offer_events).filter(F.col("kind") == "biglist").select("event_id", "list_key")
-    needed = items.unionByName(stores)
-    miss = needed.join(available.select("list_key").distinct(), "list_key", "left_anti")
-    return miss.groupBy("event_id").agg(F.min("list_key").alias("missing_list"))
+def list_faults(offer_events: DataFrame, available: DataFrame | None, item_rows: DataFrame, store_rows: DataFrame) -> DataFrame:
+    """(event_id, missing_list, fault) of the events that name a list they cannot be applied
+    with.
+
+    ``missing_list``: a big-list file that is not among ``available`` (list_key).  ``fault``:
+    a file or an inline list holds a value that is no whole number, or a store part was sent
+    as null.  Item lists count when their payload is referenced by the first award.  Of every
+    file only its key and whether it is bad leave the scan.
+    """
+    from promoflow.operators.items import bad_item_numbers, referenced_payloads
+    from promoflow.operators.sites import bad_store_ids, store_files_named
+    payloads = referenced_payloads(offer_events)
+    needed = payloads.filter(F.col("list_type") != "list").select("event_id", "list_key").unionByName(store_files_named(offer_events))
+    bad = (item_rows.select("list_key", "c0").unionByName(store_rows.select("list_key", "c0"))
+           .filter(F.col("c0").try_cast("bigint").isNull()).select("list_key").distinct())
+    said = lambda what: F.format_string(S.BAD_VALUE_FORMAT, what)
+    none = F.lit(None).cast("string")
+    found = needed.join(bad, "list_key").select("event_id", none.alias("missing_list"), said(F.col("list_key")).alias("fault"))
+    if available is not None:
+        gone = needed.join(available.select("list_key").distinct(), "list_key", "left_anti")
+        found = found.unionByName(gone.select("event_id", F.col("list_key").alias("missing_list"), none.alias("fault")))
+    own = offer_events.select("event_id", F.when(F.size("nulls") > 0, F.format_string(S.NULL_PART_FORMAT, F.get("nulls", F.lit(0))))
+                              .when(bad_store_ids(), said(F.lit("clubList"))).alias("fault"))
+    items = payloads.filter(bad_item_numbers()).select("event_id", said(F.lit("itemList")).alias("fault"))
+    inline = own.filter(F.col("fault").isNotNull()).unionByName(items).select("event_id", none.alias("missing_list"), "fault")
+    return found.unionByName(inline).groupBy("event_id").agg(F.min("missing_list").alias("missing_list"), F.min("fault").alias("fault"))

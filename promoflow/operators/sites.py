@@ -2,20 +2,24 @@
 
 Store lists come in four forms: an inline list, a big-list file (included or excluded
 stores), a standard list (all stores, Puerto Rico only, all but Puerto Rico) and, for
-online-only offers without any store payload, the online store.  The directory of
-active stores is small (thousands of rows) and is broadcast after a size check; the
-standard lists are an equi-join on the list name, and an exclusion file is "all stores
-of the ALL list" minus the file, an anti join on (event, payload, store).
+online-only offers without any store payload, the online store.  Every payload names its
+set by a key, computed in the event's own row; an event's keys together are its combination.
+Each distinct set is resolved once, as bitmaps of store positions by bucket (an exclusion
+file is the ALL bitmap less the file's), each distinct combination once, and events only
+join the combinations: no event x store rows are made on the way.
+
+A store that one list names twice is in its set once; one that two payloads name is in the
+event's list twice, as the payloads are concatenated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promoflow import settings as S
 from promoflow.functions import columns as C
-from promoflow.operators.joins import join_small
+from promoflow.operators.joins import kept
 
 
 def active_sites(directory: DataFrame) -> DataFrame:
@@ -40,131 +44,164 @@ def standard_site_lists(sites: DataFrame) -> DataFrame:
     return all_.unionByName(pr).unionByName(us)
 
 
-def site_payloads(offer_events: DataFrame) -> DataFrame:
-    """One row per store payload: (event_id, offer_id, pos, kind, list_name, club_list,
-    list_key, inclusion, base_list).
+#: Bits of one bitmap, of the words it is read by, and of a byte.
+_BITMAP, _WORD, _BYTE = 32_768, 32, 8
+ALL_KEY = f"S:{S.STANDARD_LIST_ALL}"
+ONLINE_KEY = "O:"
 
-    ``base_list`` names the standard list a payload starts from: its own list for a
-    standard payload, the ALL list for an exclusion file (whose stores are then taken
-    out), none otherwise.  It is a per-row value, so joining on it is a real equi-join.
-    """
-    p = "e.payload"
-    x = offer_events.select(
-        "event_id", F.col(f"{p}.promotionNumber").try_cast("bigint").alias("offer_id"),
-        F.posexplode(f"{p}.clubDetails.clubsPayload").alias("pos", "cp")).select(
-        "event_id", "offer_id", "pos",
-        F.lower(F.coalesce(F.col("cp.clubType"), F.lit(""))).alias("kind"),
-        F.col("cp.bigListName").alias("list_name"),
-        F.col("cp.clubList").alias("club_list"),
-        F.col("cp.clubBigListURL").alias("list_key"),
-        F.col("cp.clubInclusion").alias("inclusion"))
-    base = (F.when(F.col("kind") == "standard", F.col("list_name"))
-            .when((F.col("kind") == "biglist") & (F.col("inclusion") == F.lit(False)), F.lit(S.STANDARD_LIST_ALL)))
-    return x.withColumn("base_list", base)
-
-
-def from_standard_lists(payloads: DataFrame, std_lists: DataFrame) -> DataFrame:
-    """Stores of each payload's base list: an equi-join on the list name with the small,
-    size-checked standard-list table.  (event_id, offer_id, pos, club_id)."""
-    std = std_lists.withColumnRenamed("list_name", "base_list")
-    return join_small(payloads.filter(F.col("base_list").isNotNull()), std, "base_list").select(
-        "event_id", "offer_id", "pos", "club_id")
-
-
-def complement_site_list(excluding: DataFrame, file_sites: DataFrame, std_lists: DataFrame) -> DataFrame:
-    """All active stores minus the listed ones, per exclusion payload.
-
-    ``excluding``: exclusion payloads with ``base_list``; ``file_sites``: (event_id, pos,
-    club_id) of those payloads' files.  The ALL list of each payload minus its file is an
-    anti join on (event, payload, store).
-    """
-    every = from_standard_lists(excluding, std_lists)
-    return every.join(file_sites.select("event_id", "pos", "club_id"), ["event_id", "pos", "club_id"],
-                      "left_anti")
 
+def _no_stores() -> Column:
+    return F.array().cast("array<bigint>")
 
-def site_list_arrays(std_lists: DataFrame) -> DataFrame:
-    """(base_list, clubs): each standard list as one sorted array.
 
-    Store lists are bounded by the store directory (thousands of stores), so each list
-    fits one row; the table has one row per standard list and is broadcast.
-    """
-    return (std_lists.groupBy("list_name").agg(F.sort_array(F.collect_list("club_id")).alias("base_clubs"))
-            .withColumnRenamed("list_name", "base_list"))
+def inline_stores(payload: Column) -> Column:
+    """The stores of an inline list as a sorted set; values that are no ids are left out
+    (events that hold one fail, see ``bad_values``)."""
+    return F.sort_array(F.array_distinct(F.filter(C.long_array(F.coalesce(payload["clubList"], F.array())), lambda c: c.isNotNull())))
 
 
-def file_site_arrays(store_rows: DataFrame, list_keys: DataFrame) -> DataFrame:
-    """(list_key, file_clubs): the store ids of each needed store file as one array.
+def set_key(payload: Column) -> Column:
+    """Name of the set of stores a payload stands for: ``S:`` standard list, ``F:`` file,
+    ``X:`` all stores but a file's, ``L:`` inline list; NULL for a file payload that says
+    neither in nor out, which has no stores."""
+    kind = F.lower(F.coalesce(payload["clubType"], F.lit("")))
+    url, inside = F.coalesce(payload["clubBigListURL"], F.lit("")), payload["clubInclusion"]
+    return (F.when(kind == "standard", F.concat(F.lit("S:"), F.coalesce(payload["bigListName"], F.lit(""))))
+            .when(kind == "biglist", F.when(inside, F.concat(F.lit("F:"), url)).when(~inside, F.concat(F.lit("X:"), url)))
+            .otherwise(F.concat(F.lit("L:"), F.sha2(F.array_join(inline_stores(payload), ",").cast("binary"), 256))))
 
-    Only files named by a payload are read (semi join on the small key table); a store
-    file is a subset of the store directory, which bounds the array size.
-    """
-    rows = join_small(store_rows.select("list_key", F.col("c0").try_cast("bigint").alias("club_id")),
-                      list_keys.select("list_key").distinct(), "list_key", "left_semi")
-    return rows.groupBy("list_key").agg(F.collect_list("club_id").alias("file_clubs"))
 
+def _only_online() -> Column:
+    return F.coalesce(F.col("e.payload.channels") == F.array(*[F.lit(c) for c in S.ONLINE_ONLY_CHANNELS]), F.lit(False))
 
-def payload_sites(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame) -> DataFrame:
-    """(event_id, offer_id, pos, clubs): the stores of every store payload.
 
-    Inline lists are cast to ids; big-list files give their stores, or for an exclusion
-    file all stores of the ALL list except them (``array_except``); standard payloads
-    give their list.  Lists are joined as whole arrays by list name or file key, so the
-    (payload x store) rows are never shuffled.
-    """
-    lists = site_list_arrays(standard_site_lists(active_sites(directory)))
-    pl = site_payloads(offer_events)
-    files = file_site_arrays(store_rows, pl.filter(F.col("kind") == "biglist"))
-    x = join_small(pl, lists, "base_list", "left")
-    x = join_small(x, files, "list_key", "left")
-    empty = F.array().cast("array<bigint>")
-    base = F.coalesce(F.col("base_clubs"), empty)
-    file_ = F.coalesce(F.col("file_clubs"), empty)
-    kind, inc = F.col("kind"), F.col("inclusion")
-    clubs = (F.when(kind == "standard", base)
-             .when((kind == "biglist") & (inc == F.lit(False)), F.array_except(base, file_))
-             .when((kind == "biglist") & (inc == F.lit(True)), file_)
-             .when(kind != "biglist", C.long_array(F.col("club_list"))))
-    return x.select("event_id", "offer_id", "pos",
-                    F.filter(F.coalesce(clubs, empty), lambda c: c.isNotNull()).alias("clubs"))
-
-
-def _only_online():
-    return F.coalesce(F.col("e.payload.channels") == F.array(*[F.lit(c) for c in S.ONLINE_ONLY_CHANNELS]),
-                      F.lit(False))
-
-
-def online_default(offer_events: DataFrame, online_site_id: int = S.ONLINE_SITE_ID) -> DataFrame:
-    """Online-only offers without any store payload go to the online store (F16)."""
-    p = "e.payload"
-    no_payload = F.col(f"{p}.clubDetails").isNull() | F.col(f"{p}.clubDetails.clubsPayload").isNull()
-    return (offer_events.filter(no_payload & _only_online())
-            .select("event_id", F.col(f"{p}.promotionNumber").try_cast("bigint").alias("offer_id"),
-                    F.lit(-1).alias("pos"), F.array(F.lit(online_site_id).cast("bigint")).alias("clubs")))
+def set_keys() -> Column:
+    """The keys of an event's store payloads in order; the online store for an online-only
+    event that sent no store payload (F16; a null one is not absent); NULL for the others."""
+    payloads = F.col("e.payload.clubDetails.clubsPayload")
+    return (F.when(payloads.isNotNull(), F.transform(payloads, set_key))
+            .when(F.col("no_stores") & _only_online(), F.array(F.lit(ONLINE_KEY))))
 
 
-def resolve_sites(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame,
-                  online_site_id: int = S.ONLINE_SITE_ID) -> DataFrame:
-    """(event_id, offer_id, club_id) for every store the offer applies to."""
-    arrays = payload_sites(offer_events, directory, store_rows).unionByName(
-        online_default(offer_events, online_site_id))
-    return arrays.select("event_id", "offer_id", F.explode("clubs").alias("club_id"))
+def set_bitmaps(rows: DataFrame) -> DataFrame:
+    """(key, bucket, bits) of (key, club_id) rows: one bitmap for 32,768 store ids, built
+    map-side, so a list of any length moves as bitmaps."""
+    return (rows.filter(F.col("club_id").isNotNull())
+            .groupBy("key", F.bitmap_bucket_number("club_id").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("club_id")).alias("bits")))
 
 
-def club_lists(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame,
+def _words(bits: Column) -> Column:
+    """The 32-bit words of a bitmap, first byte first."""
+    return F.transform(F.regexp_extract_all(F.hex(bits), F.lit("(.{8})"), F.lit(1)), lambda w: F.conv(w, 16, 10).cast("bigint"))
+
+
+def without(bits: Column, other: Column) -> Column:
+    """Bitwise difference of two bitmaps; a NULL other takes nothing out."""
+    left = F.zip_with(_words(bits), _words(other), lambda x, y: F.lpad(F.hex(x.bitwiseAND(F.bitwise_not(y))), _BYTE, "0"))
+    return F.when(other.isNull(), bits).otherwise(F.unhex(F.array_join(left, "")))
+
+
+def bitmap_stores(bits: Column, bucket: Column) -> Column:
+    """The ids of one bitmap's set bits, in no order."""
+    words = F.filter(F.transform(_words(bits), lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"] != 0)
+    places = F.flatten(F.transform(words, lambda x: F.transform(
+        F.filter(F.sequence(F.lit(0), F.lit(_WORD - 1)), lambda k: F.substr(F.lpad(F.bin(x["w"]), _WORD, "0"), k + 1, F.lit(1)) == "1"),
+        # The k-th digit from the left is bit 7 - k % 8 of the word's byte k / 8.
+        lambda k: x["i"] * _WORD + F.shiftright(k, 3) * _BYTE + (_BYTE - 1) - k % _BYTE)))
+    return F.transform(places, lambda p: F.when(bucket > 0, (bucket - 1) * _BITMAP + p + 1).otherwise(bucket * _BITMAP - p))
+
+
+def store_sets(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame,
                online_site_id: int = S.ONLINE_SITE_ID) -> DataFrame:
-    """(event_id, club_list) for events that have a store payload or the online default.
+    """(key, clubs): every distinct set that ``offer_events`` name, as a sorted array.
+    Sets are bounded by the stores there are; files that no event names are not read."""
+    sent = F.explode("e.payload.clubDetails.clubsPayload")
+    payloads = offer_events.select(sent.alias("p")).select(set_key(F.col("p")).alias("key"), F.col("p.clubBigListURL").alias("url"),
+                                                           inline_stores(F.col("p")).alias("clubs"))
+    distinct = payloads.filter(F.col("key").isNotNull()).groupBy("key").agg(F.first("url").alias("url"), F.first("clubs").alias("clubs"))
+    distinct = kept(distinct, "store-set-keys")
+    kind = F.substring("key", 1, 2)
+    named = distinct.filter(kind.isin("F:", "X:")).select(F.coalesce("url", F.lit("")).alias("list_key")).distinct()
+    in_files = (store_rows.select("list_key", F.col("c0").try_cast("bigint").alias("club_id")).join(named, "list_key", "left_semi")
+                .select(F.concat(F.lit("F:"), "list_key").alias("key"), "club_id"))
+    standard = standard_site_lists(active_sites(directory)).select(F.concat(F.lit("S:"), "list_name").alias("key"), "club_id")
+    bitmaps = kept(set_bitmaps(in_files.unionByName(standard)), "store-bitmaps")
+    wanted = distinct.filter(kind.isin("F:", "S:")).select("key").join(bitmaps, "key")
+    out = (distinct.filter(kind == "X:").select("key", F.lit(ALL_KEY).alias("whole"), F.concat(F.lit("F:"), F.coalesce("url", F.lit(""))).alias("out"))
+           .join(bitmaps.select(F.col("key").alias("whole"), "bucket", "bits"), "whole")
+           .join(bitmaps.select(F.col("key").alias("out"), "bucket", F.col("bits").alias("less")), ["out", "bucket"], "left")
+           .select("key", "bucket", without(F.col("bits"), F.col("less")).alias("bits")))
+    ids = bitmap_stores(F.col("bits"), F.col("bucket"))
+    from_bitmaps = (wanted.unionByName(out).groupBy("key").agg(F.sort_array(F.flatten(F.collect_list(ids))).alias("clubs")))
+    listed = distinct.select("key", F.when(kind == "L:", F.col("clubs")).alias("inline"))
+    return (listed.join(from_bitmaps, "key", "left").select("key", F.coalesce("inline", "clubs", _no_stores()).alias("clubs"))
+            .unionByName(offer_events.sparkSession.createDataFrame([(ONLINE_KEY, [online_site_id])], "key string, clubs array<bigint>")))
+
+
+def with_set_ids(sets: DataFrame) -> DataFrame:
+    """Sets interned by content: ``set_id`` is a digest of the stores, so lists of one
+    content, whatever they are called, share it."""
+    return sets.withColumn("set_id", F.sha2(F.array_join("clubs", ",").cast("binary"), 256))
+
+
+def event_sets(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame,
+               online_site_id: int = S.ONLINE_SITE_ID) -> tuple[DataFrame, DataFrame]:
+    """((event_id, offer_id, pos, set_id, n_clubs), (set_id, club_id)): which set each store
+    payload is, and the stores of each set, instead of a row for each event and store."""
+    sets = kept(with_set_ids(store_sets(offer_events, directory, store_rows, online_site_id)), "store-sets")
+    keys = offer_events.select("event_id", F.col("e.payload.promotionNumber").try_cast("bigint").alias("offer_id"),
+                               F.posexplode(set_keys()).alias("pos", "key"))
+    rows = keys.join(sets.select("key", "set_id", F.size("clubs").alias("n_clubs")), "key")
+    used = rows.select("set_id").distinct()
+    stores = (sets.dropDuplicates(["set_id"]).join(used, "set_id", "left_semi").select("set_id", F.explode("clubs").alias("club_id")))
+    return rows.select("event_id", "offer_id", "pos", "set_id", "n_clubs"), stores
 
-    The payload arrays of an event are concatenated and sorted; events with neither keep
-    no entry, so their ``club_list`` stays NULL.
-    """
-    arrays = payload_sites(offer_events, directory, store_rows).unionByName(
-        online_default(offer_events, online_site_id))
-    per_event = arrays.groupBy("event_id").agg(F.sort_array(F.flatten(F.collect_list("clubs"))).alias("club_list"))
-    has_payload = F.col("e.payload.clubDetails.clubsPayload").isNotNull()
-    listed = offer_events.filter(has_payload | _only_online()).select("event_id")
-    return (listed.join(per_event, "event_id", "left")
-            .select("event_id", F.coalesce("club_list", F.array().cast("array<bigint>")).alias("club_list")))
+
+def resolve_sites(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame,
+                  online_site_id: int = S.ONLINE_SITE_ID) -> DataFrame:
+    """(event_id, offer_id, club_id) for every store the offer applies to (C7): the interned
+    form written out."""
+    rows, stores = event_sets(offer_events, directory, store_rows, online_site_id)
+    return rows.join(stores, "set_id").select("event_id", "offer_id", "club_id")
+
+
+def complement_site_list(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame) -> DataFrame:
+    """(event_id, offer_id, club_id) of exclusion payloads (J4): all active stores minus the
+    listed ones, a difference of bitmaps."""
+    sets = store_sets(offer_events, directory, store_rows)
+    keys = offer_events.select("event_id", F.col("e.payload.promotionNumber").try_cast("bigint").alias("offer_id"),
+                               F.explode(set_keys()).alias("key")).filter(F.col("key").startswith("X:"))
+    return keys.join(sets, "key").select("event_id", "offer_id", F.explode("clubs").alias("club_id"))
+
+
+def with_club_lists(offer_events: DataFrame, directory: DataFrame, store_rows: DataFrame,
+                    online_site_id: int = S.ONLINE_SITE_ID) -> DataFrame:
+    """Events with ``club_list``: the stores of their payloads, concatenated and sorted; NULL
+    for events with neither store payload nor the online default.  Each distinct combination
+    of sets is put together once, and events join it by one narrow key."""
+    events = offer_events.withColumn("set_keys", set_keys()).withColumn("combination", F.to_json("set_keys"))
+    sets = store_sets(offer_events, directory, store_rows, online_site_id)
+    combos = events.filter(F.col("combination").isNotNull()).select("combination", "set_keys").dropDuplicates(["combination"])
+    parts = combos.select("combination", F.explode_outer("set_keys").alias("key")).join(sets, "key", "left")
+    lists = kept(parts.groupBy("combination").agg(
+        F.sort_array(F.flatten(F.collect_list(F.coalesce("clubs", _no_stores())))).alias("club_list")), "club-lists")
+    return events.join(lists, "combination", "left").drop("combination", "set_keys")
+
+
+def bad_store_ids() -> Column:
+    """An inline store list holds a value that is no id."""
+    def bad(p):
+        inline = ~F.lower(F.coalesce(p["clubType"], F.lit(""))).isin("standard", "biglist")
+        return inline & F.exists(F.coalesce(p["clubList"], F.array()), lambda c: c.try_cast("bigint").isNull())
+    return F.coalesce(F.exists("e.payload.clubDetails.clubsPayload", bad), F.lit(False))
+
+
+def store_files_named(offer_events: DataFrame) -> DataFrame:
+    """(event_id, list_key) of the store files events name."""
+    x = offer_events.select("event_id", F.explode("e.payload.clubDetails.clubsPayload").alias("p"))
+    return (x.filter(F.lower(F.coalesce("p.clubType", F.lit(""))) == "biglist")
+            .select("event_id", F.col("p.clubBigListURL").alias("list_key")))
 
 
 def site_overrides(offer_events: DataFrame) -> DataFrame:

@@ -29,8 +29,8 @@ def _empty(arr: Column) -> Column:
 
 
 def _wrong_type(path: str) -> Column:
-    """The text has a value there, other than null, that does not decode."""
-    return F.col(f"e.{path}").isNull() & F.get_json_object("raw", f"$.{path}").isNotNull()
+    """The event has a value there, other than null, of another type."""
+    return F.array_contains("wrong", path)
 
 
 def offer_rules(cfg: EngineConfig = DEFAULT_CONFIG) -> list[tuple[str, Column]]:
@@ -49,7 +49,7 @@ def offer_rules(cfg: EngineConfig = DEFAULT_CONFIG) -> list[tuple[str, Column]]:
     rules.append(("V4", F.coalesce(F.array_contains(col("labels"), S.LABEL_TETRIS)
                                    & F.array_contains(col("labels"), S.LABEL_TIO), F.lit(False))))
     awards = F.col("awards")
-    rules.append(("V5", F.coalesce(F.exists(awards, lambda a: blank(a["awardType"]) | blank(a["value"])
+    rules.append(("V5", _wrong_type("payload.awardList") | _wrong_type("payload.awardList.itemRefId") | F.coalesce(F.exists(awards, lambda a: blank(a["awardType"]) | blank(a["value"])
                                             | blank(a["discountMethod"])), F.lit(False))))
     rules.append(("V6", F.coalesce(F.exists(
         awards, lambda a: (a["awardType"] == F.lit(cfg.item_discount_award))

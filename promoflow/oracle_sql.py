@@ -468,6 +468,22 @@ SELECT e.event_id, e.offer_id, st.club_id FROM ev e JOIN std st ON st.list_name
 WHERE e.has_members AND e.o_orderpriority = '3-MEDIUM' AND e.o_orderstatus = 'F'
   AND NOT EXISTS (SELECT 1 FROM supplier s2 WHERE s2.s_nationkey = e.c_nationkey AND s2.s_suppkey = st.club_id)"""
 
+_SETS = """,
+sent AS (
+  SELECT DISTINCT event_id, offer_id, club_id FROM resolved),
+set_of AS (
+  SELECT e.event_id, e.offer_id,
+         sha256(coalesce(string_agg(CAST(s.club_id AS VARCHAR), ',' ORDER BY s.club_id), '')) AS set_id, COUNT(s.club_id) AS n_clubs
+  FROM ev e LEFT JOIN sent s USING (event_id)
+  WHERE e.has_members OR e.o_orderstatus = 'O' GROUP BY e.event_id, e.offer_id)
+"""
+
+ORACLE["event_site_sets"] = _with(*OFFER_BASE, SITES) + _SETS + """
+SELECT event_id, offer_id, CAST(0 AS INTEGER) AS pos, set_id, CAST(n_clubs AS INTEGER) AS n_clubs FROM set_of"""
+
+ORACLE["site_sets"] = _with(*OFFER_BASE, SITES) + _SETS + """
+SELECT DISTINCT o.set_id, s.club_id FROM set_of o JOIN sent s USING (event_id)"""
+
 ORACLE["resolve_sites"] = _with(*OFFER_BASE, SITES) + "SELECT event_id, offer_id, club_id FROM resolved"
 
 _APPLY = _with(*OFFER_BASE, SITES, PROJECTION, ITEMS, OVERRIDES, APPLY)

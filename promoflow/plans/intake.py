@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from promoflow import settings as S
 from promoflow.operators.gates import gate, route_source, trim_awards
-from promoflow.operators.joins import kept
 from promoflow.operators.validate import validate_lists, validate_offers
 from promoflow.settings import DEFAULT_CONFIG, EngineConfig
 from promoflow.sources.events import decode_events, first_offer_id, route_event_kind
@@ -18,18 +17,18 @@ from promoflow.sources.events import decode_events, first_offer_id, route_event_
 @dataclass
 class Intake:
     decoded: DataFrame        # the decoded batch, kept in the shared folder
-    dead_letters: DataFrame   # raw rows that are not a JSON object
+    dead_letters: DataFrame   # raw rows that are not one JSON object or have no event id
     offers: DataFrame         # offer events with gate columns, trimmed awards, errors, status
     lists: DataFrame          # member-list events with errors, status
     outcomes: DataFrame       # (event_id, arrival, kind, oid, source_label, status, reason, failure_class)
 
 
-def run_intake(raw: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> Intake:
+def run_intake(raw: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG, keep_raw: bool = True) -> Intake:
     """Gate and validate a batch.  Status is SKIPPED or FAILED with a reason, or
-    PROCESSING for events ready to be applied (audit first, gates, trim, validation)."""
-    good, bad = decode_events(raw)
-    # The decoded batch feeds both routes, the audit and the apply plans: keep it once.
-    good = kept(first_offer_id(good), "decoded")
+    PROCESSING for events ready to be applied (audit first, gates, trim, validation).
+    The texts are kept for the audit; without ``keep_raw`` they end at the parser."""
+    good, bad = decode_events(raw, keep_raw)
+    good = first_offer_id(good)
     offers, lists = route_event_kind(good)
     offers = validate_offers(trim_awards(gate(route_source(offers), cfg)), cfg)
     failed, ready = F.lit(cfg.status_failed), F.lit(cfg.status_processing)

@@ -46,9 +46,8 @@ def apply_effective(effective: DataFrame, member_offers: DataFrame, member_files
     changes, the stored audience and the views are read from them."""
     members = resolved_members_for(effective, member_files, cards)
     targets = kept(effective_targets(effective), "targets")
-    n = targets.count()
-    spells = kept(A.audience_spells(member_offers, targets, members, n), "spells")
-    return members, spells, A.audience_after(member_offers, targets, spells, n)
+    spells = kept(A.audience_spells(member_offers, targets, members), "spells")
+    return members, spells, A.audience_after(member_offers, targets, spells)
 
 
 def look_up_list_batch(decoded_list_events: DataFrame, offers: DataFrame,

@@ -30,7 +30,13 @@ class OfferBatch:
     outcomes: DataFrame     # (event_id, arrival, oid, status, comments)
 
 
-def check_offer_batch(ready: DataFrame, stored_offers: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG,
+def applicable(checked: DataFrame) -> DataFrame:
+    """The checked events that change the stored tables."""
+    return checked.filter(~F.col("conflict") & F.col("missing_list").isNull() & F.col("fault").isNull())
+
+
+def check_offer_batch(ready: DataFrame, stored_offers: DataFrame, item_rows: DataFrame, store_rows: DataFrame,
+                      cfg: EngineConfig = DEFAULT_CONFIG,
                       available_lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(events, checked, outcomes) of ready offer events: what the audit needs, without
     planning any item, store or override rows."""
@@ -38,20 +44,18 @@ def check_offer_batch(ready: DataFrame, stored_offers: DataFrame, cfg: EngineCon
         "offer_id", F.col("e.payload.promotionNumber").try_cast("bigint"))
     # Batch-sized control tables, read by several size checks and sub-plans: kept once.
     accepted = ev.select("event_id", "arrival", "offer_id", "offer_source", O.member_list_location().alias("location"))
-    if available_lists is not None:
-        accepted = accepted.join(O.missing_lists(ev, available_lists), "event_id", "left")
-    else:
-        accepted = accepted.withColumn("missing_list", F.lit(None).cast("string"))
+    accepted = accepted.join(O.list_faults(ev, available_lists, item_rows, store_rows), "event_id", "left")
     checked = kept(O.source_conflicts(accepted, stored_offers), "checked")
     ok = F.format_string(S.OFFER_DONE_FORMAT, F.col("offer_id").cast("string"))
     blob = F.col("missing_list").isNotNull() & ~F.col("conflict")
+    fault = F.col("fault").isNotNull() & ~F.col("conflict")
     outcomes = checked.select(
         "event_id", "arrival", F.col("offer_id").cast("string").alias("oid"),
-        F.when(blob, F.lit(cfg.status_failed)).otherwise(F.lit(cfg.status_processed)).alias("status"),
+        F.when(blob | fault, F.lit(cfg.status_failed)).otherwise(F.lit(cfg.status_processed)).alias("status"),
         F.when(blob, F.concat(F.lit("blob: "), F.coalesce("missing_list", F.lit("")),
                               F.lit(" could not be read")))
-        .otherwise(F.coalesce(F.col("message"), ok)).alias("comments"),
-        F.when(blob, F.lit(S.CLASS_BLOB)).alias("failure_class"))
+        .when(fault, F.col("fault")).otherwise(F.coalesce(F.col("message"), ok)).alias("comments"),
+        F.when(blob, F.lit(S.CLASS_BLOB)).when(fault, F.lit(S.CLASS_OTHER)).alias("failure_class"))
     return ev, checked, outcomes
 
 
@@ -65,16 +69,15 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
     the state after the batch is that of the offer's last such event, so only that one
     is materialised.  Conflicting events change nothing and end with a message.  Events
     that need a big-list file that is not among ``available_lists`` (list_key) fail
-    (BlobReadError) and change nothing either; the source check comes first, as in the
-    original order of steps.  Without a manifest the caller answers for every named file
+    (BlobReadError) and change nothing either, and so do those with a list that holds a value
+    that is no id or number; the source check comes first, as in the original order of steps.  Without a manifest the caller answers for every named file
     being there; whatever writes stored tables passes one.
     """
-    ev, checked, outcomes = check_offer_batch(ready, stored_offers, cfg, available_lists)
-    usable = checked.filter(~F.col("conflict") & F.col("missing_list").isNull())
-    last = O.latest_per_offer(usable.select("event_id", "arrival", "offer_id"))
+    ev, checked, outcomes = check_offer_batch(ready, stored_offers, item_rows, store_rows, cfg, available_lists)
+    last = O.latest_per_offer(applicable(checked).select("event_id", "arrival", "offer_id"))
     applied = kept(ev.join(last.select("event_id"), "event_id", "left_semi").drop("raw"), "applied")
 
-    offers_new = O.project_offers(applied, ST.club_lists(applied, directory, store_rows, cfg.online_site_id))
+    offers_new = O.project_offers(ST.with_club_lists(applied, directory, store_rows, cfg.online_site_id))
     items_new = I.offer_items(applied, item_rows, catalogue, cfg)
     overrides_new = ST.site_overrides(applied)
 

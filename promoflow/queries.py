@@ -21,7 +21,6 @@ from promoflow.operators import offers as O
 from promoflow.operators import sites as ST
 from promoflow.operators import validate as V
 from promoflow.operators.audit import current_status, failure_report
-from promoflow.operators.joins import kept
 from promoflow.operators.serve import member_view, sink_batches
 from promoflow.plans.audit_batch import audit_rows, failures, list_event_outcomes
 from promoflow.plans.intake import run_intake
@@ -190,14 +189,14 @@ def _raw_batch(spark, d, with_junk: bool = False) -> DataFrame:
 
 
 def _offer_events(spark, d, trimmed: bool = True) -> DataFrame:
-    good, _ = decode_events(TB.offer_events_raw(spark, d))
-    offers, _ = route_event_kind(kept(good, "decoded"))
+    good, _ = decode_events(TB.offer_events_raw(spark, d), keep_raw=False)
+    offers, _ = route_event_kind(good)
     offers = G.route_source(offers)
     return G.trim_awards(offers) if trimmed else offers
 
 
 def _intake(spark, d):
-    return run_intake(_raw_batch(spark, d))
+    return run_intake(_raw_batch(spark, d), keep_raw=False)
 
 
 def _offer_batch(spark, d):
@@ -257,8 +256,7 @@ def q_trim_awards(spark, d):
 
 @query("validate_events")
 def q_validate_events(spark, d):
-    good, _ = decode_events(_raw_batch(spark, d))
-    good = kept(good, "decoded")
+    good, _ = decode_events(_raw_batch(spark, d), keep_raw=False)
     offers, lists = route_event_kind(good)
     v_off = V.validate_offers(G.trim_awards(offers))
     v_lst = V.validate_lists(lists)
@@ -283,7 +281,7 @@ def q_event_time_normalise(spark, d):
 
 def _projected(spark, d):
     ev = O.normalise_times(_offer_events(spark, d))
-    return O.project_offers(ev, ST.club_lists(ev, TB.site_directory(spark, d), TB.store_files(spark, d)))
+    return O.project_offers(ST.with_club_lists(ev, TB.site_directory(spark, d), TB.store_files(spark, d)))
 
 
 def _offer_text(df):
@@ -315,7 +313,7 @@ def q_expired_offers(spark, d):
 @query("offer_items_inline")
 def q_offer_items_inline(spark, d):
     return I.inline_items(I.referenced_payloads(_offer_events(spark, d))).select(
-        "event_id", "offer_id", F.col("item_text").try_cast("bigint").alias("item_number"), "item_type")
+        "event_id", "offer_id", "item_number", "item_type")
 
 
 @query("item_type_mapping")
@@ -331,7 +329,7 @@ def q_item_type_mapping(spark, d):
 def q_offer_items_biglist(spark, d):
     pl = I.referenced_payloads(_offer_events(spark, d))
     return I.biglist_items(pl, TB.item_files(spark, d)).select(
-        "event_id", "offer_id", F.col("item_text").try_cast("bigint").alias("item_number"), "item_type")
+        "event_id", "offer_id", "item_number", "item_type")
 
 
 @query("offer_items_all")
@@ -371,13 +369,21 @@ def q_standard_site_lists(spark, d):
 
 @query("complement_site_list")
 def q_complement_site_list(spark, d):
-    ev = _offer_events(spark, d)
-    pl = ST.site_payloads(ev)
-    big = pl.filter((F.col("kind") == "biglist") & (F.col("inclusion") == F.lit(False)))
-    files = TB.store_files(spark, d).select("list_key", F.col("c0").try_cast("bigint").alias("club_id"))
-    file_sites = files.join(big.select("event_id", "pos", "list_key"), "list_key")
-    std = ST.standard_site_lists(ST.active_sites(TB.site_directory(spark, d)))
-    return ST.complement_site_list(big, file_sites, std).select("event_id", "offer_id", "club_id")
+    return ST.complement_site_list(_offer_events(spark, d), TB.site_directory(spark, d), TB.store_files(spark, d))
+
+
+@query("event_site_sets")
+def q_event_site_sets(spark, d):
+    """Which interned set of stores each store payload is."""
+    rows, _ = ST.event_sets(_offer_events(spark, d), TB.site_directory(spark, d), TB.store_files(spark, d))
+    return rows
+
+
+@query("site_sets")
+def q_site_sets(spark, d):
+    """The stores of every set that the events of the batch use, each set once."""
+    _, stores = ST.event_sets(_offer_events(spark, d), TB.site_directory(spark, d), TB.store_files(spark, d))
+    return stores
 
 
 @query("resolve_sites")
@@ -432,8 +438,8 @@ def _audited_batch(spark, d):
     """(intake, audit rows) of one whole batch: outcomes are planned, stored rows are not."""
     it = run_intake(_raw_batch(spark, d))
     ready = lambda events: events.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
-    _, _, done = check_offer_batch(ready(it.offers), TB.stored_offers(spark, d),
-                                   available_lists=TB.available_lists(spark, d))
+    _, _, done = check_offer_batch(ready(it.offers), TB.stored_offers(spark, d), TB.item_files(spark, d),
+                                   TB.store_files(spark, d), available_lists=TB.available_lists(spark, d))
     looked = look_up_list_batch(ready(it.lists), TB.list_offers(spark, d), TB.member_lists(spark, d))
     return it, audit_rows(it, done, list_event_outcomes(looked))
 
@@ -585,7 +591,7 @@ def _mixed_state(spark, d):
 
 
 def _mixed_batch(spark, d):
-    it = run_intake(_mixed_raw(spark, d))
+    it = run_intake(_mixed_raw(spark, d), keep_raw=False)
     offers, lists = (e.filter(F.col("status") == DEFAULT_CONFIG.status_processing) for e in (it.offers, it.lists))
     return plan_mixed_batch(offers, lists, *_mixed_state(spark, d), TB.site_directory(spark, d),
                             TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d),

@@ -15,6 +15,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Of a repeated key the last value counts, as a plain JSON reader has it.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -72,6 +72,10 @@ SOURCE_CONFLICT_FORMAT = "Invalid update payload. Offer source %s of offer %s ca
 OFFER_DONE_FORMAT = "Offer %s updated successfully."
 LIST_DONE_FORMAT = "Memeberlist updated successfully of offer_ids : [%s]. Ignored processing [%s]."
 
+# Messages of our own for events that cannot be applied.
+BAD_VALUE_FORMAT = "%s holds a value that is no whole number"
+NULL_PART_FORMAT = "%s is null"
+
 # Failure classes of the failure report.
 CLASS_PAYLOAD = "PayloadError"
 CLASS_BLOB = "BlobReadError"

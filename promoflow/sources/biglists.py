@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promoflow.operators.joins import join_small
-
 _TWO_TEXT_COLUMNS = T.StructType([T.StructField("c0", T.StringType()),
                                   T.StructField("c1", T.StringType())])
 
@@ -62,7 +60,7 @@ def named_columns(lines: DataFrame, first: str, second: str) -> DataFrame:
     place = lambda name: F.array_position(F.transform("cells", F.lower), name.lower()).cast("int")
     heads = (lines.filter(_is_header("cells", first)).groupBy("file").agg(F.min("cells").alias("cells"))
              .select("file", place(first).alias("p0"), place(second).alias("p1")))
-    rows = join_small(lines.filter(~_is_header("cells", first)), heads, "file")
+    rows = lines.filter(~_is_header("cells", first)).join(heads, "file")
     at = lambda p: F.when(F.col(p) > 0, F.get("cells", F.col(p) - 1))
     return rows.select("list_key", at("p0").alias("c0"), at("p1").alias("c1"))
 

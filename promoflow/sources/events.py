@@ -1,46 +1,93 @@
 """Event intake: raw JSON text -> decoded events.
 
 A batch (or micro-batch) of events is a DataFrame with at least ``event_id``, ``arrival``
-(the order events were received in) and ``raw`` (the JSON text).  Decoding is a single
-``from_json`` against one fixed schema; key presence, which the validator needs to tell
-"absent" from "null", comes from ``json_object_keys`` on the same text.
+(the order events were received in) and ``raw`` (the JSON text).  Each text is parsed once,
+to a VARIANT; the fixed event schema, key presence, JSON nulls and wrong types are all read
+from that value, and what the operators need is kept as one table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promoflow import settings as S
+from promoflow.operators.joins import kept
 from promoflow.schemas import EVENT_ENVELOPE
 
 KIND_LIST = "list"
 KIND_OFFER = "offer"
 
+NOT_AN_OBJECT = "not one JSON object"
+NO_EVENT_ID = "no event id"
 
-def decode_events(raw_events: DataFrame, raw_col: str = "raw") -> tuple[DataFrame, DataFrame]:
-    """Split a batch into decoded events and dead letters.
+#: Optional parts of an offer event whose type is checked as sent.
+TYPED_PARTS = ("payload.awardList", "payload.memberDetails", "payload.memberDetails.membersPayload", "payload.itemDetails",
+               "payload.itemDetails.itemsPayload", "payload.clubDetails", "payload.clubDetails.clubsPayload")
+#: Parts that may be absent but not null: what reads them takes presence for a value.
+STORE_PARTS = ("payload.clubDetails", "payload.clubDetails.clubsPayload")
 
-    Dead letters are texts that are not one JSON object (malformed, empty, a bare value, an
-    array, or an object with anything after it): they cannot be audited since they name no
-    offer, and are only reported.
 
-    Decoded rows gain ``keys`` (top-level keys), ``payload_keys``, ``kind`` (``list`` when
-    the ``offerIdList`` key is present, else ``offer``) and ``e`` (the parsed envelope).
+def _is_container(v: Column) -> Column:
+    return F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
+
+
+def parse_events(raw_events: DataFrame, keep_raw: bool = True) -> DataFrame:
+    """Every row with ``dead`` (why it is no event, else NULL) and, for events, ``kind``
+    (``list`` when the ``offerIdList`` key is present, else ``offer``), ``e`` (the envelope),
+    ``has_members`` (the key is there), ``one_member`` (the member count is the number 1, as
+    sent), ``wrong`` (parts of the wrong type), ``nulls`` (store parts sent as null) and
+    ``no_stores`` (no store payload sent).  Without ``keep_raw`` only dead letters keep
+    their text.
+
+    The text is parsed inside an array and before a mark of its own, as a parser alone stops
+    after the first value: whatever follows the object breaks the syntax or moves the mark.
+    """
+    mark = F.xxhash64("raw")
+    parsed = raw_events.withColumn("v", F.try_parse_json(
+        F.concat(F.lit("["), F.col("raw"), F.lit(","), mark.cast("string"), F.lit("]"))))
+    at = lambda path, kind="variant": F.try_variant_get("v", f"$[0].{path}", kind)
+    whole = F.when(F.try_variant_get("v", "$[1]", "bigint") == mark,
+                   F.try_variant_get("v", "$[0]", EVENT_ENVELOPE.simpleString()))
+    x = parsed.withColumn("e", whole)
+    sent_null = lambda path: F.coalesce(F.is_variant_null(at(path)), F.lit(False))
+    mistyped = lambda path: at(path).isNotNull() & ~sent_null(path) & F.col(f"e.{path}").isNull()
+    refs = at("payload.awardList", "array<struct<awardType:string,itemRefId:variant>>")
+
+    def bad_refs(a):
+        r = a["itemRefId"]
+        items = F.try_variant_get(r, "$", "array<variant>")
+        odd = items.isNull() | F.exists(items, lambda i: F.is_variant_null(i) | _is_container(i))
+        return (a["awardType"] == F.lit(S.AWARD_TYPE_KEPT)) & r.isNotNull() & ~F.is_variant_null(r) & odd
+
+    count = at("payload.memberDetails.memberListCount")
+    is_number = F.schema_of_variant(count).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
+    texts = lambda cond: F.filter(F.array(*cond), lambda c: c.isNotNull())
+    is_object, has_id = F.col("e").isNotNull(), F.col("event_id").isNotNull()
+    return x.select(
+        *[F.col(c) for c in raw_events.columns if c != "raw"],
+        (F.col("raw") if keep_raw else F.when(~(is_object & has_id), F.col("raw"))).alias("raw"),
+        F.when(~is_object, NOT_AN_OBJECT).when(~has_id, NO_EVENT_ID).alias("dead"), "e",
+        F.when(at("offerIdList").isNotNull(), KIND_LIST).otherwise(KIND_OFFER).alias("kind"),
+        at("payload.memberDetails").isNotNull().alias("has_members"),
+        F.coalesce(is_number & (F.try_variant_get(count, "$", "double") == 1.0), F.lit(False)).alias("one_member"),
+        texts([*[F.when(mistyped(p), p) for p in TYPED_PARTS],
+               F.when(F.exists(refs, bad_refs), "payload.awardList.itemRefId")]).alias("wrong"),
+        texts([F.when(sent_null(p), p) for p in STORE_PARTS]).alias("nulls"),
+        (at(STORE_PARTS[1]).isNull() & ~sent_null(STORE_PARTS[0])).alias("no_stores"))
+
+
+def decode_events(raw_events: DataFrame, keep_raw: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Split a batch into decoded events and dead letters (with ``dead``, the reason).
+
+    Dead letters are texts that are not one JSON object (malformed, empty, a bare value, an
+    array, or an object with anything after it) and rows without an event id: neither can be
+    audited, and both are only reported.  The parsed batch is kept, so it is parsed once.
     """
-    raw = F.col(raw_col)
-    # The keys come from the text's first value.  In an array, alone and before a second item,
-    # the text must count as one: whatever follows it breaks the syntax or a count.
-    items = lambda end: F.json_array_length(F.concat(F.lit("["), raw, F.lit(end)))
-    alone = (items("]") == 1) & (items(",0]") == 2)
-    keyed = raw_events.withColumn("keys", F.when(alone, F.json_object_keys(raw)))
-    bad = keyed.filter(F.col("keys").isNull()).drop("keys")
-    good = (keyed.filter(F.col("keys").isNotNull())
-            .withColumn("e", F.from_json(F.col(raw_col), EVENT_ENVELOPE))
-            .withColumn("payload_keys",
-                        F.json_object_keys(F.get_json_object(F.col(raw_col), "$.payload")))
-            .withColumn("kind", F.when(F.array_contains("keys", "offerIdList"), F.lit(KIND_LIST))
-                        .otherwise(F.lit(KIND_OFFER))))
+    parsed = kept(parse_events(raw_events, keep_raw), "parsed")
+    good = parsed.filter(F.col("dead").isNull()).drop("dead")
+    bad = parsed.filter(F.col("dead").isNotNull()).select(*raw_events.columns, "dead")
     return good, bad
 
 

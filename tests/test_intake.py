@@ -94,3 +94,30 @@ def test_list_event_text_ids_are_accepted(spark):
                              ("m", {"offerIdList": ["x"], "memberBigListLocation": "m.csv"})])
     assert out["l"] == ("PROCESSING", None)
     assert out["m"] == ("FAILED", "V13")
+
+
+def award(refs):
+    return [{"awardType": "DISCOUNT_ITEM_PRICE", "value": "5", "discountMethod": "DOLLAR_OFF", "itemRefId": refs}]
+
+
+def test_item_references_of_a_wrong_type_fail(spark):
+    cases = {"text": "1", "object": {"a": 1}, "in": [{"a": 1}], "null in": [None], "fine": ["1", 2], "null": None, "none": []}
+    out, _ = outcome(spark, [(k, offer(base_payload(awardList=award(v)))) for k, v in cases.items()])
+    assert {k for k, v in out.items() if v == ("FAILED", "V5")} == {"text", "object", "in", "null in"}
+    assert {k for k, v in out.items() if v[0] == "PROCESSING"} == {"fine", "null", "none"}
+
+
+def test_events_without_an_id_are_dead_letters_and_repeated_keys_take_the_last(spark):
+    out, it = outcome(spark, [(None, offer(base_payload())), (None, offer(base_payload())), (None, "junk"),
+                              ("twice", '{"offerIdList": ["x"], "offerIdList": [1], "memberBigListLocation": "m"}')])
+    assert out == {"twice": ("PROCESSING", None)}
+    assert sorted(r["dead"] for r in it.dead_letters.collect()) == ["no event id", "no event id", "not one JSON object"]
+    assert all(r["raw"] for r in it.dead_letters.collect())
+
+
+def test_the_text_is_parsed_once(spark):
+    from promoflow.sources.events import parse_events
+    df = raw_df(spark, [("a", offer(base_payload()))])
+    plan = parse_events(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") + plan.count("try_parse_json") <= 1, plan
+    assert "from_json" not in plan and "get_json_object" not in plan and "json_object_keys" not in plan

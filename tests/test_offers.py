@@ -45,7 +45,7 @@ def rows(spark, data):
 
 def project(spark, payload):
     ev = O.normalise_times(ready(spark, [("e", offer(payload))]))
-    return O.project_offers(ev, ST.club_lists(ev, directory(spark), rows(spark, []))).first()
+    return O.project_offers(ST.with_club_lists(ev, directory(spark), rows(spark, []))).first()
 
 
 def test_two_awards_join_types_and_null_value(spark):
@@ -126,8 +126,36 @@ def test_online_only_default_store(spark):
                        ("both", offer(base_payload(channels=["D2H", "CLUB"], clubDetails=...)))])
     got = [(r["event_id"], r["club_id"]) for r in ST.resolve_sites(ev, directory(spark), rows(spark, [])).collect()]
     assert got == [("d2h", 6279)]
-    cl = {r["event_id"]: r["club_list"] for r in ST.club_lists(ev, directory(spark), rows(spark, [])).collect()}
-    assert cl == {"d2h": [6279]}
+    cl = {r["event_id"]: r["club_list"] for r in ST.with_club_lists(ev, directory(spark), rows(spark, [])).collect()}
+    assert cl == {"d2h": [6279], "both": None}
+
+
+def test_store_sets_are_bitmaps_interned_by_content(spark):
+    """Ids over several bitmaps, zero, negative and repeated ones; lists of one content share
+    their set, whatever form they come in; a store in two payloads is twice in the list."""
+    def cd(*payloads):
+        return {"clubListCount": 1, "clubsPayload": [
+            {"bigListName": "b", "clubList": [], "clubInclusion": True, **p} for p in payloads]}
+    ids = [1, 7, 8, 9, 31, 32, 33, 32_767, 32_768, 32_769, 65_536, 65_537, 1_000_000, 0, -1, -32_768]
+    files = [("s.csv", str(i), None) for i in ids * 2] + [("one.csv", "2", None), ("none.csv", "77", None)]
+    ev = ready(spark, [
+        ("file", offer(base_payload(clubDetails=cd({"clubType": "biglist", "clubBigListURL": "s.csv"})))),
+        ("list", offer(base_payload(clubDetails=cd({"clubType": "list", "clubList": [str(i) for i in ids] + ["7"]})))),
+        ("out", offer(base_payload(clubDetails=cd({"clubType": "biglist", "clubBigListURL": "one.csv", "clubInclusion": False})))),
+        ("all", offer(base_payload(clubDetails=cd({"clubType": "Standard", "bigListName": "ALL"})))),
+        ("less", offer(base_payload(clubDetails=cd({"clubType": "biglist", "clubBigListURL": "none.csv", "clubInclusion": False})))),
+        ("two", offer(base_payload(clubDetails=cd({"clubType": "list", "clubList": ["3", "1"]}, {"clubType": "list", "clubList": ["1"]}))))])
+    sets, stores = ST.event_sets(ev, directory(spark), rows(spark, files))
+    set_of = {(r["event_id"], r["pos"]): r["set_id"] for r in sets.collect()}
+    members = {}
+    for r in stores.collect():
+        members.setdefault(r["set_id"], []).append(r["club_id"])
+    assert sorted(members[set_of["file", 0]]) == sorted(ids) and set_of["file", 0] == set_of["list", 0]
+    assert sorted(members[set_of["out", 0]]) == [1, 3] and set_of["all", 0] == set_of["less", 0]
+    lists = {r["event_id"]: r["club_list"] for r in ST.with_club_lists(ev, directory(spark), rows(spark, files)).collect()}
+    assert lists["two"] == [1, 1, 3] and lists["out"] == [1, 3] and lists["file"] == sorted(ids)
+    assert {(r["event_id"], r["club_id"]) for r in ST.complement_site_list(ev, directory(spark), rows(spark, files)).collect()} == {
+        ("out", 1), ("out", 3), ("less", 1), ("less", 2), ("less", 3)}
 
 
 def test_override_times_default_and_missing_details(spark):
@@ -190,6 +218,41 @@ def test_missing_big_list_file_fails_the_event_and_changes_nothing(spark):
     assert [r["status"] for r in b.offers.collect()] == ["PUBLISHED"]   # e1 stands
 
 
+def faulty(spark, cases, store_file=(), item_file=()):
+    evs = [(f"e{i}", offer(base_payload(promotionNumber=str(i), **c))) for i, c in enumerate(cases)]
+    there = spark.createDataFrame([("s.csv",), ("i.csv",)], "list_key string")
+    b = plan_offer_batch(ready(spark, evs), empty(spark, OFFERS), empty(spark, OFFER_ITEMS), empty(spark, SITE_OVERRIDES), directory(spark),
+                         rows(spark, [("s.csv", v, None) for v in store_file]), rows(spark, [("i.csv", v, None) for v in item_file]),
+                         catalogue(spark), available_lists=there)
+    out = {r["event_id"]: (r["status"], r["comments"], r["failure_class"]) for r in b.outcomes.collect()}
+    return [out[f"e{i}"] for i in range(len(cases))], sorted(r["offer_id"] for r in b.offers.collect())
+
+
+def test_values_that_are_no_ids_fail_their_event(spark):
+    store = lambda **p: {"clubListCount": 1, "clubsPayload": [{"clubType": "biglist", "bigListName": "b", "clubList": [],
+                                                               "clubBigListURL": "s.csv", "clubInclusion": True, **p}]}
+    item = lambda **p: {"itemListCount": 1, "itemsPayload": [{"itemType": "ELIGIBLE_ITEMS", "itemListType": "biglist",
+                                                              "itemList": [], "itemBigListURL": "i.csv", "refId": 1, **p}]}
+    cases = [dict(clubDetails=store()), dict(clubDetails=store(clubInclusion=False)),
+             dict(clubDetails=store(clubType="list", clubList=["7", "8x"])), dict(itemDetails=item()),
+             dict(itemDetails=item(itemListType="list", itemList=["1001", "A-2"])), dict(itemDetails=item(refId=9)), {}]
+    out, stored = faulty(spark, cases, ["1", "13x"], ["1001", None])
+    said = lambda what: ("FAILED", f"{what} holds a value that is no whole number", "Error")
+    assert out[:5] == [said("s.csv"), said("s.csv"), said("clubList"), said("i.csv"), said("itemList")]
+    assert [o[0] for o in out[5:]] == ["PROCESSED"] * 2 and stored == [5, 6]  # a payload no award refers to is not read
+    out, stored = faulty(spark, cases[:2], ["1", " 13 "])
+    assert [o[0] for o in out] == ["PROCESSED"] * 2 and stored == [0, 1]
+
+
+def test_null_store_parts_fail_and_absent_ones_take_the_online_store(spark):
+    d2h = {"channels": ["D2H"]}
+    cases = [{**d2h, "clubDetails": None}, {**d2h, "clubDetails": {"clubListCount": 1, "clubsPayload": None}},
+             {**d2h, "clubDetails": {"clubListCount": 1}}, {**d2h, "clubDetails": ...}]
+    out, stored = faulty(spark, cases)
+    assert [o[:2] for o in out[:2]] == [("FAILED", "payload.clubDetails is null"), ("FAILED", "payload.clubDetails.clubsPayload is null")]
+    assert stored == [2, 3]
+
+
 def test_list_files_lists_non_empty_files(spark, tmp_path):
     from promoflow.sources.biglists import list_files
     (tmp_path / "items").mkdir()
