@@ -9,9 +9,9 @@ own share is taken out first.
 
 Defined cases: a null text counts as the empty text; a null or other than 0/1 label is no
 label; several labels of one id count as their minimum; a null host or path is a site of
-its own; repeated rows each give a row; without labelled rows of both classes the evidence
-is the smoothed share of label 1; an empty table gives an empty table; extra columns are
-carried through.
+its own; repeated rows each give a row and train once; without labelled rows of both classes the evidence
+is the smoothed share of label 1; an empty table gives an empty table; extra columns
+but the text are carried through.
 """
 
 from __future__ import annotations
@@ -55,11 +55,22 @@ def features(text: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20_000) -> DataFrame:
-    """(x, y) of at most ``max_train_rows`` labelled ids, taken by a hash of the id."""
+    """(x, y) of at most ``max_train_rows`` rows of as many labelled ids at most, written.
+    Ids are taken by a hash; equal rows of an id count once, and where ids have more texts
+    than fit, one of every id comes first, then the others by their hash."""
     known = (labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min("quality").cast("double").alias("y"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_rows))
-    return docs.select("doc_id", "text").join(known, "doc_id").select(features(F.col("text")).alias("__q_x"), "y")
+    # The ids are bounded and narrow: broadcast, so no text moves; copies then meet by hash.
+    mine = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+            .select("doc_id", "y", F.xxhash64("text").alias("h"), features(F.col("text")).alias("__q_x")))
+    rows = written(mine.groupBy("doc_id", "h").agg(F.first("y").alias("y"), F.first("__q_x").alias("__q_x")), "quality-train")
+    if rows.count() > max_train_rows:
+        first = rows.groupBy("doc_id").agg(F.min("h").alias("first"))
+        rows = written(rows.join(F.broadcast(first), "doc_id").orderBy(F.col("h") != F.col("first"), "h", "doc_id")
+                       .limit(max_train_rows), "quality-bounded")
+    # Few rows of numbers, sorted in one partition: the same coefficients in every run.
+    return written(rows.coalesce(1).sortWithinPartitions("doc_id", "h").select("__q_x", "y"), "quality-sorted")
 
 
 def _logit(p: Column) -> Column:
@@ -82,18 +93,19 @@ def _strength(groups: DataFrame, n: str, mean: str, toward: str) -> float:
 
 def score_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang",
                   max_train_rows: int = 20_000) -> DataFrame:
-    """Every row of ``docs`` as the struct ``__row`` with ``__doc`` (its own evidence),
-    ``__host`` and ``__path`` (posteriors without it) and ``__score``, all 0 to 1."""
+    """Every row of ``docs``, but for its text, as the struct ``__row`` with ``__doc`` (its own
+    evidence), ``__host`` and ``__path`` (posteriors without it) and ``__score``, all 0 to 1."""
     prepare(docs.sparkSession)
-    train = written(training_rows(docs, labels, max_train_rows).coalesce(4), "quality-train")
+    train = training_rows(docs, labels, max_train_rows)
     seen = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count("*").alias("n")).collect()}
     row = F.col("__row")
-    rows = whole_row(docs)
+    # Texts end here: what is written and joined are ids, sites and numbers.
+    rows = whole_row(docs.drop("text")) if len(seen) != 2 else docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__row"), features(F.col("text")).alias("__q_x"))
     if len(seen) == 2:
         model = LogisticRegression(featuresCol="__q_x", labelCol="y", probabilityCol="__q_p", rawPredictionCol="__q_r",
                                    predictionCol="__q_l", regParam=0.001).fit(train)
-        rows = model.transform(rows.withColumn("__q_x", features(row["text"]))).select(
-            "__row", vector_to_array("__q_p")[1].alias("__doc"))
+        rows = model.transform(rows).select("__row", vector_to_array("__q_p")[1].alias("__doc"))
     else:
         rows = rows.withColumn("__doc", F.lit((seen.get(1.0, 0) + 1) / (sum(seen.values()) + 2)))
     site = lambda c: F.coalesce(row[c].cast("string"), F.lit("\0"))  # noqa: E731  no site is named by a null character
