@@ -70,38 +70,46 @@ def _run_sums(a: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), _div(n - 1)), lambda b: _summed(a, b * _RUN, F.least(b * _RUN + _RUN, n)))
 
 
-def find_spans(text: Column, rank: int, rule: tuple) -> Column:
-    """Spans of the leftmost non-overlapping matches of one rule that are long enough.
-
-    What lies before a match is the rest of its run of 64 matches, the runs before in its
-    run of runs, and those before, so a text with very many matches takes linear time."""
+def matches(text: Column, rule: tuple) -> Column:
+    """(gap, hit, ok) of the leftmost non-overlapping matches of one rule: the lengths of what
+    lies between them and of themselves, and whether they are long enough."""
     kind, pattern, group, least = rule
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
 
     def sized(gap, hit):
         long_enough = F.length(F.regexp_extract(hit, pattern, group)) >= least if group else F.length(hit) >= least
         return F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit"), long_enough.alias("ok"))
 
-    def placed(m, steps, runs, wide):
+    pairs = F.zip_with(F.split(text, pattern, -1), hits, sized)  # the last piece has no match after it
+    return F.when(text.rlike(pattern), F.filter(pairs, lambda x: x["hit"].isNotNull()))
+
+
+def placed(m: Column, kind: Column, rank: Column) -> Column:
+    """Spans of the matches ``m`` that are long enough.
+
+    What lies before a match is the rest of its run of 64 matches, the runs before in its
+    run of runs, and those before, so a text with very many matches takes linear time."""
+    def spans(steps, runs, wide):
         def span(x, i):
             r = _div(i)
-            begin = (_summed(steps, r * _RUN, i) + _summed(runs, _div(r) * _RUN, r) + _summed(wide, F.lit(0), _div(r)) + x["gap"])
-            return F.struct(F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), begin.alias("start"),
-                            (begin + x["hit"]).alias("end"), x["ok"].alias("ok"))
-        return F.transform(F.filter(F.transform(m, span), lambda s: s["ok"]), lambda s: s.dropFields("ok"))
+            before = _summed(steps, r * _RUN, i) + _summed(runs, _div(r) * _RUN, r) + _summed(wide, F.lit(0), _div(r))
+            return F.struct(before.alias("at"), x.alias("x"))
+
+        return F.transform(F.filter(F.transform(m, span), lambda s: s["x"]["ok"]), lambda s: F.struct(
+            kind.alias("kind"), rank.alias("rank"), (s["at"] + s["x"]["gap"]).alias("start"),
+            (s["at"] + s["x"]["gap"] + s["x"]["hit"]).alias("end")))
 
-    sizes = _let(hits, lambda h: F.zip_with(F.slice(gaps, 1, F.size(h)), h, sized))
-    spans = _let(sizes, lambda m: _let(
-        F.transform(m, lambda x: (x["gap"] + x["hit"]).cast("bigint")), lambda steps: _let(
-            _run_sums(steps), lambda runs: _let(_run_sums(runs), lambda wide: placed(m, steps, runs, wide)))))
-    return F.when(text.rlike(pattern), spans)
+    return _let(F.transform(m, lambda x: (x["gap"] + x["hit"]).cast("bigint")), lambda steps: _let(
+        _run_sums(steps), lambda runs: _let(_run_sums(runs), lambda wide: spans(steps, runs, wide))))
 
 
 def scan(blobs: DataFrame, rule_version: int = RULE_VERSION) -> DataFrame:
     """(blob_id, text) to (blob_id, rule_version, spans), spans in order of start and kind."""
     none = F.array().cast(f"array<{_SPAN}>")
-    spans = F.concat(*[F.coalesce(find_spans(F.col("text"), i, r), none) for i, r in enumerate(RULES)])
+    # One expression places the matches of all rules: a copy for each would take long to plan.
+    found = F.filter(F.array(*[F.struct(F.lit(r[0]).alias("kind"), F.lit(i).alias("rank"), matches(F.col("text"), r).alias("m"))
+                               for i, r in enumerate(RULES)]), lambda x: F.size(x["m"]) > 0)
+    spans = F.flatten(F.transform(found, lambda x: placed(x["m"], x["kind"], x["rank"])))
     by_place = F.transform(F.sort_array(F.transform(spans, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"]))),
                            lambda s: F.struct(s["kind"].alias("kind"), s["rank"].alias("rank"),
                                               s["start"].alias("start"), s["end"].alias("end")))
