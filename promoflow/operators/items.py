@@ -11,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promoflow import settings as S
 from promoflow.functions.columns import first_element
+from promoflow.operators.joins import kept
 from promoflow.settings import DEFAULT_CONFIG, EngineConfig
+from promoflow.sources.biglists import named_columns, unnamed_column
 
 
 def item_type_mapping(item_type: Column, cfg: EngineConfig = DEFAULT_CONFIG) -> Column:
@@ -24,17 +27,17 @@ def item_type_mapping(item_type: Column, cfg: EngineConfig = DEFAULT_CONFIG) ->
 def referenced_payloads(offer_events: DataFrame) -> DataFrame:
     """Item payloads whose ``refId`` is among the first (trimmed) award's ``itemRefId``.
 
-    Returns (event_id, offer_id, pos, item_type, list_type, item_list, list_key).  A NULL
-    or empty award list, or NULL references, match nothing.
+    Returns (event_id, offer_id, offer_source, pos, item_type, list_type, item_list,
+    list_key).  A NULL or empty award list, or NULL references, match nothing.
     """
     p = "e.payload"
     refs = F.transform(first_element(F.col("awards"))["itemRefId"], lambda x: x.try_cast("int"))
     x = offer_events.select(
-        "event_id", F.col(f"{p}.promotionNumber").try_cast("bigint").alias("offer_id"),
+        "event_id", F.col(f"{p}.promotionNumber").try_cast("bigint").alias("offer_id"), "offer_source",
         refs.alias("refs"), F.posexplode(f"{p}.itemDetails.itemsPayload").alias("pos", "ip"))
     ref_id = F.col("ip.refId").try_cast("int")
     return (x.filter(F.coalesce(F.array_contains("refs", ref_id), F.lit(False)))
-            .select("event_id", "offer_id", "pos",
+            .select("event_id", "offer_id", "offer_source", "pos",
                     F.col("ip.itemType").alias("payload_item_type"),
                     F.lower(F.col("ip.itemListType")).alias("list_type"),
                     F.col("ip.itemList").alias("item_list"),
@@ -56,23 +59,45 @@ def inline_items(payloads: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> Dat
             .select("event_id", "offer_id", F.col("item").try_cast("bigint").alias("item_number"), "item_type"))
 
 
+def item_rows_by_source(lines: DataFrame, offer_events: DataFrame) -> DataFrame:
+    """(list_key, offer_source, c0) of item files with open layout (``read_list_lines``), each
+    read as the sources of the events that name it do: by the name of its column for
+    personalised-ranking (tetris) offers, as one unnamed column for the others."""
+    sources = kept(referenced_payloads(offer_events).filter(F.col("list_type") != "list")
+                   .select("list_key", "offer_source").distinct(), "item-sources")
+    tetris = F.lower("offer_source") == S.LABEL_TETRIS
+    read = [(named_columns, (S.ITEM_COLUMN, S.PROPENSITY_COLUMN), tetris), (unnamed_column, (), ~tetris)]
+    parts = []
+    for reader, names, which in read:
+        own = sources.filter(which)
+        rows = reader(lines.join(own.select("list_key").distinct(), "list_key", "left_semi"), *names)
+        parts.append(rows.join(own, "list_key").select("list_key", "offer_source", "c0"))
+    return parts[0].unionByName(parts[1])
+
+
+def rows_of(item_rows: DataFrame) -> list[str]:
+    """The columns that tell which rows of item files an event reads: the file, and the source
+    where files are read by it."""
+    return ["list_key"] + ["offer_source"] * ("offer_source" in item_rows.columns)
+
+
 def biglist_numbers(item_rows: DataFrame) -> DataFrame:
-    """(list_key, item_number) of item files (list_key, c0, c1): the first column is the item
-    number in every layout (a second, propensity column is dropped)."""
-    return item_rows.select("list_key", F.col("c0").try_cast("bigint").alias("item_number"))
+    """(list_key, item_number) of item files: the first column is the item number in every
+    layout (a second, propensity column is dropped)."""
+    return item_rows.select(*rows_of(item_rows), F.col("c0").try_cast("bigint").alias("item_number"))
 
 
 def biglist_payloads(payloads: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """(event_id, offer_id, list_key, item_type) of referenced big-list payloads."""
+    """(event_id, offer_id, offer_source, list_key, item_type) of referenced big-list payloads."""
     return (payloads.filter(F.col("list_type") != "list")
-            .select("event_id", "offer_id", "list_key", item_type_mapping(F.col("payload_item_type"), cfg).alias("item_type"))
+            .select("event_id", "offer_id", "offer_source", "list_key", item_type_mapping(F.col("payload_item_type"), cfg).alias("item_type"))
             .filter(F.col("item_type").isNotNull()))
 
 
 def biglist_items(payloads: DataFrame, item_rows: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
     """Items of big-list payloads (C3), joined to the file rows by list key: (event_id,
     offer_id, item_number, item_type)."""
-    return biglist_numbers(item_rows).join(biglist_payloads(payloads, cfg), "list_key").select(
+    return biglist_numbers(item_rows).join(biglist_payloads(payloads, cfg), rows_of(item_rows)).select(
         "event_id", "offer_id", "item_number", "item_type")
 
 
@@ -100,7 +125,8 @@ def offer_items(offer_events: DataFrame, item_rows: DataFrame, catalogue: DataFr
     pl = referenced_payloads(offer_events)
     clear = lambda df: exclude_items(df, catalogue, cfg.excluded_category)
     big = biglist_payloads(pl, cfg)
-    files = clear(biglist_numbers(item_rows).join(big.select("list_key").distinct(), "list_key", "left_semi"))
+    by = rows_of(item_rows)
+    files = clear(biglist_numbers(item_rows).join(big.select(*by).distinct(), by, "left_semi"))
     cols = ["event_id", "offer_id", "item_number", "item_type"]
-    both = clear(inline_items(pl, cfg)).select(*cols).unionByName(files.join(big, "list_key").select(*cols))
+    both = clear(inline_items(pl, cfg)).select(*cols).unionByName(files.join(big, by).select(*cols))
     return both.select("event_id", "item_number", "item_type", "offer_id", F.lit("").alias("product_id"))

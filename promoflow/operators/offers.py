@@ -113,25 +113,33 @@ def list_faults(offer_events: DataFrame, available: DataFrame | None, item_rows:
     """(event_id, missing_list, fault) of the events that name a list they cannot be applied
     with.
 
-    ``missing_list``: a big-list file that is not among ``available`` (list_key).  ``fault``:
+    ``missing_list``: a big-list file that is not among ``available`` (list_key), or that has
+    no ``named`` column for a source that reads its items by name.  ``fault``:
     a file or an inline list holds a value that is no whole number, or a store part was sent
     as null.  Item lists count when their payload is referenced by the first award.  Of every
     file only its key and whether it is bad leave the scan.
     """
-    from promoflow.operators.items import bad_item_numbers, referenced_payloads
+    from promoflow.operators.items import bad_item_numbers, referenced_payloads, rows_of
     from promoflow.operators.sites import bad_store_ids, store_files_named
     payloads = referenced_payloads(offer_events)
-    needed = payloads.filter(F.col("list_type") != "list").select("event_id", "list_key").unionByName(store_files_named(offer_events))
-    bad = (item_rows.select("list_key", "c0").unionByName(store_rows.select("list_key", "c0"))
-           .filter(F.col("c0").try_cast("bigint").isNull()).select("list_key").distinct())
+    items = payloads.filter(F.col("list_type") != "list").select("event_id", "list_key", "offer_source")
+    stores = store_files_named(offer_events)
+    bad_rows = lambda rows, by: rows.filter(F.col("c0").try_cast("bigint").isNull()).select(*by).distinct()
+    by = rows_of(item_rows)
+    bad = (items.join(bad_rows(item_rows, by), by).select("event_id", "list_key")
+           .unionByName(stores.join(bad_rows(store_rows, ["list_key"]), "list_key").select("event_id", "list_key")))
     said = lambda what: F.format_string(S.BAD_VALUE_FORMAT, what)
     none = F.lit(None).cast("string")
-    found = needed.join(bad, "list_key").select("event_id", none.alias("missing_list"), said(F.col("list_key")).alias("fault"))
+    found = bad.select("event_id", none.alias("missing_list"), said(F.col("list_key")).alias("fault"))
     if available is not None:
-        gone = needed.join(available.select("list_key").distinct(), "list_key", "left_anti")
+        named = F.col("named") if "named" in available.columns else F.lit(True)
+        there = available.select("list_key", named.alias("named")).groupBy("list_key").agg(F.max("named").alias("named"))
+        by_name = F.lower(F.coalesce("offer_source", F.lit(""))) == S.LABEL_TETRIS
+        needed = items.unionByName(stores.withColumn("offer_source", none)).join(there, "list_key", "left")
+        gone = needed.filter(F.col("named").isNull() | (by_name & ~F.col("named")))
         found = found.unionByName(gone.select("event_id", F.col("list_key").alias("missing_list"), none.alias("fault")))
     own = offer_events.select("event_id", F.when(F.size("nulls") > 0, F.format_string(S.NULL_PART_FORMAT, F.get("nulls", F.lit(0))))
                               .when(bad_store_ids(), said(F.lit("clubList"))).alias("fault"))
-    items = payloads.filter(bad_item_numbers()).select("event_id", said(F.lit("itemList")).alias("fault"))
-    inline = own.filter(F.col("fault").isNotNull()).unionByName(items).select("event_id", none.alias("missing_list"), "fault")
+    inline = payloads.filter(bad_item_numbers()).select("event_id", said(F.lit("itemList")).alias("fault"))
+    inline = own.filter(F.col("fault").isNotNull()).unionByName(inline).select("event_id", none.alias("missing_list"), "fault")
     return found.unionByName(inline).groupBy("event_id").agg(F.min("missing_list").alias("missing_list"), F.min("fault").alias("fault"))

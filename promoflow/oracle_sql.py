@@ -7,6 +7,8 @@ independently of the engine's code.
 
 from __future__ import annotations
 
+from promoflow.testbed import FAULTS, LIST_FAULTS
+
 ORACLE: dict[str, str] = {}
 
 
@@ -170,7 +172,11 @@ FROM (SELECT DISTINCT membership_uuid, offer_id FROM new_stored
       WHERE membership_uuid IN (SELECT membership_uuid FROM delta))
 GROUP BY membership_uuid"""
 
-ORACLE["member_view_deletes"] = _AUD + """
+_AUD_SINGLE = _with(CARDS, ACTIVE_CARDS, MEMBER_FILES, LIST_OFFERS, STORED_AUDIENCE.replace("stored AS", "stored_all AS", 1),
+                    "stored AS (SELECT * FROM stored_all WHERE CAST(substr(membership_uuid, 2) AS BIGINT) % 20 = offer_id)",
+                    *AUDIENCE_BASE[5:])
+
+ORACLE["member_view_deletes"] = _AUD_SINGLE + """
 SELECT DISTINCT membership_uuid FROM delta
 WHERE membership_uuid NOT IN (SELECT membership_uuid FROM new_stored)"""
 
@@ -409,7 +415,17 @@ errs AS (
 
 ORACLE["validate_events"] = _VAL + "SELECT event_id, rule FROM errs"
 
-ORACLE["validation_summary"] = _VAL + "SELECT rule, COUNT(*) AS n_events FROM errs GROUP BY rule"
+_FAULTS = "VALUES " + ", ".join(
+    [f"({i}, '{rule}')" for i, (rules, _, _) in enumerate(FAULTS) for rule in rules]
+    + [f"({len(FAULTS) + i}, 'V13')" for i in range(len(LIST_FAULTS))])
+
+ORACLE["validate_faulty_events"] = f"""
+SELECT 'F' || CAST(o_orderkey AS VARCHAR) AS event_id, rule
+FROM orders JOIN ({_FAULTS}) AS f(r, rule) ON o_orderkey % 40 = r"""
+
+ORACLE["validation_summary"] = _VAL + f"""
+SELECT rule, COUNT(*) AS n_events
+FROM (SELECT event_id, rule FROM errs UNION ALL {ORACLE["validate_faulty_events"]}) GROUP BY rule"""
 
 ORACLE["intake_outcomes"] = _with(*AUDIENCE_BASE[:6], *OFFER_BASE) + """
 SELECT event_id, 'offer' AS kind, CAST(offer_id AS VARCHAR) AS oid, source_label, status_out AS status, reason
@@ -436,6 +452,14 @@ FROM proj"""
 
 _ITEMS = _with(*OFFER_BASE, ITEMS)
 
+ORACLE["list_faults"] = _ITEMS + """
+SELECT event_id, CAST(NULL AS VARCHAR) AS missing_list, min(list_key) || ' holds a value that is no whole number' AS fault
+FROM (SELECT event_id, item_url AS list_key FROM ref_lines WHERE lower(list_type_raw) <> 'list'
+      UNION ALL
+      SELECT event_id, 'stores/nation-' || CAST(c_nationkey AS VARCHAR) || '.csv' FROM ev
+      WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM'))
+WHERE list_key IN ('items/supplier-7.csv', 'stores/nation-24.csv') GROUP BY event_id"""
+
 ORACLE["offer_items_inline"] = _ITEMS + "SELECT event_id, offer_id, item_number, item_type FROM inline_items"
 
 ORACLE["item_type_mapping"] = _ITEMS + """
@@ -514,15 +538,57 @@ UNION ALL
 SELECT o.club_number, o.start_datetime, o.end_datetime, o.time_zone, o.offer_id
 FROM ov o JOIN applied a USING (event_id)"""
 
-ORACLE["offer_serving_view"] = _APPLY + """
-SELECT a.offer_id, 'OVERRIDES' AS item_type, CAST(0 AS BIGINT) AS chunk,
-       CAST((SELECT COUNT(*) FROM ov o WHERE o.event_id = a.event_id) AS VARCHAR) AS items
-FROM applied a
+ORACLE["replace_bucketed_items"] = ORACLE["replace_offer_items"]
+
+
+def _chunks(name: str, items: str) -> str:
+    """CTEs of the item chunks of ``items`` (offer_id, item_type, item_number): prefixes of hash
+    bits, at most 50 items each, as {name} (offer_id, item_type, chunk, items)."""
+    return f"""{name}_b AS (
+  SELECT DISTINCT offer_id, item_type, item_number,
+         lpad(bin(CAST('0x' || substr(md5(CAST(item_number AS VARCHAR)), 1, 8) AS BIGINT)), 32, '0') AS bits FROM ({items})),
+{name}_n AS (
+  SELECT offer_id, item_type, CASE WHEN count(*) <= 50 THEN 0
+         ELSE least(32, CAST(ceil(log2(count(*) / 50.0)) AS INTEGER) + 6) END AS deepest
+  FROM {name}_b GROUP BY 1, 2),
+{name}_l AS (
+  SELECT b.*, n.deepest, unnest(range(n.deepest + 1)) AS level FROM {name}_b b JOIN {name}_n n USING (offer_id, item_type)),
+{name}_f AS (
+  SELECT offer_id, item_type, level, left(bits, CAST(level AS INTEGER)) AS node FROM {name}_l
+  GROUP BY 1, 2, 3, 4 HAVING count(*) <= 50),
+{name}_d AS (
+  SELECT l.offer_id, l.item_type, l.item_number, any_value(l.bits) AS bits,
+         coalesce(min(l.level) FILTER (f.node IS NOT NULL), any_value(l.deepest)) AS depth
+  FROM {name}_l l LEFT JOIN {name}_f f ON f.offer_id = l.offer_id AND f.item_type = l.item_type AND f.level = l.level
+       AND f.node = left(l.bits, CAST(l.level AS INTEGER))
+  GROUP BY 1, 2, 3),
+{name} AS (
+  SELECT offer_id, item_type, left(bits, CAST(depth AS INTEGER)) AS chunk,
+         string_agg(CAST(item_number AS VARCHAR), ',' ORDER BY item_number) AS items
+  FROM {name}_d GROUP BY 1, 2, 3)"""
+
+
+_NEW_ITEMS = "SELECT a.offer_id, i.item_type, i.item_number FROM all_items i JOIN applied a USING (event_id)"
+
+ORACLE["offer_serving_view"] = _APPLY + ", " + _chunks("chunked", _NEW_ITEMS) + """
+SELECT a.offer_id, 'OFFER' AS item_type, '' AS chunk,
+       concat_ws(';', p.status, p.offer_source, p.time_zone, p.member_list_location, p.labels, coalesce(p.club_list, ''),
+                 coalesce((SELECT string_agg(concat_ws('|', CAST(o.club_number AS VARCHAR), coalesce(o.start_datetime, '-'),
+                                                      coalesce(o.end_datetime, '-'), o.time_zone), ','
+                                  ORDER BY o.club_number, o.start_datetime NULLS FIRST, o.end_datetime NULLS FIRST, o.time_zone)
+                           FROM ov o WHERE o.event_id = a.event_id), '')) AS items
+FROM applied a JOIN proj p USING (event_id)
+UNION ALL SELECT offer_id, item_type, chunk, items FROM chunked"""
+
+ORACLE["offer_view_growth"] = (
+    _APPLY + ", " + _chunks("chunked", _NEW_ITEMS) + ", "
+    + _chunks("was", "SELECT offer_id, item_type, item_number FROM stored_items") + """
+SELECT 'upsert' AS change, c.offer_id, c.item_type, c.chunk, c.items
+FROM chunked c LEFT JOIN was w USING (offer_id, item_type, chunk) WHERE c.items IS DISTINCT FROM w.items
 UNION ALL
-SELECT offer_id, item_type, CAST(0 AS BIGINT) AS chunk,
-       string_agg(CAST(item_number AS VARCHAR), ',' ORDER BY item_number) AS items
-FROM (SELECT DISTINCT a.offer_id, i.item_type, i.item_number FROM all_items i JOIN applied a USING (event_id))
-GROUP BY offer_id, item_type"""
+SELECT 'delete', w.offer_id, w.item_type, w.chunk, ''
+FROM was w WHERE w.offer_id IN (SELECT offer_id FROM applied)
+  AND NOT EXISTS (SELECT 1 FROM chunked c WHERE c.offer_id = w.offer_id AND c.item_type = w.item_type AND c.chunk = w.chunk)""")
 
 
 # ---------------------------------------------------------------------------
@@ -572,6 +638,22 @@ ORACLE["stream_event_intake"] = ORACLE["intake_outcomes"]
 ORACLE["stream_dedup"] = _with(*AUDIENCE_BASE[:6], *OFFER_BASE) + """
 SELECT event_id FROM ev UNION ALL SELECT event_id FROM list_events"""
 
+_JUNK = "NOT COALESCE(CASE WHEN json_valid(text) THEN json_type(text) = 'OBJECT' END, false)"
+
+ORACLE["stream_dead_letters"] = f"""
+SELECT 'D' || CAST(doc_id AS VARCHAR) AS event_id, 'not one JSON object' AS dead, CAST(length(text) AS INTEGER) AS n_chars
+FROM documents WHERE {_JUNK}"""
+
+ORACLE["stream_failure_report"] = _OFF + f"""
+SELECT 'PayloadError' AS failure_class, source_label, strftime(arrival, '%Y-%m-%d') AS day, COUNT(*) AS n_failed
+FROM outcome WHERE status_out = 'FAILED' GROUP BY 1, 2, 3
+UNION ALL
+SELECT 'Error', '', '2024-01-01', COUNT(*) FROM documents WHERE {_JUNK}"""
+
+ORACLE["catalogue_scan"] = ORACLE["excluded_items"]
+ORACLE["member_card_scan"] = ORACLE["active_member_cards"]
+ORACLE["site_scan"] = ORACLE["active_sites"]
+
 ORACLE["stream_apply_offers"] = ORACLE["upsert_offers"]
 
 ORACLE["stream_apply_lists"] = ORACLE["apply_audience_delta"]

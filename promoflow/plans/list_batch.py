@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from promoflow import settings as S
 from promoflow.operators import audience as A
 from promoflow.operators.joins import kept
-from promoflow.operators.serve import member_view
+from promoflow.operators.serve import member_view, net_changes
 from promoflow.sources.events import list_event_rows
 
 
@@ -50,23 +50,26 @@ def apply_effective(effective: DataFrame, member_offers: DataFrame, member_files
     return members, spells, A.audience_after(member_offers, targets, spells)
 
 
+def with_missing_list(looked: DataFrame, available: DataFrame) -> DataFrame:
+    """Adds ``missing_list``: the location where the event cannot read its file, because it is
+    not among ``available`` or, for a source that reads by name, has no named columns."""
+    named = F.col("named") if "named" in available.columns else F.lit(True)
+    avail = (available.select(F.col("list_key").alias("location"), named.alias("_named"))
+             .groupBy("location").agg(F.max("_named").alias("_named")))
+    readable = F.col("_named") | (F.lower(F.coalesce("event_source", F.lit(""))) != S.LABEL_TETRIS)
+    return (looked.join(avail, "location", "left")
+            .withColumn("missing_list", F.when(~F.coalesce(F.col("_named").isNotNull() & readable, F.lit(False)), F.col("location")))
+            .drop("_named"))
+
+
 def look_up_list_batch(decoded_list_events: DataFrame, offers: DataFrame,
                        available_lists: DataFrame | None = None) -> DataFrame:
     """Every (event, listed id) with its lookup result and ``missing_list``: what the
-    outcomes need, without resolving any member.  Where the manifest says of each list
-    whether its columns are ``named``, an unnamed one cannot be read for a source that
-    reads by name."""
-    rows = list_event_rows(decoded_list_events)
-    pairs = A.explode_list_events(rows)
+    outcomes need, without resolving any member."""
+    pairs = A.explode_list_events(list_event_rows(decoded_list_events))
     looked = A.offers_for_list_events(pairs, offers)
     if available_lists is not None:
-        named = F.col("named") if "named" in available_lists.columns else F.lit(True)
-        avail = (available_lists.select(F.col("list_key").alias("location"), named.alias("_named"))
-                 .groupBy("location").agg(F.max("_named").alias("_named")))
-        readable = F.col("_named") | (F.lower(F.coalesce("event_source", F.lit(""))) != S.LABEL_TETRIS)
-        looked = (looked.join(avail, "location", "left")
-                  .withColumn("missing_list", F.when(~F.coalesce(F.col("_named").isNotNull() & readable, F.lit(False)), F.col("location")))
-                  .drop("_named"))
+        looked = with_missing_list(looked, available_lists)
     else:
         looked = looked.withColumn("missing_list", F.lit(None).cast("string"))
     return kept(looked, "looked")
@@ -92,6 +95,6 @@ def plan_list_batch(decoded_list_events: DataFrame, offers: DataFrame, member_of
     return ListBatch(looked, eff, members, spells, A.spell_changes(spells), audience, new_offers)
 
 
-def member_view_changes(batch: ListBatch) -> tuple[DataFrame, DataFrame]:
-    """(upserts, deletes) of the member serving view after the batch."""
-    return member_view(A.changed_members(batch.delta), batch.member_offers)
+def member_view_changes(batch: ListBatch, view: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(upserts, deletes) of the stored member view after the batch."""
+    return member_view(view, net_changes(batch.delta))

@@ -15,6 +15,7 @@ from promoflow.operators.joins import kept
 from promoflow.operators.snapshot import replace_by_key, upsert
 from promoflow.operators.serve import offer_view
 from promoflow.settings import DEFAULT_CONFIG, EngineConfig
+from promoflow.sources.biglists import unnamed_column
 
 
 @dataclass
@@ -59,6 +60,17 @@ def check_offer_batch(ready: DataFrame, stored_offers: DataFrame, item_rows: Dat
     return ev, checked, outcomes
 
 
+def settled_rows(ready: DataFrame, item_rows: DataFrame, store_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Item and store rows with their columns settled: files with open layout
+    (``read_list_lines``) are read by the source of the events that name them; store files
+    have one unnamed column for every source."""
+    if "cells" in item_rows.columns:
+        item_rows = I.item_rows_by_source(item_rows, ready)
+    if "cells" in store_rows.columns:
+        store_rows = unnamed_column(store_rows)
+    return item_rows, store_rows
+
+
 def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: DataFrame,
                      stored_overrides: DataFrame, directory: DataFrame, store_rows: DataFrame,
                      item_rows: DataFrame, catalogue: DataFrame,
@@ -73,6 +85,7 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
     that is no id or number; the source check comes first, as in the original order of steps.  Without a manifest the caller answers for every named file
     being there; whatever writes stored tables passes one.
     """
+    item_rows, store_rows = settled_rows(ready, item_rows, store_rows)
     ev, checked, outcomes = check_offer_batch(ready, stored_offers, item_rows, store_rows, cfg, available_lists)
     last = O.latest_per_offer(applicable(checked).select("event_id", "arrival", "offer_id"))
     applied = kept(ev.join(last.select("event_id"), "event_id", "left_semi").drop("raw"), "applied")
@@ -89,6 +102,6 @@ def plan_offer_batch(ready: DataFrame, stored_offers: DataFrame, stored_items: D
                       site_overrides, outcomes)
 
 
-def offer_serving_view(batch: OfferBatch) -> tuple[DataFrame, DataFrame]:
+def offer_serving_view(batch: OfferBatch, max_items_per_chunk: int = 10_000) -> tuple[DataFrame, DataFrame]:
     """View entries of the offers updated by the batch (K9): (offer rows, item chunks)."""
-    return offer_view(batch.offers_new.drop("event_id", "arrival"), batch.items_new, batch.overrides_new)
+    return offer_view(batch.offers_new.drop("event_id", "arrival"), batch.items_new, batch.overrides_new, max_items_per_chunk)

@@ -21,17 +21,19 @@ from promoflow.operators import offers as O
 from promoflow.operators import sites as ST
 from promoflow.operators import validate as V
 from promoflow.operators.audit import current_status, failure_report
-from promoflow.operators.serve import member_view, sink_batches
+from promoflow.operators.serve import chunk_changes, item_chunks, member_entries, sink_batches
 from promoflow.plans.audit_batch import audit_rows, failures, list_event_outcomes
 from promoflow.plans.intake import run_intake
-from promoflow.plans.list_batch import look_up_list_batch, plan_list_batch
+from promoflow.plans.list_batch import look_up_list_batch, member_view_changes, plan_list_batch
 from promoflow.plans.mixed_batch import plan_mixed_batch
 from promoflow.plans.offer_batch import check_offer_batch, offer_serving_view, plan_offer_batch
 from promoflow.settings import CARD_COLUMN, DEFAULT_CONFIG
 from promoflow.sources.biglists import list_manifest, read_list_lines
-from promoflow.operators.snapshot import SnapshotStore
-from promoflow.streaming.apply_stream import (
-    MIXED_TABLES, Lookups, run_apply_lists_stream, run_apply_mixed_stream, run_apply_stream, seed)
+from promoflow.operators.joins import kept
+from promoflow.schemas import OFFER_ITEMS, OFFERS, SITE_OVERRIDES
+from promoflow.streaming.apply_stream import TABLES, Lookups, Stored, run_apply_stream
+from promoflow.sources.lookups import read_catalogue, read_member_cards, read_sites
+from promoflow.streaming.failure_stream import read_failure_report, run_failure_report_stream
 from promoflow.streaming.intake_stream import run_dedup_stream, run_intake_stream, scratch_root
 from promoflow.sources.events import decode_events, list_event_rows, route_event_kind
 
@@ -143,15 +145,21 @@ def q_changed_members(spark, d):
 
 @query("member_view_upserts")
 def q_member_view_upserts(spark, d):
-    b = _list_batch(spark, d)
-    ups, _ = member_view(A.changed_members(b.delta), b.member_offers)
+    """Entries of the member view that the batch changes, kept up from its changes alone."""
+    view = kept(member_entries(TB.member_offers(spark, d)), "member-view")
+    ups, _ = member_view_changes(_list_batch(spark, d), view)
     return ups.select("membership_uuid", F.array_join("offer_ids", ",").alias("offer_ids"))
 
 
 @query("member_view_deletes")
 def q_member_view_deletes(spark, d):
-    b = _list_batch(spark, d)
-    _, dels = member_view(A.changed_members(b.delta), b.member_offers)
+    """Members whose one stored offer has a new list without them, and no other list has them."""
+    stored = TB.member_single_offers(spark, d)
+    good, _ = decode_events(TB.list_events_raw(spark, d))
+    _, lists = route_event_kind(good)
+    b = plan_list_batch(lists, TB.list_offers(spark, d), stored, TB.member_files(spark, d), TB.cards(spark, d),
+                        available_lists=TB.member_lists(spark, d))
+    _, dels = member_view_changes(b, kept(member_entries(stored), "member-view"))
     return dels
 
 
@@ -263,9 +271,25 @@ def q_validate_events(spark, d):
     return V.error_rows(v_off).unionByName(V.error_rows(v_lst))
 
 
+@query("validate_faulty_events")
+def q_validate_faulty_events(spark, d):
+    """Events most of which break one rule each: every rule, nulls, absent keys, wrong types."""
+    good, _ = decode_events(TB.faulty_events_raw(spark, d), keep_raw=False)
+    offers, lists = route_event_kind(good)
+    return V.error_rows(V.validate_offers(G.trim_awards(offers))).unionByName(V.error_rows(V.validate_lists(lists)))
+
+
 @query("validation_summary")
 def q_validation_summary(spark, d):
-    return q_validate_events(spark, d).groupBy("rule").agg(F.count("*").alias("n_events"))
+    rules = q_validate_events(spark, d).unionByName(q_validate_faulty_events(spark, d))
+    return rules.groupBy("rule").agg(F.count("*").alias("n_events"))
+
+
+@query("list_faults")
+def q_list_faults(spark, d):
+    """Events that name a file with a value that is no whole number."""
+    faults = O.list_faults(_offer_events(spark, d), None, TB.item_files_with_faults(spark, d), TB.store_files_with_faults(spark, d))
+    return faults.select("event_id", "missing_list", "fault")
 
 
 @query("intake_outcomes")
@@ -342,6 +366,34 @@ def q_excluded_items(spark, d):
     return I.excluded_items(TB.catalogue(spark, d), DEFAULT_CONFIG.excluded_category)
 
 
+def _landed_lookup(spark, name: str, df) -> str:
+    path = f"{scratch_root(spark, 'lookup')}/{name}"
+    df.write.parquet(path)
+    return path
+
+
+@query("catalogue_scan")
+def q_catalogue_scan(spark, d):
+    """The excluded items read from a stored catalogue, of which only the category's rows and
+    two of its columns are scanned."""
+    c = TB.catalogue(spark, d).withColumns({"PROD_NM": F.concat(F.lit("product "), "PROD_ID"), "MDSE_CATG_CD": F.col("MDSE_CATG_CD").cast("int")})
+    path = _landed_lookup(spark, "catalogue", c)
+    return I.excluded_items(read_catalogue(spark, path, DEFAULT_CONFIG.excluded_category), DEFAULT_CONFIG.excluded_category)
+
+
+@query("member_card_scan")
+def q_member_card_scan(spark, d):
+    path = _landed_lookup(spark, "cards", TB.cards(spark, d).withColumn("holderName", F.concat(F.lit("holder "), "cardNumber")))
+    return A.active_member_cards(read_member_cards(spark, path))
+
+
+@query("site_scan")
+def q_site_scan(spark, d):
+    sites = TB.site_directory(spark, d).withColumn("address", F.struct(
+        F.lit("1 Main St").alias("street"), F.lit("Town").alias("city"), F.col("address.state").alias("state"), F.lit("0").alias("postalCode")))
+    return ST.active_sites(read_sites(spark, _landed_lookup(spark, "stores", sites)))
+
+
 @query("exclude_items")
 def q_exclude_items(spark, d):
     """Every ordered part as a candidate item, minus the excluded category."""
@@ -422,15 +474,59 @@ def q_replace_site_overrides(spark, d):
                      _ts_text(F.col("end_datetime")).alias("end_datetime"), "time_zone", "offer_id")
 
 
+def _stored(spark, root, offers, items, overrides, audience, buckets=16) -> Stored:
+    s = Stored(spark, root, buckets)
+    s.seed(offers, items, overrides, audience)
+    return s
+
+
+@query("replace_bucketed_items")
+def q_replace_bucketed_items(spark, d):
+    """The stored items of tables partitioned by offer bucket, after a batch that read and
+    rewrote the buckets of its offers, published twice as after a failure."""
+    s = _stored(spark, scratch_root(spark, "bucketed"), TB.stored_offers(spark, d), TB.stored_offer_items(spark, d),
+                TB.stored_site_overrides(spark, d), TB.member_offers(spark, d))
+    it = _intake(spark, d)
+    ready = it.offers.filter(F.col("status") == DEFAULT_CONFIG.status_processing)
+    touched = s.tables.touched(ready.select(F.col("e.payload.promotionNumber").try_cast("bigint").alias("offer_id")))
+    offers, items, overrides, audience = (s.tables.rows(n, touched) for n in TABLES)
+    b = plan_offer_batch(ready, offers, items, overrides, TB.site_directory(spark, d), TB.store_files(spark, d),
+                         TB.item_files(spark, d), TB.catalogue(spark, d), available_lists=TB.available_lists(spark, d))
+    s.tables.apply(0, touched, {"offers": b.offers, "offer_items": b.offer_items, "site_overrides": b.site_overrides,
+                                "member_offers": audience, "offer_view_items": s.tables.rows("offer_view_items", touched)})
+    s.tables.publish(0)
+    return s.read("offer_items")
+
+
+#: Items of a chunk in the queries of the offer view, small enough that offers split.
+CHUNK = 50
+
+
 @query("offer_serving_view")
 def q_offer_serving_view(spark, d):
-    rows, chunks = offer_serving_view(_offer_batch(spark, d))
-    head = rows.select("offer_id", F.lit("OVERRIDES").alias("item_type"), F.lit(0).cast("bigint").alias("chunk"),
-                       _n("site_overrides").cast("string").alias("items"))
+    rows, chunks = offer_serving_view(_offer_batch(spark, d), CHUNK)
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    shown = F.transform("site_overrides", lambda o: F.concat_ws(
+        "|", o["club_number"].cast("string"), F.coalesce(at(o["start_datetime"]), F.lit("-")),
+        F.coalesce(at(o["end_datetime"]), F.lit("-")), o["time_zone"]))
+    fields = F.concat_ws(";", "status", "offer_source", "time_zone", "member_list_location", F.array_join("labels", ","),
+                         F.array_join(F.coalesce("club_list", F.array().cast("array<bigint>")), ","), F.array_join(shown, ","))
+    head = rows.select("offer_id", F.lit("OFFER").alias("item_type"), F.lit("").alias("chunk"), fields.alias("items"))
     body = chunks.select("offer_id", "item_type", "chunk", F.array_join("items", ",").alias("items"))
     return head.unionByName(body)
 
 
+@query("offer_view_growth")
+def q_offer_view_growth(spark, d):
+    """What the batch changes in stored item chunks: chunks that are new or hold other items,
+    and chunks that are gone, because they have split, grown together or lost their items."""
+    b = _offer_batch(spark, d)
+    stored = kept(item_chunks(TB.stored_offer_items(spark, d), CHUNK), "chunks")
+    ups, dels = chunk_changes(stored, kept(item_chunks(b.items_new, CHUNK), "chunks"), b.applied)
+    return (ups.select(F.lit("upsert").alias("change"), "offer_id", "item_type", "chunk", F.array_join("items", ",").alias("items"))
+            .unionByName(dels.select(F.lit("delete").alias("change"), "offer_id", "item_type", "chunk", F.lit("").alias("items"))))
+
+
 # ---------------------------------------------------------------------------
 # Audit trail, output batching
 # ---------------------------------------------------------------------------
@@ -507,7 +603,28 @@ def q_stream_dedup(spark, d):
     root = scratch_root(spark, "stream-dedup")
     landing = _land(spark, d, root, copies=2)
     run_dedup_stream(spark, landing, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out").select("event_id")
+    return spark.read.parquet(f"{root}/out/events").select("event_id")
+
+
+@query("stream_dead_letters")
+def q_stream_dead_letters(spark, d):
+    """What the intake stream puts aside, with the reason: texts that are no event."""
+    root = scratch_root(spark, "stream-dead")
+    _land_chronological(_raw_batch(spark, d, with_junk=True), f"{root}/landing")
+    run_intake_stream(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", max_files_per_trigger=4)
+    return spark.read.parquet(f"{root}/out/dead_letters").select("event_id", "dead", F.length("raw").alias("n_chars"))
+
+
+@query("stream_failure_report")
+def q_stream_failure_report(spark, d):
+    """Failures of the intake and dead letters, counted by a stream over what the intake
+    stream writes: class, source and day."""
+    root = scratch_root(spark, "stream-failures")
+    _land_chronological(_raw_batch(spark, d, with_junk=True), f"{root}/landing")
+    run_intake_stream(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", max_files_per_trigger=4)
+    run_failure_report_stream(spark, f"{root}/out/failures", f"{root}/out", f"{root}/report-checkpoint")
+    rep = read_failure_report(spark, f"{root}/out")
+    return rep.select("failure_class", "source_label", F.date_format("day", "yyyy-MM-dd").alias("day"), "n_failed")
 
 
 def _land_chronological(raw: DataFrame, landing: str, chunks: int = 3, files_per_chunk: int = 4) -> int:
@@ -531,39 +648,41 @@ def _land_chronological(raw: DataFrame, landing: str, chunks: int = 3, files_per
     return files_per_chunk
 
 
+def _lookups(spark, d):
+    return Lookups(TB.site_directory(spark, d), TB.store_files(spark, d), TB.item_files(spark, d), TB.catalogue(spark, d),
+                   TB.member_files(spark, d), TB.cards(spark, d), TB.member_lists(spark, d), TB.available_lists(spark, d))
+
+
+def _streamed(spark, d, name: str, raw, files_per_chunk: int, *state):
+    """Land ``raw`` in three chronological chunks and apply them as three micro-batches."""
+    root = scratch_root(spark, name)
+    per_batch = _land_chronological(raw, f"{root}/landing", files_per_chunk=files_per_chunk)
+    stored = _stored(spark, f"{root}/tables", *state)
+    run_apply_stream(spark, f"{root}/landing", stored, _lookups(spark, d), f"{root}/out", f"{root}/checkpoint",
+                     max_files_per_trigger=per_batch)
+    return stored, f"{root}/out"
+
+
 @query("stream_apply_offers")
 def q_stream_apply_offers(spark, d):
-    """Offer events applied to versioned snapshots over several micro-batches, in arrival
-    order; the final offers table equals the one-batch result (upsert_offers)."""
-    root = scratch_root(spark, "stream-apply")
-    landing = f"{root}/landing"
-    per_batch = _land_chronological(TB.offer_events_raw(spark, d), landing)
-    store = SnapshotStore(spark, f"{root}/tables")
-    seed(store, TB.stored_offers(spark, d), TB.stored_offer_items(spark, d), TB.stored_site_overrides(spark, d))
-    look = Lookups(TB.site_directory(spark, d), TB.store_files(spark, d), TB.item_files(spark, d),
-                   TB.catalogue(spark, d), TB.available_lists(spark, d))
-    run_apply_stream(spark, landing, store, look, f"{root}/outcomes", f"{root}/checkpoint",
-                     max_files_per_trigger=per_batch)
-    o = store.read("offers")
-    return o.select("offer_id", "status", "offer_source", "time_zone", "discount_type", "discount_value",
-                    F.array_join("club_list", ",").alias("club_list"), "member_list_location",
-                    "item_list_location", _ts_text(F.col("start_datetime")).alias("start_datetime"))
+    """Offer events applied to bucketed tables over several micro-batches, in arrival order;
+    the final offers table equals the one-batch result (upsert_offers)."""
+    stored, _ = _streamed(spark, d, "stream-apply", TB.offer_events_raw(spark, d), 4, *_mixed_state(spark, d))
+    return stored.read("offers").select(
+        "offer_id", "status", "offer_source", "time_zone", "discount_type", "discount_value",
+        F.array_join("club_list", ",").alias("club_list"), "member_list_location",
+        "item_list_location", _ts_text(F.col("start_datetime")).alias("start_datetime"))
 
 
 @query("stream_apply_lists")
 def q_stream_apply_lists(spark, d):
-    """Member-list events applied to versioned snapshots over several micro-batches; the
-    final stored audience equals the one-batch result (apply_audience_delta)."""
-    root = scratch_root(spark, "stream-lists")
-    landing = f"{root}/landing"
-    per_batch = _land_chronological(TB.list_events_raw(spark, d), landing, files_per_chunk=1)
-    store = SnapshotStore(spark, f"{root}/tables")
-    store.write("offers", TB.list_offers(spark, d), 0)
-    store.write("member_offers", TB.member_offers(spark, d), 0)
-    run_apply_lists_stream(spark, landing, store, TB.member_files(spark, d), TB.cards(spark, d),
-                           f"{root}/outcomes", f"{root}/checkpoint", max_files_per_trigger=per_batch,
-                           available_lists=TB.member_lists(spark, d))
-    return store.read("member_offers").select("offer_id", "membership_uuid", "membership_id", "propensity")
+    """Member-list events applied to bucketed tables over several micro-batches; the final
+    stored audience equals the one-batch result (apply_audience_delta)."""
+    empty = lambda schema: spark.createDataFrame([], schema)
+    offers = empty(OFFERS).unionByName(TB.list_offers(spark, d), allowMissingColumns=True)
+    stored, _ = _streamed(spark, d, "stream-lists", TB.list_events_raw(spark, d), 1, offers, empty(OFFER_ITEMS),
+                          empty(SITE_OVERRIDES), TB.member_offers(spark, d))
+    return stored.read("member_offers").select(*_AUDIENCE)
 
 
 @query("apply_audience_rounds")
@@ -623,17 +742,7 @@ def q_mixed_list_outcomes(spark, d):
 
 @query("stream_apply_mixed")
 def q_stream_apply_mixed(spark, d):
-    """Events of both kinds applied to one set of stored tables over several micro-batches;
+    """Events of both kinds applied to one set of bucketed tables over several micro-batches;
     the final stored audience equals the one-batch result (apply_mixed_batch)."""
-    root = scratch_root(spark, "stream-mixed")
-    landing = f"{root}/landing"
-    per_batch = _land_chronological(_mixed_raw(spark, d), landing)
-    store = SnapshotStore(spark, f"{root}/tables")
-    for name, df in zip(MIXED_TABLES, _mixed_state(spark, d), strict=True):
-        store.write(name, df, 0)
-    look = Lookups(TB.site_directory(spark, d), TB.store_files(spark, d), TB.item_files(spark, d),
-                   TB.catalogue(spark, d), TB.available_lists(spark, d))
-    run_apply_mixed_stream(spark, landing, store, look, TB.member_files(spark, d), TB.cards(spark, d),
-                           TB.member_lists(spark, d), f"{root}/out", f"{root}/checkpoint",
-                           max_files_per_trigger=per_batch)
-    return store.read("member_offers").select(*_AUDIENCE)
+    stored, _ = _streamed(spark, d, "stream-mixed", _mixed_raw(spark, d), 4, *_mixed_state(spark, d))
+    return stored.read("member_offers").select(*_AUDIENCE)

@@ -103,3 +103,23 @@ SITE_OVERRIDES = T.StructType([
     T.StructField("time_zone", S),
     T.StructField("offer_id", T.LongType()),
 ])
+
+MEMBER_OFFERS = T.StructType([
+    T.StructField("offer_id", T.LongType()),
+    T.StructField("membership_uuid", S),
+    T.StructField("membership_id", S),
+    T.StructField("propensity", T.DoubleType()),
+])
+
+# Serving views: a member's offers, and an offer's items by chunk.
+MEMBER_VIEW = T.StructType([
+    T.StructField("membership_uuid", S),
+    T.StructField("offer_ids", _arr(T.LongType())),
+])
+
+OFFER_VIEW_ITEMS = T.StructType([
+    T.StructField("offer_id", T.LongType()),
+    T.StructField("item_type", S),
+    T.StructField("chunk", S),
+    T.StructField("items", _arr(T.LongType())),
+])

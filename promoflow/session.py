@@ -45,11 +45,15 @@ def apply_engine_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system).  Only when it is
-    unset, as in local tests, a scratch folder is created and registered.
+    The deployment sets it to a folder that all executors share.  Where it is unset, a local
+    session (one machine, as in tests) gets a scratch folder; a cluster session is refused, as
+    no executor would see what another wrote.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="promoflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

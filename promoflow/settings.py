@@ -49,7 +49,8 @@ CARD_CURRENT_FLAG = "Y"
 CARD_STATUSES = ("ACTIVE", "PICKUP", "EXPIRED")
 CARD_TYPE = "MEMBERSHIPACCOUNT"
 
-# Columns of member files that are read by name.
+# Columns of item and member files that are read by name.
+ITEM_COLUMN = "ItemNumber"
 CARD_COLUMN = "MembershipNumber"
 PROPENSITY_COLUMN = "Propensity"
 SITE_TYPE_REGULAR = "REGULAR"

@@ -87,6 +87,11 @@ def member_offers(spark, d) -> DataFrame:
                  F.round(F.max("o_totalprice") / 100000, 4).alias("propensity")))
 
 
+def member_single_offers(spark, d) -> DataFrame:
+    """The stored audience cut to one offer a member, the one its number names."""
+    return member_offers(spark, d).filter("cast(substring(membership_uuid, 2) as bigint) % 20 = offer_id")
+
+
 def list_events_raw(spark, d) -> DataFrame:
     """(event_id, arrival, raw): member-list events as JSON text."""
     e = table(spark, d, "events")
@@ -396,3 +401,75 @@ def available_lists(spark, d) -> DataFrame:
     n = table(spark, d, "nation").select(
         F.concat(F.lit("stores/nation-"), F.col("n_nationkey").cast("string"), F.lit(".csv")).alias("list_key"))
     return s.unionByName(n)
+
+
+# ---------------------------------------------------------------------------
+# Damaged inputs: one order in forty breaks one rule
+# ---------------------------------------------------------------------------
+_WHOLE_EVENT = """{"payload":{"eventTimeStamp":"2024-03-01T10:00:00.123Z","status":"LIVE","promotionNumber":"ID",
+"startDate":"2024-03-01","endDate":"2024-03-31","startTime":"00:00:00","endTime":"23:59:59","timeZone":"CST",
+"channels":["CLUB"],"labels":["weekly"],"membershipType":["PLUS"],
+"awardList":[{"awardType":"DISCOUNT_ITEM_PRICE","value":"5","discountMethod":"DOLLAR_OFF","itemRefId":["1"]}],
+"memberDetails":{"memberListCount":1,"membersPayload":[{"memberType":"biglist","memberList":[],"memberBigListURL":"m.csv"}]},
+"itemDetails":{"itemListCount":1,"itemsPayload":[{"itemType":"ELIGIBLE_ITEMS","itemListType":"list","itemList":["1001"],"refId":1}]},
+"clubDetails":{"clubListCount":1,"clubsPayload":[{"clubType":"list","bigListName":"x","clubList":["7"],"clubInclusion":true}],
+"clubOverride":[]}}}""".replace("\n", "")
+
+#: Rules that break when a piece of the whole event is put in place of another, by o_orderkey % 40.
+FAULTS = [
+    (("V1:eventTimeStamp",), "2024-03-01T10:00:00.123Z", ""),
+    (("V1:status", "V3"), '"LIVE"', "null"),
+    (("V1:promotionNumber",), '"ID"', '"12x"'),
+    (("V1:startDate",), '"startDate":"2024-03-01",', ""),
+    (("V1:endDate",), "2024-03-31", ""),
+    (("V1:startTime",), "00:00:00\"", "\""),
+    (("V1:endTime",), '"23:59:59"', "null"),
+    (("V1:timeZone",), '"timeZone":"CST",', ""),
+    (("V2:channels",), '["CLUB"]', '"CLUB"'),
+    (("V2:labels",), '["weekly"]', "null"),
+    (("V2:membershipType",), '["PLUS"]', "[null]"),
+    (("V3",), "LIVE", "DRAFT"),
+    (("V4",), '["weekly"]', '["tetris","tio"]'),
+    (("V5",), '"value":"5"', '"value":null'),
+    (("V5",), '"itemRefId":["1"]', '"itemRefId":"1"'),
+    (("V6",), "DOLLAR_OFF", "BOGO"),
+    (("V7",), '"memberType":"biglist"', '"memberType":"file"'),
+    (("V7",), '"membersPayload":[', '"membersPayload":7,"x":['),
+    (("V8",), '"memberListCount":1', '"memberListCount":"many"'),
+    (("V9",), '"refId":1', '"refId":"one"'),
+    (("V9",), '["1001"]', "[]"),
+    (("V10",), '"itemListCount":1', '"itemListCount":[1]'),
+    (("V10",), '"itemDetails":{', '"itemDetails":"oops","x":{'),
+    (("V11",), '"clubType":"list"', '"clubType":"List"'),
+    (("V11",), '"clubInclusion":true', '"clubInclusion":null'),
+    (("V12",), '"clubListCount":1', '"clubListCount":"x"'),
+    (("V12",), '"clubDetails":{', '"clubDetails":[1],"x":{'),
+]
+#: The same for member-list events, from the residues after those.
+LIST_FAULTS = ['{"offerIdList":["x"],"memberBigListLocation":"m.csv"}', '{"offerIdList":[1]}',
+               '{"offerIdList":null,"memberBigListLocation":"m.csv"}', '{"offerIdList":[1,null],"memberBigListLocation":"m.csv"}']
+
+
+def faulty_events_raw(spark, d) -> DataFrame:
+    """(event_id, arrival, raw): one event an order, whole or with one fault."""
+    o = table(spark, d, "orders")
+    r = F.col("o_orderkey") % 40
+    whole = F.replace(F.lit(_WHOLE_EVENT), F.lit('"ID"'), F.concat(F.lit('"'), F.col("o_custkey").cast("string"), F.lit('"')))
+    raw = F.when(r < 0, whole)
+    for i, (_, old, new) in enumerate(FAULTS):
+        source = F.lit(_WHOLE_EVENT) if old == '"ID"' else whole
+        raw = raw.when(r == i, F.replace(source, F.lit(old), F.lit(new)))
+    for i, text in enumerate(LIST_FAULTS):
+        raw = raw.when(r == len(FAULTS) + i, F.lit(text))
+    return o.select(F.concat(F.lit("F"), F.col("o_orderkey").cast("string")).alias("event_id"),
+                    F.col("o_orderdate").cast("timestamp").alias("arrival"), raw.otherwise(whole).alias("raw"))
+
+
+def store_files_with_faults(spark, d) -> DataFrame:
+    """The store files, one of which has a line that is no store id."""
+    return store_files(spark, d).unionByName(spark.createDataFrame([("stores/nation-24.csv", "13x", None)], "list_key string, c0 string, c1 string"))
+
+
+def item_files_with_faults(spark, d) -> DataFrame:
+    """The item files, one of which has a line that is no item number."""
+    return item_files(spark, d).unionByName(spark.createDataFrame([("items/supplier-7.csv", "A-100", None)], "list_key string, c0 string, c1 string"))

@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from conftest import T0, base_payload, offer, raw_df
 from promoflow import settings as S
 from promoflow.operators.audit import current_status, failure_report
-from promoflow.operators.snapshot import SnapshotStore
 from promoflow.plans.audit_batch import audit_rows, failures, list_event_outcomes
 from promoflow.plans.intake import run_intake
 from promoflow.plans.list_batch import plan_list_batch
 from promoflow.plans.offer_batch import plan_offer_batch
 from promoflow.schemas import OFFER_ITEMS, OFFERS, SITE_OVERRIDES
 from promoflow.sources.events import decode_events
-from promoflow.streaming.apply_stream import apply_lists_sink
+from promoflow.streaming.apply_stream import Lookups, Stored, apply_sink
 from test_audience import CARDS, _ev, cards
 from test_offers import catalogue, directory, empty, ready, rows
 
@@ -96,31 +95,42 @@ def test_a_failed_event_fixes_no_source(spark):
     assert [r["offer_source"] for r in b.offers.collect()] == [S.SOURCE_BROADREACH]
 
 
+def stored_with(spark, path, offers, audience):
+    """Stored tables with (offer_id, source, location) offers and an audience."""
+    rows_ = spark.createDataFrame(offers, "offer_id bigint, offer_source string, member_list_location string")
+    store = Stored(spark, path, buckets=4)
+    store.seed(empty(spark, OFFERS).unionByName(rows_, allowMissingColumns=True), empty(spark, OFFER_ITEMS), empty(spark, SITE_OVERRIDES),
+               spark.createDataFrame(audience, "offer_id bigint, membership_uuid string, membership_id string, propensity double"))
+    return store
+
+
+def lookups(spark, files):
+    return Lookups(directory(spark), rows(spark, []), rows(spark, []), catalogue(spark),
+                   spark.createDataFrame(files, "list_key string, c0 string, c1 string"), cards(spark, CARDS))
+
+
 def test_a_missing_file_leaves_the_streamed_audience(spark, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path / "tables"))
-    store.write("offers", spark.createDataFrame([(1, "TIO", "o.csv")], "offer_id bigint, offer_source string, member_list_location string"), 0)
-    store.write("member_offers", spark.createDataFrame(
-        [(1, "ua", "a", None)], "offer_id bigint, membership_uuid string, membership_id string, propensity double"), 0)
-    files = spark.createDataFrame([("other.csv", "b", None)], "list_key string, c0 string, c1 string")
-    apply_lists_sink(store, files, cards(spark, CARDS), str(tmp_path / "out"))(raw_df(spark, [("e", _ev([1], "gone.csv"))]), 0)
+    store = stored_with(spark, str(tmp_path / "tables"), [(1, "TIO", "o.csv")], [(1, "ua", "a", None)])
+    out = str(tmp_path / "out")
+    apply_sink(store, lookups(spark, [("other.csv", "b", None)]), out)(raw_df(spark, [("e", _ev([1], "gone.csv"))]), 0)
     assert [r["membership_uuid"] for r in store.read("member_offers").collect()] == ["ua"]
     assert [r["member_list_location"] for r in store.read("offers").collect()] == ["o.csv"]
-    assert [r["status"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["FAILED"]
-
-
-def test_a_store_that_cannot_be_read_is_not_empty(spark, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path))
-    assert store.current_version("t") is None
-    store.write("t", spark.range(3), 0)
-    store.write("t", spark.range(5), 1)
-    assert store.current_version("t") == 1 and store.read("t").count() == 5
-    for f in (tmp_path / "t" / "_commits").iterdir():
-        if f.suffix == ".json":
-            f.write_text("damaged")
-    for f in (tmp_path / "t" / "_commits").glob(".*.crc"):
-        f.write_bytes(b"")
-    with pytest.raises(Exception):
-        store.read("t", "id bigint")
+    assert [(r["event_id"], r["failure_class"]) for r in spark.read.parquet(f"{out}/failures").collect()] == [("e", S.CLASS_BLOB)]
+
+
+def test_the_stream_loses_no_dead_letter_and_merges_no_nameless_event(spark, tmp_path):
+    store = stored_with(spark, str(tmp_path / "tables"), [], [])
+    out = str(tmp_path / "out")
+    sink = apply_sink(store, lookups(spark, [("l.csv", "b", None)]), out)
+    batch = raw_df(spark, [("a", "junk"), (None, offer(base_payload(promotionNumber="5"))), (None, offer(base_payload(promotionNumber="6"))),
+                           (None, "more junk"), ("ok", offer(base_payload(promotionNumber="7")))])
+    sink(batch, 0)
+    sink(batch, 0)  # run again, as after a failure: nothing is doubled
+    dead = spark.read.parquet(f"{out}/dead_letters").collect()
+    assert sorted((r["event_id"] or "", r["dead"]) for r in dead) == [
+        ("", "no event id"), ("", "no event id"), ("", "not one JSON object"), ("a", "not one JSON object")]
+    assert all(r["raw"] for r in dead) and spark.read.parquet(f"{out}/failures").count() == 4
+    assert [r["offer_id"] for r in store.read("offers").collect()] == [7]
 
 
 def test_tied_events_keep_their_own_status_and_dead_letters_are_reported(spark):

@@ -1,4 +1,4 @@
-"""Big-list reader, snapshot store, plan shape checks, driver contract smoke."""
+"""Big-list reader, plan shape checks, driver contract smoke."""
 
 import os
 import tempfile
@@ -7,7 +7,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from promoflow.operators.snapshot import SnapshotStore, replace_by_key, upsert
+from promoflow.operators.snapshot import replace_by_key
 from promoflow.sources.biglists import read_biglists
 
 SF = "/root/testdata/sf0.001"
@@ -27,18 +27,6 @@ def test_read_biglists_keys_by_relative_path(spark):
     assert [(r["list_key"], r["c0"], r["c1"]) for r in got] == [("stores/b.csv", "9", "0.5")]
 
 
-def test_snapshot_store_versions_and_replays(spark):
-    root = spark.conf.get("spark.checkpoint.dir") + "/snap-test"
-    st = SnapshotStore(spark, root)
-    a = spark.createDataFrame([(1, "x"), (2, "y")], "offer_id bigint, v string")
-    st.write("t", a, 1)
-    upd = spark.createDataFrame([(2, "z"), (3, "w")], "offer_id bigint, v string")
-    st.write("t", upsert(st.read("t"), upd, ["offer_id"]), 2)
-    st.write("t", upsert(st.read("t"), upd, ["offer_id"]), 2)  # replay of batch 2 is idempotent
-    assert sorted(tuple(r) for r in st.read("t").collect()) == [(1, "x"), (2, "z"), (3, "w")]
-    assert st.current_version("t") == 2
-
-
 def test_replace_by_key_deletes_children_of_updated_keys_without_rows(spark):
     cur = spark.createDataFrame([(1, 10), (1, 11), (2, 20)], "offer_id bigint, item bigint")
     new = spark.createDataFrame([(2, 21)], "offer_id bigint, item bigint")

@@ -9,10 +9,9 @@ from conftest import base_payload, offer, raw_df
 from promoflow.plans.intake import run_intake
 from promoflow.plans.list_batch import plan_list_batch
 from promoflow.plans.mixed_batch import plan_mixed_batch
-from promoflow.operators.snapshot import SnapshotStore
 from promoflow.schemas import OFFER_ITEMS, OFFERS, SITE_OVERRIDES
 from promoflow.sources.events import decode_events
-from promoflow.streaming.apply_stream import MIXED_TABLES, Lookups, run_apply_mixed_stream
+from promoflow.streaming.apply_stream import Lookups, Stored, run_apply_stream
 from test_audience import _ev, cards
 from test_offers import catalogue, directory, empty, rows
 
@@ -132,14 +131,12 @@ def test_a_mixed_stream_equals_one_after_the_other(spark, tmp_path, per_batch):
     raw = raw_df(spark, MIX).coalesce(1)
     for eid, _ in MIX + [MIX[0]] * (per_batch < 8):
         raw.filter(F.col("event_id") == eid).write.mode("append").parquet(landing)
-    store = SnapshotStore(spark, str(tmp_path / "tables"))
-    for name, df in zip(MIXED_TABLES, start(spark), strict=True):
-        store.write(name, df, 0)
-    look = Lookups(directory(spark), rows(spark, []), rows(spark, []), catalogue(spark), empty(spark, "list_key string"))
+    store = Stored(spark, str(tmp_path / "tables"), buckets=4)
+    store.seed(*start(spark))
+    look = Lookups(directory(spark), rows(spark, []), rows(spark, []), catalogue(spark), file_rows(spark), own_cards(spark),
+                   lists_there(spark), empty(spark, "list_key string"))
     out = str(tmp_path / "out")
-    last = run_apply_mixed_stream(spark, landing, store, look, file_rows(spark), own_cards(spark), lists_there(spark),
-                                  out, str(tmp_path / "checkpoint"), max_files_per_trigger=per_batch)
-    assert last == -(-(len(MIX) + (per_batch < 8)) // per_batch)
+    run_apply_stream(spark, landing, store, look, out, str(tmp_path / "checkpoint"), max_files_per_trigger=per_batch)
     state, audience = expected()
     assert audience_of(store.read("member_offers")) == audience
     assert {r["offer_id"]: [r["offer_source"], r["member_list_location"]] for r in store.read("offers").collect()} == state
@@ -149,3 +146,8 @@ def test_a_mixed_stream_equals_one_after_the_other(spark, tmp_path, per_batch):
     assert ends == {e: "FAILED" if e == "e7" else "PROCESSED" for e, _ in MIX}
     assert {r["offer_id"] for r in spark.read.parquet(f"{out}/offer_view").collect()} == {7}
     assert {r["membership_uuid"] for r in spark.read.parquet(f"{out}/member_view").collect()} >= {m for _, m in audience if m != "uz"}
+    # The kept-up view equals the view of the audience, and the failure rows the audit.
+    view = {(r["membership_uuid"], i) for r in store.read("member_view").collect() for i in r["offer_ids"]}
+    assert view == {(m, o) for o, m in audience}
+    assert [(r["event_id"], r["failure_class"]) for r in spark.read.parquet(f"{out}/failures").collect()] == [("e7", "BlobReadError")]
+    assert spark.read.parquet(f"{out}/changes").count() == -(-(len(MIX) + (per_batch < 8)) // per_batch)

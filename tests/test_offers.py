@@ -260,3 +260,31 @@ def test_list_files_lists_non_empty_files(spark, tmp_path):
     (tmp_path / "items" / "empty.csv").write_text("")
     got = sorted(r[0] for r in list_files(spark, str(tmp_path)).collect())
     assert got == ["items/a.csv"]          # zero-length files are skipped by file scans
+
+
+def test_item_and_store_files_are_read_by_source_and_header(spark, tmp_path):
+    """Ranking offers read item files by the name of their column, the others one unnamed
+    column; a file without the name fails ranking events only; one file serves both sources."""
+    from promoflow.settings import ITEM_COLUMN
+    from promoflow.sources.biglists import list_manifest, read_list_lines
+    for name, text in {"i/ranked.csv": "Propensity,ItemNumber\n0.5,2001\n0.1,2002\n", "i/plain.csv": "2003\n2004\n", "s/a.csv": "1\n9\n"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    lines = read_list_lines(spark, str(tmp_path))
+    md = {"memberListCount": 1, "membersPayload": [{"memberType": "biglist", "memberList": [], "memberBigListURL": "m.csv"}]}
+    item = lambda f: {"itemListCount": 1, "itemsPayload": [{"itemType": "ELIGIBLE_ITEMS", "itemListType": "biglist", "itemList": [],
+                                                            "itemBigListURL": f, "refId": 1}]}
+    store = {"clubListCount": 1, "clubsPayload": [{"clubType": "biglist", "bigListName": "b", "clubList": [], "clubBigListURL": "s/a.csv",
+                                                   "clubInclusion": True}]}
+    tetris = {"labels": ["tetris"], "memberDetails": md, "clubDetails": store}
+    evs = [("e0", offer(base_payload(promotionNumber="10", itemDetails=item("i/ranked.csv"), **tetris))),
+           ("e1", offer(base_payload(promotionNumber="11", itemDetails=item("i/plain.csv"), **tetris))),
+           ("e2", offer(base_payload(promotionNumber="12", itemDetails=item("i/plain.csv")))),
+           ("e3", offer(base_payload(promotionNumber="13", itemDetails=item("i/ranked.csv"))))]
+    b = plan_offer_batch(ready(spark, evs), empty(spark, OFFERS), empty(spark, OFFER_ITEMS), empty(spark, SITE_OVERRIDES), directory(spark),
+                         lines.filter("list_key like 's/%'"), lines.filter("list_key like 'i/%'"), catalogue(spark),
+                         available_lists=list_manifest(lines, ITEM_COLUMN))
+    out = {r["event_id"]: (r["status"], r["failure_class"]) for r in b.outcomes.collect()}
+    assert out == {"e0": ("PROCESSED", None), "e1": ("FAILED", "BlobReadError"), "e2": ("PROCESSED", None), "e3": ("FAILED", "Error")}
+    assert sorted((r["offer_id"], r["item_number"]) for r in b.offer_items.collect()) == [(10, 2001), (10, 2002), (12, 2003), (12, 2004)]
+    assert {r["offer_id"]: r["club_list"] for r in b.offers.collect()}[10] == [1, 9]
