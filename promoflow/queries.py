@@ -510,7 +510,8 @@ def q_offer_serving_view(spark, d):
         "|", o["club_number"].cast("string"), F.coalesce(at(o["start_datetime"]), F.lit("-")),
         F.coalesce(at(o["end_datetime"]), F.lit("-")), o["time_zone"]))
     fields = F.concat_ws(";", "status", "offer_source", "time_zone", "member_list_location", F.array_join("labels", ","),
-                         F.array_join(F.coalesce("club_list", F.array().cast("array<bigint>")), ","), F.array_join(shown, ","))
+                         F.array_join(F.coalesce("club_list", F.array().cast("array<bigint>")), ","),
+                         F.coalesce(F.array_join(shown, ","), F.lit("")))
     head = rows.select("offer_id", F.lit("OFFER").alias("item_type"), F.lit("").alias("chunk"), fields.alias("items"))
     body = chunks.select("offer_id", "item_type", "chunk", F.array_join("items", ",").alias("items"))
     return head.unionByName(body)
