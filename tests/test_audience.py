@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from promoflow.operators import audience as A
 from promoflow.plans.audit_batch import list_event_outcomes
+from promoflow.operators.serve import member_entries
 from promoflow.plans.list_batch import member_view_changes, plan_list_batch
 from promoflow.sources.events import decode_events
 
@@ -88,10 +89,11 @@ def test_no_stored_offer_fails(spark):
 
 
 def test_member_left_without_offers_is_deleted_from_view(spark):
+    stored = [(1, "ua", "a", None), (1, "ub", "b", None), (2, "ub", "b", None)]
     b = _batch(spark, [("e1", _ev([1], "new.csv"))], [(1, "TIO", "old.csv"), (2, "TIO", "o2.csv")],
-               [(1, "ua", "a", None), (1, "ub", "b", None), (2, "ub", "b", None)],
-               [("new.csv", "c", None)], CARDS)
-    ups, dels = member_view_changes(b)
+               stored, [("new.csv", "c", None)], CARDS)
+    view = member_entries(spark.createDataFrame([r[:2] for r in stored], "offer_id bigint, membership_uuid string"))
+    ups, dels = member_view_changes(b, view)
     assert sorted(r[0] for r in dels.collect()) == ["ua"]
     assert sorted((r[0], tuple(r[1])) for r in ups.collect()) == [("ub", (2,)), ("uc", (1,))]
 
