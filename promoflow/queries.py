@@ -153,13 +153,9 @@ def q_member_view_upserts(spark, d):
 
 @query("member_view_deletes")
 def q_member_view_deletes(spark, d):
-    """Members whose one stored offer has a new list without them, and no other list has them."""
-    stored = TB.member_single_offers(spark, d)
-    good, _ = decode_events(TB.list_events_raw(spark, d))
-    _, lists = route_event_kind(good)
-    b = plan_list_batch(lists, TB.list_offers(spark, d), stored, TB.member_files(spark, d), TB.cards(spark, d),
-                        available_lists=TB.member_lists(spark, d))
-    _, dels = member_view_changes(b, kept(member_entries(stored), "member-view"))
+    """Members of the whole stored audience whom the batch leaves without any offer."""
+    view = kept(member_entries(TB.member_offers(spark, d)), "member-view")
+    _, dels = member_view_changes(_list_batch(spark, d), view)
     return dels
 
 

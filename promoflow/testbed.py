@@ -87,11 +87,6 @@ def member_offers(spark, d) -> DataFrame:
                  F.round(F.max("o_totalprice") / 100000, 4).alias("propensity")))
 
 
-def member_single_offers(spark, d) -> DataFrame:
-    """The stored audience cut to one offer a member, the one its number names."""
-    return member_offers(spark, d).filter("cast(substring(membership_uuid, 2) as bigint) % 20 = offer_id")
-
-
 def list_events_raw(spark, d) -> DataFrame:
     """(event_id, arrival, raw): member-list events as JSON text."""
     e = table(spark, d, "events")
