@@ -252,9 +252,9 @@ def q_gate_events(spark, d):
 
 @query("trim_awards")
 def q_trim_awards(spark, d):
-    before = _offer_events(spark, d, trimmed=False).select(
-        "event_id", _n("e.payload.awardList").alias("n_before"))
-    after = G.trim_awards(_offer_events(spark, d, trimmed=False)).select(
+    events = _offer_events(spark, d, trimmed=False)
+    before = events.select("event_id", _n("e.payload.awardList").alias("n_before"))
+    after = G.trim_awards(events).select(
         "event_id", _n("awards").alias("n_after"),
         F.array_join(F.get(F.col("awards"), 0)["itemRefId"], ",").alias("first_refs"))
     return before.join(after, "event_id")
